@@ -27,7 +27,7 @@ def utc_offset(utc: Column, zone: str = ZONE) -> Column:
 
 
 def iso_seconds(utc: Column) -> Column:
-    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.concat(F.replace(F.left(utc.cast("string"), F.lit(19)), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def arrive_by_moment(utc_now: Column, weekday: str, at: str, zone: str = ZONE, standard_hours: int = 10) -> Column:
@@ -45,7 +45,10 @@ def arrive_by_moment(utc_now: Column, weekday: str, at: str, zone: str = ZONE, s
 
 def probe_moment(given_utc: Column, utc_now: Column, zone: str = ZONE) -> Column:
     """The given instant, else the first local weekday 09:00 that is two days or more away."""
-    start = F.date_trunc("HOUR", F.timestamp_add("DAY", F.lit(2), utc_now)).cast("timestamp_ntz")
+    later = F.timestamp_add("DAY", F.lit(2), utc_now)
+    start = F.make_timestamp_ntz(
+        F.year(later), F.month(later), F.day(later), F.hour(later), F.lit(0), F.lit(0)
+    )
     hours = F.transform(F.sequence(F.lit(0), F.lit(24 * 9 - 1)), lambda h: F.timestamp_add("HOUR", h, start))
 
     def suits(moment: Column) -> Column:

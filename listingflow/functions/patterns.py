@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # White space as the rules understand it: ASCII blanks, no-break space, byte-order mark, Unicode separators.
-_SPACES = r"\t\n\x0B\f\r    -     　﻿"
+_SPACES = r"\t\n\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 _BOUNDARY = r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"
 
 

@@ -52,7 +52,7 @@ SNIPPET_LENGTH = 500
 
 
 def _amount(text: Column) -> Column:
-    return F.expr("try_cast(NULL AS DOUBLE)") if text is None else F.regexp_replace(text, ",", "").try_cast("double")
+    return F.regexp_replace(text, ",", "").try_cast("double")
 
 
 def weekly_rent(display: Column) -> Column:
