@@ -48,5 +48,7 @@ def piecewise(raw: Column, curve: Curve) -> Column:
     branches = branches.when(x >= last_x, bounded(last_y))
     for (x0, y0), (x1, y1) in zip(points, points[1:]):
         share = (x - F.lit(x0)) / F.lit(x1 - x0) if x1 > x0 else F.lit(0.0)
-        branches = branches.when(x <= x1, clamp(F.lit(y0) + share * F.lit(y1 - y0)))
+        between = F.lit(y0) + share * F.lit(y1 - y0)
+        inside = 0.0 <= min(y0, y1) and max(y0, y1) <= 100.0
+        branches = branches.when(x <= x1, between if inside else clamp(between))
     return branches.otherwise(bounded(last_y))

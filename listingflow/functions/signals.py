@@ -7,7 +7,7 @@ pattern contains one of its stems.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .patterns import all_groups, collapsed, java, matches, replace_all, trimmed
@@ -124,9 +124,11 @@ def _rule_hits(rules: list[tuple[str, str]], searched: Column, quoted: Column, i
     return F.array_compact(F.array(*hits))
 
 
-def room_evidence(description: Column, address: Column, price: Column, bedrooms: Column) -> Column:
-    """``array<struct<signal, quote>>`` of reasons to think a listing is one room, in rule order."""
-    text = F.lower(plain_text(description))
+def room_evidence(text: Column, address: Column, price: Column, bedrooms: Column) -> Column:
+    """``array<struct<signal, quote>>`` of reasons to think a listing is one room, in rule order.
+
+    ``text``: the lower-cased plain text, as a column of an earlier projection (it is read by every rule).
+    """
     prose = F.when(text.rlike(ROOM_STEMS), _rule_hits(ROOM_SIGNALS, text, text, False)).otherwise(_none())
     by_address = F.when(matches(address, ROOM_ADDRESS, True), _hit("room_address", address))
     crowded = (bedrooms >= SHARED_HOUSE_MIN_BEDS) & (weekly_rent(price) < SHARED_HOUSE_MAX_PW)
@@ -145,19 +147,8 @@ def masked(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(compiled), F.array_join(woven, "")).otherwise(text)
 
 
-def studio_text(description: Column) -> Column:
-    return trimmed(plain_text(description))
-
-
-def studio_offers(text: Column) -> Column:
-    """``text`` with the uses of the word that offer no studio blanked out."""
-    for pattern in NOT_A_STUDIO_OFFER:
-        text = F.when(text.rlike("(?i)studio"), masked(text, pattern)).otherwise(text)
-    return text
-
-
 def studio_evidence(property_text: Column, text: Column, offers: Column) -> Column:
-    """Studio signals: the structured type first, then the prose. ``text`` and ``offers`` come from the two above."""
+    """Studio signals: the structured type first, then the prose. ``offers`` is ``text`` with the non-offers blanked."""
     typed = F.when(
         matches(property_text, r"\bstudio", True),
         _hit(STUDIO_TYPE_SIGNAL, F.concat(F.lit(STUDIO_TYPE_QUOTE), property_text)),
@@ -166,6 +157,26 @@ def studio_evidence(property_text: Column, text: Column, offers: Column) -> Colu
     return F.concat(F.array_compact(F.array(typed)), prose)
 
 
+def with_evidence(rows: DataFrame, description: str, property_text: str, address: str, price: str,
+                  bedrooms: str) -> DataFrame:
+    """Add ``room_evidence`` and ``studio_evidence`` from the whole description.
+
+    Texts are staged column by column: each stage is read many times by the next, so it is computed once.
+    """
+    staged = rows.withColumn("_plain", plain_text(F.col(description)))
+    staged = staged.withColumns({"_room_text": F.lower("_plain"), "_text": trimmed(F.col("_plain"))})
+    staged = staged.withColumn("_offers", F.col("_text"))
+    for pattern in NOT_A_STUDIO_OFFER:
+        offers = F.col("_offers")
+        staged = staged.withColumn("_offers", F.when(offers.rlike("(?i)studio"), masked(offers, pattern)).otherwise(offers))
+    return staged.withColumns(
+        {
+            "room_evidence": room_evidence(F.col("_room_text"), F.col(address), F.col(price), F.col(bedrooms)),
+            "studio_evidence": studio_evidence(F.col(property_text), F.col("_text"), F.col("_offers")),
+        }
+    ).drop("_plain", "_room_text", "_text", "_offers")
+
+
 def signal_names(evidence: Column) -> Column:
     return F.transform(evidence, lambda e: e["signal"])
 

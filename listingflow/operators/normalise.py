@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import matches, trimmed
-from ..functions.signals import room_evidence, signal_names, studio_evidence, studio_offers, studio_text
+from ..functions.signals import signal_names, with_evidence
 from ..functions.text import (
     POSTCODE, address_tail, area_sqm, keyword_hit, property_type, sized_image_url, suburb_key, weekly_rent,
 )
@@ -19,20 +19,6 @@ def with_keyword_hit(rows: DataFrame, keywords: list[str]) -> DataFrame:
     return rows.withColumn("excluded_by", keyword_hit(F.col("propertyType"), F.col("address"), keywords))
 
 
-def with_signals(rows: DataFrame) -> DataFrame:
-    """Add ``room_evidence`` and ``studio_evidence`` from the whole description."""
-    staged = rows.withColumn("_studio_text", studio_text(F.col("description")))
-    staged = staged.withColumn("_offers", studio_offers(F.col("_studio_text")))
-    return staged.withColumns(
-        {
-            "room_evidence": room_evidence(
-                F.col("description"), F.col("address"), F.col("price"), F.col("bedrooms")
-            ),
-            "studio_evidence": studio_evidence(F.col("propertyType"), F.col("_studio_text"), F.col("_offers")),
-        }
-    ).drop("_studio_text", "_offers")
-
-
 def _place_columns(rows: DataFrame) -> DataFrame:
     tail = address_tail(F.coalesce("address", F.lit("")))
 
@@ -58,7 +44,9 @@ def problem_reason() -> Column:
 
 def normalise(rows: DataFrame, url_base: str) -> DataFrame:
     """Typed columns beside ``problem`` (null when usable); one projection, split by the caller."""
-    placed = with_signals(_place_columns(rows)).withColumn("problem", problem_reason())
+    placed = with_evidence(
+        _place_columns(rows), "description", "propertyType", "address", "price", "bedrooms"
+    ).withColumn("problem", problem_reason())
     area = area_sqm(F.col("buildingSize"))
     return placed.select(
         F.coalesce(F.nullif("listing_id", F.lit("")), F.lit("(missing)")).alias("listing_id"),

@@ -28,31 +28,17 @@ def tallies(listings: DataFrame, fields: list[str]) -> DataFrame:
 def price_report(listings: DataFrame) -> DataFrame:
     """One row: priced, lowest, highest, upper median (the element at half the count), presence counts.
 
-    Prices collapse to counts before the median, so its state holds distinct prices only.
+    The upper median is the discrete median counted from the top; its state holds a count per
+    distinct whole-dollar price, combined on the map side.
     """
-    by_price = listings.groupBy("price_pw").agg(
-        F.count("*").alias("n"), F.count("area_sqm").alias("sized"), F.count("lat").alias("located"),
-    )
-    # Upper median of n rows = exact percentile at the (n div 2)-th position, counted from 0.
-    n = F.sum(F.when(F.col("price_pw").isNotNull(), F.col("n")))
-    totals = by_price.agg(
-        F.sum("n").alias("listings"), F.sum("sized").alias("with_area"), F.sum("located").alias("with_position"),
-        n.alias("priced"), F.min("price_pw").alias("lowest"), F.max("price_pw").alias("highest"),
-        F.sort_array(F.collect_list(F.when(F.col("price_pw").isNotNull(), F.struct("price_pw", "n")))).alias("steps"),
-    )
-    walked = F.aggregate(
-        "steps",
-        F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("int").alias("median")),
-        lambda acc, s: F.struct(
-            (acc["seen"] + s["n"]).alias("seen"),
-            F.coalesce(
-                acc["median"],
-                F.when(acc["seen"] + s["n"] > F.floor(F.col("priced") / 2), s["price_pw"].cast("int")),
-            ).alias("median"),
-        ),
-    )["median"]
-    return totals.select(
-        "listings", "priced", "lowest", "highest", walked.alias("upper_median"), "with_area", "with_position"
+    return listings.agg(
+        F.count("*").alias("listings"),
+        F.count("price_pw").alias("priced"),
+        F.min("price_pw").alias("lowest"),
+        F.max("price_pw").alias("highest"),
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY price_pw DESC)").cast("int").alias("upper_median"),
+        F.count("area_sqm").alias("with_area"),
+        F.count("lat").alias("with_position"),
     )
 
 
@@ -62,8 +48,8 @@ def signal_review(rows: DataFrame) -> DataFrame:
     ``rows``: listing_id, description, room_evidence, studio_evidence. Columns: listing_id, kind
     (room | studio), flagged, notes (``signal: quote`` when flagged, else up to three quotes).
     """
-    studio_text = plain_text(F.col("description"))
-    room_text = F.lower(studio_text)
+    staged = rows.withColumn("_studio", plain_text(F.col("description"))).withColumn("_room", F.lower("_studio"))
+    room_text, studio_text = F.col("_room"), F.col("_studio")
 
     def review(kind: str, evidence: str, text, pattern: str, context: int):
         quotes = loose_quotes(text, pattern, context)
@@ -78,7 +64,7 @@ def signal_review(rows: DataFrame) -> DataFrame:
         review("studio", "studio_evidence", studio_text, STUDIO_LOOSE, STUDIO_LOOSE_CONTEXT),
     )
     return (
-        rows.select("listing_id", F.explode(both).alias("r")).select("listing_id", "r.*")
+        staged.select("listing_id", F.explode(both).alias("r")).select("listing_id", "r.*")
         .filter(F.size("notes") > 0)
     )
 

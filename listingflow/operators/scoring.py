@@ -5,10 +5,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import FACTOR_KEYS, Dealbreakers, Scoring
+from ..config import FACTOR_KEYS, POI_KINDS, Dealbreakers, Scoring
 from ..functions.numbers import Curve, clamp, piecewise, round_half_up
 
 # ---- Fixed values: parts of the scoring model ---------------------------------------------
@@ -20,35 +22,17 @@ NO_GYM_SCORE = 30
 DEALBREAKERS = ["rent_above_hard_cap", "too_few_beds", "too_few_baths", "no_car_space", "commute_too_long"]
 # -------------------------------------------------------------------------------------------
 
-def _factor(raw: Column, score: Column, excluded: Column | None = None, source: Column | None = None) -> Column:
-    def text(value: Column | None) -> Column:
-        return F.lit(None).cast("string") if value is None else value
-
-    return F.struct(
-        raw.cast("double").alias("raw"),
-        round_half_up(score).alias("score"),
-        text(excluded).alias("excluded"),
-        text(source).alias("source"),
-    )
-
-
-def _sits_out(raw: Column, condition: Column, reason: str, score: Column) -> Column:
-    return _factor(raw, F.when(~condition, score), F.when(condition, F.lit(reason)))
+# Scores are built in stages of flat columns. Each stage is used more than once by the next, so the
+# optimizer keeps the projections apart and every curve is evaluated (and compiled) once per row.
 
 
-def place_factor(place: Column, curve: Curve, none_found: float = 0.0) -> Column:
-    minutes = place["walk_minutes"]
-    absent = place["status"] == "none_found"
-    unknown = (place["status"] == "unavailable") | (~absent & minutes.isNull())
-    score = F.when(absent, F.lit(float(none_found))).otherwise(piecewise(minutes, curve))
-    return _sits_out(F.when(place["status"].isin("ok", "fallback"), minutes), unknown, "provider_unavailable", score)
+def place_raw(place: Column) -> Column:
+    return F.when(place["status"].isin("ok", "fallback"), place["walk_minutes"])
 
 
-def space_factor(area_sqm: Column, beds: Column, curve: Curve) -> Column:
-    usable = area_sqm.isNotNull() & (beds >= 1)
-    per_bed = F.when(usable, round_half_up(area_sqm / beds, 1))
-    reason = F.when(area_sqm.isNull(), F.lit("missing_sqm")).when(beds < 1, F.lit("unknown_beds"))
-    return _factor(F.coalesce(per_bed, area_sqm.cast("double")), piecewise(per_bed, curve), reason)
+def place_score(place: Column, minutes: Column, curve: Curve, none_found: float = 0.0) -> Column:
+    """Nothing in range is a signal and scores ``none_found``; an unknown answer scores null."""
+    return F.when(place["status"] == "none_found", F.lit(float(none_found))).otherwise(piecewise(minutes, curve))
 
 
 def commute_minutes(commute: Column) -> Column:
@@ -62,36 +46,50 @@ def commute_minutes(commute: Column) -> Column:
     return F.least(by_foot, by_transit)  # skips nulls
 
 
-def suburb_factor(profile: Column, suburb_key: Column, price_pw: Column, beds: Column,
-                  preferred: list[str]) -> Column:
-    """Crime, income decile and rent value, renormalised over the parts the profile has.
+def with_suburb_factor(listings: DataFrame, preferred: Sequence[str]) -> DataFrame:
+    """Add ``suburb_raw, suburb_score, suburb_excluded, suburb_source``.
 
-    ``profile``: null or ``struct<crime_lower_than_pct, income_decile, published_rents map<beds, rent>,
+    Crime, income decile and rent value, renormalised over the parts the profile has. ``profile``:
+    null or ``struct<crime_lower_than_pct, income_decile, published_rents map<beds, rent>,
     observed_rents map<beds, rent>>``. A published median outranks an observed one.
     """
-    bed_key = beds.cast("string")
-    published = F.try_element_at(profile["published_rents"], bed_key).cast("double")
-    median = F.coalesce(published, F.try_element_at(profile["observed_rents"], bed_key).cast("double"))
-    comparable = (median > 0) & price_pw.isNotNull()
-    gap = F.when(comparable, (price_pw - median) / median)
-    parts = [
-        (CRIME_WEIGHT, clamp(profile["crime_lower_than_pct"] * 100)),
-        (DECILE_WEIGHT, clamp(profile["income_decile"] * F.lit(10.0))),
-        (RENT_WEIGHT, piecewise(gap, RENT_VALUE_CURVE)),
-    ]
-    earned = weight = F.lit(0.0)
-    for share, score in parts:
-        earned = earned + F.coalesce(F.lit(share) * score, F.lit(0.0))
-        weight = weight + F.when(score.isNotNull(), F.lit(share)).otherwise(F.lit(0.0))
-    base = F.when(weight > 0, earned / weight)
-    bonus = F.when(suburb_key.isin(*preferred), F.lit(PREFERRED_BONUS)).otherwise(F.lit(0)) if preferred else F.lit(0)
-    reason = F.when(profile.isNull(), F.lit("no_suburb_profile")).when(
-        base.isNull(), F.lit("incomplete_suburb_profile")
-    )
-    source = F.when(
-        comparable, F.when(published.isNotNull(), F.lit("rents:published")).otherwise(F.lit("rents:observed"))
+    profile, price = F.col("profile"), F.col("price_pw")
+    beds = F.col("beds").cast("string")
+    staged = listings.withColumns(
+        {
+            "_published": F.try_element_at(profile["published_rents"], beds).cast("double"),
+            "_observed": F.try_element_at(profile["observed_rents"], beds).cast("double"),
+        }
+    ).withColumn("_median", F.coalesce("_published", "_observed"))
+    staged = staged.withColumn(
+        "_gap", F.when((F.col("_median") > 0) & price.isNotNull(), (price - F.col("_median")) / F.col("_median"))
     )
-    return _factor(round_half_up(base, 1), clamp(base + bonus), reason, source)
+    parts = {
+        "_crime": (CRIME_WEIGHT, clamp(profile["crime_lower_than_pct"] * 100)),
+        "_decile": (DECILE_WEIGHT, clamp(profile["income_decile"] * F.lit(10.0))),
+        "_rent": (RENT_WEIGHT, piecewise(F.col("_gap"), RENT_VALUE_CURVE)),
+    }
+    staged = staged.withColumns({name: score for name, (_, score) in parts.items()})
+    earned = weight = F.lit(0.0)
+    for name, (share, _) in parts.items():
+        earned = earned + F.coalesce(F.lit(share) * F.col(name), F.lit(0.0))
+        weight = weight + F.when(F.col(name).isNotNull(), F.lit(share)).otherwise(F.lit(0.0))
+    staged = staged.withColumns({"_earned": earned, "_weight": weight})
+    staged = staged.withColumn("_base", F.when(F.col("_weight") > 0, F.col("_earned") / F.col("_weight")))
+    bonus = F.when(F.col("suburb_key").isin(*preferred), F.lit(PREFERRED_BONUS)).otherwise(F.lit(0)) if preferred else F.lit(0)
+    return staged.withColumns(
+        {
+            "suburb_raw": round_half_up(F.col("_base"), 1),
+            "suburb_score": round_half_up(clamp(F.col("_base") + bonus)),
+            "suburb_excluded": F.when(profile.isNull(), F.lit("no_suburb_profile")).when(
+                F.col("_base").isNull(), F.lit("incomplete_suburb_profile")
+            ),
+            "suburb_source": F.when(
+                F.col("_gap").isNotNull(),
+                F.when(F.col("_published").isNotNull(), F.lit("rents:published")).otherwise(F.lit("rents:observed")),
+            ),
+        }
+    ).drop("_published", "_observed", "_median", "_gap", *parts, "_earned", "_weight", "_base")
 
 
 def dealbreakers(rules: Dealbreakers, commute: Column) -> Column:
@@ -107,54 +105,83 @@ def dealbreakers(rules: Dealbreakers, commute: Column) -> Column:
 
 
 def score_listings(listings: DataFrame, scoring: Scoring) -> DataFrame:
-    """Add ``scores{composite, confidence, dealbreakers, factors}``.
+    """Add ``scores{composite, confidence, dealbreakers, factors{raw, score, excluded, source}}``.
 
     Reads price_pw, beds, baths, car_spaces, area_sqm, suburb_key, enrichment and profile.
     """
     curves, weights = scoring.curves, scoring.weights
     enrichment = F.col("enrichment")
     places, drive = enrichment["walkability"], enrichment["commute"]["drive"]
-    price, cars = F.col("price_pw"), F.col("car_spaces")
-
-    staged = listings.withColumn("_commute", commute_minutes(enrichment["commute"]))
-    commute = F.col("_commute")
-    no_drive = (drive["status"] == "unavailable") | drive["minutes"].isNull()
-    factors = {
-        "price": _sits_out(price, price.isNull(), "missing_price", piecewise(price, curves["price"])),
-        "space": space_factor(F.col("area_sqm"), F.col("beds"), curves["space"]),
-        "car_space": _factor(cars, F.when(cars > 0, F.lit(100.0)).otherwise(F.lit(0.0))),
-        "commute": _sits_out(commute, commute.isNull(), "provider_unavailable", piecewise(commute, curves["commute"])),
-        "drive": _sits_out(
-            F.when(~no_drive, drive["minutes"]), no_drive, "provider_unavailable",
-            piecewise(drive["minutes"], curves["drive"]),
-        ),
-        "walk_cafe": place_factor(places["cafe"], curves["walk_cafe"]),
-        "walk_supermarket": place_factor(places["supermarket"], curves["walk_supermarket"]),
-        "walk_gym": place_factor(places["gym"], curves["walk_gym"], NO_GYM_SCORE),
-        "suburb": suburb_factor(
-            F.col("profile"), F.col("suburb_key"), price, F.col("beds"), list(scoring.preferred_suburbs)
-        ),
+    area, beds = F.col("area_sqm"), F.col("beds")
+    kinds = {f"walk_{kind}": places[kind] for kind in POI_KINDS}
+
+    raws = {
+        "price": F.col("price_pw").cast("double"),
+        "space": F.when(area.isNotNull() & (beds >= 1), round_half_up(area / beds, 1)),
+        "car_space": F.col("car_spaces").cast("double"),
+        "commute": commute_minutes(enrichment["commute"]),
+        "drive": F.when(drive["status"] != "unavailable", drive["minutes"]),
+        **{name: place_raw(place) for name, place in kinds.items()},
     }
-    staged = staged.withColumn("_factors", F.struct(*[factors[key].alias(key) for key in FACTOR_KEYS]))
+    staged = with_suburb_factor(listings, scoring.preferred_suburbs).withColumns(
+        {f"_{name}_raw": raw for name, raw in raws.items()}
+    )
+
+    def raw(name: str) -> Column:
+        return F.col(f"_{name}_raw")
+
+    scores = {name: piecewise(raw(name), curves[name]) for name in ("price", "space", "commute", "drive")}
+    scores["car_space"] = F.when(raw("car_space") > 0, F.lit(100.0)).otherwise(F.lit(0.0))
+    for name, place in kinds.items():
+        scores[name] = place_score(place, raw(name), curves[name], NO_GYM_SCORE if name == "walk_gym" else 0)
+    staged = staged.withColumns(
+        {**{f"_{name}_score": round_half_up(s) for name, s in scores.items()}, "_suburb_score": F.col("suburb_score")}
+    )
+
+    def score(name: str) -> Column:
+        return F.col(f"_{name}_score")
 
     earned = included = F.lit(0.0)
     for key in FACTOR_KEYS:
-        score = F.col("_factors")[key]["score"]
         weight = F.lit(float(weights[key]))
-        earned = earned + F.coalesce(weight * score, F.lit(0.0))
-        included = included + F.when(score.isNotNull(), weight).otherwise(F.lit(0.0))
+        earned = earned + F.coalesce(weight * score(key), F.lit(0.0))
+        included = included + F.when(score(key).isNotNull(), weight).otherwise(F.lit(0.0))
+    staged = staged.withColumns({"_earned": earned, "_included": included})
+
+    unknown = {
+        "price": F.when(raw("price").isNull(), F.lit("missing_price")),
+        "space": F.when(area.isNull(), F.lit("missing_sqm")).when(beds < 1, F.lit("unknown_beds")),
+        "car_space": F.lit(None).cast("string"),
+        **{name: F.when(score(name).isNull(), F.lit("provider_unavailable")) for name in ("commute", "drive", *kinds)},
+        "suburb": F.col("suburb_excluded"),
+    }
+    shown = {name: raw(name) for name in raws}
+    shown["space"] = F.coalesce(raw("space"), area.cast("double"))
+    shown["suburb"] = F.col("suburb_raw")
+    sources = {"suburb": F.col("suburb_source")}
+    factors = F.struct(
+        *[
+            F.struct(
+                shown[key].alias("raw"), score(key).alias("score"), unknown[key].alias("excluded"),
+                sources.get(key, F.lit(None).cast("string")).alias("source"),
+            ).alias(key)
+            for key in FACTOR_KEYS
+        ]
+    )
     total = float(sum(weights[key] for key in FACTOR_KEYS))
-    composite = F.when(included > 0, round_half_up(earned / included, 1)).otherwise(F.lit(0.0))
+    included = F.col("_included")
+    composite = F.when(included > 0, round_half_up(F.col("_earned") / included, 1)).otherwise(F.lit(0.0))
     confidence = round_half_up(included / F.lit(total), 2) if total else F.lit(0.0)
+    helpers = [c for c in staged.columns if c not in listings.columns]
     return staged.withColumn(
         "scores",
         F.struct(
             composite.alias("composite"),
             confidence.alias("confidence"),
-            dealbreakers(scoring.dealbreakers, commute).alias("dealbreakers"),
-            F.col("_factors").alias("factors"),
+            dealbreakers(scoring.dealbreakers, raw("commute")).alias("dealbreakers"),
+            factors.alias("factors"),
         ),
-    ).drop("_commute", "_factors")
+    ).drop(*helpers)
 
 
 def ranked(listings: DataFrame) -> DataFrame:

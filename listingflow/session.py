@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles a method above 8,000 bytes of bytecode. Wide scoring projections pass that
+    # limit when fused; beyond it Spark should split them instead of running them interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
