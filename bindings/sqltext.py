@@ -21,11 +21,11 @@ def curve(x: str, anchors) -> str:
 
 
 def hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    return (
-        f"(2 * 6371000.0::double * asin(least(1.0::double, sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2) + "
-        f"pow(sin(radians({lon2} - {lon1}) / 2), 2) * cos(radians({lat1})) * cos(radians({lat2})))))"
-        ")"
+    h = (
+        f"pow(sin(radians({lat2} - {lat1}) / 2), 2) + "
+        f"pow(sin(radians({lon2} - {lon1}) / 2), 2) * cos(radians({lat1})) * cos(radians({lat2}))"
     )
+    return f"(2 * 6371000.0::double * asin(case when {h} > 1 then 1.0::double else sqrt({h}) end))"
 
 
 def joined(pairs: list[tuple[str, str]]) -> str:

@@ -15,7 +15,8 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     half_lat = F.sin(F.radians(lat2 - lat1) / 2)
     half_lon = F.sin(F.radians(lon2 - lon1) / 2)
     h = half_lat * half_lat + half_lon * half_lon * F.cos(F.radians(lat1)) * F.cos(F.radians(lat2))
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    # Not F.least(1, sqrt(h)): least skips nulls and would turn an unknown point into an antipode.
+    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.when(h > 1, F.lit(1.0)).otherwise(F.sqrt(h)))
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -136,7 +136,7 @@ def sized_image_url(url: Column, size: str = IMAGE_SIZE) -> Column:
     holder = F.locate("{size}", url)
     filled = F.concat(F.left(url, holder - 1), F.lit(size), F.substring(url, holder + 6, F.length(url)))
     segment = F.regexp_extract(url, IMAGE_SIZE_SEGMENT, 0)
-    at = F.locate(segment, url)
+    at = F.instr(url, segment)
     resized = F.concat(
         F.left(url, at - 1), F.lit(f"/{size}/"), F.substring(url, at + F.length(segment), F.length(url))
     )
