@@ -179,7 +179,7 @@ def orphan_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs are order years; the years of the smallest orders are removed. Keys come from documents and orders."""
     o = table(spark, sf_dir, "orders")
     runs = o.select(F.col("o_custkey").cast("string").alias("listing_id"), F.year("o_orderdate").cast("string").alias("run_id"))
-    removed = runs.groupBy("run_id").agg(F.min("listing_id").alias("m")).filter("run_id < '1997'").select("run_id")
+    removed = runs.select("run_id").distinct().filter("run_id < '2000'")
     doomed = P.doomed_listings(runs, removed)
     keys = o.select(
         F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("images/listings/"), F.col("o_custkey").cast("string"), F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".webp")))
@@ -279,7 +279,7 @@ ORACLES = {
     ),
     "orphan_media": """
         with runs as (select cast(o_custkey as varchar) as listing_id, cast(year(o_orderdate) as varchar) as run_id, * from orders),
-        doomed as (select listing_id from runs group by listing_id having max(run_id) < '1997')
+        doomed as (select listing_id from runs group by listing_id having max(run_id) < '2000')
         select case o_orderstatus when 'F' then 'images/listings/' || listing_id || '/' || o_orderkey || '.webp' else '/images/listings/' || listing_id || '/01.webp' end as key, listing_id
         from runs where o_orderstatus in ('F', 'O') and listing_id in (select listing_id from doomed)""",
 }

@@ -112,9 +112,11 @@ def backfill(listings: DataFrame, measured: DataFrame, precision: DataFrame, mod
     legs = measured.select(
         "listing_id", round_half_up(F.col("minutes"), 1).alias("minutes"), round_half_up(F.col("km"), 2).alias("km")
     )
-    return located.join(legs, "listing_id", "left").join(precision, "listing_id", "left").select(
+    known = precision.select("listing_id", F.col("precision").alias("_precision"))
+    located = located.select("listing_id", "address")
+    return located.join(legs, "listing_id", "left").join(known, "listing_id", "left").select(
         "listing_id", "minutes", "km", F.lit(mode).alias("mode"),
-        F.coalesce("precision", F.lit("street")).alias("precision"),
+        F.coalesce("_precision", F.lit("street")).alias("precision"),
         F.lit(computed_at).alias("computed_at"), "address",
         F.col("minutes").isNotNull().alias("routed"),
     )

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import CAPTURE
 
 CORRUPT = "_corrupt_record"
 
 
-def read_documents(spark: SparkSession, path: str, schema: T.StructType, strict: bool = True) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
     """JSON documents under a declared schema, with ``source_path`` beside each.
 
     ``strict`` fails the job on the first document the schema refuses; otherwise the refused text
@@ -19,7 +18,7 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType, strict:
     """
     reader = spark.read.option("multiLine", True).option("mode", "FAILFAST" if strict else "PERMISSIVE")
     if not strict:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        schema = f"{schema}, {CORRUPT} STRING"
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     return reader.schema(schema).json(path).withColumn("source_path", F.col("_metadata.file_path"))
 

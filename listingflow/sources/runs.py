@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clock import run_id_candidates
+from ..schemas import MANIFEST
 
 
 def sorted_entries(entries: Column) -> Column:
@@ -30,8 +31,7 @@ def taken_run(manifest: DataFrame, run_id: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    schema = "run_id STRING, position BIGINT, listing_count BIGINT, new_count BIGINT, criteria_version INT"
-    return spark.read.schema(schema).parquet(f"{root}/manifest")
+    return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
 
 def publish_run(run_id: str, root: str, listings: DataFrame, ledger: DataFrame, suburbs: DataFrame,
