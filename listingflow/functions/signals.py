@@ -1,8 +1,8 @@
 """Named text signals with evidence.
 
-A rule table becomes one array expression; each hit carries a quote with 30 characters of context.
-Texts without any of the rules' stems skip the rules altogether: an exact shortcut, because every
-pattern contains one of its stems.
+A rule table becomes one array expression; each hit carries a quote with 30 characters of context. A
+rule is skipped on texts without any of its stems: an exact shortcut, because whatever its pattern
+matches contains one of them.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .patterns import all_groups, collapsed, java, matches, replace_all, trimmed
+from .patterns import all_groups, bind, collapsed, java, matches, replace_all, trimmed
 from .text import weekly_rent
 
 # ---- Fixed values: rule tables ------------------------------------------------------------
@@ -48,7 +48,13 @@ ROOM_SIGNALS = [
         rf"|extra[\s-]?large|master|double)\s+(?!{HOUSE_PART_ROOM}\b)rooms?\b",
     ),
 ]
-ROOM_STEMS = "shar|communal|common|living|boarding|hostel|dormitor|room|person|mate|lockable"
+ROOM_STEMS = {
+    "shared_kitchen": ["kitchen"], "shared_bathroom": ["bathroom"], "shared_facilities": ["facilit", "amenit"],
+    "share_house": ["share"], "co_living": ["living"], "boarding_house": ["boarding", "hostel", "dormitor"],
+    "per_room": ["room"], "per_person": ["person"], "room_rent": ["room"], "room_only": ["room"],
+    "room_for_rent": ["room"], "rooms_available": ["available"], "private_room": ["room"], "lockable_room": ["lock"],
+    "master_room": ["master"], "flatmate": ["mate"], "n_rooms": ["rooms"], "offered_room": ["room"],
+}
 ROOM_ADDRESS = r"^\s*(?:room|rm)\s*\.?\s*\d"
 SHARED_HOUSE_MIN_BEDS, SHARED_HOUSE_MAX_PW = 5, 500
 ROOM_LOOSE = r"\bshar\w*|\brooms?\b|\bcommunal\b|\bcommon\b|\bboarding\b|\bkitchenette\b|\bbedsit\b"
@@ -79,7 +85,10 @@ STUDIO_SIGNALS = [
     ("studio_offered", rf"\b(?:{STUDIO_LEAD})\s+(?:(?!\bstudios?\b)[\w'’-]+[\s,-]+){{0,4}}studio\b"),
     ("bedsit", r"\bbed[\s-]?sit(?:ter)?s?\b"),
 ]
-STUDIO_STEMS = "studio|sit"
+STUDIO_STEMS = {
+    "studio_dwelling": ["studio"], "studio_headline": ["studio"], "studio_spec": ["studio"],
+    "studios_offered": ["studios"], "studio_offered": ["studio"], "bedsit": ["sit"],
+}
 STUDIO_TYPE_SIGNAL, STUDIO_TYPE_QUOTE = "rea_property_type", "REA property type: "
 STUDIO_LOOSE, STUDIO_LOOSE_CONTEXT = "studio", 40
 
@@ -106,75 +115,93 @@ def quote_around(text: Column, start: Column, length: Column, context: int = QUO
     )
 
 
-def _none() -> Column:
-    return F.array().cast("array<struct<signal:string,quote:string>>")
-
-
 def _hit(signal: str, quote: Column) -> Column:
     return F.struct(F.lit(signal).alias("signal"), quote.alias("quote"))
 
 
-def _rule_hits(rules: list[tuple[str, str]], searched: Column, quoted: Column, ignore_case: bool) -> Column:
+def _rule_hits(rules: list[tuple[str, str]], stems: dict[str, list[str]], lowered: Column, searched: Column,
+               quoted: Column, ignore_case: bool) -> Column:
+    """Hits in rule order. A rule runs only on texts holding one of its stems (a plain substring test)."""
     hits = []
     for signal, pattern in rules:
         compiled = java(pattern, ignore_case)
         match = F.regexp_extract(searched, compiled, 0)
         quote = quote_around(quoted, F.regexp_instr(searched, F.lit(compiled)), F.length(match))
-        hits.append(F.when(match != "", _hit(signal, quote)))
+        possible = F.contains(lowered, F.lit(stems[signal][0]))
+        for stem in stems[signal][1:]:
+            possible = possible | F.contains(lowered, F.lit(stem))
+        hits.append(F.when(possible & (match != ""), _hit(signal, quote)))
     return F.array_compact(F.array(*hits))
 
 
 def room_evidence(text: Column, address: Column, price: Column, bedrooms: Column) -> Column:
     """``array<struct<signal, quote>>`` of reasons to think a listing is one room, in rule order.
 
-    ``text``: the lower-cased plain text, as a column of an earlier projection (it is read by every rule).
+    ``text``: the plain text of the description.
     """
-    prose = F.when(text.rlike(ROOM_STEMS), _rule_hits(ROOM_SIGNALS, text, text, False)).otherwise(_none())
+
+    def prose(t: Column) -> Column:
+        return _rule_hits(ROOM_SIGNALS, ROOM_STEMS, t, t, t, False)
+
     by_address = F.when(matches(address, ROOM_ADDRESS, True), _hit("room_address", address))
     crowded = (bedrooms >= SHARED_HOUSE_MIN_BEDS) & (weekly_rent(price) < SHARED_HOUSE_MAX_PW)
     by_price = F.when(
         crowded, _hit("beds_vs_price", F.concat(bedrooms.cast("string"), F.lit(" bedrooms at "), price))
     )
-    return F.concat(prose, F.array_compact(F.array(by_address, by_price)))
+    return F.concat(bind(F.lower(text), prose), F.array_compact(F.array(by_address, by_price)))
 
 
 def masked(text: Column, pattern: str) -> Column:
     """Every match blanked by as many spaces, so offsets stay those of ``text``."""
     compiled = java(pattern, True)
-    blanks = F.transform(all_groups(text, pattern, 0, True), lambda m: F.repeat(F.lit(" "), F.length(m)))
-    pieces = F.split(text, compiled, -1)
-    woven = F.flatten(F.zip_with(pieces, blanks, lambda piece, blank: F.array(piece, blank)))
-    return F.when(text.rlike(compiled), F.array_join(woven, "")).otherwise(text)
 
+    def weave(t: Column) -> Column:
+        blanks = F.transform(all_groups(t, pattern, 0, True), lambda m: F.repeat(F.lit(" "), F.length(m)))
+        pieces = F.split(t, compiled, -1)
+        woven = F.flatten(F.zip_with(pieces, blanks, lambda piece, blank: F.array(piece, blank)))
+        return F.when(F.contains(F.lower(t), F.lit("studio")) & t.rlike(compiled), F.array_join(woven, "")).otherwise(t)
 
-def studio_evidence(property_text: Column, text: Column, offers: Column) -> Column:
-    """Studio signals: the structured type first, then the prose. ``offers`` is ``text`` with the non-offers blanked."""
+    return bind(text, weave)
+
+
+def studio_offers(text: Column) -> Column:
+    """``text`` with the uses of the word that offer no studio blanked out."""
+    for pattern in NOT_A_STUDIO_OFFER:
+        text = masked(text, pattern)
+    return text
+
+
+def studio_evidence(property_text: Column, text: Column) -> Column:
+    """Studio signals: the structured type first, then the prose. ``text``: the plain text of the description."""
     typed = F.when(
         matches(property_text, r"\bstudio", True),
         _hit(STUDIO_TYPE_SIGNAL, F.concat(F.lit(STUDIO_TYPE_QUOTE), property_text)),
     )
-    prose = F.when(text.rlike("(?i)" + STUDIO_STEMS), _rule_hits(STUDIO_SIGNALS, offers, text, True)).otherwise(_none())
-    return F.concat(F.array_compact(F.array(typed)), prose)
+
+    def prose(t: Column) -> Column:
+        return bind(
+            studio_offers(t),
+            lambda offers: bind(
+                F.lower(offers), lambda low: _rule_hits(STUDIO_SIGNALS, STUDIO_STEMS, low, offers, t, True)
+            ),
+        )
+
+    return F.concat(F.array_compact(F.array(typed)), bind(trimmed(text), prose))
 
 
 def with_evidence(rows: DataFrame, description: str, property_text: str, address: str, price: str,
                   bedrooms: str) -> DataFrame:
-    """Add ``room_evidence`` and ``studio_evidence`` from the whole description.
-
-    Texts are staged column by column: each stage is read many times by the next, so it is computed once.
-    """
-    staged = rows.withColumn("_plain", plain_text(F.col(description)))
-    staged = staged.withColumns({"_room_text": F.lower("_plain"), "_text": trimmed(F.col("_plain"))})
-    staged = staged.withColumn("_offers", F.col("_text"))
-    for pattern in NOT_A_STUDIO_OFFER:
-        offers = F.col("_offers")
-        staged = staged.withColumn("_offers", F.when(offers.rlike("(?i)studio"), masked(offers, pattern)).otherwise(offers))
-    return staged.withColumns(
-        {
-            "room_evidence": room_evidence(F.col("_room_text"), F.col(address), F.col(price), F.col(bedrooms)),
-            "studio_evidence": studio_evidence(F.col(property_text), F.col("_text"), F.col("_offers")),
-        }
-    ).drop("_plain", "_room_text", "_text", "_offers")
+    """Add ``room_evidence`` and ``studio_evidence`` from the whole description."""
+    both = bind(
+        plain_text(F.col(description)),
+        lambda text: F.struct(
+            room_evidence(text, F.col(address), F.col(price), F.col(bedrooms)).alias("room"),
+            studio_evidence(F.col(property_text), text).alias("studio"),
+        ),
+    )
+    return rows.withColumn("_signals", both).withColumns(
+        {"room_evidence": F.col("_signals.room"), "studio_evidence": F.col("_signals.studio")}
+    ).drop("_signals")
 
 
 def signal_names(evidence: Column) -> Column:
@@ -184,33 +211,32 @@ def signal_names(evidence: Column) -> Column:
 def loose_quotes(text: Column, pattern: str, context: int, most: int = 3) -> Column:
     """The first ``most`` distinct surroundings of a loose pattern: what a reviewer should look at."""
     compiled = java(pattern, True)
-    found = all_groups(text, pattern, 0, True)
-    pieces = F.split(text, compiled, -1)
-    # Offset of match i = lengths of the pieces up to i plus the matches before it.
-    pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda piece, m: F.struct(
-        F.length(piece).alias("gap"), F.length(m).alias("size")))
-    marks = F.aggregate(
-        pairs,
-        F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<at:int,size:int>>").alias("marks")),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["gap"] + p["size"]).alias("at"),
-            F.concat(acc["marks"], F.array(F.struct((acc["at"] + p["gap"]).alias("at"), p["size"].alias("size"))))
-            .alias("marks"),
-        ),
-    )["marks"]
-    quotes = F.transform(
-        marks,
-        lambda m: F.concat(
-            F.lit("…"),
-            trimmed(
-                F.substring(
-                    text, F.greatest(F.lit(1), m["at"] - context),
-                    m["at"] + m["size"] + context - F.greatest(F.lit(1), m["at"] - context),
-                )
+
+    def offsets(t: Column) -> Column:
+        found = all_groups(t, pattern, 0, True)
+        gaps = F.zip_with(
+            F.split(t, compiled, -1), found,
+            lambda piece, m: F.struct(F.length(piece).alias("gap"), F.length(m).alias("size")),
+        )
+        # Where match i starts: the gaps up to i and the matches before it.
+        return F.aggregate(
+            F.filter(gaps, lambda g: g["size"].isNotNull()),
+            F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<at:int,size:int>>").alias("marks")),
+            lambda acc, g: F.struct(
+                (acc["next"] + g["gap"] + g["size"]).alias("next"),
+                F.array_append(acc["marks"], F.struct((acc["next"] + g["gap"]).alias("at"), g["size"].alias("size")))
+                .alias("marks"),
             ),
-            F.lit("…"),
-        ),
-    )
-    return F.when(text.rlike(compiled), F.slice(F.array_distinct(quotes), 1, most)).otherwise(
-        F.array().cast("array<string>")
-    )
+        )["marks"]
+
+    def quotes(t: Column) -> Column:
+        def around(m: Column) -> Column:
+            first = F.greatest(F.lit(1), m["at"] - context)
+            return F.concat(
+                F.lit("…"), trimmed(F.substring(t, first, m["at"] + m["size"] + context - first)), F.lit("…")
+            )
+
+        shown = F.slice(F.array_distinct(F.transform(offsets(t), around)), 1, most)
+        return F.when(t.rlike(compiled), shown).otherwise(F.array().cast("array<string>"))
+
+    return bind(text, quotes)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .numbers import whole
-from .patterns import all_groups, collapsed, first_group, java, matches, replace_all, trimmed
+from .patterns import all_groups, bind, collapsed, first_group, java, matches, replace_all, trimmed
 
 # ---- Fixed values: must equal the listing rules for right results -------------------------
 MIN_RENT_PW, MAX_RENT_PW = 100, 5000
@@ -112,14 +112,19 @@ def feature_list(features: Column) -> Column:
 
 def snippet(description: Column, limit: int = SNIPPET_LENGTH) -> Column:
     """White space collapsed, cut on a word boundary when one lies past 60 % of the limit."""
-    clean = trimmed(collapsed(description))
-    cut = F.substring(clean, 1, limit - 1)
-    last_space = F.length(cut) - F.locate(" ", F.reverse(cut))  # 0-based; == length when absent
-    on_word = (F.locate(" ", F.reverse(cut)) > 0) & (last_space > limit * 0.6)
-    body = F.when(on_word, F.left(cut, last_space)).otherwise(cut)
-    return F.when(F.length(clean) <= limit, clean).otherwise(
-        F.concat(replace_all(body, r"\s+$", ""), F.lit("…"))
-    )
+
+    def on_word(cut: Column) -> Column:
+        from_end = F.locate(" ", F.reverse(cut))  # 1-based, 0 when there is no space
+        kept = F.length(cut) - from_end
+        return F.when((from_end > 0) & (kept > limit * 0.6), F.left(cut, kept)).otherwise(cut)
+
+    def shortened(clean: Column) -> Column:
+        cut = bind(F.substring(clean, 1, limit - 1), on_word)
+        return F.when(F.length(clean) <= limit, clean).otherwise(
+            F.concat(replace_all(cut, r"\s+$", ""), F.lit("…"))
+        )
+
+    return bind(trimmed(collapsed(description)), shortened)
 
 
 def price_display(display: Column, price_pw: Column) -> Column:

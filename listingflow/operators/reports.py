@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.patterns import bind
 from ..functions.signals import (
     ROOM_LOOSE, ROOM_LOOSE_CONTEXT, STUDIO_LOOSE, STUDIO_LOOSE_CONTEXT, loose_quotes, plain_text,
 )
@@ -48,23 +49,24 @@ def signal_review(rows: DataFrame) -> DataFrame:
     ``rows``: listing_id, description, room_evidence, studio_evidence. Columns: listing_id, kind
     (room | studio), flagged, notes (``signal: quote`` when flagged, else up to three quotes).
     """
-    staged = rows.withColumn("_studio", plain_text(F.col("description"))).withColumn("_room", F.lower("_studio"))
-    room_text, studio_text = F.col("_room"), F.col("_studio")
 
-    def review(kind: str, evidence: str, text, pattern: str, context: int):
-        quotes = loose_quotes(text, pattern, context)
+    def review(kind: str, evidence: str, text: Column, pattern: str, context: int) -> Column:
         flagged = F.size(evidence) > 0
         notes = F.when(
             flagged, F.transform(evidence, lambda e: F.concat_ws(": ", e["signal"], e["quote"]))
-        ).otherwise(quotes)
+        ).otherwise(loose_quotes(text, pattern, context))
         return F.struct(F.lit(kind).alias("kind"), flagged.alias("flagged"), notes.alias("notes"))
 
-    both = F.array(
-        review("room", "room_evidence", room_text, ROOM_LOOSE, ROOM_LOOSE_CONTEXT),
-        review("studio", "studio_evidence", studio_text, STUDIO_LOOSE, STUDIO_LOOSE_CONTEXT),
+    both = bind(
+        plain_text(F.col("description")),
+        lambda text: F.array(
+            review("room", "room_evidence", F.lower(text), ROOM_LOOSE, ROOM_LOOSE_CONTEXT),
+            review("studio", "studio_evidence", text, STUDIO_LOOSE, STUDIO_LOOSE_CONTEXT),
+        ),
     )
+    # Outer: an inner explode would copy the whole expression into a filter below it.
     return (
-        staged.select("listing_id", F.explode(both).alias("r")).select("listing_id", "r.*")
+        rows.select("listing_id", F.explode_outer(both).alias("r")).select("listing_id", "r.*")
         .filter(F.size("notes") > 0)
     )
 

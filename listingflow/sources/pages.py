@@ -122,13 +122,16 @@ def search_rows(payloads: DataFrame, page_key: str) -> DataFrame:
     rows = first.select(
         page_key, "node.total_results", "node.total_pages", F.posexplode(both).alias("row_pos", "r")
     )
-    nested = F.get_json_object("r.item", "$.listing")
     return rows.select(
-        page_key, "total_results", "total_pages", "row_pos", "r.is_surrounding",
-        F.from_json(F.coalesce(nested, "r.item"), LISTING_JSON).alias("item"),
+        page_key, "total_results", "total_pages", "row_pos", "r.is_surrounding", _typed(F.col("r.item")).alias("item")
     )
 
 
+def _typed(item: Column) -> Column:
+    """An item as a struct; some pages wrap it once more under ``listing``."""
+    return F.from_json(F.coalesce(F.get_json_object(item, "$.listing"), item), LISTING_JSON)
+
+
 def detail_rows(payloads: DataFrame, page_key: str) -> DataFrame:
     """The listing of a detail page: ``details.listing`` wins over any node with an id and an address."""
     wrapped = _member(F.col("payload"), "$.details.listing", "variant")
@@ -158,7 +161,7 @@ def detail_rows(payloads: DataFrame, page_key: str) -> DataFrame:
         ).alias("node"),
     ).filter("node.item is not null")
     return _first_payload(found, page_key, "node").select(
-        page_key, F.from_json("node.item", LISTING_JSON).alias("item"), "node.related_ids"
+        page_key, _typed(F.col("node.item")).alias("item"), "node.related_ids"
     )
 
 
