@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -20,7 +20,6 @@ from ..operators.scoring import ranked
 from ..operators.searches import excluded_by_every_search, match_searches, search_results
 from ..operators.snapshots import run_summary
 from ..session import cut_lineage
-from ..sources.captures import capture_groups, capture_rows, rejected_rows
 from .entries import listing_entries
 
 SOURCE_FACTS = [
@@ -58,27 +57,24 @@ class Run:
     photos: DataFrame
 
 
-def covered(searches: Sequence[SavedSearch], travel_keys: set[str]) -> list[SavedSearch]:
-    """Saved searches whose pass the capture holds."""
-    return [s for s in searches if s.travel_key in travel_keys]
+def covered(searches: Sequence[SavedSearch], passes: Collection[str]) -> list[SavedSearch]:
+    """Saved searches whose pass (``origin:mode``) the capture holds; an unasked search is absent, not zero."""
+    return [s for s in searches if s.travel_key in passes]
 
 
-def build(captures: DataFrame, verdicts: DataFrame, state: State, scoring: Scoring, limits: Envelope,
-          searches: Sequence[SavedSearch], run_id: str, previous_run: str | None, created_at: str, url_base: str,
-          travel_source: str, partial: bool = False, searched: DataFrame | None = None,
-          carried_notes: Sequence[str] = ()) -> Run:
+def build(rows: DataFrame, rejections: DataFrame, passes: Collection[str], verdicts: DataFrame, state: State,
+          scoring: Scoring, limits: Envelope, searches: Sequence[SavedSearch], run_id: str, previous_run: str | None,
+          created_at: str, url_base: str, travel_source: str, partial: bool = False,
+          searched: DataFrame | None = None, carried_notes: Sequence[str] = ()) -> Run:
     """Everything a run publishes.
 
-    The flat capture rows and the folded ledger feed several outputs, so their lineage is cut in the
-    shared checkpoint folder: each is computed once and survives lost executors.
-    ``partial``: only some locations were searched; nothing may go stale then.
+    ``rows``, ``rejections``: flat capture rows. ``passes``: the capture's ``origin:mode`` keys.
+    ``partial``: only some locations were searched; nothing may go stale then. Frames that feed
+    several outputs are written to the shared checkpoint folder: computed once, and still there
+    when executors are lost.
     """
-    rows = cut_lineage(capture_rows(captures))
-    groups = capture_groups(captures)
-    # Pass keys are configuration-sized: one per origin and mode.
-    keys = {row["travel_key"] for row in groups.select("travel_key").distinct().collect()}
-    asked = covered(searches, keys)
-
+    asked = covered(searches, passes)
+    rows = cut_lineage(rows)
     flat = C.unique_listings(rows, SOURCE_FACTS)
     normal = normalise(with_keyword_hit(flat, list(limits.exclude_keywords)), url_base)
     normal = cut_lineage(normal)
@@ -119,7 +115,7 @@ def build(captures: DataFrame, verdicts: DataFrame, state: State, scoring: Scori
     return Run(
         listings=ranked(published),
         ledger=ledger,
-        rejected=fold_rejected(state.rejected, rejected_rows(captures), ledger, run_id, created_at),
+        rejected=fold_rejected(state.rejected, rejections, ledger, run_id, created_at),
         suburbs=new_suburbs(listings, state.profiles, state.envelope, state.gazetteer),
         observed=medians,
         results=search_results(matched, asked, C.group_totals(rows), state.resolved, searched),
