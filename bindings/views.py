@@ -11,6 +11,8 @@ from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
+from listingflow.sources.tables import read_spread
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
@@ -220,8 +222,13 @@ def references(name: str) -> list[str]:
     return sorted({field for _, field, _, _ in Formatter().parse(VIEWS[name]) if field})
 
 
+# Tables whose queries spend their time in expressions, not in shuffles.
+COMPUTE_HEAVY = {"documents", "pages", "orders"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return read_spread(spark, path) if name in COMPUTE_HEAVY else spark.read.parquet(path)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -268,9 +268,9 @@ def search_results(matched: DataFrame, searches: Sequence[SavedSearch], group_to
     meaning all of them.
     """
     config = searches_frame(matched.sparkSession, searches)
-    counts = matched.select(F.explode("matched_searches").alias("search_id")).groupBy("search_id").agg(
-        F.count("*").alias("matched")
-    )
+    # Outer: an inner explode would evaluate all predicates once more in a filter below it.
+    hits = matched.select(F.explode_outer("matched_searches").alias("search_id")).filter("search_id is not null")
+    counts = hits.groupBy("search_id").agg(F.count("*").alias("matched"))
     asked = resolved.groupBy("search_id").agg(F.count("*").alias("wanted"))
     if searched is None:
         coverage = asked.withColumn("queried", F.col("wanted"))

@@ -1,0 +1,17 @@
+"""Reading plain tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table, dealt out to all cores when it is kept in fewer files than there are cores.
+
+    One small file is one scan task, and everything up to the next shuffle would run on one core.
+    Tables of many files, as any large table is, are read as they are. Pruning and filters still
+    reach the scan.
+    """
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
