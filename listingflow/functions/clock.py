@@ -44,18 +44,24 @@ def arrive_by_moment(utc_now: Column, weekday: str, at: str, zone: str = ZONE, s
 
 
 def probe_moment(given_utc: Column, utc_now: Column, zone: str = ZONE) -> Column:
-    """The given instant, else the first local weekday 09:00 that is two days or more away."""
+    """The given instant, else the first whole hour, two days or more away, that is 9 in the morning of a local weekday."""
     later = F.timestamp_add("DAY", F.lit(2), utc_now)
-    start = F.make_timestamp_ntz(
+    earliest = F.make_timestamp_ntz(
         F.year(later), F.month(later), F.day(later), F.hour(later), F.lit(0), F.lit(0)
     )
-    hours = F.transform(F.sequence(F.lit(0), F.lit(24 * 9 - 1)), lambda h: F.timestamp_add("HOUR", h, start))
 
-    def suits(moment: Column) -> Column:
-        local = local_time(moment, zone)
-        return (F.hour(local) == 9) & ~F.dayofweek(local).isin(1, 7)
-
-    return F.coalesce(given_utc, F.get(F.filter(hours, suits), F.lit(0)))
+    def nine(day: Column) -> Column:
+        moment = F.convert_timezone(
+            F.lit(zone), F.lit("UTC"), F.timestamp_add("HOUR", F.lit(9), day.cast("timestamp_ntz"))
+        )
+        # A zone off the whole hour reaches its first whole UTC hour later.
+        return F.timestamp_add("MINUTE", F.pmod(-F.minute(moment), F.lit(60)), moment)
+
+    # From any day a weekday morning is at most three days off.
+    days = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.date_add(local_date(earliest, zone), i))
+    weekdays = F.filter(days, lambda day: ~F.dayofweek(day).isin(1, 7))
+    moments = F.filter(F.transform(weekdays, nine), lambda moment: moment >= earliest)
+    return F.coalesce(given_utc, F.get(moments, F.lit(0)))
 
 
 def run_id_candidates(utc_now: Column, zone: str = ZONE) -> Column:

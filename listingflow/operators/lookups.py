@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import route_key
 from ..functions.numbers import round_half_up
 from ..functions.patterns import first_group, trimmed
+from ..functions.skew import scattered
 from ..functions.text import building_address, house_number_of, number_key, postcode_of, street_matches, street_of
 from ..sources.caches import LICENSED_SOURCE, position_expired
 
@@ -49,7 +50,9 @@ def look_up_positions(queries: DataFrame, positions: DataFrame, now_ms: Column,
         found = found.join(fresh, "key", "left").select(
             "key", F.when(F.col("cached"), hit).otherwise(F.col("fresh")).alias("p")
         ).select("key", "p.*")
-    return asked.join(found, "key", "left")
+    # Blank queries have no key: scattered, so they do not meet in one task.
+    spread = asked.withColumn("_key", scattered(F.col("key"), *queries.columns))
+    return spread.join(found.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
 
 
 def look_up_buildings(listings: DataFrame, positions: DataFrame, now_ms: Column) -> DataFrame:
@@ -94,7 +97,9 @@ def look_up_routes(keyed: DataFrame, routes: DataFrame) -> DataFrame:
             round_half_up(F.col("minutes"), 1).alias("minutes"), round_half_up(F.col("km"), 2).alias("km")
         ).alias("travel"),
     )
-    return keyed.join(wanted.join(measured, "route_key"), "route_key", "left")
+    found = wanted.join(measured, "route_key").withColumnRenamed("route_key", "_key")
+    spread = keyed.withColumn("_key", scattered(F.col("route_key"), "listing_id"))
+    return spread.join(found, "_key", "left").drop("_key")
 
 
 def missing_routes(keyed: DataFrame, routes: DataFrame) -> DataFrame:

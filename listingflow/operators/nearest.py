@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..config import POI_KINDS, Walking
 from ..functions.geo import EARTH_RADIUS_M, haversine_m, walk_minutes
 from ..functions.numbers import whole
+from ..functions.skew import scatter_slot
 
 SOURCE = "overpass+detour"  # fixed value: names the method in published rows
 CELL_DEGREES = 0.05  # fixed value: request grid
@@ -176,8 +177,10 @@ def walkability(listings: DataFrame, pois: DataFrame, walking: Walking) -> DataF
             for kind in POI_KINDS
         ]
     )
-    joined = listings.select("listing_id", "lat", "lon").join(best, ["lat", "lon"], "left")
     located = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    # Listings without a position match nothing; a third join column keeps them from meeting in one task.
+    rows = listings.select("listing_id", "lat", "lon", scatter_slot(located, "listing_id").alias("_slot"))
+    joined = rows.join(best.withColumn("_slot", F.lit(0).cast("bigint")), ["lat", "lon", "_slot"], "left")
 
     def block(kind: str) -> Column:
         hit = F.col(kind)
