@@ -26,7 +26,9 @@ CELL_DEGREES = 0.05  # fixed value: request grid
 METRES_PER_DEGREE = 111_000  # fixed value: request margin
 
 # Cells per radius at each level: coarse for the first join, finer for the pruning that follows.
-LEVELS = (1, 4, 16)
+LEVELS = (2, 8)
+FINEST = 512  # a couple of metres for a walking radius
+CROWDED = 256  # distinct POI positions of one kind in one finest cell
 _SLACK_M = 0.01  # metres of room for floating-point noise in the bounds
 
 
@@ -77,6 +79,23 @@ def _prune(pairs: DataFrame, height: float, radius_m: float, group: list[str]) -
     )
 
 
+def levels_for(pois: DataFrame, radius_m: float, group: list[str]) -> tuple[int, ...]:
+    """Grid levels for these POIs: finer ones are added while the busiest cell holds too many positions.
+
+    A point meets the POIs of a bounded number of finest cells, so this keeps the pairs in proportion
+    to the points however tightly the POIs cluster. One aggregate is measured; only its maximum
+    comes back to the driver.
+    """
+    height = _row_height(radius_m, LEVELS[-1])
+    cells = pois.select(*group, "lat", "lon").distinct().groupBy(*group, *_cell(F.col("lat"), F.col("lon"), height)).count()
+    busiest = cells.agg(F.max("count")).first()[0] or 0
+    levels = list(LEVELS)
+    while busiest > CROWDED and levels[-1] < FINEST:
+        levels.append(levels[-1] * 4)
+        busiest /= 16
+    return tuple(levels)
+
+
 def nearest_within(points: DataFrame, pois: DataFrame, radius_m: float, group: list[str],
                    levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """``lat, lon`` of each distinct point with, per ``group``, the nearest POI: ``distance_m, poi_id, poi``.
@@ -141,13 +160,18 @@ def _split(pairs: DataFrame, a: DataFrame, b: DataFrame, height: float, factor:
     return split.select(*group, *[F.col(n + "_").alias(n) for n in ("ay", "ax", "by", "bx")])
 
 
+KINDS = ["kind", "is_major_chain"]
+
+
+def _nearest_named(listings: DataFrame, pois: DataFrame, radius_m: float) -> DataFrame:
+    sites = pois.select("lat", "lon", *KINDS, F.col("osm_id").alias("poi_id"))
+    found = nearest_within(listings, sites, radius_m, KINDS, levels_for(sites, radius_m, KINDS))
+    return found.join(pois.select(F.col("osm_id").alias("poi_id"), "name"), "poi_id")
+
+
 def nearest_pois(listings: DataFrame, pois: DataFrame, radius_m: float) -> DataFrame:
     """``listing_id, kind, is_major_chain, distance_m, osm_id, name``: nearest per kind, chains apart."""
-    found = nearest_within(
-        listings, pois.select("lat", "lon", "kind", "is_major_chain", F.col("osm_id").alias("poi_id")), radius_m,
-        ["kind", "is_major_chain"],
-    )
-    named = found.join(pois.select(F.col("osm_id").alias("poi_id"), "name"), "poi_id")
+    named = _nearest_named(listings, pois, radius_m)
     return listings.select("listing_id", "lat", "lon").join(named, ["lat", "lon"]).select(
         "listing_id", "kind", "is_major_chain", "distance_m", F.col("poi_id").alias("osm_id"), "name"
     )
@@ -159,11 +183,7 @@ def walkability(listings: DataFrame, pois: DataFrame, walking: Walking) -> DataF
     A supermarket chain in range beats a nearer corner store. Nothing in range is ``none_found``, a
     listing without a position is ``unavailable``.
     """
-    found = nearest_within(
-        listings, pois.select("lat", "lon", "kind", "is_major_chain", F.col("osm_id").alias("poi_id")),
-        walking.poi_radius_m, ["kind", "is_major_chain"],
-    )
-    named = found.join(pois.select(F.col("osm_id").alias("poi_id"), "name"), "poi_id")
+    named = _nearest_named(listings, pois, walking.poi_radius_m)
     # At most two rows per kind and position.
     rank = F.struct(
         F.when(F.col("kind") == "supermarket", ~F.col("is_major_chain")).otherwise(F.lit(False)),

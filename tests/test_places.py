@@ -79,6 +79,18 @@ def test_nearest_equals_brute_force(spark, base, spread):
     assert N.nearest_pois(rows, spark.createDataFrame(pois, POI), 1200).count() == 3 * len(want)
 
 
+def test_crowded_cells_get_finer_levels(spark):
+    rng = random.Random(9)
+    crowd = [(f"n{i:05d}", "cafe", "x", HOME[0] + rng.uniform(0, 1e-4), HOME[1] + rng.uniform(0, 1e-4), False) for i in range(1500)]
+    frame = spark.createDataFrame(crowd, POI).withColumn("poi_id", F.col("osm_id"))
+    levels = N.levels_for(frame, 1200, ["kind", "is_major_chain"])
+    assert levels == (2, 8, 32) and N.levels_for(frame.limit(3), 1200, ["kind"]) == N.LEVELS
+    points = [(HOME[0] + rng.uniform(-1e-3, 1e-3), HOME[1] + rng.uniform(-1e-3, 1e-3)) for _ in range(40)]
+    got = {(r.lat, r.lon): r.distance_m for r in N.nearest_within(spark.createDataFrame(points, "lat DOUBLE, lon DOUBLE"), frame, 1200, ["kind", "is_major_chain"], levels).collect()}
+    want = {k[:2]: v[0] for k, v in brute(points, crowd, 1200).items()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
 def at(north, kind, name, chain=False):
     return (f"node/{name}", kind, name, HOME[0] + north / 111_000, HOME[1], chain)
 
