@@ -141,6 +141,12 @@ def envelope_by_km(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("canonical", round_half_up(F.col("km"), 2).alias("km"))
 
 
+def envelope_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifteen nearest places of the envelope."""
+    kept = P.envelope(places_with_minutes(spark, sf_dir), -33.8675, 151.2045, "office:transit", 45, keep_unmeasured_km=12)
+    return kept.limit(15).select("canonical", "minutes")
+
+
 def enumerated_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers' nations as suggestions: many duplicates, some of the wrong kind or postcode."""
     s = table(spark, sf_dir, "supplier").join(view(spark, sf_dir, "v_place"), F.col("s_nationkey") == F.col("nationkey"))
@@ -171,7 +177,7 @@ QUERIES = {
     "nearest_poi": nearest_poi, "walkability": walkability, "grid_cells": grid_cells, "poi_admission": poi_admission,
     "distinct_pois": distinct_pois, "observed_rents": observed_rents, "part_medians": part_medians,
     "place_suburbs": place_suburbs, "new_suburbs": new_suburbs, "centroid_corrections": centroid_corrections,
-    "envelope": envelope, "envelope_by_km": envelope_by_km, "enumerated_places": enumerated_places,
+    "envelope": envelope, "envelope_by_km": envelope_by_km, "envelope_nearest": envelope_nearest, "enumerated_places": enumerated_places,
     "postcode_gaps": postcode_gaps, "repeated_suburb_keys": repeated_keys,
 }
 
@@ -235,6 +241,10 @@ ORACLES = {
     ),
     "envelope": with_views(["v_place"], f"with d as (select *, {_KM} as km from v_place) select canonical, kind, transit_minutes as minutes, {rnd('km', 2)} as km from d where case when transit_minutes is null then km <= 12 else transit_minutes <= 45 end"),
     "envelope_by_km": with_views(["v_place"], f"with d as (select *, {_KM} as km from v_place) select canonical, {rnd('km', 2)} as km from d where km <= 10"),
+    "envelope_nearest": with_views(
+        ["v_place"],
+        f"with d as (select *, {_KM} as km from v_place) select canonical, transit_minutes as minutes from d where case when transit_minutes is null then km <= 12 else transit_minutes <= 45 end order by transit_minutes nulls last, km limit 15",
+    ),
     "enumerated_places": with_views(
         ["v_place"],
         """select canonical, arg_min(case when s_suppkey % 4 = 1 then 'precinct' else 'suburb' end, s_suppkey) as kind, postcode from supplier join v_place on s_nationkey = nationkey

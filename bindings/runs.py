@@ -9,7 +9,7 @@ from listingflow.config import FACTOR_KEYS, Envelope
 from listingflow.operators import quality as Q
 from listingflow.operators import reports as R
 from listingflow.operators import snapshots as D
-from listingflow.operators.searches import match_searches, resolve_locations
+from listingflow.operators.searches import match_searches, matched_counts, resolve_locations
 from listingflow.plans import build as B
 from listingflow.plans.entries import listing_entries
 from listingflow.plans.replay import replay
@@ -91,6 +91,12 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.run_summary(matched, view(spark, sf_dir, "v_ledger").filter("status = 'leased'"))
 
 
+def replay_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches decided again, for the searches the run asked only."""
+    asked = [s for s in SEARCHES if s.mode == "walk"]
+    return matched_counts(match_searches(entries(spark, sf_dir), asked, travel="captured_travel"), asked)
+
+
 def outcome_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.outcome_tally(entries(spark, sf_dir))
 
@@ -288,7 +294,7 @@ def run_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "listing_entries": listing_entry_rows, "run_summary": run_summary, "outcome_tally": outcome_tally, "replay_diff": replay_diff,
+    "listing_entries": listing_entry_rows, "run_summary": run_summary, "replay_matches": replay_matches, "outcome_tally": outcome_tally, "replay_diff": replay_diff,
     "replay_left": replay_left, "replay_guards": replay_guards, "replay_drift": replay_drift, "build_listings": build_listings,
     "build_funnel": build_funnel, "build_outputs": build_outputs, "replay_of_build": replay_of_build, "violations": violations,
     "factor_key_faults": factor_key_faults, "run_warnings": run_warnings, "taken_runs": run_ids,
@@ -320,6 +326,11 @@ ORACLES = {
         select count(*) as total, count(*) filter (st = 'new') as new, count(*) filter (st = 'carried_over') as carried_over, count(*) filter (st = 'price_drop') as price_drops,
         count(*) filter (st = 'relisted') as relisted, (select count(*) from v_ledger where status = 'leased') as leased_since_last_run from pub""",
     ),
+    "replay_matches": with_views(
+        ["v_listing"],
+        f"with {MATCH_CTES}, asked as (select unnest(['walk-15', 'walk-30', 'walk-rule', 'home-10']) as search_id) select search_id, "
+        "(select count(*) from matched m where list_contains(string_split(m.matched_searches, ','), asked.search_id)) as matched from asked",
+    ),
     "outcome_tally": with_views(
         ["v_listing", "v_profile"],
         f"""{_TALLY}, t as (select 'confidence' as what, cast(confidence as varchar) as value from scored

@@ -260,6 +260,20 @@ def pass_locations(resolved: DataFrame) -> DataFrame:
              F.col("first.location_pos").alias("location_pos"))
 
 
+def _hits(matched: DataFrame) -> DataFrame:
+    # Outer: an inner explode would evaluate all predicates once more in a filter below it.
+    hits = matched.select(F.explode_outer("matched_searches").alias("search_id")).filter("search_id is not null")
+    return hits.groupBy("search_id").agg(F.count("*").alias("matched"))
+
+
+def matched_counts(matched: DataFrame, searches: Sequence[SavedSearch]) -> DataFrame:
+    """``search_id, matched`` of every search given, zero included."""
+    config = searches_frame(matched.sparkSession, searches).select("search_id")
+    return config.join(_hits(matched), "search_id", "left").select(
+        "search_id", F.coalesce("matched", F.lit(0).cast("bigint")).alias("matched")
+    )
+
+
 def search_results(matched: DataFrame, searches: Sequence[SavedSearch], group_totals: DataFrame, resolved: DataFrame,
                    searched: DataFrame | None = None) -> DataFrame:
     """One row per covered search, zero matches included.
@@ -268,9 +282,7 @@ def search_results(matched: DataFrame, searches: Sequence[SavedSearch], group_to
     meaning all of them.
     """
     config = searches_frame(matched.sparkSession, searches)
-    # Outer: an inner explode would evaluate all predicates once more in a filter below it.
-    hits = matched.select(F.explode_outer("matched_searches").alias("search_id")).filter("search_id is not null")
-    counts = hits.groupBy("search_id").agg(F.count("*").alias("matched"))
+    counts = _hits(matched)
     asked = resolved.groupBy("search_id").agg(F.count("*").alias("wanted"))
     if searched is None:
         coverage = asked.withColumn("queried", F.col("wanted"))

@@ -84,15 +84,18 @@ def drift(after: DataFrame, ledger: DataFrame) -> DataFrame:
     ).select("listing_id", "d.fact", "d.recorded", "d.rebuilt")
 
 
-def run_summary(listings: DataFrame, gone: DataFrame) -> DataFrame:
-    """One row of counts by state; ``gone``: listings that left the market since the last run."""
+def state_counts(listings: DataFrame) -> DataFrame:
+    """One row of counts by state."""
 
     def of(state: str):
         return F.count_if(F.col("listing_state") == state)
 
-    counts = listings.agg(
+    return listings.agg(
         F.count("*").alias("total"), of("new").alias("new"), of("carried_over").alias("carried_over"),
         of("price_drop").alias("price_drops"), of("relisted").alias("relisted"),
     )
-    left = gone.agg(F.count("*")).scalar()
-    return counts.withColumn("leased_since_last_run", left)
+
+
+def run_summary(listings: DataFrame, gone: DataFrame) -> DataFrame:
+    """One row of counts by state; ``gone``: listings that left the market since the last run."""
+    return state_counts(listings).withColumn("leased_since_last_run", gone.agg(F.count("*")).scalar())

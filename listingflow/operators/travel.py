@@ -76,6 +76,18 @@ def mislabelled_walks(walks: DataFrame, ferries: DataFrame, pair: list[str]) ->
     )
 
 
+def ledger_mislabelled(evidence: DataFrame, column: str = "mislabelled") -> Column:
+    """A router's finding in the ledger's spelling; a finding already spelled that way stays as it is."""
+    spelled = {"implied_kmh": "impliedKmh", "threshold_kmh": "thresholdKmh", "ferry_available": "ferryAvailable"}
+    present = set(evidence.schema[column].dataType.names)
+    found = F.col(column)
+
+    def either(name: str) -> Column:
+        return F.coalesce(*[found[n] for n in (name, spelled[name]) if n in present]).alias(name)
+
+    return F.when(found.isNotNull(), F.struct(found["actually"].alias("actually"), *[either(n) for n in spelled]))
+
+
 def precision_seen(legs: DataFrame) -> DataFrame:
     """First precision recorded for a listing, in run order then key order: ``listing_id, precision``."""
     return legs.groupBy("listing_id").agg(F.min_by("precision", F.struct("run_pos", "key_pos")).alias("precision"))

@@ -103,8 +103,7 @@ def build(rows: DataFrame, rejections: DataFrame, passes: Collection[str], verdi
     wanted = listings.filter(~excluded_by_every_search(asked, early))
     photos = photo_plan(wanted.select("listing_id", "image_urls").join(known, "listing_id"))
     gone = folded.filter("absent_status is not null and absent_status <> 'unmatched'")
-    carried = F.array(*[F.lit(n) for n in carried_notes]) if carried_notes else F.array().cast("array<string>")
-    notes = missing_enrichment(published).select(F.explode(run_notes(F.col("note"), carried)).alias("note"))
+    notes = note_rows(published, carried_notes)
     counted = rows.groupBy("listing_id").agg(F.count("*").alias("rows"))
     funnel = C.funnel(
         normal.join(counted, "listing_id").join(
@@ -127,6 +126,12 @@ def build(rows: DataFrame, rejections: DataFrame, passes: Collection[str], verdi
     )
 
 
+def note_rows(listings: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """The run's notes, one per row: the one about missing enrichment is derived anew, the rest are carried."""
+    kept = F.array(*[F.lit(n) for n in carried]) if carried else F.array().cast("array<string>")
+    return missing_enrichment(listings).select(F.explode(run_notes(F.col("note"), kept)).alias("note"))
+
+
 def with_observed(profiles: DataFrame, medians: DataFrame) -> DataFrame:
     """Profiles with this run's observed medians; a suburb the capture missed keeps what it had."""
     fresh = medians.select("suburb_key", F.col("median_pw_by_beds").alias("_fresh"))

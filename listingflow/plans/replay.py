@@ -12,9 +12,9 @@ from ..config import SavedSearch, Scoring
 from ..operators import snapshots as D
 from ..operators.normalise import normalise, usable, with_keyword_hit
 from ..operators.capture import unique_listings
-from ..operators.searches import match_searches
+from ..operators.searches import match_searches, matched_counts
 from ..session import cut_lineage
-from .build import SOURCE_FACTS
+from .build import SOURCE_FACTS, note_rows
 from .entries import listing_entries
 
 
@@ -25,6 +25,9 @@ class Replay:
     left: DataFrame
     violations: DataFrame  # must be empty
     drift: DataFrame  # must be empty
+    matched: DataFrame  # search_id, matched: for the searches the run asked
+    summary: DataFrame  # counts by state; who left the market stays what the run recorded
+    notes: DataFrame
 
 
 def carried_history(published: DataFrame) -> DataFrame:
@@ -37,7 +40,8 @@ def carried_history(published: DataFrame) -> DataFrame:
 
 
 def replay(rows: DataFrame, published: DataFrame, ledger: DataFrame, profiles: DataFrame, scoring: Scoring,
-           keywords: Sequence[str], asked: Sequence[SavedSearch], url_base: str, travel_source: str) -> Replay:
+           keywords: Sequence[str], asked: Sequence[SavedSearch], url_base: str, travel_source: str,
+           carried_notes: Sequence[str] = ()) -> Replay:
     """``rows``: flat capture rows. ``scoring`` and ``asked`` come from the run's snapshots: searches it
     never asked may not gain matches. The ledger is read, never written."""
     listings = usable(normalise(with_keyword_hit(unique_listings(rows, SOURCE_FACTS), list(keywords)), url_base))
@@ -56,4 +60,7 @@ def replay(rows: DataFrame, published: DataFrame, ledger: DataFrame, profiles: D
         left=D.left_run(published, rebuilt),
         violations=D.guard_violations(published, rebuilt, history),
         drift=D.drift(rebuilt, ledger),
+        matched=matched_counts(rebuilt, asked),
+        summary=D.state_counts(rebuilt),
+        notes=note_rows(rebuilt, carried_notes),
     )

@@ -158,10 +158,12 @@ def detail_rows(payloads: DataFrame, page_key: str) -> DataFrame:
         F.struct(
             F.coalesce(_json(wrapped), _json(loose)).alias("item"),
             F.when(wrapped.isNotNull(), related).alias("related_ids"),
+            F.when(wrapped.isNotNull(), _json(_member(F.col("payload"), "$.details.recentSales", "variant"))).alias("recent_sales"),
+            F.when(wrapped.isNotNull(), _json(_member(F.col("payload"), "$.details.marketInsights", "variant"))).alias("market_insights"),
         ).alias("node"),
     ).filter("node.item is not null")
     return _first_payload(found, page_key, "node").select(
-        page_key, _typed(F.col("node.item")).alias("item"), "node.related_ids"
+        page_key, _typed(F.col("node.item")).alias("item"), "node.related_ids", "node.recent_sales", "node.market_insights"
     )
 
 

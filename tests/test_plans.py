@@ -67,6 +67,8 @@ def test_two_runs_and_a_replay(spark, tmp_path):
 
     again = replay(rows, second.listings, second.ledger, B.with_observed(state.profiles, second.observed), SCORING, ["room"],
                    B.covered(SEARCHES, ["office:walk"]), "https://x/", "router")
+    assert [(r.search_id, r.matched) for r in again.matched.collect()] == [("walk-15", 2)]
+    assert tuple(again.summary.first()) == (2, 0, 0, 2, 0) and again.notes.count() == 1
     for part in (again.changes, again.left, again.violations, again.drift):
         assert part.count() == 0
     assert again.listings.drop("travel", "captured_travel").exceptAll(second.listings.drop("travel", "captured_travel")).count() == 0

@@ -72,6 +72,13 @@ def test_two_signals(spark, kmh, ferry, flagged):
     assert Q.flag_checks(row.withColumn("flagged", ~F.col("flagged"))).count() == 1
 
 
+def test_findings_are_spelled_once(spark):
+    camel = spark.createDataFrame([(("ferry", 6.5, 4.85, True),), (None,)], "mislabelled STRUCT<actually: STRING, impliedKmh: DOUBLE, thresholdKmh: DOUBLE, ferryAvailable: BOOLEAN>")
+    once = camel.select(V.ledger_mislabelled(camel).alias("mislabelled"))
+    twice = once.select(V.ledger_mislabelled(once).alias("mislabelled"))
+    assert once.collect() == twice.collect() and once.first().mislabelled.implied_kmh == 6.5 and once.filter("mislabelled is null").count() == 1
+
+
 def test_better_evidence_wins(spark):
     leg = "STRUCT<minutes: DOUBLE, composition: STRING, mislabelled: STRING>"
     df = spark.createDataFrame(
