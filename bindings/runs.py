@@ -13,7 +13,7 @@ from listingflow.operators.searches import match_searches, matched_counts, resol
 from listingflow.plans import build as B
 from listingflow.plans.entries import listing_entries
 from listingflow.plans.replay import replay
-from listingflow.schemas import CACHED_TRAVEL, LEDGER, PROFILE, REJECTED, WALKABILITY
+from listingflow.schemas import CACHED_TRAVEL, LEDGER, PROFILE, REJECTED
 
 from . import ledgers  # noqa: F401  (defines v_ledger)
 from .captures import capture_rows
@@ -21,7 +21,7 @@ from .scoring import FULL_FLAGS_SQL, SCORED_CTES, listings, profiles
 from .searching import MATCH_CTES, envelope
 from .settings import SCORING, SEARCHES, TRAVEL_SOURCE
 from .sqltext import joined
-from .views import VIEWS, table, view, with_views
+from .views import VIEWS, view, with_views
 
 CREATED = "2024-02-01T00:00:00Z"
 
@@ -29,7 +29,7 @@ CREATED = "2024-02-01T00:00:00Z"
 def entry_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``v_listing`` with history and a cached walk: measured leg by leg for even customers."""
     leg = f"struct<{CACHED_TRAVEL}>"
-    composed = F.when(F.col("custkey") % 2 == 0, F.from_json(F.lit('{"source":"planner","ferry_available":false}'), leg_field("composition")))
+    composed = F.when(F.col("custkey") % 2 == 0, F.from_json(F.lit('{"source":"planner","ferry_available":false}'), leg_type("composition")))
     cached = F.when(
         F.col("drive_minutes").isNotNull(),
         F.create_map(
@@ -66,10 +66,6 @@ def leg_type(name: str) -> str:
     return f"struct<{COMPOSITION if name == 'composition' else MISLABELLED}>"
 
 
-def leg_field(name: str) -> str:
-    return leg_type(name)
-
-
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing_entries(entry_inputs(spark, sf_dir), profiles(spark, sf_dir), SCORING, TRAVEL_SOURCE)
 

@@ -1,6 +1,3 @@
-import json
-
-import pytest
 from pyspark.sql import functions as F
 
 from bindings.settings import SCORING
