@@ -34,14 +34,14 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def text_slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20, most_rows: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Cut Arrow batches into slices of about ``most_bytes`` of text (one row at least); the column ``text`` as
     strings, null as empty. A slice bounds what a task holds decoded at once, however long the texts are."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
         start, size = 0, 0
         for row, length in enumerate(lengths):
-            if row > start and size + length > most_bytes:
+            if row > start and (size + length > most_bytes or row - start >= most_rows):
                 part = batch.slice(start, row - start)
                 yield part, [text or "" for text in part.column("text").to_pylist()]
                 start, size = row, 0

@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from listingflow.llm.common import load_tokenizer, text_slices, tokenizer_path
@@ -27,8 +28,12 @@ PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\
 #: Cells (documents) of partial sums that a task holds before it passes them on.
 HELD_CELLS = 2_000_000
 
-POSTINGS = pa.schema([("token", pa.string()), ("block", pa.int64()), ("docs", pa.binary()), ("freqs", pa.binary()), ("size", pa.int32())])
-POSTINGS_SQL = "token string, block long, docs binary, freqs binary, size int"
+#: A block's number ends in its number of documents; documents inside a block have 16-bit numbers.
+SIZE_BITS = 16
+POSTINGS = pa.schema([("token", pa.string()), ("block", pa.int64()), ("docs", pa.binary()), ("freqs", pa.binary())])
+POSTINGS_SQL = "token string, block long, docs binary, freqs binary"
+#: Blocks stand under this in place of a pre-token when a row lists their documents.
+NO_TOKEN = "\x00documents of "
 
 
 @lru_cache(maxsize=1)
@@ -56,38 +61,50 @@ def pre_tokens(text: str, special) -> list[str]:
     return out
 
 
+def _binary(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Runs of 16-bit numbers as one binary value per run."""
+    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * 2
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(values.astype("<u2").tobytes())])
+
+
+def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The inverse of :func:`_binary`: all numbers, and how many each row has."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    return (np.frombuffer(data, "<u2")[ends[0] // 2 : ends[-1] // 2] if data else np.zeros(0, "<u2")), np.diff(ends) // 2
+
+
 def _postings(path: str):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         special, number = special_pattern(load_tokenizer(path)), 0
         task = TaskContext.get().partitionId()
-        for part, texts in text_slices(batches):
+        for part, texts in text_slices(batches, most_rows=(1 << SIZE_BITS) - 1):
             known: dict[str, int] = defaultdict(lambda: len(known))
-            owners, found = [], []
-            for text in texts:
-                ids = np.fromiter(map(known.__getitem__, pre_tokens(text, special)), np.int64)
-                found.append(ids)
-                owners.append(len(ids))
-            block, number = (task << 33) + number, number + 1
-            sizes = np.array([len(t.encode("utf-8", "replace")) for t in texts], np.int64)
+            found = [np.fromiter(map(known.__getitem__, pre_tokens(text, special)), np.int64) for text in texts]
+            block, number = (((task << 24) + number) << SIZE_BITS) + len(texts), number + 1
             # The block's documents travel as one more row, dealt by a key of its own.
-            meta_ids = part.column("doc_id").cast(pa.int64()).to_pylist()
-            ids_bytes = np.array([i or 0 for i in meta_ids], np.int64).tobytes()
-            nulls = np.array([i is None for i in meta_ids], np.int64).tobytes()
-            rows = pa.array([f"documents of {block}"]), pa.array([block]), pa.array([ids_bytes + nulls], pa.binary()), pa.array([sizes.tobytes()], pa.binary()), pa.array([-len(texts)], pa.int32())
-            yield pa.RecordBatch.from_arrays(list(rows), schema=POSTINGS)
+            ids = part.column("doc_id").cast(pa.int64())
+            listed = np.stack([ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), [len(t.encode()) for t in texts]]).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([f"{NO_TOKEN}{block}"]), pa.array([block]), pa.array([listed], pa.binary()), pa.array([b""], pa.binary())], schema=POSTINGS)
             if not known:
                 continue
-            cell = np.concatenate(found) * len(texts) + np.repeat(np.arange(len(texts)), owners)
+            cell = np.concatenate(found) * len(texts) + np.repeat(np.arange(len(texts)), [len(f) for f in found])
             cell, freq = np.unique(cell, return_counts=True)
+            if freq.max() > 65535:  # too often for one posting: several
+                times = -(-freq // 65535)
+                last = np.cumsum(times) - 1
+                cell, rest = np.repeat(cell, times), freq - (times - 1) * 65535
+                freq = np.full(len(cell), 65535)
+                freq[last] = rest
             token, doc = np.divmod(cell, len(texts))
-            ends = np.searchsorted(token, np.arange(len(known)), "right").astype(np.int32)
-            wide = pa.Array.from_buffers
-            starts = np.concatenate([[0], ends]).astype(np.int32)
-            docs_column = wide(pa.binary(), len(known), [None, pa.py_buffer(starts * 4), pa.py_buffer(doc.astype("<u4").tobytes())])
-            freq_column = wide(pa.binary(), len(known), [None, pa.py_buffer(starts * 4), pa.py_buffer(freq.astype("<u4").tobytes())])
-            whole = pa.RecordBatch.from_arrays([pa.array(list(known)), pa.array(np.full(len(known), block)), docs_column, freq_column, pa.array(np.full(len(known), len(texts), np.int32))], schema=POSTINGS)
+            per_token = np.bincount(token, minlength=len(known))
+            # Frequencies are left out where all of a token's are one.
+            often = np.bincount(token, freq > 1, len(known)) > 0
+            whole = pa.RecordBatch.from_arrays(
+                [pa.array(list(known)), pa.array(np.full(len(known), block)), _binary(doc, per_token), _binary(freq[often[token]], per_token * often)], schema=POSTINGS
+            )
             for at in range(0, whole.num_rows, 20_000):
                 yield whole.slice(at, 20_000)
 
@@ -96,42 +113,57 @@ def _postings(path: str):
 
 def _partial_sums(path: str):
     """Postings sorted by token -> (block, sums of pieces by document), and the documents of each block."""
-    schema = pa.schema([("block", pa.int64()), ("sums", pa.binary()), ("ids", pa.binary()), ("bytes", pa.binary())])
+    schema = pa.schema([("block", pa.int64()), ("sums", pa.binary()), ("listed", pa.binary())])
 
-    def flush(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if held:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(held)), pa.array([v.tobytes() for v in held.values()], pa.binary()), pa.nulls(len(held), pa.binary()), pa.nulls(len(held), pa.binary())], schema=schema
-            )
+    def flush(bases: dict[int, int], held: np.ndarray) -> Iterator[pa.RecordBatch]:
+        sums = [held[at : at + (block & ((1 << SIZE_BITS) - 1))].tobytes() for block, at in bases.items()]
+        for k in range(0, len(sums), 512):
+            part = sums[k : k + 512]
+            yield pa.RecordBatch.from_arrays([pa.array(list(bases)[k : k + 512], pa.int64()), pa.array(part, pa.binary()), pa.nulls(len(part), pa.binary())], schema=schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_tokenizer(path)
-        model = tokenizer.model
+        model, letters = tokenizer.model, byte_letters()
         special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
-        mapping = byte_letters()
-        held: dict[int, np.ndarray] = {}
-        cells, last, pieces = 0, None, 0
+        bases: dict[int, int] = {}
+        held, cells, last, pieces = np.zeros(1 << 16, np.int64), 0, None, 0
         for batch in batches:
-            tokens, blocks, sizes = batch.column("token").to_pylist(), batch.column("block").to_pylist(), batch.column("size").to_pylist()
-            docs, freqs = batch.column("docs"), batch.column("freqs")
-            for k, token in enumerate(tokens):
-                if sizes[k] < 0:
-                    yield pa.RecordBatch.from_arrays([pa.array([blocks[k]]), pa.nulls(1, pa.binary()), docs.slice(k, 1), freqs.slice(k, 1)], schema=schema)
-                    continue
+            tokens = batch.column("token")
+            listed = pc.starts_with(tokens, NO_TOKEN).to_numpy(zero_copy_only=False)
+            if listed.any():
+                rows = batch.filter(pa.array(listed))
+                yield pa.RecordBatch.from_arrays([rows.column("block"), pa.nulls(len(rows), pa.binary()), rows.column("docs")], schema=schema)
+                batch = batch.filter(pa.array(~listed))
+                tokens = batch.column("token")
+            if not batch.num_rows:
+                continue
+            # Count a token at the head of its run; rows of the run share the count.
+            head = np.ones(len(tokens), bool)
+            head[1:] = pc.not_equal(tokens.slice(1), tokens.slice(0, len(tokens) - 1)).to_numpy(zero_copy_only=False)
+            counted = []
+            for token in tokens.filter(pa.array(head)).to_pylist():
                 if token != last:
-                    last, pieces = token, 1 if token in special else len(model.tokenize(token.encode().decode("latin-1").translate(mapping)))
-                sums = held.get(blocks[k])
-                if sums is None:
-                    sums = held[blocks[k]] = np.zeros(sizes[k], np.int64)
-                    cells += sizes[k]
-                doc = np.frombuffer(docs[k].as_buffer(), "<u4")
-                sums[doc] += np.frombuffer(freqs[k].as_buffer(), "<u4") * np.int64(pieces)
+                    last, pieces = token, 1 if token in special else len(model.tokenize(token.encode().decode("latin-1").translate(letters)))
+                counted.append(pieces)
+            blocks, of_block = np.unique(batch.column("block").to_numpy(), return_inverse=True)
+            for block in blocks.tolist():
+                if block not in bases:
+                    bases[block], cells = cells, cells + (block & ((1 << SIZE_BITS) - 1))
+            if cells > len(held):
+                held = np.concatenate([held, np.zeros(max(cells, 2 * len(held)) - len(held), np.int64)])
+            doc, n = _numbers(batch.column("docs"))
+            given, has = _numbers(batch.column("freqs"))
+            freq = np.ones(len(doc), np.int64)
+            freq[np.repeat(has > 0, n)] = given
+            base = np.array([bases[b] for b in blocks.tolist()], np.int64)[of_block]
+            np.add.at(held, np.repeat(base, n) + doc, freq * np.repeat(np.array(counted, np.int64)[np.cumsum(head) - 1], n))
             if cells > HELD_CELLS:
-                yield from flush(held)
-                held, cells = {}, 0
-        yield from flush(held)
+                yield from flush(bases, held)
+                bases, cells = {}, 0
+                held[:] = 0
+        yield from flush(bases, held)
 
-    return read, "block long, sums binary, ids binary, bytes binary"
+    return read, "block long, sums binary, listed binary"
 
 
 @lru_cache(maxsize=1)
@@ -143,28 +175,25 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-def _whole(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one block stand together: add its partial sums and give its documents."""
-    block, sums, meta = None, None, None
+    block, sums, listed = None, 0, None
 
-    def done():
-        n = len(meta[1]) // 8
-        ids = np.frombuffer(meta[0], np.int64)
-        total = sums if sums is not None else np.zeros(n, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(ids[:n], mask=ids[n:] > 0), pa.array(np.frombuffer(meta[1], np.int64)), pa.array(total)], ["doc_id", "n_bytes", "n_tokens"])
+    def done() -> pa.RecordBatch:
+        ids, null, size = np.frombuffer(listed, "<i8").reshape(3, -1)
+        return pa.RecordBatch.from_arrays([pa.array(ids, mask=null > 0), pa.array(size), pa.array(np.zeros(len(ids), np.int64) + sums)], ["doc_id", "n_bytes", "n_tokens"])
 
-    for batch in frames:
-        for b, s, i, n in zip(*(batch.column(c).to_pylist() for c in ("block", "sums", "ids", "bytes")), strict=True):
+    for batch in batches:
+        for b, s, documents in zip(*(batch.column(c).to_pylist() for c in ("block", "sums", "listed")), strict=True):
             if b != block:
-                if meta:
+                if listed is not None:
                     yield done()
-                block, sums, meta = b, None, None
-            if i is not None:
-                meta = (i, n)
+                block, sums, listed = b, 0, None
+            if documents is not None:
+                listed = documents
             else:
-                part = np.frombuffer(s, np.int64)
-                sums = part.copy() if sums is None else sums + part
-    if meta:
+                sums = sums + np.frombuffer(s, np.int64)
+    if listed is not None:
         yield done()
 
 
