@@ -36,7 +36,8 @@ def radix_groups(docs: DataFrame) -> DataFrame:
         keyed = live.select("*", lead.alias("lead"), ended.alias("ended"))
         shared = keyed.groupBy("group", "lead", "ended").agg(F.count("*").alias("n")).where("n > 1")
         shared = staged(shared.select("group", "lead", "ended", F.monotonically_increasing_id().alias("next")), f"radix-groups-{step}")
-        split = keyed.join(shared, ["group", "lead", "ended"], "left").select(
+        # The shared leads grow with the corpus: both sides are dealt by key, and Spark splits a hot key's side.
+        split = keyed.join(shared.hint("merge"), ["group", "lead", "ended"], "left").select(
             F.col("next").alias("group"), "doc_id", "text_sha256", (F.col("next").isNotNull() & ~F.col("ended")).alias("open"),
             F.when(F.col("next").isNotNull() & ~F.col("ended"), F.expr(f"substring(rest, {width + 1})")).alias("rest"),
             *([F.monotonically_increasing_id().alias("row")] if step == 0 else ["row"]),
@@ -57,7 +58,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     )
     many = found.where("group is not null")
     heads = many.groupBy("step", "group").agg(F.max(F.struct("doc_id", "row")).alias("head"), F.count("*").alias("group_size"))
-    grouped = many.join(heads, ["step", "group"]).select(
+    grouped = many.join(heads.hint("merge"), ["step", "group"]).select(
         "doc_id", F.col("head.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("head.row")).alias("kept"), "text_sha256"
     )
     return single.unionByName(grouped)
