@@ -13,6 +13,7 @@ rows and null ids are packed like any other; an empty table gives an empty resul
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,36 +25,56 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from listingflow.llm.codec import MEMO
+from listingflow.llm.codec import MEMO, plain_words
 from listingflow.llm.common import load_tokenizer, staged, text_slices, tokenizer_path
-from listingflow.llm.counts import SPACE
+from listingflow.llm.counts import SPACE, byte_letters
 
 CAPACITY, END = 2048, 0
 SALTS = 1024
 Pattern = tuple[int, ...]
 
 
+class RunIds(dict):
+    """Ids of runs between white space as little-endian 32-bit numbers, made by the tokenizer when first asked for. The
+    vocabulary drops white space, so a text's ids are those of its runs. Words are kept apart from the runs they stand
+    in (with a capital, with a mark), so that each is encoded once; both memos are bounded."""
+
+    def __init__(self, path: str):
+        self.tokenizer, self.words, self.letters = load_tokenizer(path), {}, byte_letters()
+
+    def word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) > MEMO:
+                self.words.clear()
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            ids = self.words[word] = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+        return ids
+
+    def __missing__(self, run: str) -> bytes:
+        words = plain_words(run)
+        if words:
+            ids = b"".join(map(self.word, words))
+        else:
+            ids = np.array(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self) > MEMO:
+            self.clear()
+        self[run] = ids
+        return ids
+
+
 @lru_cache(maxsize=2)
-def _memo(path: str) -> dict[str, bytes]:
-    return {}
+def run_ids(path: str) -> RunIds:
+    return RunIds(path)
+
 
+def token_bytes(text: str, path: str) -> bytes:
+    """Ids of a text as little-endian 32-bit numbers."""
+    runs = _RUNS(text) if _ODD_SPACE(text) else text.split()
+    return b"".join(map(run_ids(path).__getitem__, runs))
 
-def token_bytes(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian 32-bit numbers. The vocabulary drops white space, so runs between white space
-    are encoded once and put together."""
-    import re
 
-    tokenizer, memo = load_tokenizer(path), _memo(path)
-    if len(memo) > MEMO * 2:
-        memo.clear()
-    odd, runs_of = re.compile("[\x1c-\x1f]").search, re.compile(f"[^{SPACE}]+").findall
-    runs = [runs_of(t) if odd(t) else t.split() for t in texts]
-    new = list(set().union(*runs).difference(memo))
-    for at in range(0, len(new), 4096):
-        part = new[at : at + 4096]
-        for run, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            memo[run] = np.array(e.ids, "<u4").tobytes()
-    return [b"".join(map(memo.__getitem__, r)) for r in runs]
+_ODD_SPACE, _RUNS = re.compile("[\x1c-\x1f]").search, re.compile(f"[^{SPACE}]+").findall
 
 
 def pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int = CAPACITY) -> DataFrame:
@@ -64,8 +85,8 @@ def pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches, 4 << 20):
             row, piece, start, length, crc = [], [], [], [], []
-            for k, ids in enumerate(token_bytes(texts, path)):
-                ids += end
+            for k, text in enumerate(texts):
+                ids = token_bytes(text, path) + end
                 for n, at in enumerate(range(0, len(ids), step)):
                     chunk = ids[at : at + step]
                     row.append(k)
