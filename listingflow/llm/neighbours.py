@@ -34,9 +34,9 @@ class Settings:
 
     sample: int = 20_000
     branches: int = 8
-    leaf: int = 200
+    leaf: int = 1000
     trials: int = 256
-    recall: float = 0.98
+    recall: float = 0.95
     cell: int = 4096
     seed: int = 6
 
@@ -200,9 +200,11 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id"
         found: list[tuple[int, int, float]] = []
         if len(those) and len(these):
             wanted, values, ids = np.vstack(those["v"]), np.vstack(these["v"]), these["id"].to_numpy()
-            ready = unit(values)
-            for n, q in zip(those["id"], wanted, strict=True):
-                found += best(int(n), q, ids, values, ready @ unit(q[None])[0], k)
+            ready = unit(values).T
+            for at in range(0, len(wanted), 256):
+                part = wanted[at : at + 256]
+                for n, q, rough in zip(those["id"][at : at + 256], part, unit(part) @ ready, strict=True):
+                    found += best(int(n), q, ids, values, rough, k)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     cell = ["leaf", "r", "q"]
