@@ -23,7 +23,16 @@ from listingflow.llm.common import load_tokenizer, text_slices, tokenizer_path
 from listingflow.llm.counts import SPACE, byte_letters, special_pattern
 
 #: Entries a task's memos hold before they are emptied.
-MEMO = 200_000
+MEMO = 400_000
+
+
+def plain_words(run: str) -> list[str] | None:
+    """The normalised words of a run that is Latin letters and perhaps one mark after them; None for any other run.
+    These letters are composed already and lower-case one by one, so the normaliser has nothing else to do."""
+    core, mark = (run[:-1], run[-1:]) if run[-1] in ".,;:!?" else (run, "")
+    if not core.isalpha() or (not core.isascii() and (max(core) >= "\u0250" or "\u0130" in core)):
+        return None
+    return [core.lower(), mark] if mark else [core.lower()]
 
 
 class Codec:
@@ -48,20 +57,15 @@ class Codec:
         # Words end in the suffix; fragments before the last are encoded without it.
         self.last = self.tokenizer.model
         self.inner = BPE(vocab=self.vocab, merges=[tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]])
-        joined = {pair for token in self.vocab for pair in _pairs(token.removesuffix(self.suffix))}
-        self.joined = joined
+        bare = (token.removesuffix(self.suffix) for token in self.vocab)
+        self.joined = {pair for token in bare for pair in zip(token, token[1:])}
         self.memo: dict[str, tuple[str, str]] = {}
         self.fragments: dict[tuple[str, bool], tuple[str, str]] = {}
 
     def cuts(self, word: str) -> list[str]:
         """The fragments between forced boundaries."""
-        start, out = 0, []
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in self.joined:
-                out.append(word[start:i])
-                start = i
-        out.append(word[start:])
-        return out
+        marks = [i for i, pair in enumerate(zip(word, word[1:]), 1) if pair not in self.joined]
+        return [word[a:b] for a, b in zip([0, *marks], [*marks, len(word)])] if marks else [word]
 
     def _fragment(self, text: str, last: bool) -> tuple[str, str]:
         known = self.fragments.get((text, last))
@@ -80,7 +84,7 @@ class Codec:
                 ids.append(str(self.special_ids[piece]))
                 values.append(piece)
                 continue
-            for word in self.words(self.tokenizer.normalizer.normalize_str(piece)) if piece else ():
+            for word in (plain_words(piece) or self.words(self.tokenizer.normalizer.normalize_str(piece))) if piece else ():
                 fragments = self.cuts(word.encode().decode("latin-1").translate(self.letters))
                 for n, fragment in enumerate(fragments, 1):
                     a, b = self._fragment(fragment, n == len(fragments))
@@ -100,10 +104,6 @@ class Codec:
         return " ".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
 
 
-def _pairs(token: str) -> Iterator[str]:
-    return (token[i : i + 2] for i in range(len(token) - 1))
-
-
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
