@@ -198,7 +198,7 @@ def build_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the other outputs of a build."""
     run, _ = built(spark, sf_dir)
     parts = {
-        "ledger": run.ledger, "rejected": run.rejected, "suburbs": run.suburbs, "results": run.results, "notes": run.notes,
+        "ledger": run.ledger, "rejected": run.rejected, "suburbs": run.suburbs, "profiles": run.profiles, "results": run.results, "notes": run.notes,
         "problems": run.problems, "photos": run.photos,
     }
     frames = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("output"), "n") for name, df in parts.items()]
@@ -207,9 +207,9 @@ def build_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replay_of_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run rebuilt from its own capture must not move: all four counts are zero."""
-    run, empty_profiles = built(spark, sf_dir)
+    run, _ = built(spark, sf_dir)
     again = replay(
-        source_rows(spark, sf_dir), run.listings, run.ledger, B.with_observed(empty_profiles, run.observed), SCORING, ["7 Nation"],
+        source_rows(spark, sf_dir), run.listings, run.ledger, run.profiles, SCORING, ["7 Nation"],
         B.covered(SEARCHES, ["office:walk", "office:drive", "office:transit"]), "https://example.com/", TRAVEL_SOURCE,
     )
     parts = {"changes": again.changes, "left": again.left, "violations": again.violations, "drift": again.drift}

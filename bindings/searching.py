@@ -26,8 +26,8 @@ def match_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_searches_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The form used past the inline bound; must agree with the inline one."""
-    matched = Q._match_by_join(candidates(spark, sf_dir), SEARCHES, "travel")
+    """Searches kept as a table; must agree with searches in the plan."""
+    matched = Q.match_search_table(candidates(spark, sf_dir), Q.searches_frame(spark, SEARCHES))
     return matched.select("listing_id", F.array_join("matched_searches", ",").alias("matched_searches"))
 
 
@@ -67,9 +67,11 @@ def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     searched = view(spark, sf_dir, "supplier").join(
         view(spark, sf_dir, "v_place"), F.col("s_nationkey") == F.col("nationkey")
     ).filter("s_acctbal > 5000").select(F.col("canonical").alias("location"))
-    return Q.search_results(
-        matched, SEARCHES, group_totals(spark, sf_dir), resolve_locations(spark, sf_dir), searched
+    passes = {s.travel_key for s in SEARCHES}  # "home:walk" was asked and returned nothing
+    results = Q.search_results(
+        matched, SEARCHES, group_totals(spark, sf_dir), resolve_locations(spark, sf_dir), searched, passes
     )
+    return results.withColumn("locations_searched", F.array_join("locations_searched", ","))
 
 
 def excluded_by_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,12 +167,13 @@ ORACLES = {
         totals as (select travel_key, count(distinct listing_id) as considered from v_capture group by travel_key),
         searched as (select distinct canonical as location from v_place where nationkey in (select s_nationkey from supplier where s_acctbal > 5000))
         select search_id, label, case when queried < wanted then 'partial_coverage' else 'ok' end as status, matched, considered,
-          queried as locations_queried, wanted as locations_wanted from (
-        select c.search_id, c.label, t.considered,
+          queried as locations_queried, wanted as locations_wanted, coalesce(places, '') as locations_searched from (
+        select c.search_id, c.label, coalesce(t.considered, 0) as considered,
+          (select string_agg(r.location, ',' order by r.location_pos) from resolved r where r.search_id = c.search_id and r.location in (select location from searched)) as places,
           (select count(*) from matched m where list_contains(string_split(m.matched_searches, ','), c.search_id)) as matched,
           (select count(*) from resolved r where r.search_id = c.search_id) as wanted,
           (select count(*) from resolved r where r.search_id = c.search_id and r.location in (select location from searched)) as queried
-        from config c join totals t on c.travel_key = t.travel_key)""",
+        from config c left join totals t on c.travel_key = t.travel_key)""",
     ),
     "excluded_by_all": with_views(
         ["v_listing"],

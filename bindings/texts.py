@@ -106,9 +106,9 @@ def media_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def suburb_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = view(spark, sf_dir, "v_doc")
-    first = F.left(F.col("description"), F.lit(40))
-    return d.select("listing_id", X.suburb_key(first, F.lit("2000")).alias("suburb_key"), X.feature_key(first).alias("feature"),
-                    trimmed(first).alias("trimmed"))
+    text = F.col("description")
+    return d.select("listing_id", X.suburb_key(text, F.lit("2000")).alias("suburb_key"), X.feature_key(text).alias("feature"),
+                    trimmed(text).alias("trimmed"))
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,8 +214,8 @@ ORACLES = {
         '/images/listings/' || o_orderkey || '/0' || (o_orderkey % 3 + 1) || '.thumb.webp' as last_thumb, o_orderpriority || ', NSW ' || o_orderstatus || ', Australia' as locality from orders""",
     "suburb_keys": with_views(
         ["v_doc"],
-        """select listing_id, trim(regexp_replace(lower(trim(left(description, 40))), '[^a-z0-9]+', '-', 'g'), '-') || '-2000' as suburb_key,
-        trim(regexp_replace(lower(left(description, 40)), '[^a-z0-9]+', '_', 'g'), '_') as feature, regexp_replace(left(description, 40), '^\\s+|\\s+$', '', 'g') as trimmed from v_doc""",
+        """select listing_id, trim(regexp_replace(lower(trim(description)), '[^a-z0-9]+', '-', 'g'), '-') || '-2000' as suburb_key,
+        trim(regexp_replace(lower(description), '[^a-z0-9]+', '_', 'g'), '_') as feature, regexp_replace(description, '^\\s+|\\s+$', '', 'g') as trimmed from v_doc""",
     ),
     "extract_pages": with_views(
         ["v_page_payload"],

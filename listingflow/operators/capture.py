@@ -39,10 +39,11 @@ def unique_listings(rows: DataFrame, facts: list[str]) -> DataFrame:
 
 
 def group_totals(rows: DataFrame) -> DataFrame:
-    """Distinct listings per pass: ``travel_key, considered``."""
+    """Listings per pass: ``travel_key, considered``; distinct inside a capture group, groups of one pass add up."""
+    group = ["group_pos"] if "group_pos" in rows.columns else []
     return (
         rows.filter("travel_key is not null")
-        .select("travel_key", "listing_id").distinct()
+        .select(*group, "travel_key", "listing_id").distinct()
         .groupBy("travel_key").agg(F.count("*").alias("considered"))
     )
 

@@ -1,21 +1,20 @@
 """Saved searches: which listings they match, what they cover, how they are planned.
 
 A saved search is configuration, so its predicate is known when the plan is built. Matching is
-therefore a projection over the listings (no join, no shuffle, no hot ``origin:mode`` key). Past
-``INLINE_SEARCHES`` the expressions would outgrow a generated method, and matching becomes an
-equi-join on the travel key with both sides salted.
+therefore a projection over the listings (no join, no shuffle, no hot ``origin:mode`` key), however
+many searches there are. Searches kept as a table are matched by an equi-join on the travel key with
+both sides salted; it gives each row the same answer.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Envelope, LocationRule, SavedSearch
 
-INLINE_SEARCHES = 64
 JOIN_SALTS = 16
 
 
@@ -38,7 +37,7 @@ def _passes(search: SavedSearch, minutes: Column) -> Column:
     if search.property_types is not None:
         tests.append(F.col("property_type").isin(*search.property_types))
     if search.exclude_flagged:
-        tests.append(~F.arrays_overlap(F.col("flags"), _texts(search.exclude_flagged)))
+        tests.append(~F.arrays_overlap(F.coalesce("flags", _texts([])), _texts(search.exclude_flagged)))
     passed = tests[0]
     for test in tests[1:]:
         passed = passed & test
@@ -83,19 +82,20 @@ def searches_frame(spark: SparkSession, searches: Sequence[SavedSearch]) -> Data
 
 def match_searches(candidates: DataFrame, searches: Sequence[SavedSearch], travel: str = "travel") -> DataFrame:
     """Add ``matched_searches``: ids in configuration order, empty when nothing matches."""
-    if len(searches) <= INLINE_SEARCHES:
-        return candidates.withColumn("matched_searches", matched_searches(searches, travel))
-    return _match_by_join(candidates, searches, travel)
+    return candidates.withColumn("matched_searches", matched_searches(searches, travel))
 
 
-def _match_by_join(candidates: DataFrame, searches: Sequence[SavedSearch], travel: str) -> DataFrame:
-    config = searches_frame(candidates.sparkSession, searches)
+def match_search_table(candidates: DataFrame, config: DataFrame, travel: str = "travel") -> DataFrame:
+    """:func:`match_searches` for searches that are rows (see :func:`searches_frame`): each row of ``candidates``, ids
+    repeated or not, with its own ids in ``position`` order."""
     # A handful of travel keys carry all rows: spread each key over JOIN_SALTS partitions.
     rules = config.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
-    long = candidates.select(
-        "listing_id", "price_pw", "beds", "baths", "car_spaces", "property_type", "flags",
-        F.explode(travel).alias("travel_key", "leg"),
-        F.pmod(F.xxhash64("listing_id"), F.lit(JOIN_SALTS)).cast("int").alias("salt"),
+    whole = candidates.select(F.struct(*candidates.columns).alias("row"), F.monotonically_increasing_id().alias("row_no"))
+    long = whole.select(
+        "row", "row_no", "row.price_pw", "row.beds", "row.baths", "row.car_spaces", "row.property_type",
+        F.coalesce("row.flags", _texts([])).alias("flags"),
+        F.explode_outer(f"row.{travel}").alias("travel_key", "leg"),
+        F.pmod(F.xxhash64("row_no"), F.lit(JOIN_SALTS)).cast("int").alias("salt"),
     )
     c, r = long.alias("c"), rules.alias("r")
 
@@ -115,15 +115,14 @@ def _match_by_join(candidates: DataFrame, searches: Sequence[SavedSearch], trave
         & open_or("min_car_spaces", F.col("c.car_spaces") >= F.col("r.min_car_spaces"))
         & open_or("property_types", F.array_contains(F.col("r.property_types"), F.col("c.property_type")))
         & ~F.arrays_overlap(F.col("c.flags"), F.col("r.exclude_flagged")),
+        "left",
     )
-    # At most one hit per (listing, search): the list is bounded by the configuration.
-    ids = hits.groupBy("c.listing_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("r.position", "r.search_id"))), lambda x: x["search_id"])
-        .alias("matched_searches")
-    )
-    return candidates.join(ids, "listing_id", "left").withColumn(
-        "matched_searches", F.coalesce("matched_searches", _texts([]))
+    # At most one hit per (row, search): the list is bounded by the configuration.
+    hit = F.when(F.col("r.search_id").isNotNull(), F.struct("r.position", "r.search_id"))
+    rows = hits.groupBy("c.row_no").agg(
+        F.first("c.row").alias("row"), F.transform(F.array_sort(F.collect_list(hit)), lambda x: x["search_id"]).alias("matched_searches")
     )
+    return rows.select("row.*", "matched_searches")
 
 
 def excluded_by_every_search(searches: Sequence[SavedSearch], flags: Column) -> Column:
@@ -152,18 +151,19 @@ def resolve_locations(envelope: DataFrame, searches: Sequence[SavedSearch]) -> D
     """``search_id, search_pos, location, location_pos`` for every location a search asks about.
 
     ``envelope``: ``location, location_pos, indicative_minutes map, km_from map`` (maps null for a
-    place nobody tagged). A place a rule cannot measure is kept. One pass over the envelope: each
-    search's test is a literal predicate, so nothing is joined.
+    place nobody tagged). A place a rule cannot measure is kept. A list is the answer itself, in the envelope or not
+    (:func:`refusals` names what lies outside). One pass over the envelope: each search's test is a literal predicate,
+    so nothing is joined.
     """
-    picks = []
+    picks, listed = [], []
     for pos, search in enumerate(searches):
         rule = _rule(search)
-        if search.locations is None:
-            keep = F.lit(True)
-        elif rule is None:
-            keep = F.col("location").isin(*search.locations) if search.locations else F.lit(False)
-        else:
-            keep = F.lit(True)
+        if search.locations is not None and rule is None:
+            names = dict.fromkeys(search.locations)
+            listed += [(search.search_id, pos, search.travel_key, name, i) for i, name in enumerate(names)]
+            continue
+        keep = F.lit(True)
+        if rule is not None:
             if rule.within_indicative_minutes is not None:
                 key = f"{search.origin}:{rule.mode or search.mode}"
                 minutes = F.try_element_at(F.col("indicative_minutes"), F.lit(key))
@@ -171,21 +171,22 @@ def resolve_locations(envelope: DataFrame, searches: Sequence[SavedSearch]) -> D
             if rule.within_km is not None:
                 km = F.try_element_at(F.col("km_from"), F.lit(search.origin))
                 keep = keep & F.coalesce(km <= rule.within_km, F.lit(True))
-        order = F.col("location_pos")
-        if rule is None and search.locations is not None and search.locations:
-            order = F.array_position(_texts(list(search.locations)), F.col("location")).cast("int") - 1
         picks.append(
             F.when(
                 keep,
                 F.struct(
                     F.lit(search.search_id).alias("search_id"), F.lit(pos).alias("search_pos"),
-                    F.lit(search.travel_key).alias("travel_key"), order.alias("order"),
+                    F.lit(search.travel_key).alias("travel_key"),
                 ),
             )
         )
+    schema = "search_id STRING, search_pos INT, travel_key STRING, location STRING, location_pos INT"
+    given = envelope.sparkSession.createDataFrame(listed, schema)
+    if not picks:
+        return given
     return envelope.select(
-        "location", F.explode(F.array_compact(F.array(*picks))).alias("pick")
-    ).select("pick.search_id", "pick.search_pos", "pick.travel_key", "location", F.col("pick.order").alias("location_pos"))
+        "location", "location_pos", F.explode(F.array_compact(F.array(*picks))).alias("pick")
+    ).select("pick.search_id", "pick.search_pos", "pick.travel_key", "location", "location_pos").unionByName(given)
 
 
 def refusals(envelope: DataFrame, searches: Sequence[SavedSearch], limits: Envelope, origins: Sequence[str],
@@ -232,9 +233,15 @@ def refusals(envelope: DataFrame, searches: Sequence[SavedSearch], limits: Envel
     return known.unionByName(outside).groupBy("search_id").agg(F.min_by("reason", "rank").alias("reason"))
 
 
-def plan_passes(resolved: DataFrame, searches: Sequence[SavedSearch]) -> DataFrame:
-    """One capture pass per ``origin:mode``: widest budget, search ids, size of the location union."""
+def plan_passes(resolved: DataFrame, searches: Sequence[SavedSearch], refused: DataFrame | None = None) -> DataFrame:
+    """One capture pass per ``origin:mode``: widest budget, search ids, size of the location union.
+
+    ``refused``: ``search_id`` of searches that cannot be planned (see :func:`refusals`); they widen no pass.
+    """
     config = searches_frame(resolved.sparkSession, searches)
+    if refused is not None:
+        out = refused.select("search_id").distinct()
+        config, resolved = (df.join(out, "search_id", "left_anti") for df in (config, resolved))
     unions = resolved.groupBy("travel_key").agg(F.countDistinct("location").alias("locations"))
     return (
         config.groupBy("travel_key", "origin", "mode")
@@ -275,23 +282,33 @@ def matched_counts(matched: DataFrame, searches: Sequence[SavedSearch]) -> DataF
 
 
 def search_results(matched: DataFrame, searches: Sequence[SavedSearch], group_totals: DataFrame, resolved: DataFrame,
-                   searched: DataFrame | None = None) -> DataFrame:
+                   searched: DataFrame | None = None, passes: Collection[str] | None = None,
+                   reports: DataFrame | None = None) -> DataFrame:
     """One row per covered search, zero matches included.
 
     ``group_totals``: ``travel_key, considered``. ``searched``: the locations actually queried, null
-    meaning all of them.
+    meaning all of them; ``locations_searched`` lists a search's own in order. ``passes``: the capture's ``origin:mode``
+    keys, which decide what is covered, so a pass that returned nothing still reports; without them the passes in
+    ``group_totals`` count. ``reports``: ``travel_key, travel``, the travel report of each pass.
     """
-    config = searches_frame(matched.sparkSession, searches)
+    config = searches_frame(matched.sparkSession, [s for s in searches if passes is None or s.travel_key in passes])
     counts = _hits(matched)
     asked = resolved.groupBy("search_id").agg(F.count("*").alias("wanted"))
-    if searched is None:
-        coverage = asked.withColumn("queried", F.col("wanted"))
-    else:
+    done = resolved
+    if searched is not None:
         done = resolved.join(searched.select("location").distinct(), "location", "left_semi")
-        coverage = asked.join(done.groupBy("search_id").agg(F.count("*").alias("queried")), "search_id", "left")
+    # One entry per location a search asks about: bounded by the envelope.
+    listed = done.groupBy("search_id").agg(
+        F.count("*").alias("queried"),
+        F.transform(F.array_sort(F.collect_list(F.struct("location_pos", "location"))), lambda x: x["location"]).alias("locations_searched"),
+    )
+    coverage = asked.join(listed, "search_id", "left")
     zero = F.lit(0).cast("bigint")
+    joined = config.join(group_totals, "travel_key", "inner" if passes is None else "left")
+    if reports is not None:
+        joined = joined.join(reports.select("travel_key", "travel"), "travel_key", "left")
     return (
-        config.join(group_totals, "travel_key")  # inner: only covered searches report
+        joined
         .join(counts, "search_id", "left")
         .join(coverage, "search_id", "left")
         .select(
@@ -299,8 +316,10 @@ def search_results(matched: DataFrame, searches: Sequence[SavedSearch], group_to
             F.when(F.coalesce("queried", zero) < F.coalesce("wanted", zero), F.lit("partial_coverage"))
             .otherwise(F.lit("ok")).alias("status"),
             F.coalesce("matched", zero).alias("matched"),
-            "considered",
+            F.coalesce("considered", zero).alias("considered"),
             F.coalesce("queried", zero).alias("locations_queried"),
             F.coalesce("wanted", zero).alias("locations_wanted"),
+            F.coalesce("locations_searched", _texts([])).alias("locations_searched"),
+            *(["travel"] if reports is not None else []),
         )
     )

@@ -14,7 +14,7 @@ from ..operators.enrichment import listing_flags, missing_enrichment, run_notes
 from ..operators.ledger import FOLD_COLUMNS, fold_run
 from ..operators.normalise import normalise, problems, usable, with_keyword_hit
 from ..operators.photos import photo_plan
-from ..operators.places import new_suburbs, observed_rents
+from ..operators.places import centroid_corrections, new_suburbs, observed_rents, realigned
 from ..operators.rejected import fold_rejected
 from ..operators.scoring import ranked
 from ..operators.searches import excluded_by_every_search, match_searches, search_results
@@ -42,12 +42,14 @@ class State:
 
 @dataclass(frozen=True)
 class Run:
-    """What a build produces, all lazily; nothing is written until the caller does."""
+    """What a build produces; nothing is published until the caller does. ``profiles`` is the suburb table that scored this
+    run: publish it and hand it to the next."""
 
     listings: DataFrame
     ledger: DataFrame
     rejected: DataFrame
     suburbs: DataFrame
+    profiles: DataFrame
     observed: DataFrame
     results: DataFrame
     summary: DataFrame
@@ -70,8 +72,8 @@ def build(rows: DataFrame, rejections: DataFrame, passes: Collection[str], verdi
 
     ``rows``, ``rejections``: flat capture rows. ``passes``: the capture's ``origin:mode`` keys.
     ``partial``: only some locations were searched; nothing may go stale then. Frames that feed
-    several outputs are written to the shared checkpoint folder: computed once, and still there
-    when executors are lost.
+    several outputs are written to the shared checkpoint folder while the build runs: computed once, and
+    still there when executors are lost. A new suburb that nothing can place stops the build.
     """
     asked = covered(searches, passes)
     rows = cut_lineage(rows)
@@ -91,7 +93,12 @@ def build(rows: DataFrame, rejections: DataFrame, passes: Collection[str], verdi
     )
     current = listings.join(history, "listing_id").withColumn("agent_notes", F.lit(""))
     medians = observed_rents(listings, run_id, created_at)
-    profiles = with_observed(state.profiles, medians)
+    suburbs = cut_lineage(new_suburbs(listings, state.profiles, state.envelope, state.gazetteer))
+    lost = suburbs.filter("not placeable").select("suburb_key", "listings").orderBy("suburb_key").limit(20).collect()
+    if lost:
+        names = ", ".join(f"{r.suburb_key} ({r.listings})" for r in lost)
+        raise ValueError(f"suburbs without a position, and a profile needs one: {names}")
+    profiles = cut_lineage(next_profiles(state, suburbs, medians))
     entries = listing_entries(current, profiles, scoring, travel_source)
     matched = cut_lineage(match_searches(entries, asked, travel="captured_travel"))
     published = matched.filter(F.size("matched_searches") > 0) if asked else matched
@@ -115,9 +122,10 @@ def build(rows: DataFrame, rejections: DataFrame, passes: Collection[str], verdi
         listings=ranked(published),
         ledger=ledger,
         rejected=fold_rejected(state.rejected, rejections, ledger, run_id, created_at),
-        suburbs=new_suburbs(listings, state.profiles, state.envelope, state.gazetteer),
+        suburbs=suburbs,
+        profiles=profiles,
         observed=medians,
-        results=search_results(matched, asked, C.group_totals(rows), state.resolved, searched),
+        results=search_results(matched, asked, C.group_totals(rows), state.resolved, searched, passes),
         summary=run_summary(published, gone),
         notes=notes,
         funnel=funnel,
@@ -132,6 +140,14 @@ def note_rows(listings: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     return missing_enrichment(listings).select(F.explode(run_notes(F.col("note"), kept)).alias("note"))
 
 
+def next_profiles(state: State, suburbs: DataFrame, medians: DataFrame) -> DataFrame:
+    """The suburb table after this run: known profiles moved to where the envelope has them, a stub for each new suburb,
+    then this run's medians."""
+    moved = realigned(state.profiles, centroid_corrections(state.profiles, state.envelope))
+    stubs = suburbs.filter("placeable").select("suburb_key", "name", "postcode", "lat", "lon")
+    return with_observed(moved.unionByName(stubs, allowMissingColumns=True), medians)
+
+
 def with_observed(profiles: DataFrame, medians: DataFrame) -> DataFrame:
     """Profiles with this run's observed medians; a suburb the capture missed keeps what it had."""
     fresh = medians.select("suburb_key", F.col("median_pw_by_beds").alias("_fresh"))

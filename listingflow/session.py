@@ -7,6 +7,7 @@ option is applied only when the session is created by :func:`build_session`.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,7 +42,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    # One JVM and one disk: ``local``, ``local[n]``. ``local-cluster[...]`` has executors with folders of their own.
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return tempfile.mkdtemp(prefix="listingflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
 

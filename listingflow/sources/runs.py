@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +21,11 @@ def write_sorted(df: DataFrame, path: str, keys: list[str], mode: str = "errorif
 
 
 def next_run_id(moment: DataFrame, taken: DataFrame) -> DataFrame:
-    """The first free id of the local day. ``moment``: one row ``utc_now``; ``taken``: ``run_id``."""
+    """The first free id of the local day; a day with none left raises. ``moment``: one row ``utc_now``; ``taken``: ``run_id``."""
     offered = moment.select(F.explode(run_id_candidates(F.col("utc_now"))).alias("run_id"))
-    return offered.join(taken.select("run_id"), "run_id", "left_anti").agg(F.min("run_id").alias("run_id"))
+    return offered.join(taken.select("run_id"), "run_id", "left_anti").select(F.min("run_id").alias("run_id")).select(
+        F.coalesce("run_id", F.raise_error(F.lit("no run id is left on this day")).cast("string")).alias("run_id")
+    )
 
 
 def taken_run(manifest: DataFrame, run_id: str) -> DataFrame:
@@ -34,14 +37,24 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
 
+def published_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The manifest under ``root``, empty before the first run."""
+    try:
+        return read_manifest(spark, root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+
+
 def publish_run(run_id: str, root: str, listings: DataFrame, ledger: DataFrame, suburbs: DataFrame,
-                rejected: DataFrame, manifest_row: DataFrame, manifest: DataFrame | None = None) -> None:
+                rejected: DataFrame, manifest_row: DataFrame) -> None:
     """Write a run. The manifest row is last: readers see a run only once all its parts exist.
 
     Each part goes to its own path under the run id. A publish that died before its manifest row is
-    no run yet, so starting it again replaces its parts; a published run is refused.
+    no run yet, so starting it again replaces its parts; a run that the manifest under ``root`` holds is refused.
     """
-    if manifest is not None and not taken_run(manifest, run_id).isEmpty():
+    if not taken_run(published_runs(listings.sparkSession, root), run_id).isEmpty():
         raise ValueError(f"run {run_id} already exists; runs are immutable")
     parts = {
         "runs/run_id": (listings, "listing_id"),

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table, dealt out to all cores when it is kept in fewer files than there are cores.
+    """A parquet table, dealt out to all cores when its scan has fewer tasks than there are cores.
 
-    One small file is one scan task, and everything up to the next shuffle would run on one core.
-    Tables of many files, as any large table is, are read as they are. Pruning and filters still
-    reach the scan.
+    A file of one row group is one scan task, and everything up to the next shuffle would run on one core. Large tables
+    split into scan tasks of ``spark.sql.files.maxPartitionBytes`` each, so what is ever dealt out is less than that
+    size times the cores; they are read as they are. No file is listed on the driver for the decision, and pruning and
+    filters still reach the scan.
     """
     rows = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

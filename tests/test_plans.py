@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from bindings.settings import SCORING
@@ -51,6 +52,7 @@ def test_two_runs_and_a_replay(spark, tmp_path):
     assert {r.listing_id for r in first.problems.collect()} == {"90", "92"}
     assert [r.listing_id for r in first.rejected.collect()] == ["50"]
     assert [(r.suburb_key, r.source) for r in first.suburbs.collect()] == [("sydney-2000", "envelope")]
+    assert [(r.suburb_key, r.lat, r.lon, r.observed_rents) for r in first.profiles.collect()] == [("sydney-2000", -33.87, 151.2, None)]
     assert first.photos.count() == 0 and first.summary.first().total == 2
     notes = [r.note for r in first.notes.collect()]
     assert notes[0].startswith("No listing in this run has walkability,") and notes[1] == "Partial search: 1 of 2"
@@ -62,7 +64,7 @@ def test_two_runs_and_a_replay(spark, tmp_path):
     summary = second.summary.first()
     assert (summary.price_drops, summary.leased_since_last_run) == (2, 1)
 
-    again = replay(rows, second.listings, second.ledger, B.with_observed(state.profiles, second.observed), SCORING, ["room"],
+    again = replay(rows, second.listings, second.ledger, second.profiles, SCORING, ["room"],
                    B.covered(SEARCHES, ["office:walk"]), "https://x/", "router")
     assert [(r.search_id, r.matched) for r in again.matched.collect()] == [("walk-15", 2)]
     assert tuple(again.summary.first()) == (2, 0, 0, 2, 0) and again.notes.count() == 1
@@ -71,6 +73,35 @@ def test_two_runs_and_a_replay(spark, tmp_path):
     assert again.listings.drop("travel", "captured_travel").exceptAll(second.listings.drop("travel", "captured_travel")).count() == 0
 
 
+def test_new_suburb_is_scored_with_the_table_that_is_handed_on(spark, tmp_path):
+    _, _, done = run(spark, tmp_path / "a", capture({str(i): 640 for i in range(1, 8)}), "r1")
+    assert {tuple(r.observed_rents.items()) for r in done.profiles.collect()} == {(("2", 640),)}
+    factors = done.listings.select("scores").first().scores.asDict(True)
+    assert "rents:observed" in str(factors) and "no_suburb_profile" not in str(factors)
+    again, _, _ = frames_of_next(spark, tmp_path / "b", done)
+    assert again.profiles.count() == 1 and again.suburbs.count() == 0
+
+
+def frames_of_next(spark, folder, done):
+    rows, rejections = frames(spark, folder, capture({"1": 640}))
+    places = spark.createDataFrame([("sydney-2000", -33.9, 151.3)], "suburb_key STRING, lat DOUBLE, lon DOUBLE")
+    envelope = spark.createDataFrame([("Sydney NSW 2000", 0, None, None)], "location STRING, location_pos INT, indicative_minutes MAP<STRING, DOUBLE>, km_from MAP<STRING, DOUBLE>")
+    state = B.State(ledger=done.ledger, rejected=done.rejected, profiles=done.profiles, envelope=places, gazetteer=places, resolved=resolve_locations(envelope, SEARCHES))
+    none = spark.createDataFrame([], "listing_id STRING, verdict STRING")
+    out = B.build(rows, rejections, ["office:walk", "office:transit"], none, state, SCORING, Envelope(900, 0), SEARCHES, "r2", "r1", "2024-01-02T00:00:00Z", "https://x/", "router")
+    moved = out.profiles.first()
+    assert (moved.lat, moved.lon, moved.observed_rents) == (-33.9, 151.3, {"2": 640})  # moved to the envelope; rents kept
+    assert {(r.search_id, r.matched, r.considered) for r in out.results.collect()} >= {("train-30", 0, 0)}
+    return out, rows, state
+
+
+def test_unplaceable_suburb_stops_the_build(spark, tmp_path):
+    body = capture({"1": 640})
+    body["groups"][0]["results"][0] |= {"suburb": "Nowhere", "postcode": "9999", "coords": None}
+    with pytest.raises(ValueError, match="nowhere-9999"):
+        run(spark, tmp_path / "a", body, "r1")
+
+
 def test_replay_names_what_a_fix_moves(spark, tmp_path):
     rows, state, done = run(spark, tmp_path / "a", capture({"1": 650, "2": 700}), "r1")
     moved = rows.withColumn("price", F.when(F.col("listing_id") == "1", F.lit("$640 pw")).otherwise(F.col("price"))).withColumn(

@@ -35,13 +35,18 @@ CASES = [
 def test_match_inline_and_by_join(spark, search, listing, expected):
     df = candidate(spark, **listing)
     assert bool(Q.match_searches(df, [search]).first().matched_searches) == expected
-    assert bool(Q._match_by_join(df, [search], "travel").first().matched_searches) == expected
+    assert bool(Q.match_search_table(df, Q.searches_frame(spark, [search])).first().matched_searches) == expected
 
 
-def test_more_searches_than_the_inline_bound(spark):
-    many = [replace(WALK, search_id=f"s{i:03d}", max_minutes=i) for i in range(Q.INLINE_SEARCHES + 30)]
-    got = Q.match_searches(candidate(spark), many).first().matched_searches
-    assert got == [s.search_id for s in many if s.max_minutes >= 9.4]
+def test_both_forms_agree_on_many_searches_repeated_ids_and_null_flags(spark):
+    rows = [("1", 600, 2, 1, 0, "unit", [], {"office:walk": leg(5.0)}), ("1", 600, 2, 1, 0, "unit", [], {"office:walk": leg(50.0)}),
+            ("2", 600, 2, 1, 0, "unit", None, {"office:walk": leg(5.0)}), ("3", 600, 2, 1, 0, "unit", ["studio"], None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    many = [replace(WALK, search_id=f"s{i:03d}", max_minutes=i, exclude_flagged=("studio",) if i % 2 else ()) for i in range(100)]
+    inline = Q.match_searches(df, many).collect()
+    table = Q.match_search_table(df, Q.searches_frame(spark, many)).collect()
+    assert [len(r.matched_searches) for r in inline] == [95, 50, 95, 0]
+    assert sorted((r.listing_id, r.matched_searches) for r in inline) == sorted((r.listing_id, r.matched_searches) for r in table)
 
 
 def test_excluded_by_every_search(values):
@@ -72,7 +77,8 @@ def test_location_rules(spark):
     assert resolved(spark, rule) == ["Close NSW 2000", "Untagged NSW 2001"]
     assert len(resolved(spark, replace(WALK, locations=LocationRule(within_indicative_minutes=45, mode="transit")))) == 3
     assert len(resolved(spark, WALK)) == 3
-    assert resolved(spark, replace(WALK, locations=("Far NSW 2999", "Close NSW 2000"))) == ["Far NSW 2999", "Close NSW 2000"]
+    assert resolved(spark, replace(WALK, locations=("Far NSW 2999", "Elsewhere NSW 1", "Close NSW 2000"))) == ["Far NSW 2999", "Elsewhere NSW 1", "Close NSW 2000"]
+    assert resolved(spark, replace(WALK, locations=())) == []
 
 
 def test_refusals(spark):
@@ -100,4 +106,12 @@ def test_plan_and_results(spark):
     assert (full["walk-10"].matched, full["walk-15"].matched, full["walk-15"].status) == (1, 2, "ok") and "drive-20" not in full
     some = spark.createDataFrame([("Close NSW 2000",)], "location STRING")
     part = Q.search_results(matched, [w10], totals, Q.resolve_locations(envelope(spark), [w10]), some).first()
-    assert (part.status, part.locations_queried) == ("partial_coverage", 1)
+    assert (part.status, part.locations_queried, part.locations_searched) == ("partial_coverage", 1, ["Close NSW 2000"])
+    both = Q.resolve_locations(envelope(spark), [w10, d20])
+    empty = {r.search_id: (r.matched, r.considered) for r in Q.search_results(matched, [w10, d20], totals, both, passes={"office:walk", "office:drive"}).collect()}
+    assert empty == {"walk-10": (1, 3), "drive-20": (0, 0)}  # a covered pass that returned nothing still reports
+    reports = spark.createDataFrame([("office:walk", (7,))], "travel_key STRING, travel STRUCT<routed: INT>")
+    assert Q.search_results(matched, [w10], totals, both, reports=reports).first().travel.routed == 7
+    refused = spark.createDataFrame([("walk-15",)], "search_id STRING")
+    narrow = Q.plan_passes(Q.resolve_locations(envelope(spark), [w10, w15]), [w10, w15], refused).first()
+    assert (narrow.search_ids, narrow.max_minutes) == (["walk-10"], 10)

@@ -135,13 +135,18 @@ def test_publish_is_immutable(spark, tmp_path):
     assert manifest.count() == 1
     assert [r.listing_id for r in spark.read.parquet(f"{root}/runs/run_id=2024-01-01a").collect()] == ["a", "b"]
     with pytest.raises(ValueError, match="immutable"):
-        runs.publish_run("2024-01-01a", root, part, part, part, part, row, manifest)
+        runs.publish_run("2024-01-01a", root, part, part, part, part, row)
+    runs.publish_run("2024-01-01b", root, part, part, part, part, row.withColumn("run_id", F.lit("2024-01-01b")))
+    assert runs.read_manifest(spark, root).count() == 2
 
 
 def test_next_run_id(spark):
     moment = spark.sql("select timestamp_ntz'2024-01-01 14:00:00' as utc_now")
     taken = spark.createDataFrame([("2024-01-02a",), ("2024-01-02b",), ("2024-01-01c",)], "run_id STRING")
     assert runs.next_run_id(moment, taken).first().run_id == "2024-01-02c"
+    full = spark.createDataFrame([(f"2024-01-02{chr(97 + k)}",) for k in range(26)], "run_id STRING")
+    with pytest.raises(Exception, match="no run id is left"):
+        runs.next_run_id(moment, full).collect()
 
 
 def test_sorted_entries(values):
