@@ -19,20 +19,21 @@ select cast(user_id as string) as listing_id, user_id, min(substr(cast(ts as str
   case user_id % 5 when 0 then 'leased' when 1 then 'unmatched' when 2 then 'stale' else 'active' end as status,
   case when user_id % 9 = 0 then null else cast(300 + 50 * floor(min(value) / 5e0) as int) end as price_pw,
   case when user_id % 4 = 0 then null else user_id / 1e3 end as lat
-from {v_event} where event_type = 'click' group by user_id
+from {v_event} group by user_id
 """
 VIEWS["v_new"] = """
 select cast(user_id + 75 as string) as listing_id, user_id + 75 as user_id,
   case when user_id % 11 = 0 then null else cast(300 + 50 * floor(min(value) / 5e0) as int) end as price_pw,
   case when user_id % 3 = 0 then null else user_id / 1e3 end as lat, cast(min(k) % 5 as int) as beds
-from {v_event} where event_type = 'purchase' group by user_id
+from {v_event} group by user_id
 """
 VIEWS["v_back"] = """
-select listing_id from {v_new} union select cast(user_id + 40 as string) as listing_id from {v_event} where event_type = 'signup' and value > 60
+select distinct cast(user_id + case when event_type = 'signup' and value > 60 then 40 else 75 end as string) as listing_id from {v_event}
 """
 VIEWS["v_verdict"] = """
-select listing_id, case when min(k) % 3 = 0 then 'leased' when min(k) % 3 = 1 then 'unmatched' else 'withdrawn' end as verdict
-from {v_event} where event_type = 'error' and value > 80 group by listing_id
+select listing_id, case when first_k % 3 = 0 then 'leased' when first_k % 3 = 1 then 'unmatched' else 'withdrawn' end as verdict
+from (select listing_id, min(case when event_type = 'error' and value > 80 then k end) as first_k from {v_event} group by listing_id) as per_listing
+where first_k is not null
 """
 
 

@@ -23,13 +23,14 @@ select case when user_id % 6 = 0 then 'locality|' else '' end || cast(1 + user_i
   || cast(2000 + user_id % 25 as string) as key, min(user_id) as user_id, min(value) as lat, max(value) as lng,
   case min(user_id) % 3 when 0 then 'google' when 1 then 'osm' else null end as src,
   case when min(user_id) % 7 = 0 then null else 1704067200000 + cast(floor(max(value)) as bigint) * 86400000 / 12 end as at_ms
-from {v_event} where event_type <> 'view' and k > 40
+from {v_event}
 group by case when user_id % 6 = 0 then 'locality|' else '' end || cast(1 + user_id % 90 as string) || ' nation st, nation_' || cast(user_id % 25 as string) || ', nsw '
   || cast(2000 + user_id % 25 as string)
+having max(case when event_type <> 'view' then k end) > 90 and min(user_id) % 4 <> 1
 """
 VIEWS["v_route_customer"] = """
 select (c_custkey * 37) % 1000 as a, (c_custkey * 91) % 1000 as b, min(c_acctbal) as low, max(c_acctbal) as high
-from {customer} where c_acctbal > 2000 group by (c_custkey * 37) % 1000, (c_custkey * 91) % 1000
+from {customer} group by (c_custkey * 37) % 1000, (c_custkey * 91) % 1000 having max(c_acctbal) > 2000
 """
 
 

@@ -1,7 +1,7 @@
 """Views that give the test tables the shape of listings, captures, journeys, pages and searches.
 
 The text is plain SQL that Spark and DuckDB read alike, so a query and its oracle start from the
-same rows. Every view covers its whole table.
+same rows. Every view reads its whole table; roles (cached, new, back) are given by value, so that hits and misses both occur.
 """
 
 from __future__ import annotations
