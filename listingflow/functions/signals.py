@@ -130,7 +130,8 @@ def _rule_hits(rules: list[tuple[str, str]], stems: dict[str, list[str]], lowere
         possible = F.contains(lowered, F.lit(stems[signal][0]))
         for stem in stems[signal][1:]:
             possible = possible | F.contains(lowered, F.lit(stem))
-        hits.append(F.when(possible & (match != ""), _hit(signal, quote)))
+        # Where it is and what it says is looked up for hits alone.
+        hits.append(F.when(possible & searched.rlike(compiled), _hit(signal, quote)))
     return F.array_compact(F.array(*hits))
 
 
@@ -192,16 +193,15 @@ def studio_evidence(property_text: Column, text: Column) -> Column:
 def with_evidence(rows: DataFrame, description: str, property_text: str, address: str, price: str,
                   bedrooms: str) -> DataFrame:
     """Add ``room_evidence`` and ``studio_evidence`` from the whole description."""
-    both = bind(
-        plain_text(F.col(description)),
-        lambda text: F.struct(
-            room_evidence(text, F.col(address), F.col(price), F.col(bedrooms)).alias("room"),
-            studio_evidence(F.col(property_text), text).alias("studio"),
-        ),
-    )
-    return rows.withColumn("_signals", both).withColumns(
-        {"room_evidence": F.col("_signals.room"), "studio_evidence": F.col("_signals.studio")}
-    ).drop("_signals")
+    # The plain text is a column of its own: read by both it is made once, and whoever asks for one kind runs no rule of
+    # the other.
+    text = F.col("_plain")
+    return rows.withColumn("_plain", plain_text(F.col(description))).withColumns(
+        {
+            "room_evidence": room_evidence(text, F.col(address), F.col(price), F.col(bedrooms)),
+            "studio_evidence": studio_evidence(F.col(property_text), text),
+        }
+    ).drop("_plain")
 
 
 def signal_names(evidence: Column) -> Column:

@@ -58,22 +58,27 @@ def _text(variant: Column) -> Column:
 
 
 def page_payloads(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``payload`` (variant) per decoded response, numbered by ``payload_pos`` within its page.
+    """``payloads``: the decoded responses of each page in order, as an array of variants in the page's own row.
 
     Every other column of ``pages`` is carried.
     """
     keep = [c for c in pages.columns if c != html]
-    blob = F.regexp_extract(html, java(HYDRATION), 1)
-    nodes = pages.select(*keep, F.try_parse_json(blob).alias("blob"))
-    exchange = nodes.select(*keep, F.posexplode(_entries(F.col("blob"))).alias("p1", "e1"))
-    caches = exchange.select(*keep, "p1", F.posexplode(_entries(F.col("e1.value"))).alias("p2", "e2"))
-    decoded = caches.select(*keep, "p1", "p2", F.try_parse_json(_text(F.col("e2.value"))).alias("cache"))
-    answers = decoded.select(*keep, "p1", "p2", F.posexplode(_entries(F.col("cache"))).alias("p3", "e3"))
-    data = F.try_variant_get(F.col("e3.value"), "$.data", "variant")
-    payloads = answers.select(
-        *keep, F.struct("p1", "p2", "p3").alias("payload_pos"), F.try_parse_json(_text(data)).alias("payload")
-    )
-    return payloads.filter("payload is not null")
+    blob = F.try_parse_json(F.regexp_extract(html, java(HYDRATION), 1))
+
+    def answers(e: Column) -> Column:
+        data = F.try_variant_get(e["value"], "$.data", "variant")
+        return F.try_parse_json(_text(data))
+
+    def some(payloads: Column) -> Column:
+        # flatten() of an array with one null in it is null.
+        return F.coalesce(payloads, F.array().cast("array<variant>"))
+
+    def caches(e: Column) -> Column:
+        return some(F.transform(_entries(F.try_parse_json(_text(e["value"]))), answers))
+
+    layers = F.transform(_entries(F.col("blob")), lambda e: some(F.flatten(F.transform(_entries(e["value"]), caches))))
+    staged = pages.select(*keep, blob.alias("blob"))
+    return staged.select(*keep, F.filter(F.flatten(layers), lambda p: p.isNotNull()).alias("payloads"))
 
 
 def _member(variant: Column, path: str, kind: str) -> Column:
@@ -89,38 +94,41 @@ def search_rows(payloads: DataFrame, page_key: str) -> DataFrame:
 
     A page's first payload holding search results answers for it.
     """
-    named = _entries(F.col("payload"))
 
     def results(path: str, kind: str):
         return lambda e: _member(e["value"], path, kind)
 
-    by_name = F.get(
-        F.filter(named, lambda e: e["key"].rlike(SEARCH_NODE) & results("$.results", "variant")(e).isNotNull()),
+    def node(payload: Column) -> Column:
+        named = _entries(payload)
+        by_name = F.get(
+            F.filter(named, lambda e: e["key"].rlike(SEARCH_NODE) & results("$.results", "variant")(e).isNotNull()),
+            F.lit(0),
+        )
+        by_shape = F.get(
+            F.filter(named, lambda e: results("$.results.exact.items", "array<variant>")(e).isNotNull()), F.lit(0)
+        )
+        return F.coalesce(by_name, by_shape)["value"]
+
+    first = F.get(
+        F.filter(F.transform("payloads", node), lambda n: _member(n, "$.results.exact.items", "array<variant>").isNotNull()),
         F.lit(0),
     )
-    by_shape = F.get(
-        F.filter(named, lambda e: results("$.results.exact.items", "array<variant>")(e).isNotNull()), F.lit(0)
-    )
-    nodes = payloads.select(page_key, "payload_pos", F.coalesce(by_name, by_shape)["value"].alias("node"))
-    items = nodes.select(
-        page_key, "payload_pos",
-        F.struct(
-            _member(F.col("node"), "$.results.exact.items", "array<variant>").alias("exact"),
-            _member(F.col("node"), "$.results.surrounding.items", "array<variant>").alias("surrounding"),
-            _member(F.col("node"), "$.results.totalResultsCount", "int").alias("total_results"),
-            _member(F.col("node"), "$.results.pagination.maxPageNumberAvailable", "int").alias("total_pages"),
-        ).alias("node"),
-    ).filter("node.exact is not null")
-    first = _first_payload(items, page_key, "node")
+    nodes = payloads.select(page_key, first.alias("node")).filter("node is not null")
+    surrounding = _member(F.col("node"), "$.results.surrounding.items", "array<variant>")
     both = F.concat(
-        F.transform("node.exact", lambda v: F.struct(_json(v).alias("item"), F.lit(False).alias("is_surrounding"))),
         F.transform(
-            F.coalesce("node.surrounding", F.array().cast("array<variant>")),
+            _member(F.col("node"), "$.results.exact.items", "array<variant>"),
+            lambda v: F.struct(_json(v).alias("item"), F.lit(False).alias("is_surrounding")),
+        ),
+        F.transform(
+            F.coalesce(surrounding, F.array().cast("array<variant>")),
             lambda v: F.struct(_json(v).alias("item"), F.lit(True).alias("is_surrounding")),
         ),
     )
-    rows = first.select(
-        page_key, "node.total_results", "node.total_pages", F.posexplode(both).alias("row_pos", "r")
+    rows = nodes.select(
+        page_key, _member(F.col("node"), "$.results.totalResultsCount", "int").alias("total_results"),
+        _member(F.col("node"), "$.results.pagination.maxPageNumberAvailable", "int").alias("total_pages"),
+        F.posexplode(both).alias("row_pos", "r"),
     )
     return rows.select(
         page_key, "total_results", "total_pages", "row_pos", "r.is_surrounding", _typed(F.col("r.item")).alias("item")
@@ -134,41 +142,39 @@ def _typed(item: Column) -> Column:
 
 def detail_rows(payloads: DataFrame, page_key: str) -> DataFrame:
     """The listing of a detail page: ``details.listing`` wins over any node with an id and an address."""
-    wrapped = _member(F.col("payload"), "$.details.listing", "variant")
-    related = F.filter(
-        F.transform(
-            _member(F.col("payload"), "$.details.relatedListings", "array<variant>"),
+
+    def related(payload: Column) -> Column:
+        ids = F.transform(
+            _member(payload, "$.details.relatedListings", "array<variant>"),
             lambda r: F.coalesce(_member(r, "$.id", "string"), F.lit("")),
-        ),
-        lambda i: i != "",
-    )
+        )
+        return F.filter(ids, lambda i: i != "")
+
+    def inner(e: Column) -> Column:
+        return F.coalesce(_member(e["value"], "$.listing", "variant"), e["value"])
 
     def usable(e: Column) -> Column:
-        inner = F.coalesce(_member(e["value"], "$.listing", "variant"), e["value"])
-        return F.coalesce(_member(inner, "$.id", "string"), F.lit("")).isNotNull() & (
-            _member(inner, "$.id", "string") != ""
-        ) & _member(inner, "$.address", "variant").isNotNull()
-
-    loose = F.get(F.filter(_entries(F.col("payload")), lambda e: F.coalesce(usable(e), F.lit(False))), F.lit(0))["value"]
-    loose = F.coalesce(_member(loose, "$.listing", "variant"), loose)
-    found = payloads.select(
-        page_key,
-        # The wrapped form of any payload is preferred to the loose form of every payload.
-        F.struct(F.when(wrapped.isNotNull(), F.lit(0)).otherwise(F.lit(1)).alias("shape"), "payload_pos").alias("payload_pos"),
-        F.struct(
-            F.coalesce(_json(wrapped), _json(loose)).alias("item"),
-            F.when(wrapped.isNotNull(), related).alias("related_ids"),
-            F.when(wrapped.isNotNull(), _json(_member(F.col("payload"), "$.details.recentSales", "variant"))).alias("recent_sales"),
-            F.when(wrapped.isNotNull(), _json(_member(F.col("payload"), "$.details.marketInsights", "variant"))).alias("market_insights"),
-        ).alias("node"),
-    ).filter("node.item is not null")
-    return _first_payload(found, page_key, "node").select(
-        page_key, _typed(F.col("node.item")).alias("item"), "node.related_ids", "node.recent_sales", "node.market_insights"
+        named = F.coalesce(_member(inner(e), "$.id", "string"), F.lit("")) != ""
+        return F.coalesce(named & _member(inner(e), "$.address", "variant").isNotNull(), F.lit(False))
+
+    def wrapped_item(payload: Column) -> Column:
+        return _json(_member(payload, "$.details.listing", "variant"))
+
+    def loose_item(payload: Column) -> Column:
+        return _json(inner(F.get(F.filter(_entries(payload), usable), F.lit(0))))
+
+    # The wrapped form of any payload is preferred to the loose form of every payload.
+    wrapped = F.get(F.filter("payloads", lambda p: wrapped_item(p).isNotNull()), F.lit(0))
+    loose = F.get(F.filter(F.transform("payloads", loose_item), lambda item: item.isNotNull()), F.lit(0))
+    found = payloads.select(page_key, wrapped.alias("wrapped"), loose.alias("loose"))
+    nodes = found.select(
+        page_key, F.coalesce(wrapped_item(F.col("wrapped")), F.col("loose")).alias("item"), related(F.col("wrapped")).alias("related_ids"),
+        _json(_member(F.col("wrapped"), "$.details.recentSales", "variant")).alias("recent_sales"),
+        _json(_member(F.col("wrapped"), "$.details.marketInsights", "variant")).alias("market_insights"),
+    )
+    return nodes.filter("item is not null").select(
+        page_key, _typed(F.col("item")).alias("item"), "related_ids", "recent_sales", "market_insights"
     )
-
-
-def _first_payload(rows: DataFrame, page_key: str, value: str) -> DataFrame:
-    return rows.groupBy(page_key).agg(F.min_by(value, "payload_pos").alias(value))
 
 
 def coordinates(item: Column) -> Column:
