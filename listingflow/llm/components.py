@@ -9,9 +9,10 @@ from listingflow.llm.common import staged
 
 
 def _star(both: DataFrame, keep) -> DataFrame:
-    """Join every node's neighbours to the smallest node among them and itself."""
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.join(least, "u").where(keep).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    """Join every node's neighbours to the smallest node among them and itself. The smallest are written first: Spark splits
+    the links of a hot node only where both sides of a join are plain exchanges."""
+    least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    return both.join(least.hint("merge"), "u").where(keep).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -58,6 +58,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     )
     many = found.where("group is not null")
     heads = many.groupBy("step", "group").agg(F.max(F.struct("doc_id", "row")).alias("head"), F.count("*").alias("group_size"))
+    # Written first: Spark splits a hot group's side only where both sides of a join are plain exchanges.
+    heads = staged(heads, "radix-heads")
     grouped = many.join(heads.hint("merge"), ["step", "group"]).select(
         "doc_id", F.col("head.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("head.row")).alias("kept"), "text_sha256"
     )
