@@ -113,7 +113,7 @@ def search_rows(payloads: DataFrame, page_key: str) -> DataFrame:
         F.filter(F.transform("payloads", node), lambda n: _member(n, "$.results.exact.items", "array<variant>").isNotNull()),
         F.lit(0),
     )
-    nodes = payloads.select(page_key, first.alias("node")).filter("node is not null")
+    nodes = payloads.select(page_key, first.alias("node"))
     surrounding = _member(F.col("node"), "$.results.surrounding.items", "array<variant>")
     both = F.concat(
         F.transform(
@@ -128,8 +128,9 @@ def search_rows(payloads: DataFrame, page_key: str) -> DataFrame:
     rows = nodes.select(
         page_key, _member(F.col("node"), "$.results.totalResultsCount", "int").alias("total_results"),
         _member(F.col("node"), "$.results.pagination.maxPageNumberAvailable", "int").alias("total_pages"),
-        F.posexplode(both).alias("row_pos", "r"),
-    )
+        # Outer: an inner explode would decode the page once more in a filter below it.
+        F.posexplode_outer(both).alias("row_pos", "r"),
+    ).filter("r is not null")
     return rows.select(
         page_key, "total_results", "total_pages", "row_pos", "r.is_surrounding", _typed(F.col("r.item")).alias("item")
     )
@@ -172,7 +173,8 @@ def detail_rows(payloads: DataFrame, page_key: str) -> DataFrame:
         _json(_member(F.col("wrapped"), "$.details.recentSales", "variant")).alias("recent_sales"),
         _json(_member(F.col("wrapped"), "$.details.marketInsights", "variant")).alias("market_insights"),
     )
-    return nodes.filter("item is not null").select(
+    kept = nodes.withColumn("item", F.explode_outer(F.array("item"))).filter("item is not null")
+    return kept.select(
         page_key, _typed(F.col("item")).alias("item"), "related_ids", "recent_sales", "market_insights"
     )
 
