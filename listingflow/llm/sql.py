@@ -1,5 +1,7 @@
 """DuckDB SQL that the corpus queries must agree with, where SQL can express them."""
 
+from listingflow.llm.licenses import GAP, TEMPLATES, template_words
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
@@ -26,4 +28,25 @@ ORACLES = {
                sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
         from m group by doc_id
     """,
+    "op9_license_scans": f"""
+        with d as (select row_number() over () as r, doc_id, {_LOWER} as t from documents),
+        w as (select *, list_filter(string_split_regex(t, '{GAP}'), lambda x: x <> '') as words from d),
+        u as (select r, unnest(words) as a, generate_subscripts(words, 1) - 1 as i from w),
+        n as (select *, lead(a) over (partition by r order by i) as b, lead(a, 2) over (partition by r order by i) as c from u),
+        h as (
+            select r, i, case when a = 'mit' and b = 'license' then 'mit' when a = 'apache' and b = 'license' then 'apache'
+                              when a = 'general' and b = 'public' and c = 'license' then 'gpl' end as label from n
+        ),
+        base as (select r, count(*) as n_base, min(i) as first_word, max(i) as last_word from h where label is not null group by r),
+        templates as ({" union all ".join(f"select '{label}' as label, {template_words(text)} as words" for label, text in TEMPLATES)}),
+        blocks as (select r, list_distinct(string_split_regex(line, '{GAP}')) as words from (select r, unnest(string_split(t, chr(10))) as line from d)),
+        shared as (select r, label, len(list_intersect(blocks.words, templates.words)) / len(templates.words) as share from blocks, templates),
+        found as (select r, label, share from shared where share >= 0.85),
+        tags as (select r, label from found union select r, label from h where label is not null)
+        select doc_id, len(w.words) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+               coalesce((select string_agg(distinct label, ',' order by label) from h where h.r = w.r), '') as base_labels,
+               coalesce((select string_agg(distinct label, ',' order by label) from tags where tags.r = w.r), '') as labels,
+               coalesce((select max(share) from found where found.r = w.r), case when n_base > 0 then 1.0::double end, 0.0::double) as score
+        from w left join base using (r)
+    """,
 }
