@@ -2,7 +2,9 @@
 
 Blocks of documents are reduced to postings (pre-token -> document, frequency). Postings are dealt by pre-token, sorted,
 and streamed: each distinct pre-token is counted once, its count times each frequency is added to the block's documents,
-and partial sums per block are added up. Token ids are never built.
+and partial sums per block are added up. A pre-token that most texts hold has a long posting in every block; long postings
+are dealt by pre-token and block, so that no task reads all of them, and counted once in each such part. Partial sums
+name only the documents they touch, so they never outgrow the postings. Token ids are never built.
 
 Defined cases: a null or empty text has no token; a special token's string inside a text is that one token; repeated rows
 and null ids are counted row by row; an empty table gives an empty result. Other columns are ignored.
@@ -18,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from listingflow.llm.common import load_tokenizer, text_slices, tokenizer_path
 
@@ -28,6 +31,9 @@ PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\
 #: Cells (documents) of partial sums that a task holds before it passes them on.
 HELD_CELLS = 2_000_000
 
+#: Documents of one block in a posting from which it counts as long, and the parts that a pre-token's long postings make.
+LONG, PARTS = 256, 256
+
 #: A block's number ends in its number of documents; documents inside a block have 16-bit numbers.
 SIZE_BITS = 16
 POSTINGS = pa.schema([("token", pa.string()), ("block", pa.int64()), ("docs", pa.binary()), ("freqs", pa.binary())])
@@ -112,14 +118,18 @@ def _postings(path: str):
 
 
 def _partial_sums(path: str):
-    """Postings sorted by token -> (block, sums of pieces by document), and the documents of each block."""
-    schema = pa.schema([("block", pa.int64()), ("sums", pa.binary()), ("listed", pa.binary())])
+    """Postings sorted by token -> (block, documents touched and their sums of pieces), and the documents of each block."""
+    schema = pa.schema([("block", pa.int64()), ("docs", pa.binary()), ("sums", pa.binary()), ("listed", pa.binary())])
 
     def flush(bases: dict[int, int], held: np.ndarray) -> Iterator[pa.RecordBatch]:
-        sums = [held[at : at + (block & ((1 << SIZE_BITS) - 1))].tobytes() for block, at in bases.items()]
-        for k in range(0, len(sums), 512):
-            part = sums[k : k + 512]
-            yield pa.RecordBatch.from_arrays([pa.array(list(bases)[k : k + 512], pa.int64()), pa.array(part, pa.binary()), pa.nulls(len(part), pa.binary())], schema=schema)
+        parts = [held[at : at + (block & ((1 << SIZE_BITS) - 1))] for block, at in bases.items()]
+        touched = [np.flatnonzero(part) for part in parts]
+        docs = [at.astype("<u2").tobytes() for at in touched]
+        sums = [part[at].astype("<u4").tobytes() for part, at in zip(parts, touched, strict=True)]
+        blocks = list(bases)
+        for k in range(0, len(blocks), 512):
+            some = slice(k, k + 512)
+            yield pa.RecordBatch.from_arrays([pa.array(blocks[some], pa.int64()), pa.array(docs[some], pa.binary()), pa.array(sums[some], pa.binary()), pa.nulls(len(blocks[some]), pa.binary())], schema=schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_tokenizer(path)
@@ -132,7 +142,7 @@ def _partial_sums(path: str):
             listed = pc.starts_with(tokens, NO_TOKEN).to_numpy(zero_copy_only=False)
             if listed.any():
                 rows = batch.filter(pa.array(listed))
-                yield pa.RecordBatch.from_arrays([rows.column("block"), pa.nulls(len(rows), pa.binary()), rows.column("docs")], schema=schema)
+                yield pa.RecordBatch.from_arrays([rows.column("block"), pa.nulls(len(rows), pa.binary()), pa.nulls(len(rows), pa.binary()), rows.column("docs")], schema=schema)
                 batch = batch.filter(pa.array(~listed))
                 tokens = batch.column("token")
             if not batch.num_rows:
@@ -163,7 +173,7 @@ def _partial_sums(path: str):
                 held[:] = 0
         yield from flush(bases, held)
 
-    return read, "block long, sums binary, listed binary"
+    return read, "block long, docs binary, sums binary, listed binary"
 
 
 @lru_cache(maxsize=1)
@@ -177,22 +187,22 @@ def byte_letters() -> dict[int, str]:
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one block stand together: add its partial sums and give its documents."""
-    block, sums, listed = None, 0, None
+    block, sums, listed = None, np.zeros(0, np.int64), None
 
     def done() -> pa.RecordBatch:
         ids, null, size = np.frombuffer(listed, "<i8").reshape(3, -1)
-        return pa.RecordBatch.from_arrays([pa.array(ids, mask=null > 0), pa.array(size), pa.array(np.zeros(len(ids), np.int64) + sums)], ["doc_id", "n_bytes", "n_tokens"])
+        return pa.RecordBatch.from_arrays([pa.array(ids, mask=null > 0), pa.array(size), pa.array(sums)], ["doc_id", "n_bytes", "n_tokens"])
 
     for batch in batches:
-        for b, s, documents in zip(*(batch.column(c).to_pylist() for c in ("block", "sums", "listed")), strict=True):
+        for b, touched, added, documents in zip(*(batch.column(c).to_pylist() for c in ("block", "docs", "sums", "listed")), strict=True):
             if b != block:
                 if listed is not None:
                     yield done()
-                block, sums, listed = b, 0, None
+                block, sums, listed = b, np.zeros(b & ((1 << SIZE_BITS) - 1), np.int64), None
             if documents is not None:
                 listed = documents
             else:
-                sums = sums + np.frombuffer(s, np.int64)
+                sums[np.frombuffer(touched, "<u2")] += np.frombuffer(added, "<u4")
     if listed is not None:
         yield done()
 
@@ -201,7 +211,9 @@ def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> Data
     """doc_id, n_bytes, n_tokens of every row of ``docs``."""
     path = tokenizer_path(vocabulary)
     postings = docs.select("doc_id", "text").mapInArrow(_postings(path), POSTINGS_SQL)
-    dealt = postings.repartition("token").sortWithinPartitions("token")
+    long = (F.octet_length("docs") >= 2 * LONG) & ~F.startswith("token", F.lit(NO_TOKEN))
+    part = F.when(long, F.pmod(F.xxhash64("block"), F.lit(PARTS))).otherwise(F.lit(-1))
+    dealt = postings.repartition("token", part).sortWithinPartitions("token").select(*POSTINGS.names)
     sums, schema = _partial_sums(path)
     by_block = dealt.mapInArrow(sums, schema).repartition("block").sortWithinPartitions("block")
     return by_block.mapInArrow(_whole, "doc_id long, n_bytes long, n_tokens long")
