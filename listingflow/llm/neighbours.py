@@ -29,12 +29,14 @@ from listingflow.llm.common import staged
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: vectors the tree is fitted on; ``leaf``: of those, how many a leaf holds; ``trials``: sample queries that
-    calibrate the visits; ``recall``: what they must reach; ``cell``: vectors or queries compared at once."""
+    """``sample``: vectors the tree is fitted on; ``leaf``: vectors of the whole table that a leaf should hold, and ``least``
+    the fewest of the sample it is cut from; ``trials``: sample queries that calibrate the visits; ``recall``: what they
+    must reach; ``cell``: vectors or queries compared at once."""
 
     sample: int = 20_000
     branches: int = 8
-    leaf: int = 1000
+    leaf: int = 2500
+    least: int = 16
     trials: int = 256
     recall: float = 0.95
     cell: int = 4096
@@ -58,14 +60,14 @@ def cosine(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
 class Tree:
     """Nodes hold a centre and their children; leaves are numbered."""
 
-    def __init__(self, sample: np.ndarray, settings: Settings):
+    def __init__(self, sample: np.ndarray, settings: Settings, leaf: int):
         rng = np.random.default_rng(settings.seed)
         self.centres, self.children, self.leaf_of = [np.zeros(sample.shape[1])], [[]], [-1]
         self.leaves = 0
         todo = [(0, sample)]
         while todo:
             node, rows = todo.pop()
-            parts = self._parts(rows, settings, rng) if len(rows) > settings.leaf else []
+            parts = self._parts(rows, settings, rng) if len(rows) > leaf else []
             if len(parts) < 2:
                 self.leaf_of[node], self.leaves = self.leaves, self.leaves + 1
                 continue
@@ -164,7 +166,9 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id"
     empty = "query_id long, rank int, vec_id long, score double"
     if not sample:
         return rows.sparkSession.createDataFrame([], empty)
-    tree = Tree(unit(np.array([r["v"] for r in sample])), settings)
+    # Leaves stay of one size while the table grows, down to what the sample can tell apart.
+    leaf = max(settings.least, settings.leaf * len(sample) // rows.count())
+    tree = Tree(unit(np.array([r["v"] for r in sample])), settings, leaf)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
