@@ -2,17 +2,23 @@
 
 Exact, without comparing all pairs of a neighbourhood:
 
-1. Both sides shrink to distinct positions, so copies at one address cost nothing extra.
+1. Both sides shrink to distinct positions, written once: copies at one address cost nothing extra, and no
+   level reads a source again.
 2. Cells are paired before points. A coarse grid lists the cell pairs the radius can reach (one
    equi-join); finer grids split the surviving pairs. A pair is dropped when even its closest corner
    is farther than the farthest corner of some other pair of the same listing cell. The bounds use
    the same great-circle formula on coordinate gaps, which only grow the distance, so nothing that
    could win is dropped.
 3. Points meet only inside surviving pairs; the minimum combines on the map side.
+
+Positions near the 180th meridian also stand on its other side, and near a pole on all sides, so the
+grid finds what the great circle finds.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +26,7 @@ from ..config import POI_KINDS, Walking
 from ..functions.geo import EARTH_RADIUS_M, haversine_m, walk_minutes
 from ..functions.numbers import whole
 from ..functions.skew import scatter_slot
+from ..session import cut_lineage
 
 SOURCE = "overpass+detour"  # fixed value: names the method in published rows
 CELL_DEGREES = 0.05  # fixed value: request grid
@@ -27,9 +34,9 @@ METRES_PER_DEGREE = 111_000  # fixed value: request margin
 
 # Cells per radius at each level: coarse for the first join, finer for the pruning that follows.
 LEVELS = (2, 8)
-FINEST = 512  # a couple of metres for a walking radius
 CROWDED = 256  # distinct POI positions of one kind in one finest cell
-_SLACK_M = 0.01  # metres of room for floating-point noise in the bounds
+_SLACK_M = 1e-6  # metres of room for floating-point noise in the bounds
+_POLAR = 89.9  # beyond this latitude a radius may reach every longitude
 
 
 def _row_height(radius_m: float, level: int) -> float:
@@ -79,39 +86,63 @@ def _prune(pairs: DataFrame, height: float, radius_m: float, group: list[str]) -
     )
 
 
-def levels_for(pois: DataFrame, radius_m: float, group: list[str]) -> tuple[int, ...]:
-    """Grid levels for these POIs: finer ones are added while the busiest cell holds too many positions.
+def levels_for(positions: DataFrame, radius_m: float, group: list[str]) -> tuple[int, ...]:
+    """Grid levels for these distinct POI positions: a finer one is added while the busiest cell of the last holds too
+    many, and cells are still larger than the room left for rounding.
 
     A point meets the POIs of a bounded number of finest cells, so this keeps the pairs in proportion
-    to the points however tightly the POIs cluster. One aggregate is measured; only its maximum
-    comes back to the driver.
+    to the points however tightly the POIs cluster. Each level is measured; only its maximum comes back
+    to the driver.
     """
-    height = _row_height(radius_m, LEVELS[-1])
-    cells = pois.select(*group, "lat", "lon").distinct().groupBy(*group, *_cell(F.col("lat"), F.col("lon"), height)).count()
-    busiest = cells.agg(F.max("count")).first()[0] or 0
     levels = list(LEVELS)
-    while busiest > CROWDED and levels[-1] < FINEST:
+    while radius_m / levels[-1] > 10 * _SLACK_M:
+        cell = _cell(F.col("lat"), F.col("lon"), _row_height(radius_m, levels[-1]))
+        busiest = positions.groupBy(*group, *cell).count().agg(F.max("count")).first()[0] or 0
+        if busiest <= CROWDED:
+            break
         levels.append(levels[-1] * 4)
-        busiest /= 16
     return tuple(levels)
 
 
+def _reach_degrees(lat: Column, radius_m: float) -> Column:
+    """Degrees of longitude that the radius may span from this latitude, some too many; 180 near a pole."""
+    degrees = _row_height(radius_m, 1)
+    edge = F.abs(lat) + 3 * degrees
+    return F.when(edge < _POLAR, F.least(F.lit(180.0), 1.01 * degrees / F.cos(F.radians(edge)))).otherwise(F.lit(180.0))
+
+
+def _with_images(positions: DataFrame, radius_m: float) -> DataFrame:
+    """Each POI position where it is and, if the radius crosses the 180th meridian from there, once around the globe.
+    Cells use ``lon``; distances use ``poi_lon``, the longitude as written."""
+    beyond = F.abs(F.col("poi_lon")) >= 180.0 - _reach_degrees(F.col("lat"), radius_m)
+    around = F.when(beyond, F.col("poi_lon") - 360.0 * F.when(F.col("poi_lon") < 0, F.lit(-1)).otherwise(F.lit(1)))
+    return positions.withColumnRenamed("lon", "poi_lon").withColumn(
+        "lon", F.explode(F.array_compact(F.array(F.col("poi_lon"), around)))
+    )
+
+
 def nearest_within(points: DataFrame, pois: DataFrame, radius_m: float, group: list[str],
-                   levels: tuple[int, ...] = LEVELS) -> DataFrame:
-    """``lat, lon`` of each distinct point with, per ``group``, the nearest POI: ``distance_m, poi_id, poi``.
+                   levels: tuple[int, ...] | None = None, carried: Sequence[str] = ()) -> DataFrame:
+    """``lat, lon`` of each distinct point with, per ``group``, the nearest POI: ``distance_m, poi_id`` and ``carried``.
 
-    ``pois``: ``lat, lon, poi_id`` and the group columns; ties go to the smallest ``poi_id``. Points
-    with nothing in range have no row. Longitudes are compared as written (no wrap at 180 degrees).
+    ``pois``: ``lat, lon, poi_id``, the group columns and the carried ones; ties go to the smallest ``poi_id``.
+    Points with nothing in range have no row; points and POIs without a position take no part. ``levels`` are measured
+    unless given.
     """
-    a = points.select("lat", "lon").filter("lat is not null and lon is not null").distinct()
-    b = pois.groupBy(*group, "lat", "lon").agg(F.min("poi_id").alias("poi_id"))
+    a = cut_lineage(points.select("lat", "lon").filter("lat is not null and lon is not null").distinct())
+    b = cut_lineage(
+        pois.filter("lat is not null and lon is not null").groupBy(*group, "lat", "lon")
+        .agg(F.min(F.struct("poi_id", *carried)).alias("poi"))
+    )
+    levels = levels or levels_for(b, radius_m, group)
+    b = _with_images(b, radius_m)
 
     height = _row_height(radius_m, levels[0])
     a_cells = a.select(*_cell(F.col("lat"), F.col("lon"), height)).distinct()
     b_cells = b.select(*group, *_cell(F.col("lat"), F.col("lon"), height)).distinct()
     # A degree of longitude shrinks with latitude: reach further the nearer the cell is to a pole.
-    edge = F.least(F.greatest(F.abs(F.col("cy") - levels[0]), F.abs(F.col("cy") + 1 + levels[0])) * height, F.lit(89.9))
-    reach_x = F.ceil(F.lit(1.01 * levels[0]) / F.cos(F.radians(edge))).cast("int")
+    farther = F.greatest(F.abs(F.col("cy")), F.abs(F.col("cy") + 1)) * height
+    reach_x = F.ceil(_reach_degrees(farther, radius_m) / height).cast("int")
     reached = a_cells.select(
         F.col("cy").alias("ay"), F.col("cx").alias("ax"),
         F.explode(F.sequence(F.col("cy") - levels[0], F.col("cy") + levels[0])).alias("by"), reach_x.alias("reach"),
@@ -128,17 +159,17 @@ def nearest_within(points: DataFrame, pois: DataFrame, radius_m: float, group: l
 
     a_in = a.select("lat", "lon", *[c.alias(n) for c, n in zip(_cell(F.col("lat"), F.col("lon"), height), ("ay", "ax"))])
     b_in = b.select(
-        *group, F.col("lat").alias("poi_lat"), F.col("lon").alias("poi_lon"), "poi_id",
+        *group, F.col("lat").alias("poi_lat"), "poi_lon", "poi",
         *[c.alias(n) for c, n in zip(_cell(F.col("lat"), F.col("lon"), height), ("by", "bx"))],
     )
     met = a_in.join(pairs, ["ay", "ax"]).join(b_in, [*group, "by", "bx"])
     distance = haversine_m(F.col("lat"), F.col("lon"), F.col("poi_lat"), F.col("poi_lon"))
     return (
-        met.select("lat", "lon", *group, "poi_id", distance.alias("distance_m"))
+        met.select("lat", "lon", *group, "poi", distance.alias("distance_m"))
         .filter(F.col("distance_m") <= radius_m)
         .groupBy("lat", "lon", *group)
-        .agg(F.min(F.struct("distance_m", "poi_id")).alias("best"))
-        .select("lat", "lon", *group, "best.distance_m", "best.poi_id")
+        .agg(F.min(F.struct("distance_m", "poi")).alias("best"))
+        .select("lat", "lon", *group, "best.distance_m", "best.poi.*")
     )
 
 
@@ -164,9 +195,8 @@ KINDS = ["kind", "is_major_chain"]
 
 
 def _nearest_named(listings: DataFrame, pois: DataFrame, radius_m: float) -> DataFrame:
-    sites = pois.select("lat", "lon", *KINDS, F.col("osm_id").alias("poi_id"))
-    found = nearest_within(listings, sites, radius_m, KINDS, levels_for(sites, radius_m, KINDS))
-    return found.join(pois.select(F.col("osm_id").alias("poi_id"), "name"), "poi_id")
+    sites = pois.select("lat", "lon", *KINDS, F.col("osm_id").alias("poi_id"), "name")
+    return nearest_within(listings, sites, radius_m, KINDS, carried=["name"])
 
 
 def nearest_pois(listings: DataFrame, pois: DataFrame, radius_m: float) -> DataFrame:

@@ -9,8 +9,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Re-plan at run time: small sides become broadcast joins after their size
@@ -48,9 +49,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="listingflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder, so a lost executor re-reads instead of re-computing."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as columns under the shared checkpoint folder and read it back: lost executors re-read instead of
+    re-computing, and each reader takes only the columns it needs. Runs at once; the files go with the folder."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
-    return df.checkpoint()
+    path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/cuts/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,13 +85,41 @@ def test_crowded_cells_get_finer_levels(spark):
     crowd = [(f"n{i:05d}", "cafe", "x", HOME[0] + rng.uniform(0, 1e-4), HOME[1] + rng.uniform(0, 1e-4), False) for i in range(1500)]
     frame = spark.createDataFrame(crowd, POI).withColumn("poi_id", F.col("osm_id"))
     levels = N.levels_for(frame, 1200, ["kind", "is_major_chain"])
-    assert levels == (2, 8, 32) and N.levels_for(frame.limit(3), 1200, ["kind"]) == N.LEVELS
+    height = N._row_height(1200, levels[-1])
+    assert levels[:3] == (2, 8, 32) and N.levels_for(frame.limit(3), 1200, ["kind"]) == N.LEVELS
+    assert max(Counter((math.floor(r[3] / height), math.floor(r[4] / height)) for r in crowd).values()) <= N.CROWDED
     points = [(HOME[0] + rng.uniform(-1e-3, 1e-3), HOME[1] + rng.uniform(-1e-3, 1e-3)) for _ in range(40)]
     got = {(r.lat, r.lon): r.distance_m for r in N.nearest_within(spark.createDataFrame(points, "lat DOUBLE, lon DOUBLE"), frame, 1200, ["kind", "is_major_chain"], levels).collect()}
     want = {k[:2]: v[0] for k, v in brute(points, crowd, 1200).items()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
 
 
+@pytest.mark.parametrize("lat, lon, spread, radius", [(-16.8, 180.0, 0.03, 600), (89.95, 0.0, 180.0, 6000), (-89.8, 180.0, 3.0, 6000)])
+def test_nearest_around_the_globe(spark, lat, lon, spread, radius):
+    """On both sides of the 180th meridian, and around the poles."""
+    rng = random.Random(3)
+
+    def somewhere():
+        east = lon + rng.uniform(-spread, spread)
+        return (round(max(-90.0, min(90.0, lat + rng.uniform(-radius, radius) / 150_000)), 6), round((east + 180) % 360 - 180, 6))
+
+    points, pois = [somewhere() for _ in range(20)], [(f"n{i}", "cafe", "x", *somewhere(), False) for i in range(60)]
+    frame = spark.createDataFrame(pois, POI).withColumn("poi_id", F.col("osm_id"))
+    found = N.nearest_within(spark.createDataFrame(points, "lat DOUBLE, lon DOUBLE"), frame, radius, ["kind", "is_major_chain"])
+    got, want = {(r.lat, r.lon): r.distance_m for r in found.collect()}, {k[:2]: v[0] for k, v in brute(points, pois, radius).items()}
+    assert got.keys() == want.keys() and len(want) > 5 and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_ten_thousand_pois_inside_a_few_metres(spark):
+    rng = random.Random(4)
+    crowd = [(f"n{i:05d}", "cafe", "x", HOME[0] + rng.uniform(0, 3e-5), HOME[1] + rng.uniform(0, 3e-5), False) for i in range(10_000)]
+    points = [(HOME[0] + rng.uniform(-4e-5, 6e-5), HOME[1] + rng.uniform(-4e-5, 6e-5)) for _ in range(30)]
+    frame = spark.createDataFrame(crowd, POI).withColumn("poi_id", F.col("osm_id"))
+    found = N.nearest_within(spark.createDataFrame(points, "lat DOUBLE, lon DOUBLE"), frame, 1200, ["kind", "is_major_chain"])
+    got, want = {(r.lat, r.lon): r.distance_m for r in found.collect()}, {k[:2]: v[0] for k, v in brute(points, crowd, 1200).items()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
 def at(north, kind, name, chain=False):
     return (f"node/{name}", kind, name, HOME[0] + north / 111_000, HOME[1], chain)
 
