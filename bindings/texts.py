@@ -159,6 +159,28 @@ def _rules(rules, searched: str, quoted: str, source: str) -> str:
     return " union all ".join(parts)
 
 
+_MARK = "chr(1) || "
+_AMENITY, _STUDIO_WORD = G.AMENITY_NOUN, "studios?"
+_TRIGGER = r"\b(?:shar(?:e|ed|ing)|communal|common)\s+"
+# RE2 has no look-ahead: the words a rule must not run over get a mark in front, and its words may not start with one.
+_MARKED_ROOM = [(f"shared_{noun}", rf"{_TRIGGER}(?:\w+[\s,-]+){{0,2}}\x01?{noun}") for noun in ("kitchen", "bathroom")]
+_MARKED_STUDIO = [("studio_offered", rf"\b(?:{G.STUDIO_LEAD})\s+(?:[\w'’-][\w'’\x01-]*[\s,-]+){{0,4}}\x01studio\b")]
+# What follows the white space must be "room" anyway, so the look-ahead of this rule excludes nothing.
+_OFFERED_ROOM = [(name, pattern.replace(rf"(?!{G.HOUSE_PART_ROOM}\b)", "")) for name, pattern in G.ROOM_SIGNALS if name == "offered_room"]
+
+
+def _marked_rules(rules, words: str, searched: str, quoted: str, source: str) -> str:
+    """Rules over a text whose ``words`` are marked; offsets and lengths are counted without marks."""
+    parts = []
+    for name, pattern in rules:
+        p, text = _q(pattern), f"regexp_replace({searched}, '(?i)\\b({words})\\b', {_MARK}'\\1', 'g')"
+        parts.append(
+            f"select listing_id, '{name}' as signal, {quoted} as q, length(replace(regexp_extract({text}, '(?is)^(.*?)(?:{p})', 1), chr(1), '')) + 1 as s, "
+            f"length(replace(regexp_extract({text}, '(?is){p}'), chr(1), '')) as n from {source} where regexp_matches({text}, '(?is){p}')"
+        )
+    return " union all ".join(parts)
+
+
 _QUOTE = """case when s - 30 > 1 then '…' else '' end || trim(substr(q, greatest(1, s - 30), least(length(q), s + n - 1 + 30) - greatest(1, s - 30) + 1)) || case when s + n - 1 + 30 < length(q) then '…' else '' end"""
 
 
@@ -174,20 +196,53 @@ _MASKS = "masked0 as (select listing_id, property_text, trim(" + _plain("descrip
     f", masked{i + 1} as (select listing_id, property_text, t, {_mask('m', p)} as m from masked{i})" for i, p in enumerate(G.NOT_A_STUDIO_OFFER)
 )
 _DOC_PRICE = PRICE_SQL.format(p="price_text")
+_ADDRESS_AND_PRICE = f"""select listing_id, 'room_address' as signal, address as quote from v_doc where regexp_matches(lower(address), '^\\s*(?:room|rm)\\s*\\.?\\s*[0-9]')
+        union all select listing_id, 'beds_vs_price', bedrooms || ' bedrooms at ' || price_text from v_doc where bedrooms >= 5 and ({_DOC_PRICE}) < 500"""
+_TYPED = "select listing_id, 'rea_property_type' as signal, 'REA property type: ' || property_text as quote from v_doc where regexp_matches(lower(property_text), '\\bstudio')"
+_LOWERED = f"lowered as (select *, lower({_plain('description')}) as t from v_doc)"
+_ROOM_FREE = _rules(ROOM_NO_LOOKAHEAD, "t", "t", "lowered")
+_STUDIO_FREE = _rules(STUDIO_NO_LOOKAHEAD, "m", "t", "masked4")
+_ROOM = f"""{_LOWERED}, room_hits as ({_ROOM_FREE} union all {_rules(_OFFERED_ROOM, "t", "t", "lowered")} union all {_marked_rules(_MARKED_ROOM, _AMENITY, "t", "t", "lowered")}),
+        room as (select listing_id, signal, {_QUOTE} as quote from room_hits union all {_ADDRESS_AND_PRICE})"""
+_STUDIO = f"""{_MASKS}, studio_hits as ({_STUDIO_FREE} union all {_marked_rules(_MARKED_STUDIO, _STUDIO_WORD, "m", "t", "masked4")}),
+        studio as (select listing_id, signal, {_QUOTE} as quote from studio_hits union all {_TYPED})"""
+_ROOM_ORDER = [name for name, _ in G.ROOM_SIGNALS] + ["room_address", "beds_vs_price"]
+_STUDIO_ORDER = [G.STUDIO_TYPE_SIGNAL] + [name for name, _ in G.STUDIO_SIGNALS]
+
+
+def _loose(kind: str, text: str, pattern: str, context: int) -> str:
+    """The first three distinct surroundings of a loose pattern in listings without evidence of the kind."""
+    p = "(?i)" + _q(pattern)
+    return f"""
+        {kind}_split as (select listing_id, t, string_split_regex(t, '{p}') as pieces, regexp_extract_all(t, '{p}') as found from (select listing_id, {text} as t from v_doc)),
+        {kind}_at as (select listing_id, t, unnest(range(1, len(found) + 1)) as i, pieces, found from {kind}_split),
+        {kind}_spot as (select listing_id, i, t, length(found[i]) as n, length(array_to_string(pieces[1:i], '')) + length(array_to_string(found[1:i - 1], '')) + 1 as s from {kind}_at),
+        {kind}_near as (select listing_id, i, '…' || trim(substr(t, greatest(1, s - {context}), s + n + {context} - greatest(1, s - {context}))) || '…' as quote from {kind}_spot),
+        {kind}_grouped as (select listing_id, quote, min(i) as i from {kind}_near group by 1, 2),
+        {kind}_loose as (select listing_id, string_agg(quote, ' | ' order by i) as notes from (select *, row_number() over (partition by listing_id order by i) as k from {kind}_grouped) where k <= 3 group by 1)"""
+
+
+def _reviewed(kind: str, order: list[str]) -> str:
+    return f"""select listing_id, '{kind}' as kind, true as flagged, string_agg(signal || ': ' || quote, ' | ' order by list_position({order}, signal)) as notes from {kind} group by 1
+        union all select listing_id, '{kind}', false, notes from {kind}_loose where listing_id not in (select listing_id from {kind})"""
+
 
 ORACLES = {
+    "room_signals": with_views(["v_doc"], f"with {_ROOM} select * from room"),
+    "studio_signals": with_views(["v_doc"], f"with {_STUDIO} select * from studio"),
+    "signal_counts": with_views(["v_doc"], f"with {_ROOM}, {_STUDIO} select signal, count(*) as listings from (select signal from room union all select signal from studio) group by 1"),
+    "signal_review": with_views(
+        ["v_doc"],
+        f"""with {_ROOM}, {_STUDIO}, {_loose("room", "lower(" + _plain("description") + ")", G.ROOM_LOOSE, G.ROOM_LOOSE_CONTEXT)}, {_loose("studio", _plain("description"), G.STUDIO_LOOSE, G.STUDIO_LOOSE_CONTEXT)}
+        {_reviewed("room", _ROOM_ORDER)} union all {_reviewed("studio", _STUDIO_ORDER)}""",
+    ),
     "room_signals_checked": with_views(
         ["v_doc"],
-        f"""with t as (select *, lower({_plain('description')}) as t from v_doc), hits as ({_rules(ROOM_NO_LOOKAHEAD, 't', 't', 't')})
-        select listing_id, signal, {_QUOTE} as quote from hits
-        union all select listing_id, 'room_address', address from v_doc where regexp_matches(lower(address), '^\\s*(?:room|rm)\\s*\\.?\\s*[0-9]')
-        union all select listing_id, 'beds_vs_price', bedrooms || ' bedrooms at ' || price_text from v_doc where bedrooms >= 5 and ({_DOC_PRICE}) < 500""",
+        f"with {_LOWERED}, hits as ({_ROOM_FREE}) select listing_id, signal, {_QUOTE} as quote from hits union all {_ADDRESS_AND_PRICE}",
     ),
     "studio_signals_checked": with_views(
         ["v_doc"],
-        f"""with {_MASKS}, hits as ({_rules(STUDIO_NO_LOOKAHEAD, 'm', 't', 'masked4')})
-        select listing_id, signal, {_QUOTE} as quote from hits
-        union all select listing_id, 'rea_property_type', 'REA property type: ' || property_text from v_doc where regexp_matches(lower(property_text), '\\bstudio')""",
+        f"with {_MASKS}, hits as ({_STUDIO_FREE}) select listing_id, signal, {_QUOTE} as quote from hits union all {_TYPED}",
     ),
     "parse_prices": with_views(
         ["v_doc"],
