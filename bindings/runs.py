@@ -14,6 +14,7 @@ from listingflow.plans import build as B
 from listingflow.plans.entries import listing_entries
 from listingflow.plans.replay import replay
 from listingflow.schemas import CACHED_TRAVEL, LEDGER, PROFILE, REJECTED
+from listingflow.session import cut_lineage
 
 from . import ledgers  # noqa: F401  (defines v_ledger)
 from .captures import capture_rows
@@ -239,6 +240,7 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     runs = r.groupBy("run_id").agg(F.count("*").alias("listings"), F.count_if(F.col("status") == "F").alias("new"), F.max("custkey").alias("top"))
     runs = runs.select("run_id", "listings", "new", F.lit(3).alias("criteria_version"), F.when(F.col("run_id") > "1999", F.lit(3)).otherwise(F.lit(2)).alias("snapshot_version"))
+    runs = cut_lineage(runs)  # one row per run, read by every check
     manifest = runs.filter("run_id <> '1995-01-01a'").select(
         "run_id", F.when(F.col("run_id") < "1994", F.lit("1990-01-01")).otherwise(F.left("run_id", F.lit(10))).alias("date"),
         (F.col("listings") + (F.col("run_id") < "1993").cast("int")).alias("listing_count"), (F.col("new") + (F.col("run_id") > "1997").cast("int")).alias("new_count"),
@@ -255,6 +257,7 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "listing_id", "first_seen_run", F.col("run_id").alias("last_seen_run"), F.lit("active").alias("status"),
         F.array(F.struct(F.col("run_id").alias("run"), F.lit(1).alias("price_pw"))).alias("price_history"),
         F.array(F.struct(F.col("run_id").alias("run"), F.when(F.col("id") % 107 == 0, F.lit("stale")).otherwise(F.lit("active")).alias("status"))).alias("status_history"),
+        F.transform(names, lambda i: i.cast("string")).alias("image_files"), (F.col("photos") + (F.col("id") % 109 == 0).cast("int")).alias("image_count"),
     )
     found = Q.union_all([
         Q.manifest_checks(manifest, runs, current),
@@ -278,7 +281,10 @@ def run_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     saved = view(spark, sf_dir, "v_run_row").filter("search_id <> ''").select("search_id").distinct()
     asked = saved.filter("search_id like 'walk%'")
     preferred = view(spark, sf_dir, "v_place").select("suburb_key")
-    return Q.version_warnings(current, saved, asked, 5, preferred, view(spark, sf_dir, "v_profile").select("suburb_key"))
+    written = runs.select("run_id", F.when(F.col("run_id") < "1994", F.lit("  ")).when(F.col("run_id") > "1997", F.col("s")).alias("commentary"))
+    return Q.version_warnings(current, saved, asked, 5, preferred, view(spark, sf_dir, "v_profile").select("suburb_key")).unionByName(
+        Q.commentary_warnings(written)
+    )
 
 
 def run_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,7 +376,8 @@ ORACLES = {
           union all select 'image_count_disagrees', key from k where image_count <> photos union all select 'hero_not_first', key from k where bad_hero
           union all select 'result_undefined', run_id || '/gone' from runs union all select 'matched_more_than_considered', run_id || '/walk-15' from runs where not run_id > '1996'
           union all select 'ledger_run_unknown', listing_id from ledger where first_seen_run not in (select run_id from runs)
-          union all select 'status_disagrees', listing_id from ledger where id % 107 = 0)
+          union all select 'status_disagrees', listing_id from ledger where id % 107 = 0
+          union all select 'file_count_disagrees', listing_id from ledger where id % 109 = 0)
         select 'fail' as severity, rule, count(*) as violations, min(key) as first_key from v group by rule""",
     ),
     "factor_key_faults": with_views(
@@ -381,7 +388,8 @@ ORACLES = {
         ["v_run_row", "v_place", "v_profile"],
         """select distinct 'warn' as severity, 'searches_version_skew' as rule, run_id as key, '4' as detail from v_run_row where run_id > '1998'
         union all select distinct 'warn', 'search_not_asked', search_id, '' from v_run_row where search_id <> '' and search_id not like 'walk%'
-        union all select 'warn', 'preferred_without_profile', suburb_key, '' from v_place where suburb_key not in (select suburb_key from v_profile)""",
+        union all select 'warn', 'preferred_without_profile', suburb_key, '' from v_place where suburb_key not in (select suburb_key from v_profile)
+        union all select 'warn', 'commentary_empty', run_id, '' from v_run_row group by run_id having run_id <= '1997' or max(search_id) = ''""",
     ),
     "taken_runs": with_views(["v_run_row"], "select distinct run_id from v_run_row where run_id in ('1996-01-01a', '2050-01-01a')"),
 }

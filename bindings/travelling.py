@@ -9,6 +9,7 @@ from listingflow.functions import geo
 from listingflow.functions.numbers import round_half_up
 from listingflow.operators import journeys as J
 from listingflow.operators import quality, travel
+from listingflow.session import cut_lineage
 
 from .sqltext import hav, rnd
 from .views import table, view, with_views
@@ -120,6 +121,7 @@ def travel_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
         (both != (F.col("pair_id") % 29 == 0)).alias("flagged"),
         F.when(F.col("pair_id") % 27 == 0, 5.0).otherwise(F.lit(J.WALK_SUSPECT_KMH)).alias("threshold_kmh"),
     )
+    planted = cut_lineage(planted)  # read by two checks
     parts = [
         quality.composition_checks(stored, legs(spark, sf_dir)),
         quality.flag_checks(planted),

@@ -57,64 +57,107 @@ def manifest_checks(manifest: DataFrame, runs: DataFrame, current: DataFrame) ->
     ])
 
 
+def _fault(rule: str, detail: Column | str = "") -> Column:
+    text = F.lit(detail) if isinstance(detail, str) else F.coalesce(detail.cast("string"), F.lit("null"))
+    return F.struct(F.lit(rule).alias("rule"), text.alias("detail"))
+
+
+def _broken(rules: dict[str, Column]) -> Column:
+    """The faults of a row: ``rules`` maps a name to the condition that must hold."""
+    return F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), _fault(name)) for name, ok in rules.items()]))
+
+
+def _searches_by_run(searches: DataFrame, name: str) -> DataFrame:
+    """The searches of each run, which are configuration, as one list."""
+    return searches.groupBy("run_id").agg(F.collect_set("search_id").alias(name))
+
+
+def _flagged(keys: DataFrame, key: Column, name: str, flag: str) -> DataFrame:
+    return keys.select(key.alias(name)).distinct().withColumn(flag, F.lit(True))
+
+
 def reference_checks(listings: DataFrame, ledger: DataFrame, suburbs: DataFrame, runs: DataFrame,
                      defined: DataFrame, asked: DataFrame, results: DataFrame) -> DataFrame:
     """References of published listings. ``listings``: run_id, listing_id, suburb_key, first_seen_run,
     matched_searches, image_count, hero, photos. ``defined``, ``asked``: run_id, search_id.
-    ``results``: run_id, search_id, matched, considered."""
-    key = F.concat_ws("/", "run_id", "listing_id")
-    claims = listings.select("run_id", "listing_id", F.explode("matched_searches").alias("search_id"))
-    # Claims are checked per distinct search and run first: the listing rows join only what fails.
-    claimed = claims.select("run_id", "search_id").distinct()
-    undefined = claimed.join(defined, ["run_id", "search_id"], "left_anti")
-    unasked = claimed.join(asked, ["run_id", "search_id"], "left_anti").join(asked.select("run_id").distinct(), "run_id", "left_semi")
-    searchless = listings.filter(F.size("matched_searches") == 0).join(defined.select("run_id").distinct(), "run_id", "left_semi")
-    result_key = F.concat_ws("/", "run_id", "search_id")
-    return union_all([
-        violations(listings.join(ledger.select("listing_id"), "listing_id", "left_anti"), "not_in_ledger", key),
-        violations(claims.join(undefined, ["run_id", "search_id"], "left_semi"), "search_undefined", key, F.col("search_id")),
-        violations(claims.join(unasked, ["run_id", "search_id"], "left_semi"), "search_not_asked", key, F.col("search_id")),
-        violations(searchless, "matched_no_search", key),
-        violations(listings.join(suburbs.select("suburb_key"), "suburb_key", "left_anti"), "suburb_unknown", key, F.col("suburb_key")),
-        violations(
-            listings.join(runs.select(F.col("run_id").alias("first_seen_run")), "first_seen_run", "left_anti"),
-            "first_run_unknown", key, F.col("first_seen_run"),
-        ),
-        check_rows(
-            listings, key,
+    ``results``: run_id, search_id, matched, considered.
+
+    The listings are read once: every reference is a flag joined to the row, every fault a member of one list.
+    """
+    rows = (
+        listings.join(_flagged(ledger, F.col("listing_id"), "listing_id", "_in_ledger"), "listing_id", "left")
+        .join(_flagged(suburbs, F.col("suburb_key"), "suburb_key", "_has_suburb"), "suburb_key", "left")
+        .join(_flagged(runs, F.col("run_id"), "first_seen_run", "_has_first"), "first_seen_run", "left")
+        .join(_searches_by_run(defined, "_defined"), "run_id", "left")
+        .join(_searches_by_run(asked, "_asked"), "run_id", "left")
+    )
+    none = F.array().cast("array<string>")
+
+    def claims_outside(rule: str, known: Column) -> Column:
+        outside = F.filter("matched_searches", lambda s: ~F.array_contains(known, s))
+        return F.transform(outside, lambda s: _fault(rule, s))
+
+    faults = F.concat(
+        _broken(
             {
+                "not_in_ledger": F.col("_in_ledger"),
+                "matched_no_search": F.col("_defined").isNull() | (F.size("matched_searches") > 0),
                 "image_count_disagrees": F.col("image_count") == F.size("photos"),
                 "hero_not_first": F.col("hero").eqNullSafe(F.get("photos", F.lit(0))),
-            },
+            }
         ),
+        F.array_compact(
+            F.array(
+                F.when(F.col("_has_suburb").isNull(), _fault("suburb_unknown", F.col("suburb_key"))),
+                F.when(F.col("_has_first").isNull(), _fault("first_run_unknown", F.col("first_seen_run"))),
+            )
+        ),
+        claims_outside("search_undefined", F.coalesce("_defined", none)),
+        # A run that asked nothing predates named searches.
+        F.coalesce(claims_outside("search_not_asked", F.col("_asked")), F.array().cast("array<struct<rule:string,detail:string>>")),
+    )
+    found = rows.select(F.concat_ws("/", "run_id", "listing_id").alias("key"), F.explode(faults).alias("f"))
+    result_key = F.concat_ws("/", "run_id", "search_id")
+    return union_all([
+        found.select(F.lit("fail").alias("severity"), "f.rule", "key", "f.detail"),
         violations(results.join(defined, ["run_id", "search_id"], "left_anti"), "result_undefined", result_key),
         violations(results.filter("matched > considered"), "matched_more_than_considered", result_key, F.col("matched")),
     ])
 
 
 def ledger_checks(ledger: DataFrame, runs: DataFrame) -> DataFrame:
-    """Every run a ledger row mentions is known; its last status is its status; file counts agree."""
+    """Every run a ledger row mentions is known; its last status is its status; its photo count is its number of photo
+    files. ``ledger``: listing_id, status, first_seen_run, last_seen_run, the two histories, image_count, image_files.
+
+    The ledger is read once: faults of the row itself travel beside the runs it mentions.
+    """
+
     def mention(place: str, run: Column) -> Column:
-        return F.struct(F.lit(place).alias("place"), run.alias("run_id"))
+        return F.struct(F.lit(None).cast("string").alias("rule"), F.lit(place).alias("place"), run.alias("run_id"))
 
     def history(name: str) -> Column:
         return F.transform(name, lambda point: mention(name, point["run"]))
 
-    mentions = ledger.select(
-        "listing_id",
-        F.explode(
-            F.concat(
-                F.array(mention("first_seen_run", F.col("first_seen_run")), mention("last_seen_run", F.col("last_seen_run"))),
-                history("price_history"), history("status_history"),
-            )
-        ).alias("m"),
-    ).select("listing_id", "m.*")
     last = F.try_element_at("status_history", F.lit(-1))["status"]
-    return union_all([
-        violations(mentions.join(runs.select("run_id"), "run_id", "left_anti"), "ledger_run_unknown", F.col("listing_id"),
-                   F.concat_ws(":", "place", "run_id")),
-        check_rows(ledger, F.col("listing_id"), {"status_disagrees": last.eqNullSafe(F.col("status"))}),
-    ])
+    own = _broken(
+        {
+            "status_disagrees": last.eqNullSafe(F.col("status")),
+            "file_count_disagrees": F.col("image_count") == F.coalesce(F.size("image_files"), F.lit(0)),
+        }
+    )
+    said = F.concat(
+        F.array(mention("first_seen_run", F.col("first_seen_run")), mention("last_seen_run", F.col("last_seen_run"))),
+        history("price_history"), history("status_history"),
+        F.transform(own, lambda f: F.struct(f["rule"].alias("rule"), F.lit("").alias("place"), F.lit(None).cast("string").alias("run_id"))),
+    )
+    known = _flagged(runs, F.col("run_id"), "run_id", "_known")
+    rows = ledger.select("listing_id", F.explode(said).alias("m")).select("listing_id", "m.*").join(known, "run_id", "left")
+    wrong = rows.filter("rule is not null or _known is null")
+    return wrong.select(
+        F.lit("fail").alias("severity"), F.coalesce("rule", F.lit("ledger_run_unknown")).alias("rule"),
+        F.col("listing_id").cast("string").alias("key"),
+        F.when(F.col("rule").isNull(), F.concat_ws(":", "place", "run_id")).otherwise(F.lit("")).alias("detail"),
+    )
 
 
 def factor_keys(listings: DataFrame, expected: Sequence[str], factors: str = "factor_keys") -> DataFrame:
@@ -137,6 +180,12 @@ def version_warnings(current: DataFrame, searches: DataFrame, asked: DataFrame,
     ])
 
 
+def commentary_warnings(runs: DataFrame) -> DataFrame:
+    """Runs without a word of commentary. ``runs``: run_id, commentary."""
+    silent = F.trim(F.coalesce("commentary", F.lit(""))) == ""
+    return violations(runs.filter(silent), "commentary_empty", F.col("run_id"), severity="warn")
+
+
 # ---- travel --------------------------------------------------------------------------------
 
 
