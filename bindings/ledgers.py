@@ -190,7 +190,34 @@ def orphan_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.orphan_media(keys, doomed)
 
 
+def run_removal(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Runs are order years, published listings the customers; every second year is removed."""
+    o = table(spark, sf_dir, "orders")
+    runs = o.select(F.col("o_custkey").cast("string").alias("listing_id"), F.year("o_orderdate").cast("string").alias("run_id"))
+    years = runs.select("run_id").distinct().withColumn("position", F.col("run_id").cast("bigint"))
+    return runs, years, years.filter("position % 2 = 0").select("run_id")
+
+
+def cleared_photos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer's photo record after the removal."""
+    runs, _, removed = run_removal(spark, sf_dir)
+    files = F.transform(F.sequence(F.lit(0), F.col("c_custkey") % 3), lambda i: F.concat(F.lit("0"), i.cast("string"), F.lit(".webp")))
+    ledger = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("listing_id"), F.array("c_name").alias("image_urls"), files.alias("image_files")
+    )
+    left = P.cleared_photos(ledger, P.doomed_listings(runs, removed))
+    return left.select("listing_id", F.array_join("image_urls", ",").alias("urls"), F.size("image_files").alias("files"))
+
+
+def current_runs_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each year as the current run: what is shown after the removal."""
+    _, years, removed = run_removal(spark, sf_dir)
+    left = [P.current_run_after(years, removed, current).select(F.lit(current).alias("was"), "current_run") for current in ("1995", "1996", "2051")]
+    return left[0].unionByName(left[1]).unionByName(left[2])
+
+
 QUERIES = {
+    "cleared_photos": cleared_photos, "current_run_after": current_runs_after,
     "ledger_merge": ledger_merge, "ledger_absent": ledger_absent, "absence_set": absence_set,
     "absence_verdicts": absence_verdicts, "partial_search": partial_search, "ledger_history": ledger_history,
     "rejected_fold": rejected_fold, "photo_plan": photo_plan, "orphan_media": orphan_media,
@@ -278,6 +305,15 @@ ORACLES = {
         p as (select listing_id, unnest(range(have + 1, offered + 1)) as i, have, case when have > 0 then have + doc_id % 2 else 0 end as highest from u)
         select listing_id, 'p' || i as url, lpad(cast(highest + i - have as varchar), 2, '0') || '.webp' as file from p where i <= 8""",
     ),
+    "cleared_photos": """
+        with runs as (select cast(o_custkey as varchar) as listing_id, year(o_orderdate) as y from orders),
+        doomed as (select listing_id from runs group by listing_id having bool_and(y % 2 = 0))
+        select cast(c_custkey as varchar) as listing_id, case when d.listing_id is null then c_name else '' end as urls,
+        cast(case when d.listing_id is null then 1 + c_custkey % 3 else 0 end as int) as files from customer left join doomed d on d.listing_id = cast(c_custkey as varchar)""",
+    "current_run_after": """
+        with left_over as (select distinct year(o_orderdate) as y from orders where year(o_orderdate) % 2 = 1)
+        select was, cast(max_by(y, (case when cast(y as varchar) = was then 1 else 0 end, y)) as varchar) as current_run
+        from left_over, (select unnest(['1995', '1996', '2051']) as was) group by was""",
     "orphan_media": """
         with runs as (select cast(o_custkey as varchar) as listing_id, cast(year(o_orderdate) as varchar) as run_id, * from orders),
         doomed as (select listing_id from runs group by listing_id having max(run_id) < '2000')

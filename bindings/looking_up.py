@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listingflow.config import POI_KINDS
 from listingflow.functions import clock, text
 from listingflow.functions.geo import route_key
 from listingflow.operators import lookups as K
 from listingflow.operators import travel as V
+from listingflow.schemas import CACHED_WALKABILITY
 from listingflow.sources import caches
 
 from .sqltext import rnd
@@ -124,18 +126,19 @@ def stale_work(spark: SparkSession, sf_dir: str) -> DataFrame:
             "address": F.concat(F.lit("addr "), (F.col("id") % 10).cast("string")),
             "cached": F.when(F.col("id") % 3 != 0, F.struct(F.concat(F.lit("addr "), (F.col("id") % 20).cast("string")).alias("address"))),
             "composition": F.when(F.col("id") % 4 == 0, F.lit("legs")),
-            "block": F.when(
+            "walkability": F.when(
                 F.col("id") % 5 != 0,
                 F.struct(
+                    F.lit("2024-02-05T00:00:00Z").alias("computed_at"),
                     F.when(F.col("id") % 2 == 0, F.lit("abc")).otherwise(F.lit("def")).alias("config_hash"),
                     (F.col("lat") + (F.col("id") % 9) / 10000).alias("lat"), F.col("lon").alias("lon"),
+                    *[F.lit(None).alias(kind) for kind in POI_KINDS],
                 ),
-            ),
+            ).cast(f"STRUCT<{CACHED_WALKABILITY}>"),
         }
     )
-    fresh = V.cache_is_fresh(F.col("block"), F.lit("abc"), F.col("lat"), F.col("lon"))
     parts = [
-        rows.filter(~fresh & F.col("lat").isNotNull()).select("listing_id", F.lit("walkability").alias("work")),
+        V.stale_walkability(rows, "abc").select("listing_id", F.lit("walkability").alias("work")),
         V.stale_routes(rows).select("listing_id", F.lit("route").alias("work")),
         V.unmeasured_journeys(rows).select("listing_id", F.lit("journey").alias("work")),
     ]

@@ -60,12 +60,15 @@ def commute_block(travel: Column, origin: str, source: str) -> Column:
 
 def with_enrichment(listings: DataFrame, origin: str, source: str, travel: str = "travel",
                     walkability: str = "walkability") -> DataFrame:
-    """Add ``enrichment{commute, walkability}``; a null cached walkability block stays unavailable."""
+    """Add ``enrichment{commute, walkability}``; a null cached walkability block stays unavailable. Of a cached block only
+    the places are shown."""
+    cached = F.col(walkability)
+    places = F.when(cached.isNotNull(), F.struct(*[cached[kind].alias(kind) for kind in POI_KINDS]))
     return listings.withColumn(
         "enrichment",
         F.struct(
             commute_block(F.col(travel), origin, source).alias("commute"),
-            F.coalesce(F.col(walkability), empty_walkability()).alias("walkability"),
+            F.coalesce(places, empty_walkability()).alias("walkability"),
         ),
     )
 

@@ -249,6 +249,16 @@ def walkability(listings: DataFrame, pois: DataFrame, walking: Walking) -> DataF
     return joined.select("listing_id", F.struct(*[block(kind) for kind in POI_KINDS]).alias("walkability"))
 
 
+def cached_walkability(listings: DataFrame, pois: DataFrame, walking: Walking, config_hash: str, computed_at: str) -> DataFrame:
+    """``listing_id, walkability`` as the ledger keeps it, for listings with a position: the block, when and under which
+    configuration it was made, and the position it was made for. ``travel.stale_walkability`` reads these."""
+    located = listings.filter("lat is not null and lon is not null")
+    made = [F.lit(computed_at).alias("computed_at"), F.lit(config_hash).alias("config_hash"), F.col("lat"), F.col("lon")]
+    return walkability(located, pois, walking).join(located.select("listing_id", "lat", "lon"), "listing_id").select(
+        "listing_id", F.struct(*made, "walkability.*").alias("walkability")
+    )
+
+
 def request_cells(points: DataFrame, radius_m: float, degrees: float = CELL_DEGREES) -> DataFrame:
     """Grid cells that hold points, grown by the radius, with how many points each holds."""
     cells = (

@@ -113,6 +113,12 @@ def cache_is_fresh(cached: Column, config_hash: Column, lat: Column, lon: Column
     return F.coalesce((cached["config_hash"] == config_hash) & near, F.lit(False))
 
 
+def stale_walkability(ledger: DataFrame, config_hash: str) -> DataFrame:
+    """Located ledger rows whose cached walkability no longer answers."""
+    fresh = cache_is_fresh(F.col("walkability"), F.lit(config_hash), F.col("lat"), F.col("lon"))
+    return ledger.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull() & ~fresh)
+
+
 def arrive_by_mismatches(groups: DataFrame, resolved: str) -> DataFrame:
     """Transit passes measured against another moment, or against none."""
     return groups.filter((F.col("mode") == "transit") & ~F.col("arrive_by").eqNullSafe(F.lit(resolved))).select(

@@ -46,6 +46,9 @@ CACHE_FILE = """
 PLACE = "status: STRING, source: STRING, name: STRING, walk_minutes: DOUBLE, distance_m: INT"
 WALKABILITY = f"cafe: STRUCT<{PLACE}>, supermarket: STRUCT<{PLACE}, is_major_chain: BOOLEAN>, gym: STRUCT<{PLACE}>"
 
+# What the ledger keeps: when, under which configuration and where the block was measured.
+CACHED_WALKABILITY = f"computed_at: STRING, config_hash: STRING, lat: DOUBLE, lon: DOUBLE, {WALKABILITY}"
+
 COMPOSITION = """
     source: STRING, ferry_available: BOOLEAN,
     legs: ARRAY<STRUCT<product_class: INT, service: STRING, service_description: STRING,
@@ -65,7 +68,7 @@ LEDGER = f"""
     facts_last STRUCT<beds: INT, baths: INT, car_spaces: INT, area_sqm: INT>,
     image_urls ARRAY<STRING>, image_files ARRAY<STRING>,
     cached_travel MAP<STRING, STRUCT<{CACHED_TRAVEL}>>,
-    walkability STRUCT<{WALKABILITY}>
+    walkability STRUCT<{CACHED_WALKABILITY}>
 """
 
 REJECTED = f"""

@@ -9,8 +9,9 @@ from listingflow.config import Walking
 from listingflow.functions import geo
 from listingflow.operators import nearest as N
 from listingflow.operators import places as P
+from listingflow.operators import travel as T
 from listingflow.sources.pois import admit_pois, distinct_pois
-from listingflow.schemas import POI_ELEMENT
+from listingflow.schemas import LEDGER, POI_ELEMENT
 
 WALKING = Walking(detour_factor=1.35, speed_m_per_min=80, poi_radius_m=1200)
 HOME = (-33.87, 151.2)
@@ -141,6 +142,19 @@ def test_walkability(spark):
     assert block(spark, [at(50, "cafe", "x")], (None, None)).cafe.status == "unavailable"
 
 
+def test_cached_walkability_answers_until_it_moves(spark):
+    rows = spark.createDataFrame([("h", *HOME), ("lost", None, None)], "listing_id STRING, lat DOUBLE, lon DOUBLE")
+    pois = spark.createDataFrame([at(200, "cafe", "Close")], POI)
+    made = N.cached_walkability(rows, pois, WALKING, "abc", "2024-02-05T00:00:00Z")
+    block = made.collect()[0].walkability
+    assert made.count() == 1 and (block.config_hash, block.lat, block.cafe.name, block.gym.status) == ("abc", HOME[0], "Close", "none_found")
+    ledger = rows.join(made, "listing_id", "left")
+    moved = ledger.withColumn("lat", F.col("lat") + 0.0006)
+    assert spark.createDataFrame([], LEDGER).schema["walkability"].dataType.simpleString() == made.schema["walkability"].dataType.simpleString()
+    stale = [[r.listing_id for r in T.stale_walkability(*args).collect()] for args in ((ledger, "abc"), (ledger, "def"), (moved, "abc"))]
+    assert stale == [[], ["h"], ["h"]]
+
+
 def test_request_cells(spark):
     points = [HOME, (HOME[0] + 0.0005, HOME[1]), (HOME[0] + 0.5, HOME[1])]
     cells = N.request_cells(spark.createDataFrame(points, "lat DOUBLE, lon DOUBLE"), 1200).collect()
