@@ -1,11 +1,12 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates. DataFrame functions only.
 
-A block is a line. Template words are put in one order, rarest in the corpus first, with frequencies counted over every
-block of every document. A template of m words whose containment must reach a threshold needs o of them; a block with o
-must hold one of the template's m - o + 1 rarest words (prefix filter), must have o words itself (length filter), and
-must still be able to reach o from where the two orders first meet (positional filter). What passes is counted exactly.
-Templates are configuration and stand in the plan as literals, so documents are matched where they are read: nothing is
-shuffled but one count per template word.
+A block is a window of consecutive words, whatever lines they stand on: as many as the template's wording has and a quarter
+more (three at least), beginning at every word of the template. So a wrapped notice is whole in one block and words scattered
+over a long line are not. Template words are put in one order, rarest in the corpus first, with frequencies counted over every
+line of every document. A template of m words whose containment must reach a threshold needs o of them; a block with o must
+hold one of the template's m - o + 1 rarest words (prefix filter), and the words within reach of that one must hold o (positional
+filter). What passes is counted exactly. Templates are configuration and stand in the plan as literals, so documents are matched
+where they are read: nothing is shuffled but one count per template word.
 
 Defined cases: a null or empty text has no word, no label and score 0; repeated rows and null ids are rows like any
 other; an empty table gives an empty result. Other columns are ignored.
@@ -44,16 +45,25 @@ def _words(text: Column) -> Column:
 
 
 def template_words(wording: str) -> list[str]:
+    return list(dict.fromkeys(in_order(wording)))
+
+
+def in_order(wording: str) -> list[str]:
     import re
 
-    return list(dict.fromkeys(w for w in re.split(GAP, wording.lower()) if w))
+    return [w for w in re.split(GAP, wording.lower()) if w]
+
+
+def spare(wording: str) -> int:
+    """Words that a block may hold besides the wording's own."""
+    return max(3, math.ceil(len(in_order(wording)) / 4))
 
 
 def global_order(docs: DataFrame, vocabulary: Sequence[str]) -> list[str]:
-    """``vocabulary``, rarest first by the number of blocks that hold a word, over all blocks."""
-    block = F.explode(F.split(lower_ascii(F.col("text")), "\n")).alias("block")
+    """``vocabulary``, rarest first by the number of lines that hold a word, over all lines."""
+    line = F.explode(F.split(lower_ascii(F.col("text")), "\n")).alias("line")
     known = F.array(*[F.lit(w) for w in vocabulary])
-    found = docs.select(block).select(F.explode(F.array_intersect(known, F.split("block", GAP))).alias("word"))
+    found = docs.select(line).select(F.explode(F.array_intersect(known, F.split("line", GAP))).alias("word"))
     counts = {r["word"]: r["n"] for r in found.groupBy("word").agg(F.count("*").alias("n")).collect()}
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
@@ -62,37 +72,36 @@ def scan_licenses(
     docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES, templates: Sequence[tuple[str, str]] = TEMPLATES, containment: float = 0.85
 ) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for every row of ``docs``."""
-    sets = [(label, template_words(wording)) for label, wording in templates]
-    order = global_order(docs, sorted({w for _, words in sets for w in words}))
+    sets = [(label, template_words(wording), len(in_order(wording)) + spare(wording)) for label, wording in templates]
+    order = global_order(docs, sorted({w for _, words, _ in sets for w in words}))
     rank = {w: k for k, w in enumerate(order)}
     text_array = lambda words: F.array(*[F.lit(w) for w in words])
     listed, rarest = [], set()
-    for label, words in sets:
+    for label, words, room in sets:
         ordered = sorted(words, key=rank.__getitem__)
         need = math.ceil(containment * len(ordered) - 1e-9)
         prefix = ordered[: len(ordered) - need + 1]
         rarest.update(prefix)
-        listed.append(F.struct(F.lit(label).alias("label"), text_array(ordered).alias("words"), text_array(prefix).alias("prefix"), F.lit(need).alias("need")))
+        listed.append(F.struct(F.lit(label).alias("label"), text_array(ordered).alias("words"), text_array(prefix).alias("prefix"), F.lit(need).alias("need"), F.lit(room).alias("room")))
 
     text = lower_ascii(F.coalesce("text", F.lit("")))
-    # Blocks that hold a rare word, as their words in global order and their size; other blocks cannot match.
-    holds_rare = rf"(?:^|{GAP})(?:{'|'.join(sorted(rarest))})(?:{GAP}|$)"
-    candidates = F.filter(F.split("t", "\n"), lambda line: line.rlike(holds_rare))
-    blocks = F.transform(
-        candidates, lambda line: F.struct(F.array_intersect(text_array(order), F.split(line, GAP)).alias("known"), F.size(F.array_distinct(_words(line))).alias("size"))
-    )
-
-    def reaches(template: Column, block: Column) -> Column:
-        met = F.get(F.array_intersect(template["prefix"], block["known"]), F.lit(0))
-        further = F.least(F.size(template["words"]) - F.array_position(template["words"], met), F.size(block["known"]) - F.array_position(block["known"], met))
-        return (block["size"] >= template["need"]) & F.coalesce(1 + further >= template["need"], F.lit(False)) & (
-            F.size(F.array_intersect(template["words"], block["known"])) >= template["need"]
-        )
+    nowhere = F.array().cast("array<int>")
+    # Where rare words stand; texts without one cannot match.
+    rare = F.when(
+        F.arrays_overlap("w", text_array(sorted(rarest))), F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.get("w", i).isin(sorted(rarest)))
+    ).otherwise(nowhere)
+
+    def held(template: Column, first: Column, end: Column) -> Column:
+        """The template's words at the places from ``first`` up to ``end``, without it."""
+        return F.array_intersect(template["words"], F.slice("w", first + 1, end - first))
 
     def share(template: Column) -> Column:
         """The template's best containment in a block that reaches the threshold; null if none does."""
-        passed = F.filter("blocks", lambda b: reaches(template, b))
-        return F.array_max(F.transform(passed, lambda b: F.size(F.array_intersect(template["words"], b["known"])) / F.size(template["words"])))
+        earliest = lambda i: F.greatest(i - template["room"] + 1, F.lit(0))
+        met = F.filter("rare", lambda i: F.array_contains(template["prefix"], F.get("w", i)) & (F.size(held(template, earliest(i), i + template["room"])) >= template["need"]))
+        firsts = F.array_distinct(F.flatten(F.transform(met, lambda i: F.filter(F.sequence(earliest(i), i), lambda k: F.array_contains(template["words"], F.get("w", k))))))
+        sizes = F.transform(firsts, lambda k: F.size(held(template, k, k + template["room"])))
+        return F.array_max(F.filter(sizes, lambda n: n >= template["need"])) / F.size(template["words"])
 
     matched = F.filter(F.transform(F.array(*listed), lambda t: F.struct(t["label"].alias("label"), share(t).alias("share"))), lambda m: m["share"].isNotNull())
 
@@ -107,17 +116,16 @@ def scan_licenses(
 
         return F.filter(F.sequence(F.lit(0), F.size("w") - 1), here)
 
-    none = F.array().cast("array<int>")
     last_words = sorted({p.split()[-1] for p, _ in phrases})
     likely = F.lit(False)
     for word in last_words:
         likely = likely | F.contains("t", F.lit(word))
     likely = likely & (F.size("w") > 0)
-    found = [F.when(likely, places(p)).otherwise(none) for p, _ in phrases]
+    found = [F.when(likely, places(p)).otherwise(nowhere) for p, _ in phrases]
     # Each step's columns are computed once: Spark keeps them apart because later steps read them several times.
     read = docs.select("doc_id", text.alias("t")).select("doc_id", "t", _words(F.col("t")).alias("w"))
-    read = read.select("doc_id", F.size("w").alias("n_words"), *[f.alias(f"at{k}") for k, f in enumerate(found)], blocks.alias("blocks"))
-    read = read.select("doc_id", "n_words", *[f"at{k}" for k in range(len(phrases))], F.when(F.size("blocks") > 0, matched).otherwise(F.filter(F.array(F.struct(F.lit("").alias("label"), F.lit(0.0).alias("share"))), lambda m: F.lit(False))).alias("matched"))
+    read = read.select("doc_id", "w", F.size("w").alias("n_words"), *[f.alias(f"at{k}") for k, f in enumerate(found)], rare.alias("rare"))
+    read = read.select("doc_id", "n_words", *[f"at{k}" for k in range(len(phrases))], F.when(F.size("rare") > 0, matched).otherwise(F.filter(F.array(F.struct(F.lit("").alias("label"), F.lit(0.0).alias("share"))), lambda m: F.lit(False))).alias("matched"))
     read = staged(read, "license-places")
     at = F.flatten(F.array(*[F.col(f"at{k}") for k in range(len(phrases))]))
     base = F.array_distinct(F.array_compact(F.array(*[F.when(F.size(f"at{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(phrases)])))

@@ -345,6 +345,23 @@ def test_license_join_agrees_with_all_templates_in_all_blocks(spark, none):
     assert licenses.scan_licenses(none).count() == 0
 
 
+WRAPPED = {
+    "mit": "Copyright (c) 2020 Somebody\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction",
+    "apache": "# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n#\n#     http://www.apache.org/licenses/LICENSE-2.0",
+    "gpl": " * you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation; either version 3",
+    "bsd": "Redistribution and use in source and binary forms, with or without\r\nmodification, are permitted provided that the following conditions are met:",
+}
+
+
+def test_notices_match_across_line_breaks_and_not_across_long_lines(spark):
+    filler = "some words that no notice holds and then some other words follow here "
+    scattered = filler.join(["Released ", "under ", "the ", "MIT ", "License "])
+    rows = [(k, text) for k, text in enumerate(WRAPPED.values())] + [(10 + k, f"{filler * 40}\n{text}\n{filler * 40}") for k, text in enumerate(WRAPPED.values())]
+    rows += [(20, scattered), (21, scattered.replace(" here ", " here\n"))]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**{at + k: (label, 1.0) for at in (0, 10) for k, label in enumerate(WRAPPED)}, 20: ("", 0.0), 21: ("", 0.0)}
+
+
 def test_packing_holds_every_token_once(docs, none):
     library = load_tokenizer(tokenizer_path("word_bpe_49k.json"))
     got = packing.packed(docs).collect()
