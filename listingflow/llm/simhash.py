@@ -218,8 +218,13 @@ def representatives(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: i
     first = of_rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first"))
     kept = first.join(groups, "fp").groupBy("component").agg(F.min("first").alias("first"))
     kept = kept.select(F.col("first.doc_id").alias("llm_id"), F.col("first.text_hash").alias("llm_hash"))
+    return rows_of(docs, kept).drop("llm_id", "llm_hash")
+
+
+def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row of ``docs`` for every id and text of ``kept`` (llm_id, llm_hash), with the columns of both."""
     text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
     # Rows of a kept id and text may repeat; numbering them needs no further shuffle.
     repeated = W.partitionBy("llm_id", "llm_hash").orderBy(F.lit(0))
     found = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("llm_id")) & (text_hash == F.col("llm_hash")))
-    return found.withColumn("llm_k", F.row_number().over(repeated)).where("llm_k = 1").drop("llm_id", "llm_hash", "llm_k")
+    return found.withColumn("llm_k", F.row_number().over(repeated)).where("llm_k = 1").drop("llm_k")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import corpus_pipeline
-from listingflow.llm import lines, packing, quality, simhash
+from listingflow.llm import copies, lines, packing, quality, simhash
 from listingflow.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -30,6 +31,33 @@ def test_stages_follow_each_other(spark):
     assert corpus_pipeline.run(spark, SF).count() == packed.count()
 
 
+def test_near_copies_of_five_words_are_dropped(spark, monkeypatch):
+    monkeypatch.setattr(copies, "CHUNK", 8)
+    rng = random.Random(4)
+    words = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    texts = [" ".join(words(rng.randint(1, 90))) for _ in range(60)]
+    for base in [words(80) for _ in range(15)] + [words(200)] * 30:
+        edited = list(base)
+        for _ in range(rng.randint(1, 5)):
+            edited[rng.randrange(len(edited))] = "edited"
+        texts += [" ".join(base), " ".join(edited).upper() + " \n"]
+    texts += [None, "", " \t", "a", "A", "a b"]
+    rows = [(k * 7 % 1009, t) for k, t in enumerate(texts)] + [(3, texts[9]), (None, texts[9]), (None, "only here without an id")]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in ((t or "").lower().split() for _, t in rows)]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both, either = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if both >= 0.8 * either - 1e-9:
+                root = [root[j] if r == root[i] else r for r in root]
+    least = {r: min((rows[k][0] is None, rows[k][0] or 0) for k in range(len(rows)) if root[k] == r) for r in set(root)}
+    got = copies.without_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert got.columns == ["doc_id", "text"]
+    assert Counter(r["doc_id"] for r in got.collect()) == Counter(None if no_id else i for no_id, i in least.values())
+    assert corpus_pipeline.drop_near_duplicates(spark, got, SF).count() == len(least)
+    assert copies.without_copies(got.limit(0)).count() == 0
+
+
 def test_every_operator_is_registered():
     assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)] + ["pipeline"]
     assert set(ORACLES) <= set(QUERIES)
