@@ -5,7 +5,7 @@ more (three at least), beginning at every word of the template. So a wrapped not
 over a long line are not. Template words are put in one order, rarest in the corpus first, with frequencies counted over every
 line of every document. A template of m words whose containment must reach a threshold needs o of them; a block with o must
 hold one of the template's m - o + 1 rarest words (prefix filter), and the words within reach of that one must hold o (positional
-filter). What passes is counted exactly. Templates are configuration and stand in the plan as literals, so documents are matched
+filter). What passes is counted exactly, and must hold the words that tell its license from others (``NAMES``). Templates are configuration and stand in the plan as literals, so documents are matched
 where they are read: nothing is shuffled but one count per template word.
 
 Defined cases: a null or empty text has no word, no label and score 0; repeated rows and null ids are rows like any
@@ -38,6 +38,25 @@ TEMPLATES = (
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
 )
 
+_CREATIVE = "This work is licensed under a Creative Commons {} 4.0 International License."
+#: Licenses that differ from one of ``TEMPLATES`` by a word or two.
+NEIGHBOURS = (
+    ("cc-by", "Licensed under CC BY 4.0."),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0."),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0."),
+    ("cc-by-nc-nd", "Licensed under CC BY-NC-ND 4.0."),
+    ("cc-by-nc", _CREATIVE.format("Attribution-NonCommercial")),
+    ("cc-by-sa", _CREATIVE.format("Attribution-ShareAlike")),
+    ("cc-by-nd", _CREATIVE.format("Attribution-NoDerivatives")),
+    ("cc-by-nc-sa", _CREATIVE.format("Attribution-NonCommercial-ShareAlike")),
+    ("cc-by-nc-nd", _CREATIVE.format("Attribution-NonCommercial-NoDerivatives")),
+    ("mpl", "Licensed under the Mozilla Public License, Version 2.0."),
+)
+#: Words that tell licenses apart: a template that has one is only met with it, and not where words stand that another
+#: template has besides the same ones ("CC BY" is not met in "CC BY-NC").
+NAMES = {"mit", "apache", "gnu", "mozilla", "cc", "nc", "sa", "nd", "creative", "noncommercial", "sharealike", "noderivatives"}
+
 
 def _words(text: Column) -> Column:
     """The words of a lower-cased text in order."""
@@ -69,20 +88,22 @@ def global_order(docs: DataFrame, vocabulary: Sequence[str]) -> list[str]:
 
 
 def scan_licenses(
-    docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES, templates: Sequence[tuple[str, str]] = TEMPLATES, containment: float = 0.85
+    docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES, templates: Sequence[tuple[str, str]] = TEMPLATES + NEIGHBOURS, containment: float = 0.85
 ) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for every row of ``docs``."""
-    sets = [(label, template_words(wording), len(in_order(wording)) + spare(wording)) for label, wording in templates]
-    order = global_order(docs, sorted({w for _, words, _ in sets for w in words}))
+    sets = [(label, template_words(wording), len(in_order(wording)) + spare(wording), spare(wording)) for label, wording in templates]
+    order = global_order(docs, sorted({w for _, words, _, _ in sets for w in words}))
     rank = {w: k for k, w in enumerate(order)}
-    text_array = lambda words: F.array(*[F.lit(w) for w in words])
+    text_array = lambda words: F.array(*[F.lit(w) for w in words]).cast("array<string>")
+    named = [NAMES.intersection(words) for _, words, _, _ in sets]
     listed, rarest = [], set()
-    for label, words, room in sets:
+    for (label, words, room, beside), names in zip(sets, named, strict=True):
+        others = set().union(*[n - names for n in named if names and names < n])
         ordered = sorted(words, key=rank.__getitem__)
         need = math.ceil(containment * len(ordered) - 1e-9)
         prefix = ordered[: len(ordered) - need + 1]
         rarest.update(prefix)
-        listed.append(F.struct(F.lit(label).alias("label"), text_array(ordered).alias("words"), text_array(prefix).alias("prefix"), F.lit(need).alias("need"), F.lit(room).alias("room")))
+        listed.append(F.struct(F.lit(label).alias("label"), text_array(ordered).alias("words"), text_array(prefix).alias("prefix"), F.lit(need).alias("need"), F.lit(room).alias("room"), F.lit(beside).alias("beside"), text_array(sorted(names)).alias("names"), text_array(sorted(others)).alias("others")))
 
     text = lower_ascii(F.coalesce("text", F.lit("")))
     nowhere = F.array().cast("array<int>")
@@ -100,8 +121,17 @@ def scan_licenses(
         earliest = lambda i: F.greatest(i - template["room"] + 1, F.lit(0))
         met = F.filter("rare", lambda i: F.array_contains(template["prefix"], F.get("w", i)) & (F.size(held(template, earliest(i), i + template["room"])) >= template["need"]))
         firsts = F.array_distinct(F.flatten(F.transform(met, lambda i: F.filter(F.sequence(earliest(i), i), lambda k: F.array_contains(template["words"], F.get("w", k))))))
-        sizes = F.transform(firsts, lambda k: F.size(held(template, k, k + template["room"])))
-        return F.array_max(F.filter(sizes, lambda n: n >= template["need"])) / F.size(template["words"])
+
+        def tells(k: Column) -> Column:
+            block = F.slice("w", k + 1, template["room"])
+            last = F.array_max(F.transform(held(template, k, k + template["room"]), lambda word: F.array_position(block, word))).cast("int")
+            start = F.greatest(k - template["beside"], F.lit(0))
+            around = F.slice("w", start + 1, k + last + template["beside"] - start)
+            return (F.size(F.array_except(template["names"], block)) == 0) & ~F.arrays_overlap(template["others"], around)
+
+        reached = F.filter(firsts, lambda k: F.size(held(template, k, k + template["room"])) >= template["need"])
+        sizes = F.transform(F.filter(reached, tells), lambda k: F.size(held(template, k, k + template["room"])))
+        return F.array_max(sizes) / F.size(template["words"])
 
     matched = F.filter(F.transform(F.array(*listed), lambda t: F.struct(t["label"].alias("label"), share(t).alias("share"))), lambda m: m["share"].isNotNull())
 

@@ -362,6 +362,22 @@ def test_notices_match_across_line_breaks_and_not_across_long_lines(spark):
     assert got == {**{at + k: (label, 1.0) for at in (0, 10) for k, label in enumerate(WRAPPED)}, 20: ("", 0.0), 21: ("", 0.0)}
 
 
+def test_neighbouring_licenses_get_their_own_labels(spark):
+    creative = "This work is licensed under a Creative Commons {} 4.0 International License."
+    expected = {
+        "Licensed under CC BY 4.0.": "cc-by", "Licensed under CC BY-SA 4.0.": "cc-by-sa", "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+        "Licensed under CC BY-NC-SA 4.0.": "cc-by-nc-sa", "Licensed under the Mozilla Public License, Version 2.0.": "mpl",
+        "Licensed under the Apache License, Version 2.0.": "apache", "Licensed under the Eclipse Public License, Version 2.0.": "",
+        creative.format("Attribution"): "cc-by", creative.format("Attribution-NonCommercial"): "cc-by-nc",
+        creative.format("Attribution-\nShareAlike"): "cc-by-sa",
+        "Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
+        "Released under the MIT License. Licensed under the Apache License, Version 2.0.": "apache,mit",
+    }
+    rows = list(enumerate(expected))
+    got = {rows[r["doc_id"]][1]: r["labels"] for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == expected
+
+
 def test_packing_holds_every_token_once(docs, none):
     library = load_tokenizer(tokenizer_path("word_bpe_49k.json"))
     got = packing.packed(docs).collect()
