@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from listingflow.llm import codec, counts, exact, licenses, lines, neighbours, packing, quality, sharding, simhash
+from listingflow.llm import codec, counts, exact, licenses, lines, negatives, neighbours, packing, pieces, quality, ranking, sharding, simhash
 from listingflow.llm.common import table
 from listingflow.llm.sql import ORACLES as SQL
 
@@ -50,6 +51,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return negatives.hard_negatives(rows.withColumn("label", negatives.relabelled(F.col("label"), F.col("vec_id"))))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -60,7 +74,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_token_counts, op3_bpe_codec, op4_sharding, op5_simhash_near_dedup, op6_nearest_neighbours,
-        op7_exact_dedup, op8_line_dedup, op9_license_scans, op10_best_fit_packing, pipeline,
+        op7_exact_dedup, op8_line_dedup, op9_license_scans, op10_best_fit_packing, op11_hard_negatives,
+        op12_ranked_search, op13_piece_codec, pipeline,
     )
 }
 ORACLES = dict(SQL)

@@ -4,6 +4,9 @@ from listingflow.llm.licenses import GAP, TEMPLATES, template_words
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: A term: letters, digits and everything beyond ASCII.
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 ORACLES = {
     "op7_exact_dedup": f"""
         with d as (select doc_id, {_LOWER} as t from documents)
@@ -49,4 +52,37 @@ ORACLES = {
                coalesce((select max(share) from found where found.r = w.r), case when n_base > 0 then 1.0::double end, 0.0::double) as score
         from w left join base using (r)
     """,
+    "op11_hard_negatives": """
+        with e as (
+            select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), s as (
+            select a.id as anchor_id, r.id, a.label = r.label as same, list_inner_product(a.v, r.v)::bigint as score
+            from e a, e r where a.id % 100 = 0 and r.id <> a.id
+        ), p as (
+            select * from s where same qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+        )
+        select p.anchor_id, p.id as positive_id, row_number() over w ::int as rank, n.id as negative_id, p.score as positive_score,
+               n.score as negative_score
+        from p join s n on n.anchor_id = p.anchor_id and not n.same and 80 * p.score <= 100 * n.score and n.score <= p.score
+        window w as (partition by p.anchor_id, p.id order by n.score desc, n.id)
+        qualify row_number() over w <= 5
+    """,
+    "op12_ranked_search": f"""
+        with d as (select doc_id, regexp_extract_all({_LOWER}, '{TERM}') as terms from documents),
+        u as (select doc_id, unnest(terms) as term, len(terms) as n from d),
+        f as (select doc_id, term, any_value(n) as n, count(*) as tf from u group by doc_id, term),
+        c as (select count(*) as docs, sum(len(terms))::bigint as total from d where len(terms) > 0),
+        w as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)))::bigint as w from f, c group by term, docs),
+        i as (select distinct item_id, unnest(regexp_extract_all({_LOWER}, '{TERM}')) as term from benchmark),
+        s as (
+            select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))))::bigint as score
+            from i join f using (term) join w using (term), c group by item_id, doc_id
+        )
+        select item_id, row_number() over o ::int as rank, doc_id, score from s where score > 0
+        window o as (partition by item_id order by score desc, doc_id) qualify row_number() over o <= 50
+    """,
 }
