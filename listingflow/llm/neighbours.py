@@ -6,14 +6,16 @@ the true neighbours of sample queries, found by brute force over all rows in blo
 Leaves are searched where their vectors are; leaves with many vectors or queries are divided into cells, so none meets
 in one task. Candidates are scored on the original vectors in double precision.
 
-Defined cases: vectors that are null, zero, of another length than most, or that hold null or non-finite numbers take no
-part, nor do rows without an id; repeated rows of an id count once (the smallest vector); fewer candidates than asked
-for are all returned; an empty table gives an empty result. Other columns are ignored.
+Defined cases: vectors that are null, zero or empty, or that hold null or non-finite numbers take no part, nor do rows
+without an id; vectors of different lengths have no cosine, so each length is searched by itself; rows of a repeated id
+are rows of their own, as queries and as candidates; equal scores go by id; fewer candidates than asked for are all
+returned; an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -114,103 +116,123 @@ class Tree:
 
 
 def clean(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(id, v): the vectors that take part, once per id."""
+    """(row, id, v): the vectors that take part; ``row`` tells rows of one id apart."""
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where(
         F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & F.coalesce(finite, F.lit(False)) & F.exists("v", lambda x: x != 0)
     )
-    usual = usable.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").first()
-    return usable.where(F.size("v") == (usual["n"] if usual else 0)).groupBy("id").agg(F.min("v").alias("v"))
+    return usable.select(F.monotonically_increasing_id().alias("row"), "id", "v")
 
 
-def _block(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def sampled(rows: DataFrame, n: int, of: int) -> list:
+    """About ``n`` of ``of`` rows, chosen by a hash; nothing else leaves its task."""
+    share = min(1.0, n / max(of, 1))
+    least = math.ceil((1 - 2 * share) * (1 << 63)) if share < 1 else -(1 << 63)
+    return sorted(rows.where(F.xxhash64("id", "row") >= F.lit(max(least, -(1 << 63)))).collect(), key=lambda r: (r["id"], r["row"]))
+
+
+def _block(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = batch.column("id").to_numpy()
-    return ids, np.asarray(batch.column("v").flatten()).reshape(len(ids), -1)
+    return batch.column("row").to_numpy(), ids, np.asarray(batch.column("v").flatten()).reshape(len(ids), -1)
 
 
-def best(query_id: int, query: np.ndarray, ids: np.ndarray, rows: np.ndarray, rough: np.ndarray, k: int) -> list[tuple[int, int, float]]:
-    """The k nearest of ``rows`` but the query's own, exactly scored; ``rough`` scores choose who is scored."""
-    other = ids != query_id
-    at = np.flatnonzero(other)
+def best(own: int, query: np.ndarray, own_rows: np.ndarray, ids: np.ndarray, rows: np.ndarray, rough: np.ndarray, k: int) -> list[tuple[int, int, int, float]]:
+    """The k nearest of ``rows`` but the query's own row, exactly scored; ``rough`` scores choose who is scored."""
+    at = np.flatnonzero(own_rows != own)
     if len(at) > k:
         at = at[rough[at] >= np.partition(rough[at], len(at) - k)[len(at) - k] - 1e-9]
     score = cosine(query, rows[at]) if len(at) else np.zeros(0)
-    top = np.lexsort((ids[at], -score))[:k]
-    return [(query_id, int(ids[at[t]]), float(score[t])) for t in top]
+    top = np.lexsort((own_rows[at], ids[at], -score))[:k]
+    return [(own, int(own_rows[at[t]]), int(ids[at[t]]), float(score[t])) for t in top]
+
+
+FOUND = "query long, row long, vec_id long, score double"
+_FOUND = pa.schema([("query", pa.int64()), ("row", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
 def _ordered(found: DataFrame, k: int) -> DataFrame:
-    by = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    by = W.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
+    return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 
 
 def brute_force(indexed: DataFrame, queries: list[tuple[int, list[float]]], k: int) -> DataFrame:
-    """Exact neighbours of a bounded list of queries, over all rows in blocks."""
+    """Exact neighbours of a bounded list of queries (row, vector), over all rows in blocks."""
     names, wanted = [q[0] for q in queries], np.array([q[1] for q in queries], float)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows = _block(batch)
+            own, ids, rows = _block(batch)
             if len(ids):
                 rough = unit(wanted) @ unit(rows).T
-                found = [f for n, q, s in zip(names, wanted, rough, strict=True) for f in best(n, q, ids, rows, s, k)]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)] if found else [pa.nulls(0, pa.int64()), pa.nulls(0, pa.int64()), pa.nulls(0, pa.float64())], ["query_id", "vec_id", "score"])
+                found = [f for n, q, s in zip(names, wanted, rough, strict=True) for f in best(n, q, own, ids, rows, s, k)]
+                yield pa.RecordBatch.from_pylist([dict(zip(_FOUND.names, f)) for f in found], schema=_FOUND)
 
-    return _ordered(indexed.select("id", "v").mapInArrow(read, "query_id long, vec_id long, score double"), k)
+    return _ordered(indexed.select("row", "id", "v").mapInArrow(read, FOUND), k)
 
 
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id", vector: str = "embedding", settings: Settings = Settings()) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for every row whose id is divisible by ``every``."""
     rows = staged(clean(vectors, key, vector), "vectors")
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(settings.sample).collect()
-    empty = "query_id long, rank int, vec_id long, score double"
-    if not sample:
-        return rows.sparkSession.createDataFrame([], empty)
-    # Leaves stay of one size while the table grows, down to what the sample can tell apart.
-    leaf = max(settings.least, settings.leaf * len(sample) // rows.count())
+    sizes = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows")).orderBy("n").collect()  # a table has few lengths
+    out = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for n, count in sizes:
+        out = out.unionByName(_nearest(rows if len(sizes) == 1 else rows.where(F.size("v") == n), count, every, k, settings))
+    return out
+
+
+def _nearest(rows: DataFrame, count: int, every: int, k: int, settings: Settings) -> DataFrame:
+    """:func:`nearest` among ``count`` rows (row, id, v) of one length."""
+    sample = sampled(rows, settings.sample, count)
+    if not sample:  # a handful of rows, and the hash chose none
+        sample = rows.limit(settings.least).collect()
+    # Leaves stay of one size while the table grows, down to what the sample can tell apart; a small table has several too.
+    leaf = max(settings.least, min(settings.leaf, count // settings.branches) * len(sample) // count)
     tree = Tree(unit(np.array([r["v"] for r in sample])), settings, leaf)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, values = _block(batch)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(tree.assign(unit(values)), pa.int32())], ["id", "v", "leaf"])
+            _, ids, values = _block(batch)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), batch.column("v"), pa.array(tree.assign(unit(values)) if len(ids) else [], pa.int32())], ["row", "id", "v", "leaf"])
 
-    indexed = staged(rows.mapInArrow(placed, "id long, v array<double>, leaf int"), "leaves")
+    indexed = staged(rows.mapInArrow(placed, "row long, id long, v array<double>, leaf int"), "leaves")
 
     # Widen the visits until the sample queries' true neighbours are met.
-    trials = [(r["id"], r["v"]) for r in sample[: settings.trials]]
+    at = np.random.default_rng(settings.seed).permutation(len(sample))[: settings.trials]
+    trials = [(sample[n]["row"], sample[n]["v"]) for n in at]
     truth = brute_force(indexed, trials, k)
-    leaf_of = truth.join(indexed.select(F.col("id").alias("vec_id"), "leaf"), "vec_id").select("query_id", "leaf").collect()
+    leaf_of = truth.join(indexed.select("row", "leaf"), "row").select("query", "leaf").collect()
     order = {q: {leaf: n for n, leaf in enumerate(tree.visits(unit(np.array([v]))[0], tree.leaves))} for q, v in trials}
-    met = np.sort([order[r["query_id"]][r["leaf"]] for r in leaf_of]) if leaf_of else np.zeros(1, int)
+    met = np.sort([order[r["query"]][r["leaf"]] for r in leaf_of]) if leaf_of else np.zeros(1, int)
     visits = int(met[min(len(met) - 1, int(np.ceil(settings.recall * len(met))))]) + 1
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, values = _block(batch)
+            _, ids, values = _block(batch)
             leaves = [tree.visits(q, visits) for q in unit(values)] if len(ids) else []
-            row = np.repeat(np.arange(len(ids)), [len(x) for x in leaves])
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), batch.column("v").take(pa.array(row)), pa.array([x for y in leaves for x in y], pa.int32())], ["id", "v", "leaf"])
+            row = pa.array(np.repeat(np.arange(len(ids)), [len(x) for x in leaves]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in ("row", "id", "v")), pa.array([x for y in leaves for x in y], pa.int32())], ["row", "id", "v", "leaf"])
 
-    questions = staged(indexed.where(F.col("id") % every == 0).select("id", "v").mapInArrow(asked, "id long, v array<double>, leaf int"), "questions")
+    questions = staged(indexed.where(F.col("id") % every == 0).select("row", "id", "v").mapInArrow(asked, "row long, id long, v array<double>, leaf int"), "questions")
     parts = lambda df, name: df.groupBy("leaf").agg(F.ceil(F.count("*") / settings.cell).cast("int").alias(name))
     sizes = parts(indexed, "rows").join(parts(questions, "asks"), "leaf")  # one row per leaf: bounded by the sample
-    mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    mine = lambda n: F.pmod(F.xxhash64("row"), F.col(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    held = indexed.join(sizes, "leaf").select("leaf", mine("rows").alias("r"), spread("asks").alias("q"), "id", "v")
-    put = questions.join(sizes, "leaf").select("leaf", spread("rows").alias("r"), mine("asks").alias("q"), "id", "v")
+    held = indexed.join(sizes, "leaf").select("leaf", mine("rows").alias("r"), spread("asks").alias("q"), "row", "id", "v")
+    put = questions.join(sizes, "leaf").select("leaf", spread("rows").alias("r"), mine("asks").alias("q"), "row", "id", "v")
 
     def search(those: pd.DataFrame, these: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[int, int, float]] = []
+        found: list[tuple[int, int, int, float]] = []
         if len(those) and len(these):
-            wanted, values, ids = np.vstack(those["v"]), np.vstack(these["v"]), these["id"].to_numpy()
+            wanted, values, own, ids = np.vstack(those["v"]), np.vstack(these["v"]), these["row"].to_numpy(), these["id"].to_numpy()
             ready = unit(values).T
-            for at in range(0, len(wanted), 256):
-                part = wanted[at : at + 256]
-                for n, q, rough in zip(those["id"][at : at + 256], part, unit(part) @ ready, strict=True):
-                    found += best(int(n), q, ids, values, rough, k)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+            for first in range(0, len(wanted), 256):
+                part = wanted[first : first + 256]
+                for n, q, rough in zip(those["row"][first : first + 256], part, unit(part) @ ready, strict=True):
+                    found += best(int(n), q, own, ids, values, rough, k)
+        return pd.DataFrame(found, columns=_FOUND.names)
 
     cell = ["leaf", "r", "q"]
-    found = put.groupBy(*cell).cogroup(held.groupBy(*cell)).applyInPandas(search, "query_id long, vec_id long, score double")
-    return _ordered(found, k)
+    found = put.groupBy(*cell).cogroup(held.groupBy(*cell)).applyInPandas(search, FOUND)
+    # The query's own id: rows of ``found`` are few per query.
+    names = indexed.where(F.col("id") % every == 0).select(F.col("row").alias("query"), F.col("id").alias("query_id"))
+    return _ordered(found, k).join(names, "query").select("query_id", "rank", "vec_id", "score")

@@ -37,7 +37,9 @@ from listingflow.llm.common import staged, text_slices
 #: Bits of a signature per entry, bitmaps per entry, the widest signature, and powers of two of occurrences told apart.
 BITS, HASHES, WIDEST, LEVELS = 12, 3, 1 << 20, 6
 #: Terms of the items that are asked together; documents whose bounds are added up at once.
-TERMS, STRIP = 20_000, 512
+TERMS, STRIP = 20_000, 256
+#: Bytes of text whose postings a task holds at once.
+SLICE = 4 << 20
 #: Bits of the filters that go to every task.
 FILTER = 1 << 20
 _MIX = np.random.default_rng(12).integers(0, 1 << 63, LEVELS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,18 +113,18 @@ def index(docs: DataFrame, wanted: dict[int, int]) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = filter_bits(wanted)
-        for part, texts in text_slices(batches, most_rows=1 << 16):
+        for part, texts in text_slices(batches, SLICE, 1 << 16):
             known: dict[bytes, int] = {}
             found = []
             for text in texts:
                 words = terms(text)
                 for word in set(words).difference(known):
                     known[word] = len(known)
-                found.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+                found.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
             if not known:
                 continue
             sizes = np.array([len(f) for f in found])
-            cell, counts = np.unique(np.concatenate(found) * len(texts) + np.repeat(np.arange(len(texts)), sizes), return_counts=True)
+            cell, counts = np.unique(np.concatenate(found).astype(np.int64) * len(texts) + np.repeat(np.arange(len(texts)), sizes), return_counts=True)
             term, doc = np.divmod(cell, len(texts))
             words = list(known)
             hashes = hashes_of(words)

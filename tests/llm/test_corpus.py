@@ -243,14 +243,47 @@ def test_neighbours_reach_recall_and_score_exactly(spark):
     assert sorted(got) == list(range(0, 1500, 50))
     met = 0
     for q, found in got.items():
-        score = neighbours.cosine(vectors[q], vectors)
-        order = [k for k in np.lexsort((np.arange(1500), -score)) if k != q][:5]
-        assert [f[0] for f in found] == [1, 2, 3, 4, 5] and all(f[2] == score[f[1]] for f in found)
-        met += len(set(order) & {f[1] for f in found})
-    assert met / (5 * len(got)) >= 0.9
-    assert [f[1] for f in got[250]] == [200, 201, 202, 203, 204]
+        score = np.append(neighbours.cosine(vectors[q], vectors), neighbours.cosine(vectors[q], vectors[50:51]))
+        names = np.append(np.arange(1500), 50)
+        order = [int(names[k]) for k in np.lexsort((names, -score)) if k != q][:5]
+        copies = 2 if q == 50 else 1  # the row of id 50 stands there twice and asks twice
+        assert sorted(f[0] for f in found) == sorted([1, 2, 3, 4, 5] * copies) and all(f[2] == score[f[1]] for f in found)
+        met += sum((Counter(order * copies) & Counter(f[1] for f in found)).values())
+    assert met / (5 * (len(got) + 1)) >= 0.9
+    assert [f[1] for f in got[250]] == [200, 201, 202, 203, 204] and 50 in [f[1] for f in got[50]]
     assert neighbours.nearest(df.limit(0)).count() == 0
-    assert neighbours.nearest(df.where("vec_id in (0, 50, 51)")).count() == 4
+    assert neighbours.nearest(df.where("vec_id in (0, 51)")).count() == 1
+    assert neighbours.nearest(df.where("vec_id in (0, 50, 51)")).count() == 3 + 2 * 3
+
+
+def test_rows_of_one_id_and_other_lengths_are_searched(spark):
+    rows = [(50, [1.0, 0.0]), (51, [1.0, 0.1]), (51, [0.0, 1.0]), (100, [1.0, 2.0, 3.0]), (101, [3.0, 2.0, 1.0]), (102, [1.0, 2.0, 2.0])]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 3)) for r in got} == {
+        (50, 1, 51, 0.995), (50, 2, 51, 0.0), (100, 1, 102, 0.980), (100, 2, 101, 0.714)
+    }
+
+
+@pytest.mark.parametrize("n", [300, 2000, 6000])
+def test_recall_of_production_settings_on_both_sides_of_the_leaf_size(spark, n):
+    rng = np.random.default_rng(n)
+    centres = rng.normal(size=(12, 24))
+    vectors = centres[rng.integers(0, 12, n)] + 0.6 * rng.normal(size=(n, 24))
+    df = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    for r in neighbours.nearest(df).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    met = 0
+    for q in range(0, n, 50):
+        score = neighbours.cosine(vectors[q], vectors)
+        score[q] = -2
+        met += len(got[q] & set(np.lexsort((np.arange(n), -score))[:5].tolist()))
+    assert met >= 0.9 * 5 * len(range(0, n, 50))
+
+
+def test_only_the_sample_leaves_its_tasks(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("row"), "id", F.array(F.lit(1.0)).alias("v"))
+    assert 700 < len(neighbours.sampled(rows, 1000, 20_000)) < 1300 and len(neighbours.sampled(rows.limit(9), 1000, 9)) == 9
 
 
 @pytest.mark.parametrize("first", [2, 64])
