@@ -4,8 +4,8 @@ A block is a window of consecutive words, whatever lines they stand on: as many
 more (three at least), beginning at every word of the template. So a wrapped notice is whole in one block and words scattered
 over a long line are not. Template words are put in one order, rarest in the corpus first, with frequencies counted over every
 line of every document. A template of m words whose containment must reach a threshold needs o of them; a block with o must
-hold one of the template's m - o + 1 rarest words (prefix filter), and the words within reach of that one must hold o (positional
-filter). What passes is counted exactly, and must hold the words that tell its license from others (``NAMES``). Templates are configuration and stand in the plan as literals, so documents are matched
+hold one of the template's m - o + 1 rarest words (prefix filter), it and the text must be o words long (length filter), and the
+words within reach of that one must hold o (positional filter). What passes is counted exactly, and must hold the words that tell its license from others (``NAMES``). Templates are configuration and stand in the plan as literals, so documents are matched
 where they are read: nothing is shuffled but one count per template word.
 
 Defined cases: a null or empty text has no word, no label and score 0; repeated rows and null ids are rows like any
@@ -52,10 +52,11 @@ NEIGHBOURS = (
     ("cc-by-nc-sa", _CREATIVE.format("Attribution-NonCommercial-ShareAlike")),
     ("cc-by-nc-nd", _CREATIVE.format("Attribution-NonCommercial-NoDerivatives")),
     ("mpl", "Licensed under the Mozilla Public License, Version 2.0."),
+    ("bsl", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
 )
 #: Words that tell licenses apart: a template that has one is only met with it, and not where words stand that another
 #: template has besides the same ones ("CC BY" is not met in "CC BY-NC").
-NAMES = {"mit", "apache", "gnu", "mozilla", "cc", "nc", "sa", "nd", "creative", "noncommercial", "sharealike", "noderivatives"}
+NAMES = {"mit", "apache", "gnu", "mozilla", "cc", "nc", "sa", "nd", "creative", "noncommercial", "sharealike", "noderivatives", "associated", "accompanying"}
 
 
 def _words(text: Column) -> Column:
@@ -78,6 +79,17 @@ def spare(wording: str) -> int:
     return max(3, math.ceil(len(in_order(wording)) / 4))
 
 
+def needed(words: int, containment: float) -> int:
+    """How many of a template's words a block must hold."""
+    return math.ceil(containment * words - 1e-9)
+
+
+def distinguishing(templates: Sequence[Sequence[str]]) -> list[tuple[set[str], set[str]]]:
+    """Per template the names it must be met with and those it must not stand beside."""
+    named = [NAMES.intersection(words) for words in templates]
+    return [(names, set().union(*[n - names for n in named if names and names < n])) for names in named]
+
+
 def global_order(docs: DataFrame, vocabulary: Sequence[str]) -> list[str]:
     """``vocabulary``, rarest first by the number of lines that hold a word, over all lines."""
     line = F.explode(F.split(lower_ascii(F.col("text")), "\n")).alias("line")
@@ -92,15 +104,14 @@ def scan_licenses(
 ) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for every row of ``docs``."""
     sets = [(label, template_words(wording), len(in_order(wording)) + spare(wording), spare(wording)) for label, wording in templates]
+    told = distinguishing([words for _, words, _, _ in sets])
     order = global_order(docs, sorted({w for _, words, _, _ in sets for w in words}))
     rank = {w: k for k, w in enumerate(order)}
     text_array = lambda words: F.array(*[F.lit(w) for w in words]).cast("array<string>")
-    named = [NAMES.intersection(words) for _, words, _, _ in sets]
     listed, rarest = [], set()
-    for (label, words, room, beside), names in zip(sets, named, strict=True):
-        others = set().union(*[n - names for n in named if names and names < n])
+    for (label, words, room, beside), (names, others) in zip(sets, told, strict=True):
         ordered = sorted(words, key=rank.__getitem__)
-        need = math.ceil(containment * len(ordered) - 1e-9)
+        need = needed(len(ordered), containment)
         prefix = ordered[: len(ordered) - need + 1]
         rarest.update(prefix)
         listed.append(F.struct(F.lit(label).alias("label"), text_array(ordered).alias("words"), text_array(prefix).alias("prefix"), F.lit(need).alias("need"), F.lit(room).alias("room"), F.lit(beside).alias("beside"), text_array(sorted(names)).alias("names"), text_array(sorted(others)).alias("others")))
@@ -119,7 +130,8 @@ def scan_licenses(
     def share(template: Column) -> Column:
         """The template's best containment in a block that reaches the threshold; null if none does."""
         earliest = lambda i: F.greatest(i - template["room"] + 1, F.lit(0))
-        met = F.filter("rare", lambda i: F.array_contains(template["prefix"], F.get("w", i)) & (F.size(held(template, earliest(i), i + template["room"])) >= template["need"]))
+        long_enough = lambda i: F.size("w") - earliest(i) >= template["need"]
+        met = F.filter("rare", lambda i: F.array_contains(template["prefix"], F.get("w", i)) & long_enough(i) & (F.size(held(template, earliest(i), i + template["room"])) >= template["need"]))
         firsts = F.array_distinct(F.flatten(F.transform(met, lambda i: F.filter(F.sequence(earliest(i), i), lambda k: F.array_contains(template["words"], F.get("w", k))))))
 
         def tells(k: Column) -> Column:

@@ -1,9 +1,19 @@
 """DuckDB SQL that the corpus queries must agree with, where SQL can express them."""
 
-from listingflow.llm.licenses import GAP, TEMPLATES, template_words
+from listingflow.llm.licenses import GAP, NEIGHBOURS, TEMPLATES, distinguishing, in_order, needed, spare, template_words
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _template_rows() -> str:
+    """Every template: its label, distinct words, words needed, words of a block, words beside it, names it needs and forbids."""
+    every = [(label, template_words(text), len(in_order(text)), spare(text)) for label, text in TEMPLATES + NEIGHBOURS]
+    rows = []
+    for (label, words, length, beside), (names, others) in zip(every, distinguishing([words for _, words, _, _ in every]), strict=True):
+        lists = [f"{sorted(x)}::varchar[]" for x in (names, others)]
+        rows.append(f"select '{label}' as label, {words} as words, {needed(len(words), 0.85)} as need, {length + beside} as room, {beside} as beside, {lists[0]} as names, {lists[1]} as others")
+    return " union all ".join(rows)
+
+
 #: A term: letters, digits and everything beyond ASCII.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -41,10 +51,15 @@ ORACLES = {
                               when a = 'general' and b = 'public' and c = 'license' then 'gpl' end as label from n
         ),
         base as (select r, count(*) as n_base, min(i) as first_word, max(i) as last_word from h where label is not null group by r),
-        templates as ({" union all ".join(f"select '{label}' as label, {template_words(text)} as words" for label, text in TEMPLATES)}),
-        blocks as (select r, list_distinct(string_split_regex(line, '{GAP}')) as words from (select r, unnest(string_split(t, chr(10))) as line from d)),
-        shared as (select r, label, len(list_intersect(blocks.words, templates.words)) / len(templates.words) as share from blocks, templates),
-        found as (select r, label, share from shared where share >= 0.85),
+        templates as ({_template_rows()}),
+        -- A block begins at every word that a template has.
+        blocks as (select u.r, u.i, t.label, t.words, t.names, t.others, t.beside, t.need, w.words as text, list_slice(w.words, u.i + 1, u.i + t.room) as block
+                   from u join templates t on list_contains(t.words, u.a) join w on w.r = u.r where len(w.words) - u.i >= t.need),
+        held as (select *, list_intersect(words, block) as hit from blocks),
+        reached as (select *, list_max(list_transform(hit, lambda x: list_position(block, x))) as last from held
+                    where len(hit) >= need and len(list_intersect(names, block)) = len(names)),
+        found as (select r, label, len(hit) / len(words) as share from reached
+                  where not list_has_any(others, list_slice(text, greatest(i - beside, 0) + 1, i + last + beside))),
         tags as (select r, label from found union select r, label from h where label is not null)
         select doc_id, len(w.words) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
                coalesce((select string_agg(distinct label, ',' order by label) from h where h.r = w.r), '') as base_labels,

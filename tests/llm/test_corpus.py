@@ -345,6 +345,19 @@ def test_line_runs_across_batches_and_partitions(spark, parts, batch):
             spark.conf.set(name, value)
 
 
+def brute_templates():
+    """Every template's words, the room of its blocks, and the words that tell it from the others, from the wordings alone."""
+    out = []
+    for label, wording in licenses.TEMPLATES + licenses.NEIGHBOURS:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(wording))
+        beside = max(3, -(-len(words) // 4))
+        out.append([label, set(words), len(words) + beside, beside, set(words) & licenses.NAMES])
+    return [(*t, {x for o in out if t[4] and t[4] < o[4] for x in o[4] - t[4]}) for t in out]
+
+
+BRUTE_TEMPLATES = brute_templates()
+
+
 def brute_licenses(text: str):
     words = lambda s: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(s))
     w, places, base = words(text), [], set()
@@ -354,30 +367,58 @@ def brute_licenses(text: str):
         places += at
         base |= {label} if at else set()
     best, labels = 0.0, set(base)
-    for label, wording in licenses.TEMPLATES:
-        t = set(words(wording))
-        for line in text.split("\n"):
-            share = len(t & set(words(line))) / len(t)
-            if share >= 0.85:
+    for label, t, room, beside, names, others in BRUTE_TEMPLATES:
+        for k in range(len(w)):
+            block = w[k : k + room]
+            held = t & set(block)
+            if w[k] not in t or len(held) < 0.85 * len(t) - 1e-9 or not names <= set(block):
+                continue
+            last = max(block.index(x) for x in held) + 1
+            if not others & set(w[max(0, k - beside) : k + last + beside]):
                 labels.add(label)
-                best = max(best, share)
+                best = max(best, len(held) / len(t))
     return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), best or float(bool(base))
 
 
 def test_license_join_agrees_with_all_templates_in_all_blocks(spark, none):
     rng = random.Random(9)
     rows = list(ROWS)
-    for k, (_, wording) in enumerate(licenses.TEMPLATES * 6):
+    filler = lambda n: [rng.choice(["the", "of", "work", "plain", "copy", "under", "4", "public"]) for _ in range(n)]
+    for k, (_, wording) in enumerate((licenses.TEMPLATES + licenses.NEIGHBOURS) * 8):
         words = wording.split()
-        drop = rng.randrange(0, 3)
-        words = [x for n, x in enumerate(words) if n >= drop] + ["and", "more"]
-        rng.shuffle(words)
-        rows.append((5000 + k, f"before it\n{' '.join(words)}\nafter, mit"))
+        words = [x for n, x in enumerate(words) if n >= rng.randrange(0, 3)] + ["and", "more"]
+        if k % 3 == 0:
+            rng.shuffle(words)
+        if k % 4 == 1:  # wrapped
+            words[len(words) // 2] += "\n#"
+        if k % 4 == 2:  # scattered over a line
+            words = [x for word in words for x in [word, *filler(rng.randint(0, 2))]]
+        beside = rng.choice([[], ["NC"], ["Mozilla"], ["ShareAlike"], filler(4)])
+        rows.append((5000 + k, " ".join(["before", "it", *filler(rng.randint(0, 30)), *beside, *words, *beside[::-1], *filler(rng.randint(0, 9)), "\nafter, mit"])))
+    rows += [(7000 + k, t) for k, t in enumerate([*WRAPPED.values(), "Licensed under CC BY 4.0.", "Licensed under the Mozilla Public License, Version 2.0.", BOOST])]
     got = licenses.scan_licenses(spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, w string").repartition(3))
     same(got, [(i, *brute_licenses(t or "")) for i, t in rows])
     assert licenses.scan_licenses(none).count() == 0
 
 
+def test_license_sql_states_the_rule_of_the_scan(spark):
+    import duckdb
+    import pandas as pd
+
+    from listingflow.llm.sql import ORACLES
+
+    texts = [*WRAPPED.values(), *[t for _, t in licenses.TEMPLATES + licenses.NEIGHBOURS], BOOST, "Licensed under CC BY 4.0.", "Released the MIT words and many more under License", None, ""]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])
+    con = duckdb.connect()
+    con.register("documents", documents)
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    by_sql = con.sql(ORACLES["op9_license_scans"])
+    order = [by_sql.columns.index(c) for c in got.columns]
+    same(got, [tuple(r[k] for k in order) for r in by_sql.fetchall()])
+
+
+BOOST = "Permission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software and accompanying documentation covered by\nthis license"
 WRAPPED = {
     "mit": "Copyright (c) 2020 Somebody\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction",
     "apache": "# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n#\n#     http://www.apache.org/licenses/LICENSE-2.0",
@@ -401,7 +442,7 @@ def test_neighbouring_licenses_get_their_own_labels(spark):
         "Licensed under CC BY 4.0.": "cc-by", "Licensed under CC BY-SA 4.0.": "cc-by-sa", "Licensed under CC BY-NC 4.0.": "cc-by-nc",
         "Licensed under CC BY-NC-SA 4.0.": "cc-by-nc-sa", "Licensed under the Mozilla Public License, Version 2.0.": "mpl",
         "Licensed under the Apache License, Version 2.0.": "apache", "Licensed under the Eclipse Public License, Version 2.0.": "",
-        creative.format("Attribution"): "cc-by", creative.format("Attribution-NonCommercial"): "cc-by-nc",
+        BOOST: "bsl", creative.format("Attribution"): "cc-by", creative.format("Attribution-NonCommercial"): "cc-by-nc",
         creative.format("Attribution-\nShareAlike"): "cc-by-sa",
         "Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
         "Released under the MIT License. Licensed under the Apache License, Version 2.0.": "apache,mit",
