@@ -29,6 +29,18 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

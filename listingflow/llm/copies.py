@@ -121,7 +121,7 @@ def candidates(sets: DataFrame) -> DataFrame:
 
 def copy_links(docs: DataFrame, sets: DataFrame, chosen: DataFrame) -> DataFrame:
     """(u, v): links between sets of ``chosen`` whose similarity is reached. ``sets`` has set, num, first."""
-    wanted = sets.join(chosen, "num").select("set", "component", "chunks", F.col("first.doc_id").alias("llm_id"), F.col("first.text_hash").alias("llm_hash"))
+    wanted = sets.join(chosen, "num").select("set", "component", "chunks", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash"))
     chunk = F.pmod(F.xxhash64("set"), F.col("chunks")).cast("int")
     texts = rows_of(docs.select("doc_id", "text"), wanted).select("set", "component", "chunks", chunk.alias("chunk"), "text")
 
@@ -171,4 +171,4 @@ def without_copies(docs: DataFrame) -> DataFrame:
     linked = components(copy_links(docs, firsts, chosen)).select(F.col("node").alias("set"), "component")
     groups = firsts.join(linked, "set", "left").select(F.coalesce("component", "set").alias("component"), "first")
     kept = groups.groupBy("component").agg(F.min("first").alias("first"))
-    return rows_of(docs, kept.select(F.col("first.doc_id").alias("llm_id"), F.col("first.text_hash").alias("llm_hash"))).drop("llm_id", "llm_hash")
+    return rows_of(docs, kept.select(F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash")))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listingflow.llm.common import staged, text_slices
+from listingflow.llm.common import staged, text_slices, unused
 
 LINES = "h1 long, h2 long, doc long, text_hash long, pos int"
 NO_ID = -(1 << 63)
@@ -177,10 +177,11 @@ def kept_lines(text: str, bitmap: bytes | None) -> tuple[list[str], int]:
 
 
 def with_bitmaps(docs: DataFrame, least: int = 20, shared: int = 3) -> DataFrame:
-    """``docs`` and the bitmap of each row (``llm_keep``, null where every line stays)."""
-    maps = keep_bitmaps(docs, least, shared).select(F.col("doc").alias("llm_doc"), F.col("text_hash").alias("llm_hash"), F.col("keep").alias("llm_keep"))
+    """``docs`` and, as its last column, the bitmap of each row (null where every line stays)."""
+    names = [unused(docs, name) for name in ("llm_doc", "llm_hash", "llm_keep")]
+    maps = keep_bitmaps(docs, least, shared).select(*[F.col(c).alias(name) for c, name in zip(("doc", "text_hash", "keep"), names, strict=True)])
     doc, text_hash = _document_key()
-    return docs.join(maps, (doc == F.col("llm_doc")) & (text_hash == F.col("llm_hash")), "left").drop("llm_doc", "llm_hash")
+    return docs.join(maps, (doc == F.col(names[0])) & (text_hash == F.col(names[1])), "left").drop(*names[:2])
 
 
 def line_report(docs: DataFrame, least: int = 20, shared: int = 3) -> DataFrame:
@@ -190,7 +191,7 @@ def line_report(docs: DataFrame, least: int = 20, shared: int = 3) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
             n, dropped, digest = [], [], []
-            for text, bitmap in zip(texts, part.column("llm_keep").to_pylist(), strict=True):
+            for text, bitmap in zip(texts, part.column(2).to_pylist(), strict=True):
                 lines, count = kept_lines(text, bitmap)
                 n.append(count)
                 dropped.append(count - len(lines))
@@ -207,9 +208,9 @@ def deduplicated(docs: DataFrame, least: int = 20, shared: int = 3) -> DataFrame
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
-            nulls, maps = part.column("text").is_null().to_pylist(), part.column("llm_keep").to_pylist()
+            nulls, maps = part.column(position).is_null().to_pylist(), part.column(part.num_columns - 1).to_pylist()
             new = [None if null else text if bitmap is None else "\n".join(kept_lines(text, bitmap)[0]) for text, bitmap, null in zip(texts, maps, nulls, strict=True)]
             columns = [pa.array(new, pa.string()) if k == position else part.column(k) for k in range(part.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(columns, part.schema.names[:-1])
 
-    return marked.mapInArrow(read, marked.drop("llm_keep").schema)
+    return marked.mapInArrow(read, docs.schema)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from listingflow.llm.common import staged, text_slices
+from listingflow.llm.common import staged, text_slices, unused
 from listingflow.llm.components import components
 
 #: Largest bucket that is compared as one; larger ones are divided.
@@ -211,20 +211,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: i
     return of_rows.join(names, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: int = 3) -> DataFrame:
-    """One row of ``docs`` per group of near duplicates, all columns: the smallest id, of repeated rows one."""
-    of_rows = staged(fingerprints(docs, shingle, seed), "fingerprints")
-    groups = fingerprint_groups(of_rows, radius)
-    first = of_rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first"))
-    kept = first.join(groups, "fp").groupBy("component").agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first.doc_id").alias("llm_id"), F.col("first.text_hash").alias("llm_hash"))
-    return rows_of(docs, kept).drop("llm_id", "llm_hash")
-
-
 def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """One row of ``docs`` for every id and text of ``kept`` (llm_id, llm_hash), with the columns of both."""
-    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    """One row of ``docs`` for every id and text of ``kept`` (id, hash and other columns): the columns of ``docs``, then the others.
+    No other column of ``kept`` may have a name of ``docs``."""
+    key, text_key, number = (unused(docs, name) for name in ("llm_id", "llm_hash", "llm_k"))
+    kept = kept.withColumnsRenamed({"id": key, "hash": text_key})
     # Rows of a kept id and text may repeat; numbering them needs no further shuffle.
-    repeated = W.partitionBy("llm_id", "llm_hash").orderBy(F.lit(0))
-    found = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("llm_id")) & (text_hash == F.col("llm_hash")))
-    return found.withColumn("llm_k", F.row_number().over(repeated)).where("llm_k = 1").drop("llm_k")
+    repeated = W.partitionBy(key, text_key).orderBy(F.lit(0))
+    found = docs.join(kept, docs["doc_id"].eqNullSafe(F.col(key)) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(text_key)))
+    return found.withColumn(number, F.row_number().over(repeated)).where(F.col(number) == 1).drop(key, text_key, number)

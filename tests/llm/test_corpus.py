@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from listingflow.llm import codec, components, counts, exact, licenses, lines, neighbours, packing, quality, sharding, simhash
+from listingflow.llm import codec, components, copies, counts, exact, licenses, lines, neighbours, packing, quality, sharding, simhash
 from listingflow.llm.common import load_tokenizer, tokenizer_path
 
 EXTRA = "doc_id long, text string, lang string, size long, llm_keep_me int, block string, shard string"
@@ -192,9 +192,17 @@ def test_simhash_components_agree_with_all_pairs(docs, none):
         least[of[k]].append(i)
     name = {k: min((i for i in v if i is not None), default=None) for k, v in least.items()}
     same(simhash.near_duplicates(docs), [(i, f"{prints[k]:016x}", name[of[k]]) for k, (i, _) in enumerate(ROWS)])
-    kept = simhash.representatives(docs)
-    assert kept.columns == docs.columns and kept.count() == len(least)
-    assert simhash.near_duplicates(none).count() == 0 and simhash.representatives(none).count() == 0
+    assert simhash.near_duplicates(none).count() == 0
+
+
+def test_stages_keep_columns_named_like_their_own(spark, docs):
+    named = docs.select("doc_id", "text", *[F.lit(k).alias(n) for k, n in enumerate(("llm_doc", "llm_hash", "llm_keep", "llm_id", "LLM_K", "id", "hash", "set", "num", "chunk", "component"))])
+    cleaned = lines.deduplicated(named)
+    assert cleaned.columns == named.columns
+    same(cleaned.select("doc_id", "text", "llm_keep"), [(*r, 2) for r in lines.deduplicated(docs.select("doc_id", "text")).collect()])
+    single = copies.without_copies(named)
+    assert single.columns == named.columns
+    same(single.select("doc_id", "text", "LLM_K"), [(*r, 4) for r in copies.without_copies(docs.select("doc_id", "text")).collect()])
 
 
 @pytest.mark.parametrize("bucket", [4, 2048])
