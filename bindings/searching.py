@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingflow.operators import enrichment as E
+from listingflow.operators import predicates as P
 from listingflow.operators import searches as Q
 
 from .captures import capture_rows, group_totals
 from .scoring import FULL_FLAGS_SQL, enriched
 from .settings import BAD_SEARCHES, LIMITS, SCORING, SEARCHES
 from .sqltext import joined
-from .views import view, with_views
+from .views import VIEWS, view, with_views
+from listingflow.session import cut_lineage
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +33,40 @@ def match_searches_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matched.select("listing_id", F.array_join("matched_searches", ",").alias("matched_searches"))
 
 
+def match_searches_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same searches through the predicate index; must agree with searches in the plan."""
+    matched = P.match_search_index(candidates(spark, sf_dir), Q.searches_frame(spark, SEARCHES))
+    return matched.select("listing_id", F.array_join("matched_searches", ",").alias("matched_searches"))
+
+
+#: One saved search per order: as many searches as listings, each open or bounded in every way.
+VIEWS["v_subscriber"] = """
+select cast(o_orderkey as int) as position, 's' || cast(o_orderkey as string) as search_id,
+  case o_orderkey % 4 when 0 then 'office:walk' when 1 then 'office:drive' when 2 then 'office:transit' else 'home:walk' end as travel_key,
+  cast(1 + (o_orderkey * 7) % 45 as double) as max_minutes,
+  case when o_custkey % 4 = 0 then null else cast(300 + (o_custkey * 13) % 600 as double) end as min_price_pw,
+  case when o_custkey % 5 = 0 then null else cast(302 + (o_custkey * 13) % 600 + o_orderkey % 9 as double) end as max_price_pw,
+  case when o_orderkey % 3 = 0 then null else cast(o_custkey % 5 as int) end as min_beds,
+  case when o_orderkey % 5 = 0 then null else cast(1 + o_custkey % 4 as int) end as max_beds,
+  case when o_orderkey % 7 = 0 then null else cast(1 + o_custkey % 2 as int) end as min_baths,
+  case when o_orderkey % 2 = 0 then null else cast(o_custkey % 3 as int) end as min_car_spaces,
+  case o_orderpriority when '1-URGENT' then 'apartment,unit' when '2-HIGH' then 'house' else '' end as types,
+  case o_orderkey % 6 when 0 then 'share_house' when 1 then 'studio,no_price' else '' end as excluded
+from {orders}
+"""
+
+
+def subscriber_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per saved search of a table of many: how many listings answer it, and the first."""
+    words = lambda c: F.when(F.col(c) != "", F.split(c, ","))
+    config = view(spark, sf_dir, "v_subscriber").withColumns(
+        {"property_types": words("types"), "exclude_flagged": F.coalesce(words("excluded"), F.array().cast("array<string>"))}
+    )
+    rows = candidates(spark, sf_dir).withColumn("row_no", F.col("id").cast("bigint"))
+    hits = P.search_hits(rows.select("row_no", "travel", "price_pw", "beds", "baths", "car_spaces", "property_type", "flags"), cut_lineage(P.predicate_index(config)))
+    return hits.groupBy("search_id").agg(F.count("*").alias("matched"), F.min("row_no").alias("first_id"))
+
+
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     def entries(**columns: str):
         pairs = [F.when(F.col(c).isNotNull(), F.struct(F.lit(k.replace("_", ":")).alias("k"), F.col(c).alias("v"))) for k, c in columns.items()]
@@ -92,6 +128,7 @@ def covered_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "match_searches": match_searches, "match_searches_by_join": match_searches_by_join,
+    "match_searches_by_index": match_searches_by_index, "subscriber_matches": subscriber_matches,
     "resolve_locations": resolve_locations, "plan_searches": plan_searches, "pass_locations": pass_locations,
     "plan_refusals": plan_refusals, "search_results": search_results, "excluded_by_all": excluded_by_all,
     "covered_searches": covered_searches,
@@ -139,6 +176,19 @@ _NULL_SAFE_JOINED = "select listing_id, matched_searches from matched"
 ORACLES = {
     "match_searches": with_views(["v_listing"], f"with {MATCH_CTES} {_NULL_SAFE_JOINED}"),
     "match_searches_by_join": with_views(["v_listing"], f"with {MATCH_CTES} {_NULL_SAFE_JOINED}"),
+    "match_searches_by_index": with_views(["v_listing"], f"with {MATCH_CTES} {_NULL_SAFE_JOINED}"),
+    "subscriber_matches": with_views(
+        ["v_listing", "v_subscriber"],
+        f"""with flagged as (select *, string_split({_F}, ',') as flags from v_listing),
+        legs as (select *, 'office:walk' as key, walk_minutes as minutes from flagged union all select *, 'office:drive', drive_minutes from flagged
+          union all select *, 'office:transit', transit_minutes from flagged)
+        select search_id, count(*) as matched, min(l.id) as first_id from legs l join v_subscriber s on l.key = s.travel_key
+          and l.minutes <= s.max_minutes and (s.min_price_pw is null or l.price_pw >= s.min_price_pw) and (s.max_price_pw is null or l.price_pw <= s.max_price_pw)
+          and (s.min_beds is null or l.beds >= s.min_beds) and (s.max_beds is null or l.beds <= s.max_beds) and (s.min_baths is null or l.baths >= s.min_baths)
+          and (s.min_car_spaces is null or l.car_spaces >= s.min_car_spaces) and (types = '' or list_contains(string_split(types, ','), l.property_type))
+          and (excluded = '' or not list_has_any(string_split(excluded, ','), l.flags))
+        group by search_id""",
+    ),
     "resolve_locations": with_views(["v_place"], f"with {RESOLVED_CTES} select * from resolved"),
     "plan_searches": with_views(
         ["v_place"],
