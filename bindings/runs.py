@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listingflow.config import FACTOR_KEYS, Envelope
@@ -295,7 +295,37 @@ def run_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_run(runs, "1996-01-01a").unionByName(taken_run(runs, "2050-01-01a"))
 
 
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of every year's run, and which of them is the current one."""
+    from listingflow.sources.runs import current_run, manifest_rows
+
+    rows = view(spark, sf_dir, "v_run_row").withColumn("listing_state", F.when(F.col("status") == "F", F.lit("new")).otherwise(F.lit("carried_over")))
+    created = rows.groupBy("run_id").agg(F.min("id").alias("position")).select(
+        "run_id", F.row_number().over(Window.orderBy("run_id")).alias("position"), F.concat(F.left("run_id", F.lit(10)), F.lit("T09:00:00Z")).alias("created_at"),
+        F.lit(3).alias("criteria_version"), F.lit(None).cast("string").alias("label"),
+    )  # one row per run
+    table = cut_lineage(manifest_rows(rows, created))
+    return table.join(current_run(table), F.col("current_run") == F.col("run_id"), "left").select(
+        *table.columns, F.col("current_run").isNotNull().alias("current")
+    )
+
+
+def sorted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What counted bounds make of the listings by id: files in order that do not overlap and none above its size."""
+    from listingflow.sources.splits import file_bounds, range_of
+
+    rows = view(spark, sf_dir, "v_listing").select("listing_id")
+    bounds = file_bounds(rows, "listing_id", rows_per_file=500)
+    files = rows.groupBy(range_of(F.col("listing_id"), bounds).alias("file")).agg(F.count("*").alias("n"), F.min("listing_id").alias("low"), F.max("listing_id").alias("high"))
+    before = F.lag("high").over(Window.orderBy("file"))  # one row per file
+    return files.withColumn("overlaps", F.coalesce(before >= F.col("low"), F.lit(False))).agg(
+        F.sum("n").alias("listings"), F.count_if("overlaps").alias("overlapping"), F.count_if(F.col("n") > 500).alias("oversized"),
+        (F.count("*") <= 2 * F.ceil(F.sum("n") / 500)).alias("few_files"),
+    )
+
+
 QUERIES = {
+    "manifest_rows": manifest, "sorted_files": sorted_files,
     "listing_entries": listing_entry_rows, "run_summary": run_summary, "replay_matches": replay_matches, "outcome_tally": outcome_tally, "replay_diff": replay_diff,
     "replay_left": replay_left, "replay_guards": replay_guards, "replay_drift": replay_drift, "build_listings": build_listings,
     "build_funnel": build_funnel, "build_outputs": build_outputs, "replay_of_build": replay_of_build, "violations": violations,
@@ -314,6 +344,13 @@ _FLAT_CTE = """per as (select listing_id, count(*) as n, arg_min(address, (group
 _TALLY = f"with {_MERGED}, {_ENTRY_SCORES}"
 
 ORACLES = {
+    "manifest_rows": with_views(
+        ["v_run_row"],
+        """select run_id, row_number() over (order by run_id) as position, count(*) as listing_count, count(*) filter (status = 'F') as new_count, 3 as criteria_version,
+        left(run_id, 10) as date, left(run_id, 10) || 'T09:00:00Z' as created_at, null::varchar as label, run_id = (select max(run_id) from v_run_row) as current
+        from v_run_row group by run_id""",
+    ),
+    "sorted_files": with_views(["v_listing"], "select count(*) as listings, 0::bigint as overlapping, 0::bigint as oversized, true as few_files from v_listing"),
     "listing_entries": with_views(
         ["v_listing", "v_profile"],
         f"""with {_MERGED}, {_ENTRY_SCORES} select s.listing_id, coalesce(composite, 0.0::double) as composite, confidence, dealbreakers, {joined(FULL_FLAGS_SQL)} as flags,

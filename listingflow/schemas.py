@@ -82,4 +82,4 @@ PROFILE = """
     published_rents MAP<STRING, INT>, observed_rents MAP<STRING, INT>
 """
 
-MANIFEST = "run_id STRING, position BIGINT, listing_count BIGINT, new_count BIGINT, criteria_version INT"
+MANIFEST = "run_id STRING, position BIGINT, listing_count BIGINT, new_count BIGINT, criteria_version INT, date STRING, created_at STRING, label STRING"

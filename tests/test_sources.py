@@ -1,10 +1,13 @@
+import hashlib
 import json
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from listingflow.operators import capture as C
-from listingflow.sources import caches, captures, pages, runs
+from listingflow.sources import caches, captures, pages, runs, splits
 from listingflow.schemas import CAPTURE
 
 
@@ -140,6 +143,77 @@ def test_publish_is_immutable(spark, tmp_path):
     assert runs.read_manifest(spark, root).count() == 2
 
 
+def file_hashes(path) -> list[str]:
+    return sorted(hashlib.sha256(f.read_bytes()).hexdigest() for f in path.glob("*.parquet"))
+
+
+def test_the_same_rows_are_written_to_the_same_bytes(spark, tmp_path):
+    rows = [(f"office/{k * 7919 % 3000}", k % 5, {"b": k, "a": 1} if k % 2 else {"a": 1, "b": k}) for k in range(3000)] + [(None, 1, {}), ("é", 2, {"x": 0})]
+    turned = [(i, n, dict(reversed(m.items()))) for i, n, m in reversed(rows)]
+    schema = "listing_id STRING, n INT, m MAP<STRING, INT>"
+    for name, data, tasks, partitions in (("a", rows, 3, "8"), ("b", turned, 11, "8"), ("c", rows, 1, "5")):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        splits.write_sorted(spark.createDataFrame(data, schema).repartition(tasks), str(tmp_path / name), ["listing_id"], rows_per_file=400)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    first = file_hashes(tmp_path / "a")
+    assert len(first) >= 8 and first == file_hashes(tmp_path / "b") == file_hashes(tmp_path / "c")
+    files = [[r.listing_id for r in spark.read.parquet(str(f)).collect()] for f in sorted((tmp_path / "a").glob("*.parquet"))]
+    flat = [i for f in files for i in f]
+    assert all(len(f) <= 400 for f in files) and flat == sorted(flat, key=lambda i: (i is not None, i or "")) and len(flat) == len(rows)
+
+
+def test_numbers_and_hot_keys_split_in_order(spark):
+    keys = [-5, -1, 0, 3, 1 << 40] + [7] * 50 + list(range(100, 160))
+    df = spark.createDataFrame([(k,) for k in keys], "k BIGINT").repartition(4)
+    bounds = splits.file_bounds(df, "k", rows_per_file=20)
+    placed = df.select("k", splits.range_of(splits.ordered_text(F.col("k"), df.schema["k"].dataType), bounds).alias("f")).orderBy("k").collect()
+    assert [r.f for r in placed] == sorted(r.f for r in placed) and max(Counter(r.f for r in placed if r.k != 7).values()) <= 20
+    assert splits.file_bounds(df.limit(0), "k") == [] and splits.file_bounds(df, "k") == []
+
+
+def test_one_of_two_publishers_wins(spark, tmp_path):
+    root = str(tmp_path)
+    row = spark.createDataFrame([("2024-01-01a", 0, 1, 1, 3, "2024-01-01", "t", None)], runs.MANIFEST)
+
+    def publish(name: str) -> str:
+        part = spark.createDataFrame([(name, "k")], "listing_id STRING, suburb_key STRING")
+        try:
+            runs.publish_run("2024-01-01a", root, part, part, part, part, row)
+            return name
+        except ValueError as refused:
+            assert "immutable" in str(refused)
+            return ""
+
+    with ThreadPoolExecutor(4) as pool:
+        winners = [w for w in pool.map(publish, ["p", "q", "r", "s"]) if w]
+    assert len(winners) == 1
+    assert [r.listing_id for r in spark.read.parquet(f"{root}/runs/run_id=2024-01-01a").collect()] == winners
+    assert runs.current_run(runs.published_runs(spark, root)).first().current_run == "2024-01-01a"
+
+
+def test_ids_are_reserved_once(spark, tmp_path):
+    moment = spark.sql("select timestamp_ntz'2024-01-01 14:00:00' as utc_now")
+    with ThreadPoolExecutor(4) as pool:
+        ids = list(pool.map(lambda _: runs.reserve_run_id(spark, str(tmp_path), moment), range(4)))
+    assert sorted(ids) == [f"2024-01-02{c}" for c in "abcd"]
+
+
+def test_half_a_run_is_not_read(spark, tmp_path):
+    root = str(tmp_path)
+    part = spark.createDataFrame([("a", "k1")], "listing_id STRING, suburb_key STRING")
+    row = spark.createDataFrame([("2024-01-01a", 0, 1, 1, 3, "2024-01-01", "t", None)], runs.MANIFEST)
+    broken = part.withColumn("suburb_key", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        runs.publish_run("2024-01-01a", root, part, part, broken, part, row)
+    assert runs.published_runs(spark, root).count() == 0 and runs.current_run(runs.published_runs(spark, root)).first().current_run is None
+    with pytest.raises(ValueError, match="being published"):
+        runs.publish_run("2024-01-01a", root, part, part, part, part, row)
+    runs.publish_run("2024-01-01a", root, part, part, part, part, row, reserved=True)
+    assert [r.date for r in runs.published_runs(spark, root).collect()] == ["2024-01-01"]
+    with pytest.raises(ValueError, match="already exists"):
+        runs.publish_run("2024-01-01a", root, part, part, part, part, row, reserved=True)
+
+
 def test_next_run_id(spark):
     moment = spark.sql("select timestamp_ntz'2024-01-01 14:00:00' as utc_now")
     taken = spark.createDataFrame([("2024-01-02a",), ("2024-01-02b",), ("2024-01-01c",)], "run_id STRING")
