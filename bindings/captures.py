@@ -10,9 +10,11 @@ from listingflow.operators import capture as C
 from listingflow.operators import enrichment as E
 from listingflow.operators import reports as R
 from listingflow.operators.normalise import normalise
+from listingflow.schemas import CAPTURE
+from listingflow.sources import faults
 
 from .settings import KEYWORDS
-from .views import view, with_views
+from .views import VIEWS, view, with_views
 
 
 def capture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +166,25 @@ def mapping_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return problems(normalise(source_rows(spark, sf_dir), "https://example.com/"))
 
 
+#: One capture document per event, some of them faulty.
+VIEWS["v_document"] = """
+select event_id, case when event_id % 17 = 0 then left(text, 30) else text end as text from (
+  select event_id, chr(123) || '"source": ' || case when event_id % 7 = 0 then '3' else '"s"' end || ', '
+    || case when event_id % 5 = 0 then '' else '"captured_at": "t", ' end || '"groups": [' || chr(123) || '"origin": "office", "mode": "'
+    || case event_type when 'error' then 'fly' else 'walk' end || '", "max_travel_minutes": 15, "results": [' || chr(123) || '"id": "'
+    || cast(user_id as string) || '", "address": "a", "bedrooms": ' || case when event_id % 11 = 0 then '1.5' else '2' end || chr(125)
+    || case when event_id % 13 = 0 then ', ' || chr(123) || '"id": 4' || chr(125) else '' end || ']' || chr(125) || ']' || chr(125) as text
+  from {events})
+"""
+
+
+def document_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with each capture document, by the path of the field."""
+    return faults.fault_rows(view(spark, sf_dir, "v_document"), "event_id", "text", CAPTURE, faults.CAPTURE_RULES)
+
+
 QUERIES = {
+    "document_faults": document_faults,
     "flatten_capture": flatten_capture, "group_totals": group_totals, "blank_addresses": blank_addresses,
     "keyword_exclusion": keyword_exclusion, "travel_budget": travel_budget, "travel_rejects": travel_rejects,
     "travel_report": travel_report, "page_reports": page_reports, "funnel": funnel, "coverage": coverage,
@@ -212,6 +232,19 @@ _COUNTS = ", ".join(
 _MISS = "case when doc_id % 3 = 0 then 'No listing in this run has walkability, so the scoring factor that reads it sat out of every composite and confidence is lower than a fully enriched run''s. Run the enrich stages and replay this run to fill it in. / ' when doc_id % 3 = 1 then 'No listing in this run has a routed commute time or walkability, so the scoring factors that read them sat out of every composite and confidence is lower than a fully enriched run''s. Run the enrich stages and replay this run to fill them in. / ' else '' end"
 
 ORACLES = {
+    "document_faults": with_views(
+        ["v_document"],
+        "with e as (select event_id, event_type, event_id % 17 = 0 as cut from events) select event_id, '(root)' as path, 'not valid JSON' as fault from e where cut"
+        + "".join(
+            f" union all select event_id, '{path}', '{fault}' from e where not cut and {where}"
+            for path, fault, where in (
+                ("source", "expected string, found number", "event_id % 7 = 0"), ("captured_at", "required", "event_id % 5 = 0"),
+                ("groups.0.mode", "expected one of walk, drive, transit, found fly", "event_type = 'error'"),
+                ("groups.0.results.0.bedrooms", "expected a whole number", "event_id % 11 = 0"),
+                ("groups.0.results.1.id", "expected string, found number", "event_id % 13 = 0"), ("groups.0.results.1.address", "required", "event_id % 13 = 0"),
+            )
+        ),
+    ),
     "flatten_capture": with_views(
         ["v_capture"],
         f"""select listing_id, arg_min(address, {_POS}) as address, arg_min(price, {_POS}) as price, arg_min(bedrooms, {_POS}) as bedrooms,

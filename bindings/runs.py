@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listingflow.config import FACTOR_KEYS, Envelope
+from listingflow.operators import digests as G
 from listingflow.operators import quality as Q
 from listingflow.operators import reports as R
 from listingflow.operators import snapshots as D
@@ -14,7 +17,7 @@ from listingflow.plans import build as B
 from listingflow.plans.entries import listing_entries
 from listingflow.plans.replay import replay
 from listingflow.schemas import CACHED_TRAVEL, LEDGER, PROFILE, REJECTED
-from listingflow.session import cut_lineage
+from listingflow.session import checkpoint_root, cut_lineage
 
 from . import ledgers  # noqa: F401  (defines v_ledger)
 from .captures import capture_rows
@@ -132,6 +135,13 @@ def replay_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.change_report(before(spark, sf_dir), after(spark, sf_dir), _FIELDS)
 
 
+def replay_diff_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report from two written snapshots, of which only differing buckets are read."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/snapshots/{uuid.uuid4().hex}"
+    kept = [G.write_snapshot(df, f"{root}/{name}", "listing_id", _FIELDS) for name, df in (("before", before(spark, sf_dir)), ("after", after(spark, sf_dir)))]
+    return G.diff_report(spark, *kept, _FIELDS)
+
+
 def replay_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.left_run(before(spark, sf_dir), after(spark, sf_dir))
 
@@ -326,7 +336,7 @@ def sorted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "manifest_rows": manifest, "sorted_files": sorted_files,
-    "listing_entries": listing_entry_rows, "run_summary": run_summary, "replay_matches": replay_matches, "outcome_tally": outcome_tally, "replay_diff": replay_diff,
+    "listing_entries": listing_entry_rows, "run_summary": run_summary, "replay_matches": replay_matches, "outcome_tally": outcome_tally, "replay_diff": replay_diff, "replay_diff_by_digest": replay_diff_by_digest,
     "replay_left": replay_left, "replay_guards": replay_guards, "replay_drift": replay_drift, "build_listings": build_listings,
     "build_funnel": build_funnel, "build_outputs": build_outputs, "replay_of_build": replay_of_build, "violations": violations,
     "factor_key_faults": factor_key_faults, "run_warnings": run_warnings, "taken_runs": run_ids,
@@ -430,3 +440,4 @@ ORACLES = {
     ),
     "taken_runs": with_views(["v_run_row"], "select distinct run_id from v_run_row where run_id in ('1996-01-01a', '2050-01-01a')"),
 }
+ORACLES["replay_diff_by_digest"] = ORACLES["replay_diff"]
