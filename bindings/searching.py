@@ -9,12 +9,14 @@ from listingflow.operators import enrichment as E
 from listingflow.operators import predicates as P
 from listingflow.operators import searches as Q
 
+from listingflow.plans import guards
+from listingflow.session import cut_lineage
+
 from .captures import capture_rows, group_totals
 from .scoring import FULL_FLAGS_SQL, enriched
 from .settings import BAD_SEARCHES, LIMITS, SCORING, SEARCHES
 from .sqltext import joined
 from .views import VIEWS, view, with_views
-from listingflow.session import cut_lineage
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +128,16 @@ def covered_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.covered_searches(Q.searches_frame(spark, SEARCHES), groups).select("search_id", "travel_key", "max_minutes")
 
 
+def partial_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a search of the places with a rich supplier leaves out, and the note a run carries for it."""
+    rich = view(spark, sf_dir, "supplier").filter("s_acctbal > 8000").select(F.col("s_nationkey").alias("nationkey")).distinct()
+    places = view(spark, sf_dir, "v_place")
+    searched = places.join(rich, "nationkey", "left_semi").select(F.col("canonical").alias("location"), "location_pos")
+    return guards.partial_notes(searched, places)
+
+
 QUERIES = {
+    "partial_notes": partial_notes,
     "match_searches": match_searches, "match_searches_by_join": match_searches_by_join,
     "match_searches_by_index": match_searches_by_index, "subscriber_matches": subscriber_matches,
     "resolve_locations": resolve_locations, "plan_searches": plan_searches, "pass_locations": pass_locations,
@@ -174,6 +185,14 @@ _CONFIG = " union all ".join(
 _NULL_SAFE_JOINED = "select listing_id, matched_searches from matched"
 
 ORACLES = {
+    "partial_notes": with_views(
+        ["v_place"],
+        """with done as (select * from v_place where nationkey in (select s_nationkey from supplier where s_acctbal > 8000)),
+        n as (select (select count(*) from done) as searched, (select count(*) from v_place) as configured)
+        select searched > 0 and searched < configured as partial, case when searched > 0 and searched < configured then
+          'Partial search: ' || searched || ' of ' || configured || ' configured locations were queried (' || (select string_agg(canonical, ', ' order by location_pos) from done)
+          || '). Listings from the remaining ' || (configured - searched) || ' are absent because they were never searched, not because none exist — so no listing was marked stale this run.' end as note from n""",
+    ),
     "match_searches": with_views(["v_listing"], f"with {MATCH_CTES} {_NULL_SAFE_JOINED}"),
     "match_searches_by_join": with_views(["v_listing"], f"with {MATCH_CTES} {_NULL_SAFE_JOINED}"),
     "match_searches_by_index": with_views(["v_listing"], f"with {MATCH_CTES} {_NULL_SAFE_JOINED}"),

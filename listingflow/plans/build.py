@@ -21,6 +21,7 @@ from ..operators.searches import excluded_by_every_search, match_searches, searc
 from ..operators.snapshots import run_summary
 from ..session import cut_lineage
 from .entries import listing_entries
+from .guards import Asked, partial_notes, require_arrive_by, require_passes, require_plannable
 
 SOURCE_FACTS = [
     "url", "address", "suburb", "state", "postcode", "price", "propertyType", "bedrooms", "bathrooms", "carSpaces",
@@ -67,15 +68,27 @@ def covered(searches: Sequence[SavedSearch], passes: Collection[str]) -> list[Sa
 def build(rows: DataFrame, rejections: DataFrame, passes: Collection[str], verdicts: DataFrame, state: State,
           scoring: Scoring, limits: Envelope, searches: Sequence[SavedSearch], run_id: str, previous_run: str | None,
           created_at: str, url_base: str, travel_source: str, partial: bool = False,
-          searched: DataFrame | None = None, carried_notes: Sequence[str] = ()) -> Run:
+          searched: DataFrame | None = None, carried_notes: Sequence[str] = (), capture: Asked | None = None,
+          force: bool = False) -> Run:
     """Everything a run publishes.
 
     ``rows``, ``rejections``: flat capture rows. ``passes``: the capture's ``origin:mode`` keys.
-    ``partial``: only some locations were searched; nothing may go stale then. Frames that feed
+    ``searched``: the locations that were queried; where some of the envelope's are missing, or with ``partial``, nothing may
+    go stale, and a note says so. ``capture``: what the capture was asked for; a covered search that the envelope cannot
+    answer, or transit measured against another arrive-by (unless ``force``), stops the build, as does a capture without
+    passes. Frames that feed
     several outputs are written to the shared checkpoint folder while the build runs: computed once, and
     still there when executors are lost. A new suburb that nothing can place stops the build.
     """
+    require_passes(passes)
     asked = covered(searches, passes)
+    if capture is not None:
+        require_plannable(capture, asked, limits)
+        require_arrive_by(capture, force)
+    if searched is not None:
+        state_of_search = partial_notes(searched, state.envelope).first()
+        partial = partial or state_of_search["partial"]
+        carried_notes = [*carried_notes, *([state_of_search["note"]] if state_of_search["note"] else [])]
     rows = cut_lineage(rows)
     flat = C.unique_listings(rows, SOURCE_FACTS)
     normal = normalise(with_keyword_hit(flat, list(limits.exclude_keywords)), url_base)

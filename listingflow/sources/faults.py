@@ -30,13 +30,8 @@ class Rules:
     enums: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
 
-def _kind(value: Column) -> Column:
-    """What a variant holds, in the words of JSON."""
-    return F.element_at(F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair]), F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0))
-
-
 def _declared(kind: T.DataType) -> str:
-    if isinstance(kind, T.StructType) or isinstance(kind, T.MapType):
+    if isinstance(kind, (T.StructType, T.MapType)):
         return "object"
     if isinstance(kind, T.ArrayType):
         return "array"
@@ -47,65 +42,71 @@ def _fault(path: Column, text: Column) -> Column:
     return F.array(F.struct(path.alias("path"), text.alias("fault")))
 
 
-def _none() -> Column:
-    return F.array().cast(FAULTS)
-
-
-def _joined(path: Column, part: Column) -> Column:
-    return F.when(path == "", part).otherwise(F.concat(path, F.lit("."), part))
-
-
-def _check(value: Column, kind: T.DataType, path: Column, name: str, rules: Rules) -> Column:
-    """Faults of one value, which is null where the field is missing."""
-    return bind(value, lambda v: _faults_of(v, kind, path, name, rules))
-
-
-def _faults_of(value: Column, kind: T.DataType, path: Column, name: str, rules: Rules) -> Column:
-    required, found, wanted = name in rules.required, _kind(value), _declared(kind)
-    void = F.is_variant_null(value)
-    inside = _none()
-    if isinstance(kind, T.StructType):
-        inside = _members(value, kind, path, name, rules)
-    elif isinstance(kind, T.ArrayType):
-        items = F.try_variant_get(value, F.lit("$"), "array<variant>")
-        inside = F.flatten(F.transform(items, lambda item, i: _check(item, kind.elementType, _joined(path, i.cast("string")), name, rules)))
-    elif isinstance(kind, T.MapType):
-        items = F.map_entries(F.try_variant_get(value, F.lit("$"), "map<string,variant>"))
-        inside = F.flatten(F.transform(items, lambda item: _check(item["value"], kind.valueType, _joined(path, item["key"]), name, rules)))
-    elif name in rules.enums:
-        text = F.try_variant_get(value, F.lit("$"), "string")
-        listed = ", ".join(rules.enums[name])
-        inside = F.when(text.isin(*rules.enums[name]), _none()).otherwise(_fault(path, F.concat(F.lit(f"expected one of {listed}, found "), text)))
-    elif isinstance(kind, T.IntegralType):
-        number = F.try_variant_get(value, F.lit("$"), "double")
-        inside = F.when(number == F.floor(number), _none()).otherwise(_fault(path, F.lit("expected a whole number")))
-    missing = _fault(path, F.lit("required")) if required else _none()
-    empty = _none() if not required or name in rules.nullable else _fault(path, F.concat(F.lit(f"expected {wanted}, found null")))
-    wrong = _fault(path, F.concat(F.lit(f"expected {wanted}, found "), found))
-    return F.when(value.isNull(), missing).when(void, empty).when(found != wanted, wrong).otherwise(F.coalesce(inside, _none()))
-
-
-def _members(value: Column, kind: T.StructType, path: Column, name: str, rules: Rules) -> Column:
-    parts = [
-        _check(
-            F.try_variant_get(value, F.lit(f"$['{f.name}']"), "variant"), f.dataType, _joined(path, F.lit(f.name)), f"{name}.{f.name}" if name else f.name, rules
-        )
-        for f in kind.fields
-    ]
-    return F.flatten(F.array(*parts))
+class _Compiler:
+    """Column expressions of one schema; what every field uses is made once."""
+
+    def __init__(self, rules: Rules):
+        self.rules = rules
+        self.none = F.array().cast(FAULTS)
+        self.kinds = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
+        self.itself, self.dot, self.required = F.lit("$"), F.lit("."), F.lit("required")
+        self.whole = F.lit("expected a whole number")
+
+    def kind(self, value: Column) -> Column:
+        """What a variant holds, in the words of JSON."""
+        return F.element_at(self.kinds, F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0))
+
+    def check(self, value: Column, kind: T.DataType, path: Column, name: str) -> Column:
+        """Faults of one value, which is null where the field is missing."""
+        return bind(value, lambda v: self._faults(v, kind, path, name))
+
+    def _faults(self, value: Column, kind: T.DataType, path: Column, name: str) -> Column:
+        required, wanted = name in self.rules.required, _declared(kind)
+        found = self.kind(value)
+        wrong = _fault(path, F.concat(F.lit(f"expected {wanted}, found "), found))
+        out = F.when(value.isNull(), _fault(path, self.required) if required else self.none)
+        if not required or name in self.rules.nullable:
+            out = out.when(F.is_variant_null(value), self.none)
+        out = out.when(found != wanted, wrong)
+        inside = self._inside(value, kind, path, name)
+        return out.otherwise(self.none if inside is None else F.coalesce(inside, self.none))
+
+    def _inside(self, value: Column, kind: T.DataType, path: Column, name: str) -> Column | None:
+        get = lambda of: F.try_variant_get(value, self.itself, of)
+        if isinstance(kind, T.StructType):
+            return self.members(value, kind, path, name)
+        if isinstance(kind, T.ArrayType):
+            return F.flatten(F.transform(get("array<variant>"), lambda item, i: self.check(item, kind.elementType, F.concat(path, self.dot, i.cast("string")), name)))
+        if isinstance(kind, T.MapType):
+            return F.flatten(F.transform(F.map_entries(get("map<string,variant>")), lambda e: self.check(e["value"], kind.valueType, F.concat(path, self.dot, e["key"]), name)))
+        if name in self.rules.enums:
+            text, listed = get("string"), self.rules.enums[name]
+            return F.when(text.isin(*listed), self.none).otherwise(_fault(path, F.concat(F.lit(f"expected one of {', '.join(listed)}, found "), text)))
+        if isinstance(kind, T.IntegralType):
+            number = get("double")
+            return F.when(number == F.floor(number), self.none).otherwise(_fault(path, self.whole))
+        return None
+
+    def members(self, value: Column, kind: T.StructType, path: Column | None, name: str) -> Column:
+        parts = []
+        for f in kind.fields:
+            own = F.lit(f.name) if path is None else F.concat(path, F.lit(f".{f.name}"))
+            parts.append(self.check(F.try_variant_get(value, F.lit(f"$['{f.name}']"), "variant"), f.dataType, own, f"{name}.{f.name}" if name else f.name))
+        return F.flatten(F.array(*parts))
 
 
 def document_faults(text: Column, schema: str | T.StructType, rules: Rules = Rules()) -> Column:
     """The faults of a JSON document, in the order of the schema; empty for a sound one. Text that is no JSON, or no
     object, has one fault at the root. Fields that the schema does not name are ignored."""
     kind = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    root = F.lit("(root)")
+    compiler, root = _Compiler(rules), F.lit("(root)")
 
     def checked(document: Column) -> Column:
+        found = compiler.kind(document)
         return (
             F.when(document.isNull(), _fault(root, F.lit("not valid JSON")))
-            .when(_kind(document) != "object", _fault(root, F.concat(F.lit("expected object, found "), _kind(document))))
-            .otherwise(_members(document, kind, F.lit(""), "", rules))
+            .when(found != "object", _fault(root, F.concat(F.lit("expected object, found "), found)))
+            .otherwise(compiler.members(document, kind, None, ""))
         )
 
     return bind(F.try_parse_json(text), checked)

@@ -5,6 +5,7 @@ from bindings.settings import SCORING
 from listingflow.config import Envelope, SavedSearch
 from listingflow.operators.searches import resolve_locations
 from listingflow.plans import build as B
+from listingflow.plans import guards
 from listingflow.plans.replay import replay
 from listingflow.plans.search_pass import search_pass
 from listingflow.schemas import LEDGER, PROFILE, REJECTED
@@ -102,6 +103,40 @@ def test_unplaceable_suburb_stops_the_build(spark, tmp_path):
         run(spark, tmp_path / "a", body, "r1")
 
 
+def test_guards_stop_a_build(spark):
+    places = spark.createDataFrame([("Sydney NSW 2000", 0, None, None)], "location STRING, location_pos INT, indicative_minutes MAP<STRING, DOUBLE>, km_from MAP<STRING, DOUBLE>")
+    groups = spark.createDataFrame([("office", "walk", None), ("office", "transit", "2024-01-09T09:00:00+11:00"), ("home", "transit", None)], "origin STRING, mode STRING, arrive_by STRING")
+    asked = guards.Asked(groups, places, ["office", "home"], "2024-01-02T09:00:00+11:00")
+    with pytest.raises(guards.Refused, match="no passes"):
+        guards.require_passes([])
+    wide = [SavedSearch("rich", "office", "walk", 15, max_price_pw=5000), SavedSearch("away", "office", "walk", 15, locations=("Elsewhere NSW 2999",)), *SEARCHES]
+    with pytest.raises(guards.Refused) as refused:
+        guards.require_plannable(asked, wide, Envelope(900, 0))
+    assert [line.split(":")[0] for line in refused.value.reasons] == ["away", "rich"]
+    guards.require_plannable(asked, SEARCHES, Envelope(900, 0))
+    with pytest.raises(guards.Refused, match="2024-01-02T09:00:00") as refused:
+        guards.require_arrive_by(asked)
+    assert refused.value.reasons == ["home:transit (none)", "office:transit 2024-01-09T09:00:00+11:00"]
+    guards.require_arrive_by(asked, force=True)
+    guards.require_arrive_by(guards.Asked(groups, places, [], None))
+
+
+def test_a_partial_search_marks_nothing_stale_and_says_so(spark, tmp_path):
+    rows, state, first = run(spark, tmp_path / "a", capture({"1": 650, "2": 700}), "r1")
+    later, rejections = frames(spark, tmp_path / "b", capture({"1": 650}))
+    two = state.envelope.unionByName(state.envelope.withColumn("suburb_key", F.lit("other-2001")))
+    old = first.ledger.withColumn("last_seen_run", F.lit("r0"))
+    after = B.State(old, first.rejected, first.profiles, two, two, state.resolved)
+    searched = spark.createDataFrame([("Sydney NSW 2000", 0)], "location STRING, location_pos INT")
+    none = spark.createDataFrame([], "listing_id STRING, verdict STRING")
+    args = (later, rejections, ["office:walk"], none, after, SCORING, Envelope(900, 0, exclude_keywords=["room"]), SEARCHES, "r2", "r1", "2024-01-02T00:00:00Z", "https://x/", "router")
+    part = B.build(*args, searched=searched)
+    assert {r.listing_id: r.status for r in part.ledger.collect()} == {"1": "active", "2": "active"}
+    assert any(r.note.startswith("Partial search: 1 of 2 configured locations were queried (Sydney NSW 2000)") for r in part.notes.collect())
+    whole = B.build(*args)
+    assert {r.listing_id: r.status for r in whole.ledger.collect()} == {"1": "active", "2": "stale"}
+
+
 def test_replay_names_what_a_fix_moves(spark, tmp_path):
     rows, state, done = run(spark, tmp_path / "a", capture({"1": 650, "2": 700}), "r1")
     moved = rows.withColumn("price", F.when(F.col("listing_id") == "1", F.lit("$640 pw")).otherwise(F.col("price"))).withColumn(
