@@ -11,8 +11,8 @@ every other document whose bound reaches that score is then scored exactly on it
 cannot get there, is left out. The number of documents scored has no limit.
 
 Corpus counts (documents, terms, documents per term) cover all documents. Items are asked in chunks of about ``TERMS``
-terms, so what a task is given does not grow with their number; two passes over the index serve a chunk. Filters that go
-to every task are bitmaps of a fixed size: they only spare work, what passes is joined exactly.
+terms, so what a task is given does not grow with their number; two passes over the index serve a chunk. The filter of
+terms that goes to every task is a bitmap of a fixed size: it only spares work, what passes is joined exactly.
 
 Defined cases: a null or empty text has no term, and such a document is in no result; an item without terms, or with none
 that any document has, has no row; every row of a repeated item is an item and every repeated document a document; null
@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ BITS, HASHES, WIDEST, LEVELS = 12, 3, 1 << 20, 6
 TERMS, STRIP = 20_000, 256
 #: Bytes of text whose postings a task holds at once.
 SLICE = 4 << 20
-#: Bits of the filters that go to every task.
+#: Bits of the filter that goes to every task.
 FILTER = 1 << 20
 _MIX = np.random.default_rng(12).integers(0, 1 << 63, LEVELS, np.uint64) * np.uint64(2) + np.uint64(1)
 #: Letters, digits and everything beyond ASCII stand for themselves (A-Z in lower case), the rest parts terms.
@@ -63,7 +64,7 @@ def places(hashes: np.ndarray, level: int, width: int) -> list[np.ndarray]:
     return [((mixed >> np.uint64(21 * k)) & np.uint64(width - 1)).astype(np.int64) for k in range(HASHES)]
 
 
-# ---- filters of a fixed size ---------------------------------------------------------------------
+# ---- a filter of a fixed size --------------------------------------------------------------------
 
 
 def filter_words(hashed: DataFrame) -> dict[int, int]:
@@ -266,27 +267,41 @@ def _candidates(blocks: DataFrame, asked: Questions, corpus: Corpus, id_type: st
     return blocks.mapInArrow(read, f"doc_id {id_type}, text_hash long, item int, bound long")
 
 
-def _scored(docs: DataFrame, chosen: DataFrame, asked: Questions, corpus: Corpus, label: str) -> DataFrame:
-    """(item, doc_id, score) of the candidates ``chosen``, read from whole texts."""
+def _score_rows(part: pa.RecordBatch, texts: list[str], wanted: list[list[int] | None], asked: Questions, corpus: Corpus) -> pa.RecordBatch:
+    out = [(n, *s) for n, (text, items) in enumerate(zip(texts, wanted)) if items for s in asked.scores(text, items, corpus)]
+    row, item, score = zip(*out) if out else ([], [], [])
+    return pa.RecordBatch.from_arrays([pa.array(item, pa.int64()), part.column("doc_id").take(pa.array(row, pa.int64())), pa.array(score, pa.int64())], ["item", "doc_id", "score"])
+
+
+def _likely_scores(docs: DataFrame, likely: DataFrame, asked: Questions, corpus: Corpus) -> DataFrame:
+    """(item, doc_id, score) of the documents with the highest bounds: ``k`` per item of the chunk, few enough to be named
+    to every task, by their texts."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    # A document is asked for at most all items of the chunk.
-    keyed = staged(chosen.groupBy("doc_id", "text_hash").agg(F.collect_set("item").alias("asked")), f"{label}-keys")
-    words = filter_words(keyed.select(F.col("text_hash").alias("h")))
+    wanted: dict[int, list[int]] = {}
+    for r in likely.select("text_hash", "item").distinct().collect():
+        wanted.setdefault(r["text_hash"], []).append(r["item"])
 
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = filter_bits(words)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array(list(wanted), pa.int64())
         for batch in batches:
-            yield batch.filter(pa.array(passes(bits, batch.column("text_hash").to_numpy())))
+            for part, texts in text_slices([batch.filter(pc.is_in(batch.column("text_hash"), names))]):
+                yield _score_rows(part, texts, [wanted[h] for h in part.column("text_hash").to_pylist()], asked, corpus)
+
+    return docs.mapInArrow(read, f"item long, doc_id {id_type}, score long")
+
+
+def _scored(docs: DataFrame, chosen: DataFrame, asked: Questions, corpus: Corpus) -> DataFrame:
+    """(item, doc_id, score) of any number of candidates, read from whole texts."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    # A document is asked for at most all items of the chunk.
+    keyed = staged(chosen.groupBy("doc_id", "text_hash").agg(F.collect_set("item").alias("asked")), "ranking-keys").alias("k")
+    met = docs.alias("d").join(keyed, (F.col("d.text_hash") == F.col("k.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
-            out = [(n, *s) for n, (text, wanted) in enumerate(zip(texts, part.column("asked").to_pylist())) for s in asked.scores(text, wanted, corpus)]
-            row, item, score = zip(*out) if out else ([], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(item, pa.int64()), part.column("doc_id").take(pa.array(row, pa.int64())), pa.array(score, pa.int64())], ["item", "doc_id", "score"])
+            yield _score_rows(part, texts, part.column("asked").to_pylist(), asked, corpus)
 
-    left, right = docs.mapInArrow(sift, docs.schema).alias("d"), keyed.alias("k")
-    met = left.join(right, (F.col("d.text_hash") == F.col("k.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")))
-    return staged(met.select("d.doc_id", "d.text", "k.asked").mapInArrow(read, f"item long, doc_id {id_type}, score long"), label)
+    return met.select("d.doc_id", "d.text", "k.asked").mapInArrow(read, f"item long, doc_id {id_type}, score long")
 
 
 def _highest(scored: DataFrame, k: int) -> DataFrame:
@@ -308,10 +323,10 @@ def _chunk(docs: DataFrame, blocks: DataFrame, counts: DataFrame, mine: DataFram
     likely = _candidates(blocks, asked, corpus, id_type, k, None)
     by = W.partitionBy("item").orderBy(F.desc("bound"), "text_hash")
     likely = likely.withColumn("n", F.row_number().over(by)).where(F.col("n") <= k).drop("n")
-    known = _highest(_scored(docs, likely, asked, corpus, "ranking-likely"), k)
+    known = _highest(_likely_scores(docs, likely, asked, corpus), k)
     reach = {r["item"]: r["score"] for r in known.where(F.col("rank") == k).select("item", "score").collect()}
     able = _candidates(blocks, asked, corpus, id_type, k, reach)
-    return _highest(_scored(docs, able, asked, corpus, "ranking-scores"), k).select("item", "rank", "doc_id", "score")
+    return _highest(staged(_scored(docs, able, asked, corpus), "ranking-scores"), k).select("item", "rank", "doc_id", "score")
 
 
 def ranked(docs: DataFrame, items: DataFrame, k: int = 50, item_id: str = "item_id", text: str = "text") -> DataFrame:
