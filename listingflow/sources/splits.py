@@ -8,12 +8,12 @@ neighbouring ranges are put together up to the size of a file. What the driver s
 
 from __future__ import annotations
 
+import json
 import math
 import os
 from bisect import bisect_right
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,14 +35,21 @@ def ordered_text(column: Column, kind: T.DataType) -> Column:
 
 
 def range_of(key: Column, bounds: Sequence[str]) -> Column:
-    """Which range a key lies in: the number of ``bounds`` up to it; a null lies before all."""
-    listed = list(bounds)
-
-    @F.pandas_udf("int")
-    def place(keys: pd.Series) -> pd.Series:
-        return pd.Series([0 if k is None else bisect_right(listed, k) for k in keys], dtype="int32")
-
-    return place(key) if listed else F.lit(0)
+    """Which range a key lies in: the number of ``bounds`` up to it, found by halving; a null lies before all."""
+    if not bounds:
+        return F.lit(0)
+    listed = F.from_json(F.lit(json.dumps(list(bounds), ensure_ascii=False)), "array<string>")  # a literal when it runs
+
+    def halved(s: Column, _: Column) -> Column:
+        middle = F.shiftright(s["low"] + s["high"], 1)
+        undecided, before = s["low"] < s["high"], key < F.get(listed, middle)
+        return F.struct(
+            F.when(undecided & ~before, middle + 1).otherwise(s["low"]).alias("low"), F.when(undecided & before, middle).otherwise(s["high"]).alias("high")
+        )
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+    return F.when(key.isNull(), F.lit(0)).otherwise(F.aggregate(steps, start, halved, lambda s: s["low"]))
 
 
 def file_bounds(df: DataFrame, key: str, rows_per_file: int = ROWS_PER_FILE, most_files: int = MOST_FILES) -> list[str]:
