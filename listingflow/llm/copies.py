@@ -1,11 +1,15 @@
-"""Near copies by five-word shingles: MinHash bands find candidates, exact Jaccard similarity decides.
+"""Near copies by five-word shingles: wide SimHash fingerprints find candidates, exact Jaccard similarity decides.
 
-Texts of equal shingle sets collapse first. Every distinct set has ``BANDS`` keys, each made of ``ROWS`` independent
-minima; sets that share a key are candidates, and only candidates are read again. Two sets of similarity 0.8 share no key
-with a chance of (1 - 0.8 ** ROWS) ** BANDS = 0.00008, fewer the more alike they are; nothing else is lost. Candidates
-that are connected are compared with each other on their whole shingle sets, in chunks, so that no group meets in one task;
-a task passes on only links that join what was apart. The work on connected candidates grows with the square of their
-number where they are unlike each other; where they are alike one comparison settles a set.
+Texts of equal shingle sets collapse first. Every distinct set has a fingerprint of 256 bits and ``KEYS`` keys, each made
+of ``KEY_BITS`` of those bits. Sets that share a key stand in one bucket, whose fingerprints are compared bit-sliced: bit
+planes side by side, differing bits added by carry-save counters, a block abandoned once all its pairs exceed ``RADIUS`` or
+are joined already. Two sets of similarity 0.8 differ in 15 % of the bits: they share no key with a chance of about 0.008, of
+similarity 0.85 0.0002, and lie beyond the radius with a chance of about 0.001.
+
+Only candidates are read again. Of each group of linked fingerprints every set is compared with the group's first one on
+whole shingle sets; those that reach the similarity are connected. The others are compared with all of their group, in
+chunks, so that no group meets in one task; a task passes on only links that join what was apart. The work in a group of n
+sets, m of them unlike the first, grows with n * (m + 1), not with n * n.
 
 Defined cases: words are split at white space, A-Z lower-cased; texts without words are copies of each other; shorter texts
 than a shingle are one shingle; the smallest id stays, a null id only where no id is there; of repeated rows one stays; an
@@ -23,13 +27,18 @@ from pyspark.sql import functions as F
 
 from listingflow.llm.common import staged, text_slices
 from listingflow.llm.components import components
-from listingflow.llm.simhash import rows_of
+from listingflow.llm.simhash import BUCKET, SIDE_BY_SIDE, Forest, rows_of
 
 SHINGLE, SIMILARITY = 5, 0.8
-BANDS, ROWS = 40, 7
-#: Candidates of one component that are compared side by side.
+WORDS = 4
+BITS, RADIUS = 64 * WORDS, 56
+KEYS, KEY_BITS = 128, 20
+#: Sets of one group that are compared side by side.
 CHUNK = 512
-_MIX = np.random.default_rng(5).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_RNG = np.random.default_rng(5)
+_SEEDS = _RNG.integers(0, 1 << 63, WORDS, np.uint64)
+_CHOSEN = np.stack([_RNG.choice(BITS, KEY_BITS, replace=False) for _ in range(KEYS)])
+_PARTS = [f"f{k}" for k in range(WORDS)]
 
 
 def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -46,40 +55,97 @@ def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b], 5) for a, b in zip(starts, stops)], np.uint64))
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """``BANDS`` keys of a shingle set, as signed longs."""
-    import xxhash
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """The bits of a shingle set's fingerprint: 1 where over half of its members have the bit."""
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), 255):  # sums of 255 bits fit a byte
+        z = hashes[at : at + 255, None] + _SEEDS
+        z = (z ^ (z >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+        bits = np.unpackbits((z ^ (z >> np.uint64(32))).astype("<u8").view(np.uint8), axis=1, bitorder="little")
+        counts += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    return (counts * 2 > len(hashes)).astype(np.uint8)
+
 
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
-    for at in range(0, len(hashes), 256):
-        np.minimum(least, (hashes[at : at + 256, None] * _MIX).min(0), out=least)
-    rows = least.astype("<u8").tobytes()
-    keys = [xxhash.xxh64_intdigest(rows[8 * ROWS * b : 8 * ROWS * (b + 1)], b) for b in range(BANDS)]
-    return np.array(keys, np.uint64).view(np.int64)
+def keys_of(bits: np.ndarray) -> np.ndarray:
+    """``KEYS`` numbers of a fingerprint, each of ``KEY_BITS`` of its bits and its own place."""
+    return (np.arange(KEYS) << KEY_BITS) + bits[_CHOSEN] @ (1 << np.arange(KEY_BITS))
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(set, num, keys, doc_id, text_hash) of every row: ``set`` names its shingle set, ``num`` is a part of that name."""
+    """(set, num, f0.., doc_id, text_hash) of every row: ``set`` names its shingle set, ``num`` is a part of that name and
+    f0.. are the words of its fingerprint."""
     import xxhash
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
-            names, keys = [], []
+            names, prints = [], []
             for text in texts:
                 hashes = shingles(text)
                 names.append(xxhash.xxh128_hexdigest(hashes.astype("<u8").tobytes()))
-                keys.append(band_keys(hashes))
-            flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS), flat)
+                prints.append(np.packbits(wide_fingerprint(hashes), bitorder="little").view("<i8"))
+            words = np.array(prints, np.int64).reshape(-1, WORDS)
             nums = np.array([int(n[:16], 16) for n in names], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(nums), lists, part.column("doc_id"), part.column("text_hash")], ["set", "num", "keys", "doc_id", "text_hash"]
-            )
+            columns = [pa.array(names, pa.string()), pa.array(nums), *(pa.array(words[:, k].copy()) for k in range(WORDS))]
+            yield pa.RecordBatch.from_arrays([*columns, part.column("doc_id"), part.column("text_hash")], ["set", "num", *_PARTS, "doc_id", "text_hash"])
 
     keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
-    return keyed.mapInArrow(read, f"set string, num long, keys array<long>, doc_id {id_type}, text_hash long")
+    words = ", ".join(f"{f} long" for f in _PARTS)
+    return keyed.mapInArrow(read, f"set string, num long, {words}, doc_id {id_type}, text_hash long")
+
+
+def _number(lanes: np.ndarray) -> int:
+    return int.from_bytes(np.packbits(lanes, bitorder="little").tobytes(), "little")
+
+
+def _above(counters: list[int], radius: int) -> int:
+    """Lanes whose count, one counter per binary digit, is above ``radius``."""
+    out, equal = 0, -1
+    for digit in reversed(range(len(counters))):
+        if radius >> digit & 1:
+            equal &= counters[digit]
+        else:
+            out |= equal & counters[digit]
+            equal &= ~counters[digit]
+    return out
+
+
+def near_links(nums: np.ndarray, words: np.ndarray, bucket: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links (u, v) between ``nums`` of one bucket whose fingerprints lie within ``radius`` bits, enough to join all that are
+    connected; rows of one bucket stand together."""
+    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    sizes = np.diff(np.concatenate([starts, [len(bucket)]]))
+    classes = np.ceil(np.log2(sizes)).astype(int)
+    names, ids = np.unique(nums, return_inverse=True)
+    forest = Forest(len(names))
+    for size_class in np.unique(classes[sizes > 1]):
+        chosen = np.flatnonzero((classes == size_class) & (sizes > 1))
+        at = np.concatenate([np.arange(starts[c], starts[c] + sizes[c]) for c in chosen])
+        left = np.concatenate([np.arange(sizes[c])[::-1] for c in chosen])  # rows of the bucket that follow
+        bits = np.unpackbits(words[at].astype("<i8").view(np.uint8).reshape(len(at), -1), axis=1, bitorder="little")
+        planes = [_number(bits[:, k]) for k in range(BITS)]
+        for lag in range(1, int(sizes[chosen].max())):
+            tree = forest.labels[ids[at]]
+            # Pairs that other links have joined already need no comparison.
+            active = _number((left[:-lag] >= lag) & (tree[:-lag] != tree[lag:]))
+            counters, over = [0] * radius.bit_length(), 0
+            for k, plane in enumerate(planes):
+                if not active:
+                    break
+                carry = plane ^ (plane >> lag)
+                for digit, counter in enumerate(counters):
+                    counters[digit], carry = counter ^ carry, counter & carry
+                over |= carry
+                if k % 32 == 31:
+                    active &= ~(over | _above(counters, radius))
+            if active:
+                hit = np.flatnonzero(np.unpackbits(np.frombuffer(active.to_bytes((len(at) + 7) // 8, "little"), np.uint8), bitorder="little"))
+                u, v = at[hit], at[hit + lag]
+                new = forest.join(ids[u], ids[v])
+                if len(new):
+                    yield nums[u[new]], nums[v[new]]
 
 
 def alike(sets: list[np.ndarray], similarity: float = SIMILARITY) -> Iterator[tuple[int, int]]:
@@ -109,21 +175,66 @@ def alike(sets: list[np.ndarray], similarity: float = SIMILARITY) -> Iterator[tu
             rest, flat = rest[~hit], None
 
 
+def print_links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """(u, v): links between the sets of ``prints`` (num, f0.., distinct) that share a key and whose fingerprints are near."""
+
+    def read_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = np.column_stack([batch.column(f).to_numpy() for f in _PARTS])
+            bits = np.unpackbits(words.astype("<i8").view(np.uint8).reshape(len(words), -1), axis=1, bitorder="little")
+            flat = np.array([keys_of(row) for row in bits], np.int32).reshape(-1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * KEYS), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column("num"), lists], ["num", "keys"])
+
+    keyed = staged(prints.mapInArrow(read_keys, "num long, keys array<int>"), "print-keys")
+    keys = keyed.select("num", F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = staged(shared.select("key", F.ceil(F.col("n") / bucket).cast("int").alias("chunks")), "shared-keys")
+    # Crowded buckets are divided, and every pair of their parts is compared.
+    chunk = F.pmod(F.xxhash64("num", "key"), F.col("chunks")).cast("int")
+    dealt = (
+        keys.join(shared, "key")
+        .withColumn("chunk", chunk)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("num", "key", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"))
+        .join(prints, "num")
+    )
+    cell = ["key", "a", "b"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def linked(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+            number = np.concatenate([[0], np.cumsum((rows[1:, :3] != rows[:-1, :3]).any(1))])
+            for u, v in near_links(rows[:, 3], rows[:, 4:], number):
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+        columns = [*cell, "num", *_PARTS]
+        held = np.zeros((0, len(columns)), np.int64)
+        for batch in batches:
+            held = np.vstack([held, np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in columns])])
+            while len(held) > SIDE_BY_SIDE:
+                changes = np.flatnonzero((held[1:, :3] != held[:-1, :3]).any(1)) + 1
+                whole = changes[changes <= SIDE_BY_SIDE]
+                end = whole[-1] if len(whole) else changes[0] if len(changes) else None
+                if end is None:
+                    break
+                yield from linked(held[:end])
+                held = held[end:]
+        if len(held):
+            yield from linked(held)
+
+    return dealt.repartition(*cell).sortWithinPartitions(*cell, "num").mapInArrow(read, "u long, v long")
+
+
 def candidates(sets: DataFrame) -> DataFrame:
-    """(num, component, chunks) of sets that share a key with another, by connected component."""
-    keys = sets.select("num", F.explode("keys").alias("key"))
-    shared = staged(keys.groupBy("key").agg(F.min("num").alias("head"), F.max("num").alias("last")).where("head <> last").select("key", "head"), "bands")
-    links = keys.join(shared, "key").where("num <> head").select(F.col("num").alias("u"), F.col("head").alias("v"))
-    found = staged(components(links).select(F.col("node").alias("num"), "component"), "candidates")
-    sizes = staged(found.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "candidate-sizes")
-    return found.join(sizes, "component").select("num", "component", "chunks")
+    """(num, component) of sets whose fingerprints are near to another's; a component is named by its smallest ``num``."""
+    prints = staged(sets.select("num", *_PARTS).distinct(), "prints")
+    return components(print_links(prints)).select(F.col("node").alias("num"), "component")
 
 
 def copy_links(docs: DataFrame, sets: DataFrame, chosen: DataFrame) -> DataFrame:
     """(u, v): links between sets of ``chosen`` whose similarity is reached. ``sets`` has set, num, first."""
-    wanted = sets.join(chosen, "num").select("set", "component", "chunks", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash"))
-    chunk = F.pmod(F.xxhash64("set"), F.col("chunks")).cast("int")
-    texts = rows_of(docs.select("doc_id", "text"), wanted).select("set", "component", "chunks", chunk.alias("chunk"), "text")
+    wanted = sets.join(chosen, "num").select("set", "num", "component", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash"))
+    texts = rows_of(docs.select("doc_id", "text"), wanted).select("set", "num", "component", "text")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, found in text_slices(batches):
@@ -133,10 +244,21 @@ def copy_links(docs: DataFrame, sets: DataFrame, chosen: DataFrame) -> DataFrame
             )
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names[:-1]), lists], names)
 
-    names = ["set", "component", "chunks", "chunk", "hashes"]
-    held = staged(texts.mapInArrow(whole, "set string, component long, chunks int, chunk int, hashes array<long>"), "shingles")
-    dealt = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "set", "component", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "hashes"
+    names = ["set", "num", "component", "hashes"]
+    held = staged(texts.mapInArrow(whole, "set string, num long, component long, hashes array<long>"), "shingles")
+    heads = held.where("num = component").select("component", F.col("set").alias("head"), F.col("hashes").alias("head_hashes"))
+    both = F.size(F.array_intersect("hashes", "head_hashes"))
+    settled = (F.col("set") == F.col("head")) | (both >= SIMILARITY * (F.size("hashes") + F.size("head_hashes") - both) - 1e-9)
+    judged = staged(held.join(heads, "component").select("set", "component", "head", settled.alias("settled")), "settled")
+    rest = F.ceil(F.count_if(~F.col("settled")) / CHUNK).cast("int")
+    sizes = judged.groupBy("component").agg(rest.alias("rest"), F.ceil(F.count_if("settled") / CHUNK).cast("int").alias("done")).where("rest > 0")
+    # Parts 0 to rest - 1 hold what is not settled and meet every part; settled parts need not meet each other.
+    open_sets = held.join(judged.join(sizes, "component").select("set", "settled", "rest", "done"), "set")
+    own, count = F.xxhash64("set"), F.col("rest") + F.col("done")
+    dealt = (
+        open_sets.withColumn("part", F.when(F.col("settled"), F.col("rest") + F.pmod(own, F.col("done"))).otherwise(F.pmod(own, F.col("rest"))).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("settled"), F.col("rest")).otherwise(count) - 1)))
+        .select("set", "component", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "hashes")
     )
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +281,8 @@ def copy_links(docs: DataFrame, sets: DataFrame, chosen: DataFrame) -> DataFrame
             yield linked(rows)
 
     cells = ["component", "a", "b"]
-    return dealt.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(compared, "u string, v string")
+    found = dealt.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(compared, "u string, v string")
+    return judged.where("settled and set <> head").select(F.col("set").alias("u"), F.col("head").alias("v")).unionByName(found)
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
