@@ -3,8 +3,8 @@
 Texts of equal shingle sets collapse first. Every distinct set has a fingerprint of 256 bits and ``KEYS`` keys, each made
 of ``KEY_BITS`` of those bits. Sets that share a key stand in one bucket, whose fingerprints are compared bit-sliced: bit
 planes side by side, differing bits added by carry-save counters, a block abandoned once all its pairs exceed ``RADIUS`` or
-are joined already. Two sets of similarity 0.8 differ in 15 % of the bits: they share no key with a chance of about 0.008, of
-similarity 0.85 0.0002, and lie beyond the radius with a chance of about 0.001.
+are joined already. Two sets of similarity 0.8 differ in 15 % of the bits: they share no key with a chance of about 0.001, of
+similarity 0.85 0.000004, and lie beyond the radius with a chance of about 0.001.
 
 Only candidates are read again. Of each group of linked fingerprints every set is compared with the group's first one on
 whole shingle sets; those that reach the similarity are connected. The others are compared with all of their group, in
@@ -32,7 +32,7 @@ from listingflow.llm.simhash import BUCKET, SIDE_BY_SIDE, Forest, rows_of
 SHINGLE, SIMILARITY = 5, 0.8
 WORDS = 4
 BITS, RADIUS = 64 * WORDS, 56
-KEYS, KEY_BITS = 128, 20
+KEYS, KEY_BITS = 192, 20
 #: Sets of one group that are compared side by side.
 CHUNK = 512
 _RNG = np.random.default_rng(5)
