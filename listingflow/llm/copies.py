@@ -226,15 +226,17 @@ def print_links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def candidates(sets: DataFrame) -> DataFrame:
-    """(num, component) of sets whose fingerprints are near to another's; a component is named by its smallest ``num``."""
+    """(num, component, chunks) of sets whose fingerprints are near to another's; a component is named by its smallest ``num``."""
     prints = staged(sets.select("num", *_PARTS).distinct(), "prints")
-    return components(print_links(prints)).select(F.col("node").alias("num"), "component")
+    found = staged(components(print_links(prints)).select(F.col("node").alias("num"), "component"), "candidates")
+    sizes = staged(found.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "candidate-sizes")
+    return found.join(sizes, "component").select("num", "component", "chunks")
 
 
 def copy_links(docs: DataFrame, sets: DataFrame, chosen: DataFrame) -> DataFrame:
     """(u, v): links between sets of ``chosen`` whose similarity is reached. ``sets`` has set, num, first."""
-    wanted = sets.join(chosen, "num").select("set", "num", "component", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash"))
-    texts = rows_of(docs.select("doc_id", "text"), wanted).select("set", "num", "component", "text")
+    wanted = sets.join(chosen, "num").select("set", "num", "component", "chunks", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash"))
+    texts = rows_of(docs.select("doc_id", "text"), wanted).select("set", "num", "component", "chunks", "text")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, found in text_slices(batches):
@@ -244,12 +246,16 @@ def copy_links(docs: DataFrame, sets: DataFrame, chosen: DataFrame) -> DataFrame
             )
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names[:-1]), lists], names)
 
-    names = ["set", "num", "component", "hashes"]
-    held = staged(texts.mapInArrow(whole, "set string, num long, component long, hashes array<long>"), "shingles")
-    heads = held.where("num = component").select("component", F.col("set").alias("head"), F.col("hashes").alias("head_hashes"))
+    names = ["set", "num", "component", "chunks", "hashes"]
+    held = staged(texts.mapInArrow(whole, "set string, num long, component long, chunks int, hashes array<long>"), "shingles")
+    # A group meets its first set in as many places as it has chunks.
+    place = F.pmod(F.xxhash64("set"), F.col("chunks")).cast("int")
+    heads = held.where("num = component").select(
+        "component", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("place"), F.col("set").alias("head"), F.col("hashes").alias("head_hashes")
+    )
     both = F.size(F.array_intersect("hashes", "head_hashes"))
     settled = (F.col("set") == F.col("head")) | (both >= SIMILARITY * (F.size("hashes") + F.size("head_hashes") - both) - 1e-9)
-    judged = staged(held.join(heads, "component").select("set", "component", "head", settled.alias("settled")), "settled")
+    judged = staged(held.withColumn("place", place).join(heads, ["component", "place"]).select("set", "component", "head", settled.alias("settled")), "settled")
     rest = F.ceil(F.count_if(~F.col("settled")) / CHUNK).cast("int")
     sizes = judged.groupBy("component").agg(rest.alias("rest"), F.ceil(F.count_if("settled") / CHUNK).cast("int").alias("done")).where("rest > 0")
     # Parts 0 to rest - 1 hold what is not settled and meet every part; settled parts need not meet each other.
