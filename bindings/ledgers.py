@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingflow.operators import ledger as L
 from listingflow.operators import photos as P
 from listingflow.operators.rejected import fold_rejected
+from listingflow.session import checkpoint_root
+from listingflow.sources import ledger_versions
 
 from .views import VIEWS, table, view, with_views
 
 RUN, PREVIOUS = "2024-02-01a", "2024-01-30"
+#: What the ledger of these queries stores.
+STORED = """
+    listing_id STRING, url STRING, address STRING, suburb STRING, postcode STRING, lat DOUBLE, lon DOUBLE, first_seen_run STRING, last_seen_run STRING,
+    status STRING, status_history ARRAY<STRUCT<run: STRING, status: STRING>>, price_history ARRAY<STRUCT<run: STRING, price_pw: INT>>, relist_count INT,
+    facts_last STRUCT<beds: INT, baths: INT, car_spaces: INT, area_sqm: INT>, image_urls ARRAY<STRING>, image_files ARRAY<STRING>
+"""
 
 VIEWS["v_ledger"] = """
 select cast(user_id as string) as listing_id, user_id, min(substr(cast(ts as string), 1, 10)) as first_run,
@@ -89,6 +99,21 @@ def ledger_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("listing_id", "status", "absent_status", F.size("status_history").alias("points"))
 
 
+def ledger_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fold of ``ledger_merge`` into a ledger kept in buckets, as read back from its new version."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
+    ledger_versions.start_versions(ledger(spark, sf_dir), root, PREVIOUS)
+    ledger_versions.fold_version(
+        spark, root, PREVIOUS, new_rows(spark, sf_dir), view(spark, sf_dir, "v_back"), view(spark, sf_dir, "v_verdict"), RUN, PREVIOUS, True, schema=STORED,
+    )
+    return ledger_versions.read_version(spark, root, RUN, STORED).select(
+        "listing_id", "url", "address", "postcode", "lat", "first_seen_run", "last_seen_run", "status",
+        F.array_join(F.transform("status_history", lambda p: F.concat_ws(":", p["run"], p["status"])), ",").alias("status_history"),
+        F.array_join(F.transform("price_history", lambda p: F.concat_ws(":", p["run"], F.coalesce(p["price_pw"].cast("string"), F.lit("-")))), ",").alias("price_history"),
+        "relist_count", F.col("facts_last.beds").alias("beds"), F.size("image_files").alias("image_files"),
+    )
+
+
 def absence_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.absent_listings(
         ledger(spark, sf_dir), view(spark, sf_dir, "v_back"), view(spark, sf_dir, "v_verdict")
@@ -218,7 +243,7 @@ def current_runs_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "cleared_photos": cleared_photos, "current_run_after": current_runs_after,
-    "ledger_merge": ledger_merge, "ledger_absent": ledger_absent, "absence_set": absence_set,
+    "ledger_merge": ledger_merge, "ledger_version": ledger_version, "ledger_absent": ledger_absent, "absence_set": absence_set,
     "absence_verdicts": absence_verdicts, "partial_search": partial_search, "ledger_history": ledger_history,
     "rejected_fold": rejected_fold, "photo_plan": photo_plan, "orphan_media": orphan_media,
 }
@@ -320,3 +345,8 @@ ORACLES = {
         select case o_orderstatus when 'F' then 'images/listings/' || listing_id || '/' || o_orderkey || '.webp' else '/images/listings/' || listing_id || '/01.webp' end as key, listing_id
         from runs where o_orderstatus in ('F', 'O') and listing_id in (select listing_id from doomed)""",
 }
+
+# The same fold, without what the run decided beside each row.
+ORACLES["ledger_version"] = f"""
+    select listing_id, url, address, postcode, lat, first_seen_run, last_seen_run, status, status_history, price_history, relist_count, beds, image_files
+    from ({ORACLES["ledger_merge"]}) as merged"""

@@ -28,11 +28,11 @@ select case when user_id % 6 = 0 then 'locality|' else '' end || cast(1 + user_i
 from {v_event}
 group by case when user_id % 6 = 0 then 'locality|' else '' end || cast(1 + user_id % 90 as string) || ' nation st, nation_' || cast(user_id % 25 as string) || ', nsw '
   || cast(2000 + user_id % 25 as string)
-having max(case when event_type <> 'view' then k end) > 90 and min(user_id) % 4 <> 1
 """
 VIEWS["v_route_customer"] = """
-select (c_custkey * 37) % 1000 as a, (c_custkey * 91) % 1000 as b, min(c_acctbal) as low, max(c_acctbal) as high
-from {customer} group by (c_custkey * 37) % 1000, (c_custkey * 91) % 1000 having max(c_acctbal) > 2000
+select (c_custkey * 37) % 1000 as a, (c_custkey * 91) % 1000 as b, min(c_acctbal) as low, max(c_acctbal) as high,
+  case when max(c_acctbal) > 2000 then 'walk' else 'drive' end as mode
+from {customer} group by (c_custkey * 37) % 1000, (c_custkey * 91) % 1000
 """
 
 
@@ -105,7 +105,7 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = view(spark, sf_dir, "v_route_customer")
     lat, lon = F.lit(-33.9) + F.col("a") / 10000, F.lit(151.1) + F.col("b") / 10000
     return v.select(
-        route_key(F.lit("walk"), F.lit(-33.8675), F.lit(151.2045), lat, lon).alias("key"),
+        route_key(F.col("mode"), F.lit(-33.8675), F.lit(151.2045), lat, lon).alias("key"),
         (F.col("low") / 77).alias("minutes"), (F.col("high") / 999).alias("km"),
     )
 
@@ -284,7 +284,7 @@ _AT = "cast(floor(at_ms) as bigint)"
 _EXPIRED = f"(src is not distinct from 'google' and (at_ms is null or {NOW_SQL} - {_AT} > 2592000000))"
 _SOON = f"(src is not distinct from 'google' and (at_ms is null or {NOW_SQL} - {_AT} > 23 * 86400000::bigint))"
 _USABLE = f"usable as (select key, lat, lng, coalesce(src, 'osm') as source from v_position where not {_EXPIRED})"
-_ROUTE = "left join v_route_customer r on lat is not null and (custkey * 37) % 1000 = r.a and (custkey * 91) % 1000 = r.b"
+_ROUTE = "left join v_route_customer r on lat is not null and (custkey * 37) % 1000 = r.a and (custkey * 91) % 1000 = r.b and r.mode = 'walk'"
 _LOCAL = "timezone('Australia/Sydney', timezone('UTC', ts))"
 
 

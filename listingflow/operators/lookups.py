@@ -62,7 +62,9 @@ def look_up_buildings(listings: DataFrame, positions: DataFrame, now_ms: Column)
     answered = look_up_positions(
         buildings.select(F.col("building").alias("id"), F.col("building").alias("query")), positions, now_ms
     ).select(F.col("id").alias("building"), "lat", "lng", "precision", "source", "cached")
-    return keyed.join(answered, "building", "left")
+    # Rows without a building, or with a blank one, are answered by nothing: scattered, so they do not meet in one task.
+    spread = keyed.withColumn("_key", scattered(F.nullif("building", F.lit("")), *listings.columns))
+    return spread.join(answered.withColumnRenamed("building", "_key"), "_key", "left").drop("_key")
 
 
 def resolve_origins(queries: DataFrame, positions: DataFrame, now_ms: Column) -> DataFrame:

@@ -58,7 +58,7 @@ def put_if_absent(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def _marked(spark: SparkSession, root: str, kind: str) -> list[str]:
+def marked(spark: SparkSession, root: str, kind: str) -> list[str]:
     """The run ids that have a marker of a kind: names of files, one per run."""
     place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{kind}")
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -67,7 +67,7 @@ def _marked(spark: SparkSession, root: str, kind: str) -> list[str]:
 
 def reserve_run_id(spark: SparkSession, root: str, moment: DataFrame) -> str:
     """The first id of the local day that nobody has; it is the caller's from now on. A day with none left raises."""
-    taken = {run_id for kind in ("reserved", "committed") for run_id in _marked(spark, root, kind)}
+    taken = {run_id for kind in ("reserved", "committed") for run_id in marked(spark, root, kind)}
     for run_id in moment.select(run_id_candidates(F.col("utc_now")).alias("ids")).first()["ids"]:
         if run_id not in taken and put_if_absent(spark, f"{root}/reserved/{run_id}"):
             return run_id
@@ -96,7 +96,7 @@ def current_run(manifest: DataFrame) -> DataFrame:
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     """Manifest rows of the runs that are committed."""
     rows = spark.read.schema(MANIFEST).parquet(f"{root}/manifest/*")
-    return rows.where(F.col("run_id").isin(_marked(spark, root, "committed")))
+    return rows.where(F.col("run_id").isin(marked(spark, root, "committed")))
 
 
 def published_runs(spark: SparkSession, root: str) -> DataFrame:
@@ -118,7 +118,7 @@ def publish_run(run_id: str, root: str, listings: DataFrame, ledger: DataFrame,
     either case, a run that is committed.
     """
     spark = listings.sparkSession
-    if run_id in _marked(spark, root, "committed"):
+    if run_id in marked(spark, root, "committed"):
         raise ValueError(f"run {run_id} already exists; runs are immutable")
     if not put_if_absent(spark, f"{root}/reserved/{run_id}") and not reserved:
         raise ValueError(f"run {run_id} is being published already; runs are immutable")
