@@ -139,26 +139,18 @@ def missing_enrichment(listings: DataFrame) -> DataFrame:
 # ---- Fixed values: note wording ------------------------------------------------------------
 NOTE_PREFIX = "No listing in this run has"
 OLD_NOTE_PREFIX = "Enrichment has not run"
+NOTE = (
+    "%s %s, so the scoring factor%s sat out of every composite and confidence is lower than a fully enriched run's. "
+    "Run the enrich stages and replay this run to fill %s in."
+)
 # -------------------------------------------------------------------------------------------
 
 
 def enrichment_note(missing: Column) -> Column:
     many = F.size(missing) > 1
-    return F.when(
-        F.size(missing) > 0,
-        F.concat(
-            F.lit(NOTE_PREFIX + " "),
-            F.array_join(missing, " or "),
-            F.lit(", so the scoring factor"),
-            F.when(many, F.lit("s that read them")).otherwise(F.lit(" that reads it")),
-            F.lit(
-                " sat out of every composite and confidence is lower than a fully enriched run's. "
-                "Run the enrich stages and replay this run to fill "
-            ),
-            F.when(many, F.lit("them")).otherwise(F.lit("it")),
-            F.lit(" in."),
-        ),
-    )
+    which = F.when(many, F.lit("s that read them")).otherwise(F.lit(" that reads it"))
+    what = F.when(many, F.lit("them")).otherwise(F.lit("it"))
+    return F.when(F.size(missing) > 0, F.format_string(NOTE, F.lit(NOTE_PREFIX), F.array_join(missing, " or "), which, what))
 
 
 def run_notes(note: Column, carried: Column) -> Column:

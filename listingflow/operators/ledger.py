@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 from ..functions.signals import LEASED
 
-# ---- Fixed values: statuses that mean the listing left the market --------------------------
+# ---- Fixed values: statuses that mean the listing left the market, wording of a note -------
 GONE_STATUSES = ["leased", "withdrawn", "stale"]
+PARTIAL_NOTE = (
+    "Partial search: %d of %d configured locations were queried (%s). Listings from the remaining %d"
+    " are absent because they were never searched, not because none exist — so no listing was marked stale this run."
+)
 # -------------------------------------------------------------------------------------------
 FACTS = ["beds", "baths", "car_spaces", "area_sqm"]
 
@@ -135,15 +139,8 @@ def partial_search(searched: DataFrame, envelope: DataFrame) -> DataFrame:
 
 
 def partial_note(searched: Column, configured: Column, names: Column) -> Column:
-    return F.concat(
-        F.lit("Partial search: "), searched.cast("string"), F.lit(" of "), configured.cast("string"),
-        F.lit(" configured locations were queried ("), names, F.lit("). Listings from the remaining "),
-        (configured - searched).cast("string"),
-        F.lit(
-            " are absent because they were never searched, not because none exist"
-            " — so no listing was marked stale this run."
-        ),
-    )
+    told = F.format_string(PARTIAL_NOTE, searched, configured, names, configured - searched)
+    return F.when(searched.isNotNull() & configured.isNotNull() & names.isNotNull(), told)
 
 
 def sighting_history(sightings: DataFrame, runs: DataFrame) -> DataFrame:
