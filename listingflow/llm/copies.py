@@ -35,6 +35,8 @@ BITS, RADIUS = 64 * WORDS, 56
 KEYS, KEY_BITS = 192, 20
 #: Sets of one group that are compared side by side.
 CHUNK = 512
+#: Fingerprints whose keys one task makes.
+PRINTS_A_TASK = 4096
 _RNG = np.random.default_rng(5)
 _SEEDS = _RNG.integers(0, 1 << 63, WORDS, np.uint64)
 _CHOSEN = np.stack([_RNG.choice(BITS, KEY_BITS, replace=False) for _ in range(KEYS)])
@@ -68,8 +70,11 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
 
 
 def keys_of(bits: np.ndarray) -> np.ndarray:
-    """``KEYS`` numbers of a fingerprint, each of ``KEY_BITS`` of its bits and its own place."""
-    return (np.arange(KEYS) << KEY_BITS) + bits[_CHOSEN] @ (1 << np.arange(KEY_BITS))
+    """``KEYS`` numbers of every fingerprint, each of ``KEY_BITS`` of its bits and its own place."""
+    keys = np.tile(np.arange(KEYS, dtype=np.int32) << KEY_BITS, (len(bits), 1))
+    for digit in range(KEY_BITS):
+        keys += bits[:, _CHOSEN[:, digit]].astype(np.int32) << digit
+    return keys
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -178,18 +183,28 @@ def alike(sets: list[np.ndarray], similarity: float = SIMILARITY) -> Iterator[tu
 def print_links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(u, v): links between the sets of ``prints`` (num, f0.., distinct) that share a key and whose fingerprints are near."""
 
+    def keys_in(batch: pa.RecordBatch) -> np.ndarray:
+        words = np.column_stack([batch.column(f).to_numpy() for f in _PARTS])
+        return keys_of(np.unpackbits(words.astype("<i8").view(np.uint8).reshape(len(words), -1), axis=1, bitorder="little"))
+
     def read_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = np.column_stack([batch.column(f).to_numpy() for f in _PARTS])
-            bits = np.unpackbits(words.astype("<i8").view(np.uint8).reshape(len(words), -1), axis=1, bitorder="little")
-            flat = np.array([keys_of(row) for row in bits], np.int32).reshape(-1)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * KEYS), pa.array(flat))
+            keys = keys_in(batch)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * KEYS), pa.array(keys.reshape(-1)))
             yield pa.RecordBatch.from_arrays([batch.column("num"), lists], ["num", "keys"])
 
-    keyed = staged(prints.mapInArrow(read_keys, "num long, keys array<int>"), "print-keys")
-    keys = keyed.select("num", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = staged(shared.select("key", F.ceil(F.col("n") / bucket).cast("int").alias("chunks")), "shared-keys")
+    def count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many fingerprints of a batch have each key: a crowded key leaves it as one row."""
+        for batch in batches:
+            keys, counts = np.unique(keys_in(batch), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
+
+    # Nearly all keys are single, so a task's memory goes with its fingerprints: their number is fixed, not that of tasks.
+    tasks = max(1, -(-prints.count() // PRINTS_A_TASK))
+    dealt_prints = prints.repartition(tasks, "num")
+    keys = dealt_prints.mapInArrow(read_keys, "num long, keys array<int>").select("num", F.explode("keys").alias("key"))
+    counted = dealt_prints.mapInArrow(count_keys, "key int, n long").repartition(tasks, "key").groupBy("key").agg(F.sum("n").alias("n"))
+    shared = staged(counted.where("n > 1").select("key", F.ceil(F.col("n") / bucket).cast("int").alias("chunks")), "shared-keys")
     # Crowded buckets are divided, and every pair of their parts is compared.
     chunk = F.pmod(F.xxhash64("num", "key"), F.col("chunks")).cast("int")
     dealt = (
