@@ -77,7 +77,9 @@ def trimmed(text: Column) -> Column:
 
 
 def collapsed(text: Column) -> Column:
-    return replace_all(text, r"\s+", " ")
+    """Every run of white space as one space; a run that is one space already is passed over."""
+    other = _SPACES.replace(" ", "")
+    return F.regexp_replace(text, f"[{other}][{_SPACES}]*| [{_SPACES}]+", " ")
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:

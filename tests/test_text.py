@@ -132,3 +132,25 @@ def test_cheap_boundaries_equal_the_general_one(words, joiner):
 
 def test_boundaries_are_ascii(values):
     assert values(patterns.matches(F.lit("über room"), r"\bber\b"), patterns.matches(F.lit("a room b"), r"\broom\b")) == [True, True]
+
+
+def test_a_hit_runs_its_pattern_twice(spark):
+    """One pass finds the place, one what it says; a text without the rule's stems is not searched at all."""
+    rule = dict(G.ROOM_SIGNALS)["master_room"]
+    plan = spark.range(1).select(G.room_evidence(F.lit("a") + F.col("id"), F.lit(""), F.lit(""), F.lit(1)).alias("e"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count(patterns.java(rule)) <= 2
+
+
+@pytest.mark.parametrize(
+    "text", ["shared kitchen", "communal bathroom", "sharing the facilities", "share-house", "co living", "boardinghouse", "per room", "per person", "each room $", "room only",
+             "rooms to lease", "2 rooms still available", "room type:", "private lockable", "locked private rooms", "master room", "house mates", "10 rooms in total",
+             "air conditioned rooms"],
+)
+def test_every_rule_meets_its_stems(text):
+    for signal, pattern in G.ROOM_SIGNALS:
+        if re.search(pattern, text):
+            assert all(any(stem in text for stem in group) for group in G.ROOM_STEMS[signal]), signal
+
+
+def test_collapsed_runs(values):
+    assert values(patterns.collapsed(F.lit(" a \u00a0b\n\nc  d\te f "))) == [" a b c d e f "]
