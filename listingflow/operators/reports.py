@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.patterns import bind
 from ..functions.signals import (
-    ROOM_LOOSE, ROOM_LOOSE_CONTEXT, STUDIO_LOOSE, STUDIO_LOOSE_CONTEXT, loose_quotes, plain_text,
+    ROOM_LOOSE, ROOM_LOOSE_CONTEXT, ROOM_LOOSE_STEMS, STUDIO_LOOSE, STUDIO_LOOSE_CONTEXT, STUDIO_LOOSE_STEMS,
+    loose_quotes, plain_text,
 )
 
 
@@ -50,18 +51,18 @@ def signal_review(rows: DataFrame) -> DataFrame:
     (room | studio), flagged, notes (``signal: quote`` when flagged, else up to three quotes).
     """
 
-    def review(kind: str, evidence: str, text: Column, pattern: str, context: int) -> Column:
+    def review(kind: str, evidence: str, text: Column, pattern: str, context: int, stems: list[str]) -> Column:
         flagged = F.size(evidence) > 0
         notes = F.when(
             flagged, F.transform(evidence, lambda e: F.concat_ws(": ", e["signal"], e["quote"]))
-        ).otherwise(loose_quotes(text, pattern, context))
+        ).otherwise(loose_quotes(text, pattern, context, stems=stems))
         return F.struct(F.lit(kind).alias("kind"), flagged.alias("flagged"), notes.alias("notes"))
 
     both = bind(
         plain_text(F.col("description")),
         lambda text: F.array(
-            review("room", "room_evidence", F.lower(text), ROOM_LOOSE, ROOM_LOOSE_CONTEXT),
-            review("studio", "studio_evidence", text, STUDIO_LOOSE, STUDIO_LOOSE_CONTEXT),
+            review("room", "room_evidence", F.lower(text), ROOM_LOOSE, ROOM_LOOSE_CONTEXT, ROOM_LOOSE_STEMS),
+            review("studio", "studio_evidence", text, STUDIO_LOOSE, STUDIO_LOOSE_CONTEXT, STUDIO_LOOSE_STEMS),
         ),
     )
     # Outer: an inner explode would copy the whole expression into a filter below it.
