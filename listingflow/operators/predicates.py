@@ -12,7 +12,8 @@ columns and a row number are shuffled; :func:`match_search_index` joins the hits
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,11 @@ from ..session import cut_lineage
 #: Searches of one block (expected), partitions that share the rows of a block, rows tested side by side.
 BLOCK, SALTS, TOGETHER = 4096, 16, 2048
 
+#: Searches of one block whose rows are only counted (expected), groups of kinds of rows, cells of a grid.
+TOTALS_BLOCK, KIND_GROUPS, CELLS = 1 << 18, 8, 1 << 20
+_NONE = np.iinfo(np.int64).max
+_NARROW = ("beds", "baths", "car_spaces")
+
 #: (column of the row, bound of the search, admitted while the value is at most the bound).
 BOUNDS = (
     ("minutes", "max_minutes", True), ("price_pw", "max_price_pw", True), ("price_pw", "min_price_pw", False), ("beds", "max_beds", True),
@@ -121,12 +127,97 @@ class Block:
         return out
 
 
+class Totals:
+    """One block of searches, for how many rows answer each and the smallest row number among them.
+
+    Rows come by kind: equal in all that few values tell apart (beds, type, flags, ...). The searches that admit a kind are
+    found once; its rows are counted in a grid of the intervals between the bounds on minutes and prices, and every
+    search reads its rectangle off sums and minima along the grid. Searches whose bounds would make the grid too large are
+    taken in parts.
+    """
+
+    def __init__(self, searches: list[dict], cells: int):
+        searches = sorted((s for s in searches if s[REQUIRED] is not None), key=lambda s: s[REQUIRED])
+        self.n, self.ids = len(searches), pa.array([s["search_id"] for s in searches], pa.string())
+        self.bounds = [(column, Intervals([s[bound] for s in searches], at_most, False)) for column, bound, at_most in BOUNDS if column in _NARROW]
+        self.types = Members([s["property_types"] for s in searches])
+        self.flags = Members([s["exclude_flagged"] for s in searches])
+        number = lambda bound: np.array([np.nan if s[bound] is None else s[bound] for s in searches], float)
+        unset = lambda bound: np.array([s[bound] is None for s in searches], bool)
+        longest, most, least, no_most, no_least = number(REQUIRED), number("max_price_pw"), number("min_price_pw"), unset("max_price_pw"), unset("min_price_pw")
+        self.grids, start = [], 0
+        while start < self.n:
+            end = self.n
+            while True:
+                part = slice(start, end)
+                times = np.unique(longest[part])
+                high, low = np.unique(most[part][~no_most[part]]), np.unique(least[part][~no_least[part]])
+                if len(times) * (len(high) + len(low) + 2) <= cells or end == start + 1:
+                    break
+                end = start + max(1, (end - start) // 2)
+            column = lambda values: np.searchsorted(high, values, "left") + np.searchsorted(low, values, "right")  # noqa: B023,E731
+            width = len(high) + len(low) + 1
+            first, last = np.where(no_least[part], 0, column(least[part])), np.where(no_most[part], width - 1, column(most[part]))
+            # Rows without a price stand in one column more, which only searches without a bound on it read.
+            last = np.where(no_least[part] & no_most[part], width, last)
+            self.grids.append((start, end, times, high, low, np.searchsorted(times, longest[part]), first, last))
+            start = end
+
+    def admitted(self, kind: dict) -> np.ndarray:
+        out = self.types.silent | self.types.of.get(kind["property_type"], np.uint8(0)) if kind["property_type"] is not None else self.types.silent
+        for column, intervals in self.bounds:
+            value = kind[column]
+            out = out & intervals.admit(np.array([0.0 if value is None else value]), np.array([value is None]))[0]
+        for flag in kind["flags"]:
+            out = out & ~(self.flags.some if flag is None else self.flags.of.get(flag, np.uint8(0)))
+        if kind["flagged"] and None in self.flags.of:
+            out = out & ~self.flags.of[None]
+        return np.unpackbits(out, count=self.n).astype(bool)
+
+    def grid_of(self, grids: list | None, minutes: np.ndarray, price: np.ndarray, unpriced: np.ndarray, row_no: np.ndarray) -> list:
+        """Counts and smallest numbers of rows by grid cell, added to those of earlier rows of the kind."""
+        if grids is None:
+            grids = [[np.zeros((len(g[2]), len(g[3]) + len(g[4]) + 2), np.int64), np.full((len(g[2]), len(g[3]) + len(g[4]) + 2), _NONE)] for g in self.grids]
+        for (_, _, times, high, low, *_), (count, least) in zip(self.grids, grids, strict=True):
+            row = np.searchsorted(times, minutes, "left")
+            column = np.where(unpriced, len(high) + len(low) + 1, np.searchsorted(high, price, "left") + np.searchsorted(low, price, "right"))
+            inside = row < len(times)
+            np.add.at(count, (row[inside], column[inside]), 1)
+            np.minimum.at(least, (row[inside], column[inside]), row_no[inside])
+        return grids
+
+    def read_off(self, kind: dict, grids: list, matched: np.ndarray, first_no: np.ndarray) -> None:
+        """Add the rows of a kind to the totals of the searches they answer."""
+        admitted = self.admitted(kind)
+        for (start, end, _, _, _, row, first, last), (count, least) in zip(self.grids, grids, strict=True):
+            at = np.flatnonzero(admitted[start:end] & (first <= last))
+            if not len(at):
+                continue
+            sums = np.zeros((count.shape[0], count.shape[1] + 1), np.int64)
+            np.cumsum(np.cumsum(count, axis=0), axis=1, out=sums[:, 1:])
+            r, a, b = row[at], first[at], last[at]
+            found = sums[r, b + 1] - sums[r, a]
+            at, r, a, b, found = (x[found > 0] for x in (at, r, a, b, found))
+            if not len(at):
+                continue
+            matched[start + at] += found
+            # Minima of runs of 1, 2, 4, ... columns: two of them cover any range.
+            runs, size = np.minimum.accumulate(least, axis=0), 1
+            while len(at):
+                mine = (b - a + 1) < 2 * size
+                place = start + at[mine]
+                first_no[place] = np.minimum(first_no[place], np.minimum(runs[r[mine], a[mine]], runs[r[mine], b[mine] - size + 1]))
+                at, r, a, b = (x[~mine] for x in (at, r, a, b))
+                if len(at):
+                    runs, size = np.minimum(runs[:, :-size], runs[:, size:]), 2 * size
+
+
 _CONFIG = ["position", "search_id", "travel_key", *[bound for _, bound, _ in BOUNDS], "property_types", "exclude_flagged"]
 _TESTED = ["row_no", *dict.fromkeys(column for column, _, _ in BOUNDS), "property_type", "flags"]
 _CELL = ["travel_key", "block", "salt"]
 
 
-def predicate_index(config: DataFrame, block: int = BLOCK) -> DataFrame:
+def predicate_index(config: DataFrame, block: int = BLOCK, kind: Callable = Block) -> DataFrame:
     """(travel_key, block, index): one row per block of searches (see ``searches.searches_frame`` for ``config``)."""
     bounds = [F.col(bound).cast("double").alias(bound) for _, bound, _ in BOUNDS]
     plain = config.select("position", "search_id", "travel_key", *bounds, "property_types", "exclude_flagged").where("travel_key is not null")
@@ -137,7 +228,7 @@ def predicate_index(config: DataFrame, block: int = BLOCK) -> DataFrame:
         key, searches = None, []
 
         def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int32()), pa.array([pickle.dumps(Block(searches))], pa.binary())], ["travel_key", "block", "index"])
+            return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int32()), pa.array([pickle.dumps(kind(searches))], pa.binary())], ["travel_key", "block", "index"])
 
         for batch in batches:
             for search in batch.to_pylist():
@@ -181,6 +272,67 @@ def search_hits(rows: DataFrame, index: DataFrame) -> DataFrame:
     return dealt.mapInArrow(read, "row_no long, position int, search_id string")
 
 
+def search_totals(rows: DataFrame, config: DataFrame, block: int = TOTALS_BLOCK, cells: int = CELLS) -> DataFrame:
+    """(search_id, matched, first_no): how many legs of ``rows`` answer the searches of that id, and the smallest row number
+    among them; searches without an answer are left out. The totals of :func:`search_hits`, without a row for every hit: the
+    work grows with rows, searches and kinds of rows, not with the hits. ``rows`` and ``config`` as there."""
+    index = cut_lineage(predicate_index(config, block, partial(Totals, cells=cells)))
+    # Of types and flags only those that a search names tell kinds apart.
+    names = lambda c, as_: config.select(F.explode(c).alias("n")).distinct().agg(F.collect_set("n").alias(as_), F.coalesce(F.bool_or(F.col("n").isNull()), F.lit(False)).alias(f"{as_}_null"))
+    named = F.broadcast(names("property_types", "_types").crossJoin(names("exclude_flagged", "_flags")))
+    legs = rows.select("row_no", F.explode("travel").alias("travel_key", "leg"), "price_pw", *_NARROW, "property_type", F.coalesce("flags", F.array().cast("array<string>")).alias("flags"))
+    numbers = [F.col(c).cast("double").alias(c) for c in ("price_pw", *_NARROW)]
+    tested = legs.crossJoin(named).select(
+        "travel_key", F.lit(None).cast("binary").alias("index"), F.col("row_no").cast("long").alias("row_no"), F.col("leg.minutes").cast("double").alias("minutes"), *numbers,
+        F.when(F.array_contains("_types", F.col("property_type")), F.col("property_type")).alias("property_type"),
+        F.array_sort(F.array_distinct(F.filter("flags", lambda f: f.isNull() | F.array_contains("_flags", f)))).alias("flags"),
+        (F.col("_flags_null") & (F.size("flags") > 0)).alias("flagged"),
+    ).where("minutes is not null")
+    kind = [*_NARROW, "property_type", "flags", "flagged"]
+    grouped = tested.withColumn("salt", F.pmod(F.xxhash64(*kind), F.lit(KIND_GROUPS)).cast("int"))
+    asked = grouped.join(index.select("travel_key", "block"), "travel_key")
+    blank = [F.lit(None).cast(t).alias(c) for c, t in tested.drop("travel_key", "index").dtypes]
+    kept = index.select("travel_key", "index", *blank, F.explode(F.sequence(F.lit(0), F.lit(KIND_GROUPS - 1))).alias("salt"), "block")
+    dealt = kept.unionByName(asked).repartition(*_CELL).sortWithinPartitions(*_CELL, F.col("index").isNull(), *kind)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, key, grids, matched, first_no = None, None, None, None, None
+
+        def totals() -> Iterator[pa.RecordBatch]:
+            found = np.flatnonzero(matched) if block is not None else []
+            for at in range(0, len(found), 1 << 16):
+                part = found[at : at + (1 << 16)]
+                numbers = pa.array(first_no[part], mask=first_no[part] == _NONE)
+                yield pa.RecordBatch.from_arrays([block.ids.take(pa.array(part)), pa.array(matched[part]), numbers], ["search_id", "matched", "first_no"])
+
+        for batch in batches:
+            heads = set(np.flatnonzero(batch.column("index").is_valid().to_numpy(zero_copy_only=False)).tolist())
+            kinds = list(zip(*(batch.column(c).to_pylist() for c in kind)))
+            values = {c: batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("minutes", "price_pw")}
+            unpriced = batch.column("price_pw").is_null().to_numpy(zero_copy_only=False)
+            numbers = batch.column("row_no").fill_null(_NONE).to_numpy(zero_copy_only=False)
+            cuts = sorted({0, *heads, *(h + 1 for h in heads), *(k for k in range(1, batch.num_rows) if kinds[k] != kinds[k - 1])})
+            for start, end in zip(cuts, [*cuts[1:], batch.num_rows]):
+                if start >= end:
+                    continue
+                if start in heads or kinds[start] != key:
+                    if grids is not None:
+                        block.read_off(dict(zip(kind, key)), grids, matched, first_no)
+                    grids, key = None, kinds[start]
+                if start in heads:
+                    yield from totals()
+                    block = pickle.loads(batch.column("index")[start].as_py())
+                    matched, first_no = np.zeros(block.n, np.int64), np.full(block.n, _NONE)
+                    continue
+                grids = block.grid_of(grids, values["minutes"][start:end], values["price_pw"][start:end], unpriced[start:end], numbers[start:end])
+        if grids is not None:
+            block.read_off(dict(zip(kind, key)), grids, matched, first_no)
+        yield from totals()
+
+    parts = dealt.mapInArrow(read, "search_id string, matched long, first_no long")
+    return parts.groupBy("search_id").agg(F.sum("matched").alias("matched"), F.min("first_no").alias("first_no"))
+
+
 def match_search_index(candidates: DataFrame, config: DataFrame, travel: str = "travel", block: int = BLOCK) -> DataFrame:
     """``candidates`` with ``matched_searches``, as ``searches.match_searches`` gives it, for searches that are rows."""
     number = "row_no"

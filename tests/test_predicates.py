@@ -64,3 +64,19 @@ def test_ten_thousand_searches_emit_their_hits_only(spark):
     joined = Q.match_search_table(rows, Q.searches_frame(spark, searches))
     wanted = Counter((r["id"], s) for r in joined.select("id", F.explode("matched_searches").alias("s")).collect() for s in [r["s"]])
     assert got == wanted and max(got.values()) == 1
+
+
+def test_totals_equal_the_hits_counted(spark):
+    """Small blocks and small grids, so that kinds meet several parts of several blocks; ids of searches repeat."""
+    rng = random.Random(23)
+    searches = some_searches(rng, 300)
+    config = Q.searches_frame(spark, searches)
+    config = config.unionByName(config.limit(40)).withColumn(
+        "exclude_flagged", F.when(F.col("position") % 50 == 0, F.array(F.lit(None).cast("string"))).otherwise(F.col("exclude_flagged"))
+    )
+    rows = spark.createDataFrame([(k, *r[1:]) for k, r in enumerate(some_rows(rng, 500))], ROW).withColumn("row_no", F.when(F.col("id") % 40 > 0, F.col("id").cast("bigint"))).repartition(3)
+    hits = P.search_hits(rows, P.predicate_index(config, 64).cache())
+    wanted = {r["search_id"]: (r["n"], r["f"]) for r in hits.groupBy("search_id").agg(F.count("*").alias("n"), F.min("row_no").alias("f")).collect()}
+    for cells in (1 << 20, 40):
+        got = {r["search_id"]: (r["matched"], r["first_no"]) for r in P.search_totals(rows, config, block=128, cells=cells).collect()}
+        assert got == wanted and len(wanted) > 200
