@@ -1,10 +1,11 @@
 """Near copies by five-word shingles: wide SimHash fingerprints find candidates, exact Jaccard similarity decides.
 
 Texts of equal shingle sets collapse first. Every distinct set has a fingerprint of 256 bits and ``KEYS`` keys, each made
-of ``KEY_BITS`` of those bits. Sets that share a key stand in one bucket, whose fingerprints are compared bit-sliced: bit
-planes side by side, differing bits added by carry-save counters, a block abandoned once all its pairs exceed ``RADIUS`` or
-are joined already. Two sets of similarity 0.8 differ in 15 % of the bits: they share no key with a chance of about 0.001, of
-similarity 0.85 0.000004, and lie beyond the radius with a chance of about 0.001.
+of the smallest members of the set by ``KEY_MINIMA`` orders. Sets that share a key stand in one bucket, whose fingerprints are
+compared bit-sliced: bit planes side by side, differing bits added by carry-save counters, a block abandoned once all its
+pairs exceed ``RADIUS`` or are joined already. A key is shared by sets that share shingles, not by chance, so that the keys in
+buckets grow with the near copies. Two sets of similarity 0.8 share no key with a chance of 0.0000006 and lie beyond the
+radius with a chance of about 0.001.
 
 Only candidates are read again. Of each group of linked fingerprints every set is compared with the group's first one on
 whole shingle sets; those that reach the similarity are connected. The others are compared with all of their group, in
@@ -32,14 +33,12 @@ from listingflow.llm.simhash import BUCKET, SIDE_BY_SIDE, Forest, rows_of
 SHINGLE, SIMILARITY = 5, 0.8
 WORDS = 4
 BITS, RADIUS = 64 * WORDS, 56
-KEYS, KEY_BITS = 192, 20
+KEYS, KEY_MINIMA = 20, 3
 #: Sets of one group that are compared side by side.
 CHUNK = 512
-#: Fingerprints whose keys one task makes.
-PRINTS_A_TASK = 4096
 _RNG = np.random.default_rng(5)
 _SEEDS = _RNG.integers(0, 1 << 63, WORDS, np.uint64)
-_CHOSEN = np.stack([_RNG.choice(BITS, KEY_BITS, replace=False) for _ in range(KEYS)])
+_ORDERS = _RNG.integers(0, 1 << 63, KEYS * KEY_MINIMA, np.uint64)
 _PARTS = [f"f{k}" for k in range(WORDS)]
 
 
@@ -69,16 +68,22 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return (counts * 2 > len(hashes)).astype(np.uint8)
 
 
-def keys_of(bits: np.ndarray) -> np.ndarray:
-    """``KEYS`` numbers of every fingerprint, each of ``KEY_BITS`` of its bits and its own place."""
-    keys = np.tile(np.arange(KEYS, dtype=np.int32) << KEY_BITS, (len(bits), 1))
-    for digit in range(KEY_BITS):
-        keys += bits[:, _CHOSEN[:, digit]].astype(np.int32) << digit
-    return keys
+def keys_of(hashes: np.ndarray) -> np.ndarray:
+    """``KEYS`` numbers of a shingle set, each of its smallest members by ``KEY_MINIMA`` orders and of its own place."""
+    least = np.full(len(_ORDERS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 255):
+        z = (hashes[at : at + 255, None] ^ _ORDERS) * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        least = np.minimum(least, z.min(axis=0))
+    keys = np.arange(KEYS, dtype=np.uint64)
+    for part in least.reshape(KEYS, KEY_MINIMA).T:
+        keys = (keys ^ part) * np.uint64(0xD6E8FEB86659FD93)
+        keys ^= keys >> np.uint64(32)
+    return keys.view(np.int64)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(set, num, f0.., doc_id, text_hash) of every row: ``set`` names its shingle set, ``num`` is a part of that name and
+    """(set, num, f0.., keys, doc_id, text_hash) of every row: ``set`` names its shingle set, ``num`` is a part of that name,
     f0.. are the words of its fingerprint."""
     import xxhash
 
@@ -86,19 +91,21 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
-            names, prints = [], []
+            names, prints, keys = [], [], []
             for text in texts:
                 hashes = shingles(text)
                 names.append(xxhash.xxh128_hexdigest(hashes.astype("<u8").tobytes()))
                 prints.append(np.packbits(wide_fingerprint(hashes), bitorder="little").view("<i8"))
+                keys.append(keys_of(hashes))
             words = np.array(prints, np.int64).reshape(-1, WORDS)
             nums = np.array([int(n[:16], 16) for n in names], np.uint64).view(np.int64)
             columns = [pa.array(names, pa.string()), pa.array(nums), *(pa.array(words[:, k].copy()) for k in range(WORDS))]
-            yield pa.RecordBatch.from_arrays([*columns, part.column("doc_id"), part.column("text_hash")], ["set", "num", *_PARTS, "doc_id", "text_hash"])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * KEYS), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([*columns, lists, part.column("doc_id"), part.column("text_hash")], ["set", "num", *_PARTS, "keys", "doc_id", "text_hash"])
 
     keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
     words = ", ".join(f"{f} long" for f in _PARTS)
-    return keyed.mapInArrow(read, f"set string, num long, {words}, doc_id {id_type}, text_hash long")
+    return keyed.mapInArrow(read, f"set string, num long, {words}, keys array<long>, doc_id {id_type}, text_hash long")
 
 
 def _number(lanes: np.ndarray) -> int:
@@ -181,29 +188,9 @@ def alike(sets: list[np.ndarray], similarity: float = SIMILARITY) -> Iterator[tu
 
 
 def print_links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """(u, v): links between the sets of ``prints`` (num, f0.., distinct) that share a key and whose fingerprints are near."""
-
-    def keys_in(batch: pa.RecordBatch) -> np.ndarray:
-        words = np.column_stack([batch.column(f).to_numpy() for f in _PARTS])
-        return keys_of(np.unpackbits(words.astype("<i8").view(np.uint8).reshape(len(words), -1), axis=1, bitorder="little"))
-
-    def read_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = keys_in(batch)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * KEYS), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column("num"), lists], ["num", "keys"])
-
-    def count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """How many fingerprints of a batch have each key: a crowded key leaves it as one row."""
-        for batch in batches:
-            keys, counts = np.unique(keys_in(batch), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
-
-    # Nearly all keys are single, so a task's memory goes with its fingerprints: their number is fixed, not that of tasks.
-    tasks = max(1, -(-prints.count() // PRINTS_A_TASK))
-    dealt_prints = prints.repartition(tasks, "num")
-    keys = dealt_prints.mapInArrow(read_keys, "num long, keys array<int>").select("num", F.explode("keys").alias("key"))
-    counted = dealt_prints.mapInArrow(count_keys, "key int, n long").repartition(tasks, "key").groupBy("key").agg(F.sum("n").alias("n"))
+    """(u, v): links between the sets of ``prints`` (num, f0.., keys, distinct) that share a key and whose fingerprints are near."""
+    keys = prints.select("num", F.explode("keys").alias("key"))
+    counted = keys.groupBy("key").agg(F.count("*").alias("n"))
     shared = staged(counted.where("n > 1").select("key", F.ceil(F.col("n") / bucket).cast("int").alias("chunks")), "shared-keys")
     # Crowded buckets are divided, and every pair of their parts is compared.
     chunk = F.pmod(F.xxhash64("num", "key"), F.col("chunks")).cast("int")
@@ -212,7 +199,7 @@ def print_links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
         .withColumn("chunk", chunk)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("num", "key", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"))
-        .join(prints, "num")
+        .join(prints.drop("keys"), "num")
     )
     cell = ["key", "a", "b"]
 
@@ -242,7 +229,7 @@ def print_links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 def candidates(sets: DataFrame) -> DataFrame:
     """(num, component, chunks) of sets whose fingerprints are near to another's; a component is named by its smallest ``num``."""
-    prints = staged(sets.select("num", *_PARTS).distinct(), "prints")
+    prints = staged(sets.select("num", *_PARTS, "keys").distinct(), "prints")
     found = staged(components(print_links(prints)).select(F.col("node").alias("num"), "component"), "candidates")
     sizes = staged(found.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "candidate-sizes")
     return found.join(sizes, "component").select("num", "component", "chunks")

@@ -68,3 +68,17 @@ def test_near_copies_of_five_words_are_dropped(spark, monkeypatch):
 def test_every_operator_is_registered():
     assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)] + ["pipeline"]
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_unlike_sets_share_no_key():
+    """Keys of many unlike sets are all their own; the keys of near copies are shared, whatever the number of sets."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 1 << 63, 40, np.uint64) for _ in range(3000)]
+    keys = np.concatenate([copies.keys_of(s) for s in sets])
+    assert len(np.unique(keys)) == len(keys) == 3000 * copies.KEYS
+    for s in sets[:300]:
+        near = np.concatenate([s[:36], rng.integers(0, 1 << 63, 4, np.uint64)])  # similarity 36 / 44
+        assert np.isin(copies.keys_of(near), copies.keys_of(s)).any()
+    assert len(copies.keys_of(sets[0][:0])) == copies.KEYS
