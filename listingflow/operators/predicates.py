@@ -11,9 +11,9 @@ columns and a row number are shuffled; :func:`match_search_index` joins the hits
 
 from __future__ import annotations
 
+import json
 import pickle
 from collections.abc import Callable, Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +25,15 @@ from ..session import cut_lineage
 #: Searches of one block (expected), partitions that share the rows of a block, rows tested side by side.
 BLOCK, SALTS, TOGETHER = 4096, 16, 2048
 
-#: Searches of one block whose rows are only counted (expected), groups of kinds of rows, cells of a grid.
-TOTALS_BLOCK, KIND_GROUPS, CELLS = 1 << 18, 8, 1 << 20
+#: Searches of one block whose rows are only counted (expected), cells of a grid, legs or cells worked on at once.
+TOTALS_BLOCK, CELLS, AT_ONCE = 1 << 20, 1 << 20, 1 << 18
+#: Tasks that few searches are dealt to, slabs of a travel key at most, distinct bounds and names known to all tasks at most.
+TASKS, SLABS, KNOWN, NAMES = 24, 256, 1 << 18, 1 << 10
+#: What a copy of a search and of its total weighs, in folded legs.
+COPY = 3
 _NONE = np.iinfo(np.int64).max
+#: Rows of a kind that stand in one place, packed in runs of so many places.
+CELL, BLOB = np.dtype([("minutes", "f8"), ("price", "f8"), ("unpriced", "i8"), ("n", "i8"), ("row_no", "i8")]), 128
 _NARROW = ("beds", "baths", "car_spaces")
 
 #: (column of the row, bound of the search, admitted while the value is at most the bound).
@@ -131,85 +137,140 @@ class Totals:
     """One block of searches, for how many rows answer each and the smallest row number among them.
 
     Rows come by kind: equal in all that few values tell apart (beds, type, flags, ...). The searches that admit a kind are
-    found once; its rows are counted in a grid of the intervals between the bounds on minutes and prices, and every
-    search reads its rectangle off sums and minima along the grid. Searches whose bounds would make the grid too large are
-    taken in parts.
+    found once; its rows are counted in a grid of their minutes and prices, and every search reads its rectangle off sums and
+    minima along the grid. Where the grid would be too large, the rectangle is read off the levels of a tree over the prices.
     """
 
-    def __init__(self, searches: list[dict], cells: int):
-        searches = sorted((s for s in searches if s[REQUIRED] is not None), key=lambda s: s[REQUIRED])
-        self.n, self.ids = len(searches), pa.array([s["search_id"] for s in searches], pa.string())
-        self.bounds = [(column, Intervals([s[bound] for s in searches], at_most, False)) for column, bound, at_most in BOUNDS if column in _NARROW]
-        self.types = Members([s["property_types"] for s in searches])
-        self.flags = Members([s["exclude_flagged"] for s in searches])
-        number = lambda bound: np.array([np.nan if s[bound] is None else s[bound] for s in searches], float)
-        unset = lambda bound: np.array([s[bound] is None for s in searches], bool)
-        longest, most, least, no_most, no_least = number(REQUIRED), number("max_price_pw"), number("min_price_pw"), unset("max_price_pw"), unset("min_price_pw")
-        self.grids, start = [], 0
-        while start < self.n:
-            end = self.n
-            while True:
-                part = slice(start, end)
-                times = np.unique(longest[part])
-                high, low = np.unique(most[part][~no_most[part]]), np.unique(least[part][~no_least[part]])
-                if len(times) * (len(high) + len(low) + 2) <= cells or end == start + 1:
-                    break
-                end = start + max(1, (end - start) // 2)
-            column = lambda values: np.searchsorted(high, values, "left") + np.searchsorted(low, values, "right")  # noqa: B023,E731
-            width = len(high) + len(low) + 1
-            first, last = np.where(no_least[part], 0, column(least[part])), np.where(no_most[part], width - 1, column(most[part]))
-            # Rows without a price stand in one column more, which only searches without a bound on it read.
-            last = np.where(no_least[part] & no_most[part], width, last)
-            self.grids.append((start, end, times, high, low, np.searchsorted(times, longest[part]), first, last))
-            start = end
+    def __init__(self, searches: pa.Table, cells: int):
+        self.n, self.cells, self.ids = searches.num_rows, cells, searches.column("search_id")
+        self.matched, self.first_no = np.zeros(self.n, np.int64), np.full(self.n, _NONE)
+        number = lambda c: searches.column(c).to_numpy().astype(float, copy=False)
+        self.unset = {bound: searches.column(bound).is_null().to_numpy() for _, bound, _ in BOUNDS}
+        #: Distinct bounds in order, and the place of each search's bound among them.
+        self.cuts, self.place = {}, {}
+        for _, bound, _ in BOUNDS:
+            values, set_ = number(bound), ~self.unset[bound]
+            self.cuts[bound] = np.unique(values[set_])
+            self.place[bound] = np.searchsorted(self.cuts[bound], np.where(set_, values, 0.0)).astype(np.int32)
+        self.types, self.type_codes = self._lists(searches.column("property_types"))
+        self.flags, self.flag_codes = self._lists(searches.column("exclude_flagged"))
+        self.known: dict[tuple, np.ndarray] = {}
+
+    @staticmethod
+    def _lists(column: pa.ChunkedArray) -> tuple[list[list[str | None] | None], np.ndarray]:
+        coded = column.combine_chunks().dictionary_encode("encode")
+        return [None if v is None else json.loads(v) for v in coded.dictionary.to_pylist()], coded.indices.to_numpy(zero_copy_only=False)
+
+    def _bits(self, key: tuple, found: Callable[[], np.ndarray]) -> np.ndarray:
+        if key not in self.known:
+            if len(self.known) >= 64:
+                self.known.clear()
+            self.known[key] = _bitmap(found())
+        return self.known[key]
+
+    def _bound(self, bound: str, value: float | None, at_most: bool) -> np.ndarray:
+        if value is None:
+            return self.unset[bound]
+        at = np.searchsorted(self.cuts[bound], value, "left" if at_most else "right")
+        return self.unset[bound] | ((self.place[bound] >= at) if at_most else (self.place[bound] < at))
+
+    def _naming(self, lists: list, codes: np.ndarray, test: Callable[[list | None], bool]) -> np.ndarray:
+        return np.array([test(names) for names in lists], bool)[codes]
 
     def admitted(self, kind: dict) -> np.ndarray:
-        out = self.types.silent | self.types.of.get(kind["property_type"], np.uint8(0)) if kind["property_type"] is not None else self.types.silent
-        for column, intervals in self.bounds:
-            value = kind[column]
-            out = out & intervals.admit(np.array([0.0 if value is None else value]), np.array([value is None]))[0]
-        for flag in kind["flags"]:
-            out = out & ~(self.flags.some if flag is None else self.flags.of.get(flag, np.uint8(0)))
-        if kind["flagged"] and None in self.flags.of:
-            out = out & ~self.flags.of[None]
-        return np.unpackbits(out, count=self.n).astype(bool)
-
-    def grid_of(self, grids: list | None, minutes: np.ndarray, price: np.ndarray, unpriced: np.ndarray, row_no: np.ndarray) -> list:
-        """Counts and smallest numbers of rows by grid cell, added to those of earlier rows of the kind."""
-        if grids is None:
-            grids = [[np.zeros((len(g[2]), len(g[3]) + len(g[4]) + 2), np.int64), np.full((len(g[2]), len(g[3]) + len(g[4]) + 2), _NONE)] for g in self.grids]
-        for (_, _, times, high, low, *_), (count, least) in zip(self.grids, grids, strict=True):
-            row = np.searchsorted(times, minutes, "left")
-            column = np.where(unpriced, len(high) + len(low) + 1, np.searchsorted(high, price, "left") + np.searchsorted(low, price, "right"))
-            inside = row < len(times)
-            np.add.at(count, (row[inside], column[inside]), 1)
-            np.minimum.at(least, (row[inside], column[inside]), row_no[inside])
-        return grids
-
-    def read_off(self, kind: dict, grids: list, matched: np.ndarray, first_no: np.ndarray) -> None:
-        """Add the rows of a kind to the totals of the searches they answer."""
-        admitted = self.admitted(kind)
-        for (start, end, _, _, _, row, first, last), (count, least) in zip(self.grids, grids, strict=True):
-            at = np.flatnonzero(admitted[start:end] & (first <= last))
-            if not len(at):
-                continue
-            sums = np.zeros((count.shape[0], count.shape[1] + 1), np.int64)
-            np.cumsum(np.cumsum(count, axis=0), axis=1, out=sums[:, 1:])
-            r, a, b = row[at], first[at], last[at]
-            found = sums[r, b + 1] - sums[r, a]
-            at, r, a, b, found = (x[found > 0] for x in (at, r, a, b, found))
-            if not len(at):
-                continue
-            matched[start + at] += found
-            # Minima of runs of 1, 2, 4, ... columns: two of them cover any range.
-            runs, size = np.minimum.accumulate(least, axis=0), 1
-            while len(at):
-                mine = (b - a + 1) < 2 * size
-                place = start + at[mine]
-                first_no[place] = np.minimum(first_no[place], np.minimum(runs[r[mine], a[mine]], runs[r[mine], b[mine] - size + 1]))
-                at, r, a, b = (x[~mine] for x in (at, r, a, b))
-                if len(at):
-                    runs, size = np.minimum(runs[:, :-size], runs[:, size:]), 2 * size
+        """Places of the searches that admit a kind."""
+        of = kind["property_type"]
+        out = self._bits(("type", of), lambda: self._naming(self.types, self.type_codes, lambda names: names is None or (of is not None and of in names)))
+        for column, bound, at_most in BOUNDS:
+            if column in _NARROW:
+                value = kind[column]
+                out = out & self._bits((bound, value), lambda: self._bound(bound, value, at_most))  # noqa: B023
+        # A null among the flags, or among the excluded ones where there are flags, leaves the comparison open.
+        for flag in {*kind["flags"], *([""] if kind["flagged"] else [])}:
+            test = (lambda names: bool(names)) if flag is None else (lambda names: bool(names) and (flag or None) in names)  # noqa: B023,E731
+            out = out & ~self._bits(("flag", flag), lambda: self._naming(self.flags, self.flag_codes, test))  # noqa: B023
+        return np.flatnonzero(np.unpackbits(out, count=self.n))
+
+    def add(self, kind: dict, minutes: np.ndarray, price: np.ndarray, unpriced: np.ndarray, n: np.ndarray, row_no: np.ndarray) -> None:
+        """Add rows of a kind, ``n`` of them in each place given, to the totals of the searches they answer."""
+        at = self.admitted(kind)
+        times, prices = np.unique(minutes), np.unique(price[~unpriced])
+        of = lambda bound: self.place[bound][at]
+        upto = np.searchsorted(times, self.cuts[REQUIRED], "right")[of(REQUIRED)]
+        open_low, open_high = self.unset["min_price_pw"][at], self.unset["max_price_pw"][at]
+        # A bound of no search, for those that set none.
+        first = np.append(np.searchsorted(prices, self.cuts["min_price_pw"], "left"), 0)[np.where(open_low, -1, of("min_price_pw"))]
+        last = np.append(np.searchsorted(prices, self.cuts["max_price_pw"], "right"), len(prices))[np.where(open_high, -1, of("max_price_pw"))]
+        # Rows without a price stand in one column more, which only searches without a bound on it read.
+        last = last + (open_low & open_high)
+        some = (upto > 0) & (first < last)
+        at, upto, first, last = at[some], upto[some], first[some], last[some]
+        row, column = np.searchsorted(times, minutes), np.where(unpriced, len(prices), np.searchsorted(prices, price))
+        read = self._grid if len(times) * (len(prices) + 1) <= self.cells else self._tree
+        read(row, column, n, row_no, (len(times), len(prices) + 1), at, upto, first, last)
+
+    def _grid(self, row, column, n, row_no, shape, at, upto, first, last) -> None:
+        sums, least = np.zeros((shape[0] + 1, shape[1] + 1), np.int64), np.full(shape, _NONE)
+        np.add.at(sums, (row + 1, column + 1), n)
+        np.minimum.at(least, (row, column), row_no)
+        np.cumsum(np.cumsum(sums, axis=0, out=sums), axis=1, out=sums)
+        found = sums[upto, last] - sums[upto, first]
+        some = found > 0
+        at, upto, first, last, found = at[some], upto[some] - 1, first[some], last[some] - 1, found[some]
+        self.matched[at] += found
+        # Minima of runs of 1, 2, 4, ... columns: two of them cover any range.
+        runs, size = np.minimum.accumulate(least, axis=0), 1
+        while len(at):
+            mine = (last - first + 1) < 2 * size
+            place = at[mine]
+            self.first_no[place] = np.minimum(self.first_no[place], np.minimum(runs[upto[mine], first[mine]], runs[upto[mine], last[mine] - size + 1]))
+            at, upto, first, last = (x[~mine] for x in (at, upto, first, last))
+            if len(at):
+                runs, size = np.minimum(runs[:, :-size], runs[:, size:]), 2 * size
+
+    def _tree(self, row, column, n, row_no, shape, at, upto, first, last) -> None:
+        """Nodes of a level hold runs of 1, 2, 4, ... rows in the order of prices, each by minutes; a search reads the start of
+        two nodes a level at most. One level is in memory at a time."""
+        order = np.argsort(column, kind="stable")
+        row, n, row_no, column = row[order], n[order], row_no[order], column[order]
+        left, right = np.searchsorted(column, first), np.searchsorted(column, last)
+        node, by, level = np.arange(len(row)), np.argsort(row, kind="stable"), 0
+        while True:
+            # By node, within it by minutes: the order by minutes, stably sorted by node.
+            here = by[np.argsort(node[by] >> level, kind="stable")]
+            keys = (node[here] >> level) * (shape[0] + 1) + row[here]
+            counts, least = np.append(0, np.cumsum(n[here])), _least_of_runs(node[here] >> level, row_no[here])
+            open_ = left < right
+            if not open_.any():
+                return
+            for side, nodes in ((open_ & (left & 1 == 1), left), (open_ & (right & 1 == 1), right - 1)):
+                which = np.flatnonzero(side)
+                start = np.minimum(nodes[which] << level, len(row))
+                end = np.searchsorted(keys, nodes[which] * (shape[0] + 1) + upto[which])
+                some = end > start
+                which, start, end = at[which[some]], start[some], end[some]
+                self.matched[which] += counts[end] - counts[start]
+                self.first_no[which] = np.minimum(self.first_no[which], least[end - 1])
+            left, right, level = np.where(open_, (left + 1) >> 1, left), np.where(open_, right >> 1, right), level + 1
+
+    def totals(self) -> Iterator[pa.RecordBatch]:
+        found = np.flatnonzero(self.matched)
+        for start in range(0, len(found), 1 << 16):
+            part = found[start : start + (1 << 16)]
+            ids = self.ids.take(pa.array(part)).combine_chunks()
+            yield pa.RecordBatch.from_arrays([ids, pa.array(self.matched[part]), pa.array(self.first_no[part], mask=self.first_no[part] == _NONE)], ["search_id", "matched", "first_no"])
+
+
+def _least_of_runs(run: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The smallest value of a run so far; ``run`` does not fall."""
+    out, size, starts = values.copy(), 1, np.searchsorted(run, run)
+    place = np.arange(len(run))
+    longest = int((place - starts).max(initial=0))
+    while size <= longest:
+        reach = np.flatnonzero(place - size >= starts)
+        out[reach] = np.minimum(out[reach], out[reach - size])
+        size *= 2
+    return out
 
 
 _CONFIG = ["position", "search_id", "travel_key", *[bound for _, bound, _ in BOUNDS], "property_types", "exclude_flagged"]
@@ -217,7 +278,7 @@ _TESTED = ["row_no", *dict.fromkeys(column for column, _, _ in BOUNDS), "propert
 _CELL = ["travel_key", "block", "salt"]
 
 
-def predicate_index(config: DataFrame, block: int = BLOCK, kind: Callable = Block) -> DataFrame:
+def predicate_index(config: DataFrame, block: int = BLOCK) -> DataFrame:
     """(travel_key, block, index): one row per block of searches (see ``searches.searches_frame`` for ``config``)."""
     bounds = [F.col(bound).cast("double").alias(bound) for _, bound, _ in BOUNDS]
     plain = config.select("position", "search_id", "travel_key", *bounds, "property_types", "exclude_flagged").where("travel_key is not null")
@@ -228,7 +289,7 @@ def predicate_index(config: DataFrame, block: int = BLOCK, kind: Callable = Bloc
         key, searches = None, []
 
         def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int32()), pa.array([pickle.dumps(kind(searches))], pa.binary())], ["travel_key", "block", "index"])
+            return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int32()), pa.array([pickle.dumps(Block(searches))], pa.binary())], ["travel_key", "block", "index"])
 
         for batch in batches:
             for search in batch.to_pylist():
@@ -272,62 +333,294 @@ def search_hits(rows: DataFrame, index: DataFrame) -> DataFrame:
     return dealt.mapInArrow(read, "row_no long, position int, search_id string")
 
 
-def search_totals(rows: DataFrame, config: DataFrame, block: int = TOTALS_BLOCK, cells: int = CELLS) -> DataFrame:
+def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= AT_ONCE:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _folded(cells: np.ndarray, kind: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of equal kind, minutes and price as one, in that order, and their kinds."""
+    columns = [np.broadcast_to(kind, len(cells)), *(cells[c].copy() for c in ("minutes", "unpriced", "price"))]
+    order = np.lexsort(columns[::-1])
+    if not len(cells):
+        return cells, columns[0]
+    new = np.ones(len(cells), bool)
+    columns = [c[order] for c in columns]
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    starts = np.flatnonzero(new)
+    out = cells[order[starts]]
+    out["n"], out["row_no"] = np.add.reduceat(cells["n"][order], starts), np.minimum.reduceat(cells["row_no"][order], starts)
+    return out, columns[0][starts]
+
+
+def _blobs(cells: np.ndarray) -> Iterator[bytes]:
+    """Column by column, small ones: Spark hands Python a number of rows at once, not of bytes."""
+    for start in range(0, len(cells), BLOB):
+        part = cells[start : start + BLOB]
+        yield b"".join(part[c].tobytes() for c in CELL.names)
+
+
+def _cells(blob: bytes) -> np.ndarray:
+    n = len(blob) // (8 * len(CELL.names))
+    out = np.empty(n, CELL)
+    for k, c in enumerate(CELL.names):
+        out[c] = np.frombuffer(blob, CELL[c], n, 8 * n * k)
+    return out
+
+
+def _runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[tuple, list[bytes]]]:
+    """Blobs that follow each other with the same key, of ``AT_ONCE`` cells and no more than a few beyond."""
+    held, blobs, size = None, [], 0
+    for batch in batches:
+        for *at, blob in zip(*(batch.column(c).to_pylist() for c in [*key, "blob"])):
+            if blobs and (at != held or size >= 8 * len(CELL.names) * AT_ONCE):
+                yield tuple(held), blobs
+                blobs, size = [], 0
+            held, size = at, size + len(blob)
+            blobs.append(blob)
+    if blobs:
+        yield tuple(held), blobs
+
+
+class Cuts:
+    """The distinct bounds on minutes and on prices of a travel key: rows between the same ones are alike to its searches."""
+
+    def __init__(self, times: list[float], prices: list[float]):
+        self.times, self.prices = np.unique(np.array(times, float)), np.unique(np.array(prices, float))
+        # For each bound the bound, and for what lies above it a number that does; NaN is above all.
+        between = np.append(np.nextafter(self.prices, np.inf)[:-1], np.nan) if len(self.prices) else self.prices
+        self.stand_in = np.append(-np.inf, np.stack([self.prices, between], axis=1).ravel())
+
+    def alike(self, cells: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cells in these numbers, without those that last longer than any search allows, and their kinds."""
+        at = np.searchsorted(self.times, cells["minutes"].copy())
+        short = at < len(self.times)
+        cells, kind = cells[short], kind[short]
+        price = cells["price"].copy()
+        cells["minutes"] = self.times[at[short]]
+        cells["price"] = np.where(cells["unpriced"] > 0, 0, self.stand_in[np.searchsorted(self.prices, price, "left") + np.searchsorted(self.prices, price, "right")])
+        return cells, kind
+
+
+class Slabs:
+    """Cells of a travel key of very many searches, each with a part of the rows and of the searches. The rows a search admits
+    lie in the slab of prices of its lowest price, in that of its highest, and in whole slabs between them. Cells of the first
+    kind hold a slab of prices; cells of the second a slab of minutes, where a row's price is the number of its slab and the
+    rows of all shorter slabs are folded by it. So rows come twice and searches three times, however many there are."""
+
+    def __init__(self, times: list[float], prices: list[float]):
+        self.times, self.prices = np.unique(np.array(times, float)), np.unique(np.array(prices, float))
+
+    def rows(self, cells: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        slab = np.searchsorted(self.prices, cells["price"], "right")
+        priced = cells["unpriced"] == 0
+        yield from _split(cells[priced], slab[priced])
+        coarse, at = cells.copy(), np.searchsorted(self.times, cells["minutes"])
+        coarse["price"] = np.where(priced, slab, 0)
+        yield from _split(coarse, at + len(self.prices) + 1)
+        shorter = coarse[:0]
+        for q in range(1, len(self.times) + 1):
+            new = coarse[at == q - 1]
+            new["minutes"] = -np.inf
+            shorter, _ = _folded(np.concatenate([shorter, new]))
+            if len(shorter):
+                yield len(self.prices) + 1 + q, shorter
+
+    def searches(self, searches: pa.Table) -> Iterator[tuple[int, pa.Table]]:
+        number = lambda c: searches.column(c).to_numpy().astype(float, copy=False)
+        low, high = (~searches.column(c).is_null().to_numpy() for c in ("min_price_pw", "max_price_pw"))
+        first, last = (np.searchsorted(self.prices, number(c), "right") for c in ("min_price_pw", "max_price_pw"))
+        at = np.searchsorted(self.times, number(REQUIRED)) + len(self.prices) + 1
+        one, two = low & high & (first == last), ~(low & high) | (first < last)
+        between = two & ~(low & high & (first + 1 > last - 1)) & ~(high & (last < 1)) & ~(low & (first >= len(self.prices)))
+        none = np.full(searches.num_rows, np.nan)
+        for some, cell, least, most in (
+            (one, first, number("min_price_pw"), number("max_price_pw")), (two & low, first, number("min_price_pw"), none), (two & high, last, none, number("max_price_pw")),
+            (between, at, np.where(low, first + 1.0, np.nan), np.where(high, last - 1.0, np.nan)),
+        ):
+            unset = {"min_price_pw": ~low | (least is none), "max_price_pw": ~high | (most is none)}
+            part = searches
+            for c, values in (("min_price_pw", least), ("max_price_pw", most)):
+                part = part.set_column(part.schema.get_field_index(c), c, pa.array(values, pa.float64(), mask=unset[c]))
+            yield from _split(part, cell, np.flatnonzero(some))
+
+
+def _split(rows: np.ndarray | pa.Table, cell: np.ndarray, some: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray | pa.Table]]:
+    some = np.arange(len(cell)) if some is None else some
+    some = some[np.argsort(cell[some], kind="stable")]
+    starts = np.flatnonzero(np.diff(cell[some], prepend=-1))
+    for start, end in zip(starts, [*starts[1:], len(some)]):
+        at = some[start:end]
+        yield int(cell[at[0]]), rows.take(pa.array(at)) if isinstance(rows, pa.Table) else rows[at]
+
+
+def _strings(columns: dict[str, list], types: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], t) for c, t in types.items()], list(types))
+
+
+def _names(config: DataFrame, column: str) -> list[str | None] | None:
+    """What the lists of a column name, unless it is very much."""
+    found = [r["n"] for r in config.select(F.explode(column).alias("n")).distinct().limit(NAMES + 1).collect()]
+    return found if len(found) <= NAMES else None
+
+
+def search_totals(rows: DataFrame, config: DataFrame, block: int = TOTALS_BLOCK, cells: int = CELLS, spread: int = 6) -> DataFrame:
     """(search_id, matched, first_no): how many legs of ``rows`` answer the searches of that id, and the smallest row number
     among them; searches without an answer are left out. The totals of :func:`search_hits`, without a row for every hit: the
-    work grows with rows, searches and kinds of rows, not with the hits. ``rows`` and ``config`` as there."""
-    index = cut_lineage(predicate_index(config, block, partial(Totals, cells=cells)))
+    work grows with rows, searches and kinds of rows, not with the hits. ``rows`` and ``config`` as there.
+
+    Legs that no bound tells apart are folded before they are shuffled, while the distinct bounds are few enough for every
+    task to know. Folded legs meet the searches of their travel key in blocks, or in :class:`Slabs` once copies of the legs
+    for every block would outweigh ``spread`` times the searches; both are packed before a shuffle."""
+    number = lambda c: F.col(c).cast("double").alias(c)
+    asked = config.select(
+        F.col("search_id").cast("string").alias("search_id"), "travel_key", *[number(bound) for _, bound, _ in BOUNDS],
+        F.to_json("property_types").alias("property_types"), F.to_json("exclude_flagged").alias("exclude_flagged"),
+    ).where(f"travel_key is not null and {REQUIRED} is not null")
+    measured = [REQUIRED, "min_price_pw", "max_price_pw"]
+    per_key = asked.groupBy("travel_key").agg(F.count("*").alias("n"), sum(F.approx_count_distinct(b) for b in measured).alias("bounds"))
+    stats = per_key.agg(F.sum("bounds").alias("bounds"), F.collect_list(F.when(F.col("n") > block, F.struct("travel_key", "n"))).alias("large")).first()
+    cuts: dict[str, Cuts] | None = None
+    if (stats["bounds"] or 0) <= KNOWN:
+        values: dict[str, tuple[list, list]] = {}
+        entries = F.explode(F.array(*[F.struct(F.lit(b == REQUIRED).alias("time"), F.col(b).alias("value")) for b in measured])).alias("e")
+        for r in asked.select("travel_key", entries).select("travel_key", "e.*").where("value is not null").distinct().collect():
+            values.setdefault(r["travel_key"], ([], []))[0 if r["time"] else 1].append(r["value"])
+        cuts = {key: Cuts(*found) for key, found in values.items()}
+
     # Of types and flags only those that a search names tell kinds apart.
-    names = lambda c, as_: config.select(F.explode(c).alias("n")).distinct().agg(F.collect_set("n").alias(as_), F.coalesce(F.bool_or(F.col("n").isNull()), F.lit(False)).alias(f"{as_}_null"))
-    named = F.broadcast(names("property_types", "_types").crossJoin(names("exclude_flagged", "_flags")))
-    legs = rows.select("row_no", F.explode("travel").alias("travel_key", "leg"), "price_pw", *_NARROW, "property_type", F.coalesce("flags", F.array().cast("array<string>")).alias("flags"))
-    numbers = [F.col(c).cast("double").alias(c) for c in ("price_pw", *_NARROW)]
-    tested = legs.crossJoin(named).select(
-        "travel_key", F.lit(None).cast("binary").alias("index"), F.col("row_no").cast("long").alias("row_no"), F.col("leg.minutes").cast("double").alias("minutes"), *numbers,
-        F.when(F.array_contains("_types", F.col("property_type")), F.col("property_type")).alias("property_type"),
-        F.array_sort(F.array_distinct(F.filter("flags", lambda f: f.isNull() | F.array_contains("_flags", f)))).alias("flags"),
-        (F.col("_flags_null") & (F.size("flags") > 0)).alias("flagged"),
-    ).where("minutes is not null")
-    kind = [*_NARROW, "property_type", "flags", "flagged"]
-    grouped = tested.withColumn("salt", F.pmod(F.xxhash64(*kind), F.lit(KIND_GROUPS)).cast("int"))
-    asked = grouped.join(index.select("travel_key", "block"), "travel_key")
-    blank = [F.lit(None).cast(t).alias(c) for c, t in tested.drop("travel_key", "index").dtypes]
-    kept = index.select("travel_key", "index", *blank, F.explode(F.sequence(F.lit(0), F.lit(KIND_GROUPS - 1))).alias("salt"), "block")
-    dealt = kept.unionByName(asked).repartition(*_CELL).sortWithinPartitions(*_CELL, F.col("index").isNull(), *kind)
+    types, flags = _names(config, "property_types"), _names(config, "exclude_flagged")
+    named = lambda known, c: F.lit(True) if known is None else c.isin([v for v in known if v is not None])
+    carried = F.coalesce("flags", F.array().cast("array<string>"))
+    nulls = F.lit(flags is None or None in flags)
+    kind = F.struct(
+        *[number(c) for c in _NARROW], F.when(named(types, F.col("property_type")), F.col("property_type")).alias("property_type"),
+        F.array_sort(F.array_distinct(F.filter(carried, lambda f: f.isNull() | named(flags, f)))).alias("flags"), (nulls & (F.size(carried) > 0)).alias("flagged"),
+    )
+    told = rows.select(F.col("row_no").cast("long").alias("row_no"), "travel", number("price_pw"), F.to_json(kind, {"ignoreNullFields": "false"}).alias("kind"))
+    legs = told.select("row_no", F.explode("travel").alias("travel_key", "leg"), "price_pw", "kind")
+    tested = legs.select("travel_key", "kind", F.col("leg.minutes").cast("double").alias("minutes"), "price_pw", "row_no").where("minutes is not null")
+    of_cells = {"travel_key": pa.string(), "kind": pa.string(), "blob": pa.binary(), "n": pa.int64()}
+    ddl = "travel_key string, kind string, blob binary, n long"
+
+    def packed(key: str, kind: str, found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        blobs = list(_blobs(found))
+        if blobs:
+            sizes = [len(b) // (8 * len(CELL.names)) for b in blobs]
+            yield _strings({"travel_key": [key] * len(blobs), "kind": [kind] * len(blobs), "blob": blobs, "n": sizes}, of_cells)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _tables(batches):
+            keys, kinds = (table.column(c).combine_chunks().dictionary_encode() for c in ("travel_key", "kind"))
+            found = np.empty(table.num_rows, CELL)
+            found["minutes"], found["price"] = table.column("minutes").to_numpy(), table.column("price_pw").fill_null(0).to_numpy()
+            found["unpriced"], found["n"], found["row_no"] = table.column("price_pw").is_null().to_numpy(), 1, table.column("row_no").fill_null(_NONE).to_numpy()
+            of, names = kinds.indices.to_numpy(), kinds.dictionary.to_pylist()
+            for code, at in _split(np.arange(len(found)), keys.indices.to_numpy()):
+                key, own = keys.dictionary[code].as_py(), (found[at], of[at])
+                if cuts is not None:
+                    if key not in cuts:
+                        continue
+                    own = cuts[key].alike(*own)
+                own, told = _folded(*own)
+                for code, part in _split(own, told):
+                    yield from packed(key, names[code], part)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (key, of), blobs in _runs(batches, ["travel_key", "kind"]):
+            yield from packed(key, of, _folded(np.concatenate([_cells(b) for b in blobs]))[0])
+
+    one = ["travel_key", "kind"]
+    folded = cut_lineage(tested.mapInArrow(pack, ddl).repartition(*one).sortWithinPartitions(*one).mapInArrow(fold, ddl))
+    answered = F.broadcast(folded.select("travel_key").distinct())
+
+    # Which travel keys go in slabs.
+    slabs: dict[str, Slabs] = {}
+    large = {r["travel_key"]: r["n"] for r in stats["large"]}
+    if large:
+        sizes = {r["travel_key"]: r["n"] for r in folded.where(F.col("travel_key").isin(list(large))).groupBy("travel_key").agg(F.sum("n").alias("n")).collect()}
+        blocks = {key: -(-n // block) for key, n in large.items()}
+        wide = [key for key, n in sizes.items() if n * (blocks[key] - 2) > spread * large[key]]  # copies for blocks, or two of legs and two more of searches
+        if wide:
+            parts = F.array(*[F.lit(k / SLABS) for k in range(1, SLABS)])
+            cut_at = asked.where(F.col("travel_key").isin(wide)).groupBy("travel_key").agg(*[F.percentile_approx(b, parts, 10_000).alias(b) for b in measured])
+            for r in cut_at.collect():
+                thin = lambda values, n: (values or [])[:: max(1, SLABS // n)]
+                n = min(SLABS, max(4, blocks[r["travel_key"]]))
+                slabs[r["travel_key"]] = Slabs(thin(r[REQUIRED], n), [*thin(r["min_price_pw"], n // 2), *thin(r["max_price_pw"], n // 2)])
+
+    chunk = max(1, min(4096, block // 16))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _tables(batches):
+            keys = table.column("travel_key").combine_chunks().dictionary_encode()
+            for code, own in _split(table.drop_columns(["travel_key"]), keys.indices.to_numpy()):
+                key = keys.dictionary[code].as_py()
+                for cell, part in slabs[key].searches(own) if key in slabs else [(0, own)]:
+                    for start in range(0, part.num_rows, chunk):
+                        searches, sink = part.slice(start, chunk).combine_chunks(), pa.BufferOutputStream()
+                        with pa.ipc.new_stream(sink, searches.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                            writer.write_table(searches)
+                        yield _strings({"travel_key": [key], "cell": [cell], "blob": [sink.getvalue().to_pybytes()], "n": [searches.num_rows]}, {"travel_key": pa.string(), "cell": pa.int32(), "blob": pa.binary(), "n": pa.int64()})
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (key, of), blobs in _runs(batches, one):
+            for cell, found in slabs[key].rows(np.concatenate([_cells(b) for b in blobs])):
+                for batch in packed(key, of, found):
+                    yield batch.append_column("cell", pa.array([cell] * batch.num_rows, pa.int32()))
+
+    searches = cut_lineage(asked.join(answered, "travel_key", "left_semi").select(asked.columns).mapInArrow(deal, "travel_key string, cell int, blob binary, n long"))
+    blocks = searches.groupBy("travel_key", "cell").agg(F.sum("n").alias("n"), F.count("*").alias("chunks"), F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
+    tasks, places, asking = blocks.agg(F.sum("blocks"), F.count("*"), F.sum("n")).first()
+    tasks, places, groups = tasks or 1, places or 1, 1
+    if tasks < TASKS:
+        # Few searches: more blocks copy legs, groups of kinds copy searches and their totals; the lighter of both.
+        standing = folded.agg(F.sum("n")).first()[0] or 0
+        least = min((1, 2, 4, 8, 16, 32), key=lambda k: standing * max(k, tasks // places) + COPY * (asking or 0) * max(1, TASKS // (places * k)))
+        blocks = blocks.withColumn("blocks", F.greatest("blocks", F.least(F.lit(least), (F.col("chunks") / 16).cast("int"))))
+        tasks = blocks.agg(F.sum("blocks")).first()[0] or 1
+        groups = max(1, TASKS // tasks)
+    blocks = F.broadcast(blocks.drop("n", "chunks"))
+    kept = searches.join(blocks, ["travel_key", "cell"]).select(
+        "travel_key", "cell", F.pmod(F.xxhash64("blob"), F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("salt"), F.lit(None).cast("string").alias("kind"), "blob",
+    )
+    legs = folded.withColumn("cell", F.lit(0))
+    if slabs:
+        wide = F.col("travel_key").isin(list(slabs))
+        legs = legs.where(~wide).unionByName(folded.where(wide).mapInArrow(place, f"{ddl}, cell int"))
+    met = legs.join(blocks, ["travel_key", "cell"]).select(
+        "travel_key", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.pmod(F.xxhash64("kind"), F.lit(groups)).cast("int").alias("salt"), "kind", "blob",
+    )
+    at = ["travel_key", "cell", "block", "salt"]
+    dealt = kept.unionByName(met).repartition(min(4096, max(8, 2 * tasks * groups)), *at).sortWithinPartitions(*at, F.col("kind").asc_nulls_first())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, key, grids, matched, first_no = None, None, None, None, None
-
-        def totals() -> Iterator[pa.RecordBatch]:
-            found = np.flatnonzero(matched) if block is not None else []
-            for at in range(0, len(found), 1 << 16):
-                part = found[at : at + (1 << 16)]
-                numbers = pa.array(first_no[part], mask=first_no[part] == _NONE)
-                yield pa.RecordBatch.from_arrays([block.ids.take(pa.array(part)), pa.array(matched[part]), numbers], ["search_id", "matched", "first_no"])
-
-        for batch in batches:
-            heads = set(np.flatnonzero(batch.column("index").is_valid().to_numpy(zero_copy_only=False)).tolist())
-            kinds = list(zip(*(batch.column(c).to_pylist() for c in kind)))
-            values = {c: batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("minutes", "price_pw")}
-            unpriced = batch.column("price_pw").is_null().to_numpy(zero_copy_only=False)
-            numbers = batch.column("row_no").fill_null(_NONE).to_numpy(zero_copy_only=False)
-            cuts = sorted({0, *heads, *(h + 1 for h in heads), *(k for k in range(1, batch.num_rows) if kinds[k] != kinds[k - 1])})
-            for start, end in zip(cuts, [*cuts[1:], batch.num_rows]):
-                if start >= end:
-                    continue
-                if start in heads or kinds[start] != key:
-                    if grids is not None:
-                        block.read_off(dict(zip(kind, key)), grids, matched, first_no)
-                    grids, key = None, kinds[start]
-                if start in heads:
-                    yield from totals()
-                    block = pickle.loads(batch.column("index")[start].as_py())
-                    matched, first_no = np.zeros(block.n, np.int64), np.full(block.n, _NONE)
-                    continue
-                grids = block.grid_of(grids, values["minutes"][start:end], values["price_pw"][start:end], unpriced[start:end], numbers[start:end])
-        if grids is not None:
-            block.read_off(dict(zip(kind, key)), grids, matched, first_no)
-        yield from totals()
+        key, chunks, totals = None, [], None
+        for (*here, of), blobs in _runs(batches, [*at, "kind"]):
+            if here != key:
+                if totals is not None:
+                    yield from totals.totals()
+                key, chunks, totals = here, [], None
+            if of is None:
+                chunks += blobs
+                continue
+            if totals is None and not chunks:
+                continue  # no chunk was dealt to this block
+            if totals is None:
+                totals, chunks = Totals(pa.concat_tables(pa.ipc.open_stream(b).read_all() for b in chunks), cells), []
+            found, of = np.concatenate([_cells(b) for b in blobs]), json.loads(of)
+            of |= {c: None if of[c] is None else float(of[c]) for c in _NARROW}
+            totals.add(of, found["minutes"], found["price"], found["unpriced"] > 0, found["n"], found["row_no"])
+        if totals is not None:
+            yield from totals.totals()
 
     parts = dealt.mapInArrow(read, "search_id string, matched long, first_no long")
     return parts.groupBy("search_id").agg(F.sum("matched").alias("matched"), F.min("first_no").alias("first_no"))

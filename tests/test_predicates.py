@@ -80,3 +80,64 @@ def test_totals_equal_the_hits_counted(spark):
     for cells in (1 << 20, 40):
         got = {r["search_id"]: (r["matched"], r["first_no"]) for r in P.search_totals(rows, config, block=128, cells=cells).collect()}
         assert got == wanted and len(wanted) > 200
+
+
+def measured(rng: random.Random, n: int) -> tuple[list[SavedSearch], list[tuple]]:
+    """Searches and rows whose minutes and prices are all different."""
+    bound = lambda low, high: None if rng.random() < 0.2 else rng.uniform(low, high)
+    searches = [
+        SavedSearch(
+            f"s{k % (n - 7)}", "office", "walk", rng.uniform(1, 60), f"S{k}", max_price_pw=bound(300, 1000), min_price_pw=bound(200, 800),
+            min_beds=rng.choice([None, 1]), exclude_flagged=rng.choice([(), ("studio",)]),
+        )
+        for k in range(n)
+    ]
+    minutes = lambda: rng.choice([None, float("nan")]) if rng.random() < 0.03 else rng.uniform(0, 65)
+    rows = [
+        (k, float("nan") if rng.random() < 0.03 else bound(150, 1100), rng.choice([None, 0, 2]), 1, 0, "unit", rng.choice([[], ["studio"]]), {"office:walk": (minutes(),), "office:fly": (1.0,)})
+        for k in range(n)
+    ]
+    return searches, rows
+
+
+PRICED = "row_no long, price_pw double, beds int, baths int, car_spaces int, property_type string, flags array<string>, travel map<string, struct<minutes: double>>"
+
+
+def test_totals_in_slabs_equal_the_hits_counted(spark, monkeypatch):
+    """Legs folded by known bounds or not at all, in blocks and slabs, grids and trees."""
+    searches, rows = measured(random.Random(24), 700)
+    frame, config = spark.createDataFrame(rows, PRICED).repartition(3), Q.searches_frame(spark, searches)
+    hits = P.search_hits(frame, P.predicate_index(config, 64).cache())
+    wanted = {r["search_id"]: (r["n"], r["f"]) for r in hits.groupBy("search_id").agg(F.count("*").alias("n"), F.min("row_no").alias("f")).collect()}
+    assert len(wanted) > 300
+    for known, cells, spread in ((P.KNOWN, 1 << 20, 0), (0, 40, 0), (0, 40, 1000)):
+        monkeypatch.setattr(P, "KNOWN", known)
+        got = {r["search_id"]: (r["matched"], r["first_no"]) for r in P.search_totals(frame, config, block=64, cells=cells, spread=spread).collect()}
+        assert got == wanted, (known, cells, spread)
+
+
+def shuffled(df) -> int:
+    """Bytes that a query wrote for its shuffles."""
+    df.collect()
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+        else:
+            total += node.metrics().apply("shuffleBytesWritten").value() if node.nodeName() == "Exchange" else 0
+            todo += [node.children().apply(k) for k in range(node.children().length())]
+    return total
+
+
+def test_shuffles_of_totals_grow_with_their_input(spark):
+    """Four times the rows and searches, in four times the blocks: rows once copied for every block made that sixteen times."""
+    sizes = []
+    for n in (2000, 8000):
+        searches, rows = measured(random.Random(n), n)
+        config = Q.searches_frame(spark, searches)
+        sizes.append(shuffled(P.search_totals(spark.createDataFrame(rows, PRICED), config, block=128)))
+    print(sizes)
+    assert 0 < sizes[1] < 6 * sizes[0], sizes
